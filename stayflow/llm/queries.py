@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, url_filter
-from .common import documents
+from . import mixing, sharding, toxicity, url_filter
+from .common import documents, held_out
 
 #: (host, path, action) of the url filter's rules.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 #: Bytes of text that a shard holds at most, and the directory's first size in bits.
 SHARD_BYTES, SHARD_BITS = 32 * 2**20, 2
 
+#: Score from which a document counts as toxic.
+TOXIC = 0.3
+
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
@@ -22,13 +25,20 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, sf_dir), SHARD_BYTES, SHARD_BITS)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, ~held_out("doc_id", 4, 2))
+    scored = toxicity.score_documents(docs, model, spans=False)
+    return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_filter.match_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op10_url_filter": op10_url_filter}
+    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
 
 
 def oracle_sql() -> dict[str, str]:
