@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import cut, small_enough, word_count
 
 #: Documents of one source and length that are ranked together.
-RUN = 20_000
+RUN = 1_000
 #: Words of a budget that the knapsack fits exactly; greedy steps bring the budget down to this.
 KNAPSACK_WORDS = 60_000
 
