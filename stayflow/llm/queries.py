@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, quality, sharding, toxicity, url_filter
+from . import decontaminate, langid, mixing, quality, sharding, toxicity, url_filter
 from .common import documents, held_out
 
 #: (host, path, action) of the url filter's rules.
@@ -25,6 +25,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, sf_dir), SHARD_BYTES, SHARD_BITS)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels, ~held_out("doc_id", 3, 1), metadata=["n_chars"])
@@ -49,7 +53,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op4_quality": op4_quality, "op7_langid": op7_langid, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
+    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op7_langid": op7_langid, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
 
 
 def oracle_sql() -> dict[str, str]:
