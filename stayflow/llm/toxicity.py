@@ -16,7 +16,6 @@ toxic words; without labelled rows of both classes the score is the share of tox
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -114,54 +113,58 @@ def facts_of(p: np.ndarray) -> tuple[float, float, float]:
     return float(np.log1p(p.sum())), float(top[1]), float(top[0])
 
 
-def telling_features(texts: list[tuple[int, list[str]]]) -> set[str]:
-    """Features that occur in far more toxic documents than others, by a likelihood-ratio test."""
-    n = [sum(y == k for y, _ in texts) for k in (0, 1)]
-    seen = [Counter(), Counter()]
-    known: dict[str, set[str]] = {}
-    for y, words in texts:
-        own: set[str] = set()
-        for w in set(words):
-            if w not in known:
-                known[w] = features_of(w)
-            own |= known[w]
-        seen[y].update(own)
-    # near copies and shared passages repeat a word with its neighbours; only different neighbours count as evidence
-    around: dict[str, set[tuple[str, str]]] = defaultdict(set)
-    for y, words in texts:
-        if y:
-            for before, w, after in zip(["", *words], words, [*words[1:], ""]):
-                around[w].add((before, after))
-    contexts: Counter = Counter()
-    for w, found in around.items():
-        for f in known[w]:
-            contexts[f] += len(found)
-    out = set()
-    for f, a in seen[1].items():
-        b, a = seen[0][f], min(a, contexts[f])
-        p, q, r = a / n[1], b / n[0], (a + b) / sum(n)
-        if a >= LEAST and q < 0.1 * p and 2 * (a * np.log(p / r) + (b * np.log(q / r) if b else 0)) > 2 * LEAST:
-            out.add(f)
+def runs_of(word: str, length: int | None) -> set[str]:
+    return {f"^{word}$"} if length is None else {word[i : i + length] for i in range(len(word) - length + 1)}
+
+
+def telling_features(vocabulary: list[str], seen: np.ndarray, around: np.ndarray, n: list[int]) -> set[str]:
+    """Features that occur in far more toxic documents than others, by a likelihood-ratio test.
+
+    seen: documents of either class with each word; around: its different neighbourhoods in toxic documents. Near copies and
+    shared passages repeat a word with its neighbours; only different neighbours count as evidence.
+    """
+    out: set[str] = set()
+    for length in (None, *GRAMS):  # one length at a time, to hold little
+        count: dict[str, list[int]] = {}
+        for i in np.flatnonzero(seen[1]):
+            for f in runs_of(vocabulary[i], length):
+                c = count.setdefault(f, [0, 0, 0])
+                c[1] += int(seen[1, i])
+                c[2] += int(around[i])
+        count = {f: c for f, c in count.items() if min(c[1:]) >= LEAST}
+        for i in np.flatnonzero(seen[0]):
+            for f in runs_of(vocabulary[i], length) & count.keys():
+                count[f][0] += int(seen[0, i])
+        for f, (b, a, c) in count.items():
+            a, b = min(a, c, n[1]), min(b, n[0])
+            p, q, r = a / n[1], b / n[0], (a + b) / sum(n)
+            if q < 0.1 * p and 2 * (a * np.log(p / r) + (b * np.log(q / r) if b else 0)) > 2 * LEAST:
+                out.add(f)
     return out
 
 
 def fit(rows: list[tuple[int, str]], totals: dict[int, int]) -> Model:
     rows = list({x: (y, x) for y, x in reversed(rows)}.values())  # copies would make chance words look telling
-    texts = [(y, [w.lower() for w in TOKEN.findall(x or "")]) for y, x in rows]
-    if {y for y, _ in texts} != {0, 1}:
+    y = np.array([r[0] for r in rows], float)
+    if set(y) != {0, 1}:
         return Model(constant=totals.get(1, 0) / max(1, sum(totals.values())))
-    telling = telling_features(texts)
     ids: dict[str, int] = {}
-    docs = [np.array([ids.setdefault(w, len(ids)) for w in words], np.int64) for _, words in texts]
-    word_features = [features_of(w) for w in ids]
-    toxic_word = np.array([bool(f & telling) for f in word_features])
-    # every other word has the tag's bias alone
-    names = sorted(telling | {f"^{w}$" for w, hit in zip(ids, toxic_word) if hit})
-    number = {f: i for i, f in enumerate(names)}
-    pairs = [(i, number[f]) for i, fs in enumerate(word_features) for f in fs if f in number]
+    docs = [np.fromiter((ids.setdefault(w.lower(), len(ids)) for w in TOKEN.findall(x or "")), np.int32) for _, x in rows]
+    seen = np.zeros((2, len(ids)), np.int32)
+    for k, d in zip(y, docs):
+        seen[int(k), np.unique(d)] += 1
+    triples = [np.stack((np.append(-1, d[:-1]), d, np.append(d[1:], -1)), 1) for k, d in zip(y, docs) if k and len(d)]
+    around = np.bincount(np.unique(np.concatenate(triples), axis=0)[:, 1], minlength=len(ids)) if triples else np.zeros(len(ids), int)
+    telling = telling_features(list(ids), seen, around, [int((y == k).sum()) for k in (0, 1)])
+    # every word without a telling feature has the tag's bias alone
+    number: dict[str, int] = {f: i for i, f in enumerate(sorted(telling))}
+    pairs = [(i, number.setdefault(f, len(number))) for i, w in enumerate(ids) if (own := features_of(w) & telling) for f in (*own, f"^{w}$")]
     of_word, of_feature = (np.array(x, np.int64) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
+    names = list(number)
+    toxic_word = np.zeros(len(ids), bool)
+    toxic_word[of_word] = True
     # segments: those with a toxic token, and as many others
-    pieces = [(toxic_word[d[i : i + SEGMENT]] & (y == 1), d[i : i + SEGMENT]) for (y, _), d in zip(texts, docs) for i in range(0, len(d), SEGMENT)]
+    pieces = [(toxic_word[d[i : i + SEGMENT]] & (k == 1), d[i : i + SEGMENT]) for k, d in zip(y, docs) for i in range(0, len(d), SEGMENT)]
     hot = [s for s in pieces if s[0].any()]
     cold = [s for s in pieces if not s[0].any()]
     pieces = hot + cold[:: max(1, len(cold) // max(1, 2 * len(hot)))]
@@ -195,7 +198,6 @@ def fit(rows: list[tuple[int, str]], totals: dict[int, int]) -> Model:
         model = Model({names[i]: float(w[i]) for i in top if abs(w[i]) > 0.02}, float(b), tr)
     cache: dict[str, float] = {}
     facts = np.array([facts_of(p) for p in marginals([model.emissions(x, cache) for _, x in rows], model.transitions)])
-    y = np.array([y for y, _ in texts], float)
     known = {k: max(1, (y == k).sum()) for k in (0, 1)}
     weight = np.array([totals.get(int(k), 1) / known[int(k)] for k in y])
     model.document = logistic(facts, y, weight / weight.sum())
