@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, mixing, quality, sharding, toxicity, url_filter
+from . import decontaminate, jaccard, langid, mixing, quality, sharding, toxicity, url_filter
 from .common import documents, held_out
 
 #: (host, path, action) of the url filter's rules.
@@ -36,6 +36,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_components(documents(spark, sf_dir), words=4, similarity=(85, 100))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), langid.fit_text(documents(spark, sf_dir)))
 
@@ -53,7 +57,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op7_langid": op7_langid, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
+    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op7_langid": op7_langid, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
 
 
 def oracle_sql() -> dict[str, str]:
