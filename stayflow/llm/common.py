@@ -24,11 +24,20 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
+#: Has Spark remove the shuffle files of a finished write, whose result no longer needs them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

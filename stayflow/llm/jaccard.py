@@ -203,6 +203,7 @@ def _verified(near: DataFrame, docs: DataFrame, doc_id: str, text: str, n: int,
 
 def join_components(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links) of each row."""
+    docs = docs.select(doc_id, text)
     rows = cut(describe(docs, doc_id, text, words, similarity), "jaccard-rows")
     classes = cut(rows.where("n > 0 AND id IS NOT NULL").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "jaccard-classes")
     facts = rows.where("n > 0").join(classes.select(F.col("rep").alias("id"), "n", "f1", "f2"), ["id", "n", "f1", "f2"], "left_semi")
@@ -238,7 +239,8 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, similarity: tuple[
     """One row of each component (the one with its smallest id), and the rows without an id; all columns."""
     found = cut(join_components(docs, words, similarity, doc_id, text).where(F.col(doc_id).isNotNull()), "jaccard-found")
     gone = cut(found.where(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("_gone")).distinct(), "jaccard-gone")
-    kept = docs.join(small_enough(gone), F.col(doc_id) == F.col("_gone"), "left_anti")
+    gone = small_enough(gone)
+    kept = docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")
     if found.count() == found.select(doc_id).distinct().count():
         return kept
-    return kept.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).unionByName(kept.where(F.col(doc_id).isNull()))
+    return kept.where(docs[doc_id].isNotNull()).dropDuplicates([doc_id]).unionByName(kept.where(docs[doc_id].isNull()))

@@ -19,7 +19,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows_
     chosen = [known.where(F.col("_y") == y).orderBy("_h", doc_id).limit(rows_per_class) for y in (0, 1)]
     ids = chosen[0].unionByName(chosen[1]).withColumnRenamed(doc_id, "_id")  # at most 2 * rows_per_class rows
     # one row for each id, whole texts, until the bytes are used up
-    picked = docs.join(F.broadcast(ids), F.col(doc_id) == F.col("_id")).select("_h", "_id", "_y", *columns).dropDuplicates(["_id"])
+    picked = docs.select(doc_id, *columns).join(F.broadcast(ids), F.col(doc_id) == F.col("_id")).select("_h", "_id", "_y", *columns).dropDuplicates(["_id"])
     out, used = [], 0
     for r in picked.orderBy("_h", "_id").toLocalIterator():
         size = sum(len(v.encode()) for v in r[3:] if isinstance(v, str))

@@ -108,13 +108,10 @@ def source_targets(counts: DataFrame, weights: Sequence[float], share: float, mo
     return spark.createDataFrame([(r["source"], s, float(t)) for r, s, t in zip(rows, sizes, targets)], "source string, source_size long, target double")
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: Sequence[str] = ()) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies (how often the mix holds the document) and taken (its words).
-
-    ``keep``: further columns of ``docs`` to return; with them the rows' texts travel, so name only what is needed.
-    """
+def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """doc_id, source, size, source_size, target, copies (how often the mix holds the document) and taken (its words)."""
     hashed = F.xxhash64(F.col(doc_id).cast("string"), F.lit(seed))
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), hashed.alias("_h"), *[F.col(c).alias(f"_keep_{c}") for c in keep])
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), hashed.alias("_h"))
     rows = cut(base, "mix-sizes")
     counts = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts")
     targets = source_targets(counts, weights, share, most)
@@ -144,4 +141,23 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     )
     rest = joined.where(~part).withColumn("_more", (F.col("pick") > 0).cast("long"))
     copies = (F.col("passes") + F.col("_more")).alias("copies")
-    return ranked.unionByName(rest).select("doc_id", "source", "size", "source_size", "target", copies, (copies * F.col("size")).alias("taken"), *[F.col(f"_keep_{c}").alias(c) for c in keep])
+    return ranked.unionByName(rest).select("doc_id", "source", "size", "source_size", "target", copies, (copies * F.col("size")).alias("taken"))
+
+
+def take_mix(docs: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
+    """The rows of ``docs`` as often as the mix holds them, with all their columns.
+
+    The mix of rows with one id (repeated rows, null ids) is dealt out among them: the sum of their copies, in no given order.
+    """
+    copies = cut(mix_sources(docs, doc_id=doc_id, **how).select("doc_id", "copies"), "mix-copies")
+    once = copies.groupBy("doc_id").agg(F.count("*").alias("_rows"), F.sum("copies").alias("_copies"))
+    rows = docs.select(F.col(doc_id).alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    if copies.where("doc_id IS NULL").isEmpty() and once.where("_rows > 1").isEmpty():
+        chosen = copies.where("copies > 0").select(F.col("doc_id").alias("_mix_id"), F.col("copies").alias("_copies"))
+        taken = rows.join(small_enough(chosen), F.col("_id") == F.col("_mix_id"))
+    else:
+        chosen = cut(once.where("_copies > 0").select(F.col("doc_id").alias("_mix_id"), "_rows", F.col("_copies").alias("_all")), "mix-chosen")
+        numbered = rows.join(small_enough(chosen), F.col("_id").eqNullSafe(F.col("_mix_id")))
+        nth = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("_row"))) - 1
+        taken = numbered.withColumn("_copies", F.floor(F.col("_all") / F.col("_rows")) + (nth < F.col("_all") % F.col("_rows")).cast("int"))
+    return taken.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))).select("_row.*")

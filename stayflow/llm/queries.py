@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, mixing, quality, sharding, toxicity, url_filter
+from . import decontaminate, jaccard, langid, mixing, quality, sharding, suffix_dedup, toxicity, url_filter
 from .common import documents, held_out
 
 #: (host, path, action) of the url filter's rules.
@@ -44,6 +44,10 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), langid.fit_text(documents(spark, sf_dir)))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("spans")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, ~held_out("doc_id", 4, 2))
@@ -57,7 +61,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op7_langid": op7_langid, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
+    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op7_langid": op7_langid, "op8_suffix_dedup": op8_suffix_dedup, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,23 +48,26 @@ def leaves_of(rows: DataFrame, limit_bytes: int, top: int, deep: int) -> DataFra
 def assign_shards(docs: DataFrame, limit_bytes: int, start_bits: int = 0, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (``doc_id`` by default) of each row with n_bytes, shard_id (the leaf's bits, with a part number
     where equal hashes were dealt out), shard_depth and shard_bytes."""
-    keep = [doc_id] if keep is None else keep
+    own = ("n_bytes", "shard_id", "shard_depth", "shard_bytes")
+    keep = [c for c in ([doc_id] if keep is None else keep) if c.lower() not in own]
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")
     sizes = cut(docs.select(place_of(doc_id).alias("_place"), size_of(text).alias("n_bytes")), "shard-rows")
     total = sizes.agg(F.sum("n_bytes")).first()[0] or 0
-    open_rows = docs.select(*keep, place_of(doc_id).alias("_place"), size_of(text).alias("n_bytes"))
+    open_rows = docs.select(row, place_of(doc_id).alias("_place"), size_of(text).alias("n_bytes"))
     top, out = start_bits, None
     deep = min(BITS, max(top, math.ceil(math.log2(max(1.0, total / limit_bytes)))) + MORE_BITS)
     while True:
         leaves = leaves_of(sizes, limit_bytes, top, deep)
         done, left = leaves.where("_leaf IS NOT NULL").drop("_bytes"), leaves.where("_leaf IS NULL").drop("_leaf")
         fine = F.shiftright("_place", BITS - deep)
-        placed = open_rows.withColumn("_fine", fine).join(small_enough(done), "_fine").select(*keep, "n_bytes", _name("_leaf._depth", "_leaf._prefix").alias("shard_id"), F.col("_leaf._depth").alias("shard_depth"), F.col("_leaf.shard_bytes").alias("shard_bytes"))
+        placed = open_rows.withColumn("_fine", fine).join(small_enough(done), "_fine").select("_row", "n_bytes", _name("_leaf._depth", "_leaf._prefix").alias("shard_id"), F.col("_leaf._depth").alias("shard_depth"), F.col("_leaf.shard_bytes").alias("shard_bytes"))
         out = placed if out is None else out.unionByName(placed)
         if left.isEmpty():
-            return out
+            return out.select("_row.*", *own)
         left = small_enough(left)
         if deep == BITS:
-            return out.unionByName(_deal_equal(open_rows.withColumn("_fine", fine).join(left, "_fine"), limit_bytes, keep))
+            out = out.unionByName(_deal_equal(open_rows.withColumn("_fine", fine).join(left, "_fine"), limit_bytes))
+            return out.select("_row.*", *own)
         open_rows = open_rows.withColumn("_fine", fine).join(left, "_fine", "left_semi").drop("_fine")
         sizes = cut(sizes.withColumn("_fine", fine).join(left, "_fine", "left_semi").drop("_fine"), "shard-rows")
         top, deep = deep + 1, min(BITS, deep + MORE_BITS)
@@ -74,20 +77,20 @@ def _name(depth: str, prefix: str) -> Column:
     return F.expr(f"right(lpad(bin({prefix}), {BITS}, '0'), {depth})")
 
 
-def _deal_equal(rows: DataFrame, limit_bytes: int, keep: list[str]) -> DataFrame:
-    rows = rows.select(*keep, "n_bytes", _name(str(BITS), "_fine").alias("shard_id"), F.lit(BITS).alias("shard_depth"), F.col("_bytes").alias("shard_bytes"))
+def _deal_equal(rows: DataFrame, limit_bytes: int) -> DataFrame:
+    rows = rows.select("_row", "n_bytes", _name(str(BITS), "_fine").alias("shard_id"), F.lit(BITS).alias("shard_depth"), F.col("_bytes").alias("shard_bytes"))
 
-    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, used, part = TaskContext.get().partitionId(), {}, {}
-        for frame in frames:
+        for b in batches:
             names = []
-            for shard, size in zip(frame["shard_id"], frame["n_bytes"]):
+            for shard, size in zip(b.column(2).to_pylist(), b.column(1).to_pylist()):
                 if shard not in used or used[shard] + size > limit_bytes:
                     used[shard], part[shard] = 0, part.get(shard, -1) + 1
                 used[shard] += size
                 names.append(f"{shard}.{task}.{part[shard]}")
-            yield frame.assign(shard_id=names)
+            yield b.set_column(2, b.schema.field(2), pa.array(names, b.schema.field(2).type))
 
-    parts = cut(rows.mapInPandas(deal, rows.schema), "shard-parts")
+    parts = cut(rows.mapInArrow(deal, rows.schema), "shard-parts")
     sums = parts.groupBy("shard_id").agg(F.sum("n_bytes").alias("shard_bytes"))
-    return parts.drop("shard_bytes").join(sums, "shard_id").select(*keep, "n_bytes", "shard_id", "shard_depth", "shard_bytes")
+    return parts.drop("shard_bytes").join(sums, "shard_id").select("_row", "n_bytes", "shard_id", "shard_depth", "shard_bytes")

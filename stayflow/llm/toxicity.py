@@ -243,6 +243,23 @@ def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text:
     return docs.select(doc_id, text).mapInArrow(run, f"`{doc_id}` {kind}, score double, spans array<struct<start:int,end:int,score:double>>")
 
 
+def drop_toxic(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a score under ``threshold``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, cache = shared.value, {}
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                b = whole.slice(at, 1000)
+                texts = b.column(b.schema.get_field_index(text)).to_pylist()
+                ps = marginals([model.emissions(t, cache) for t in texts], model.transitions)
+                scores = model.score(np.array([facts_of(p) for p in ps]).reshape(-1, 3))
+                yield b.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def spans_of(text: str, p: np.ndarray) -> list[dict]:
     out: list[dict] = []
     for i, m in enumerate(TOKEN.finditer(text)):
