@@ -151,7 +151,7 @@ def _rarest(flat: DataFrame, tag: str) -> DataFrame:
 
 
 def _fine_signatures(docs: DataFrame, heavy: DataFrame, doc_id: str, text: str, n: int, similarity: tuple[int, int]) -> DataFrame:
-    """Signatures of the finer partitioning, for the (id, band) in ``heavy``: id, n, own (elements no other one has), band, slack, sig."""
+    """Signatures of the finer partitioning, for the (id, band) in ``heavy``: id, own (elements no other one has), band, slack, sig."""
     wanted = cut(heavy.groupBy("id").agg(F.collect_set("band").alias("bands")), "jaccard-heavy")  # a few bands each
     chosen = docs.join(small_enough(wanted.select(F.col("id").alias("_id"))), F.col(doc_id).cast("long") == F.col("_id"), "left_semi")
     sets = cut(_sets(chosen, doc_id, text, n).dropDuplicates(["id"]), "jaccard-heavy-sets")
@@ -174,7 +174,7 @@ def _fine_signatures(docs: DataFrame, heavy: DataFrame, doc_id: str, text: str,
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), *[pa.int32()] * 4, pa.list_(pa.int64())))], names=["id", "n", "own", "band", "slack", "sigs"])
 
     found = cut(ready.mapInArrow(run, "id long, n int, own int, band int, slack int, sigs array<long>"), "jaccard-fine-sets")
-    return found.select("id", "n", "own", "band", "slack", F.explode("sigs").alias("sig"))
+    return found.select("id", "own", "band", "slack", F.explode("sigs").alias("sig"))
 
 
 def _may_differ(similarity: tuple[int, int]) -> str:
@@ -208,20 +208,20 @@ def join_components(docs: DataFrame, words: int = WORDS, similarity: tuple[int,
     classes = cut(rows.where("n > 0 AND id IS NOT NULL").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "jaccard-classes")
     facts = rows.where("n > 0").join(classes.select(F.col("rep").alias("id"), "n", "f1", "f2"), ["id", "n", "f1", "f2"], "left_semi")
     facts = cut(facts.dropDuplicates(["id", "n", "f1", "f2"]), "jaccard-facts")
-    flat = facts.select("id", "n", F.explode("groups").alias("g")).select("id", "n", F.col("g.band").alias("band"), F.col("g.slack").alias("slack"), F.explode("g.sigs").alias("sig"))
+    flat = facts.select("id", F.explode("groups").alias("g")).select("id", F.col("g.band").alias("band"), F.col("g.slack").alias("slack"), F.explode("g.sigs").alias("sig"))
     coarse = _rarest(flat.withColumn("own", F.lit(0)), "coarse")
     heavy = coarse.where(F.col("size") > FREQUENT).select("id", "band").distinct()
     fine = _rarest(_fine_signatures(docs, heavy, doc_id, text, words, similarity), "fine")
-    kept = cut(coarse.where(F.col("size") <= FREQUENT).select("sig", "id", "n", "own").unionByName(fine.select("sig", "id", "n", "own")), "jaccard-kept")
+    kept = cut(coarse.where(F.col("size") <= FREQUENT).select("sig", "id", "own").unionByName(fine.select("sig", "id", "own")), "jaccard-kept")
     pivots = kept.groupBy("sig").agg(F.min("id").alias("pivot"))
     one, two = (facts.select(*[F.col(c).alias(f"{p}_{c}") for c in ("id", "n", "sketch")]).withColumnRenamed(f"{p}_id", p) for p in "ab")
     first = kept.join(pivots, "sig").where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     first = cut(first.join(one, "a").join(two, "b").where(_near(similarity)).select("a", "b"), "jaccard-first")
     links = _verified(first, docs, doc_id, text, words, similarity)
     label = components(links)
-    now = kept.join(label, "id", "left").select("sig", "id", "n", "own", F.coalesce("label", "id").alias("label"))
+    now = kept.join(label, "id", "left").select("sig", "id", "own", F.coalesce("label", "id").alias("label"))
     mixed_groups = now.groupBy("sig").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high").select("sig")
-    now = now.join(mixed_groups, "sig", "left_semi").join(facts.select("id", "sketch"), "id")
+    now = now.join(mixed_groups, "sig", "left_semi").join(facts.select("id", "n", "sketch"), "id")
     now = cut(now, "jaccard-open")
     x, y = (now.select("sig", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "n", "own", "label", "sketch")]) for p in "ab")
     alone = f"a_own + b_own + abs((a_n - a_own) - (b_n - b_own)) <= {_may_differ(similarity)}"
