@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, mixing, quality, sharding, suffix_dedup, toxicity, url_filter
+from . import ann, decontaminate, jaccard, langid, mixing, quality, sharding, suffix_dedup, toxicity, url_filter
 from .common import documents, held_out
 
 #: (host, path, action) of the url filter's rules.
@@ -40,6 +40,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(documents(spark, sf_dir), words=4, similarity=(85, 100))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), langid.fit_text(documents(spark, sf_dir)))
 
@@ -61,7 +65,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op7_langid": op7_langid, "op8_suffix_dedup": op8_suffix_dedup, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
+    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op6_ann": op6_ann, "op7_langid": op7_langid, "op8_suffix_dedup": op8_suffix_dedup, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
 
 
 def oracle_sql() -> dict[str, str]:
