@@ -8,7 +8,9 @@ exactly the repeated windows. Digits are functions of the window's bytes, most s
    starts travels as one row (some 85 bytes of text a row).
 2. the bytes of a run's whole stretch. Equal runs are resolved at once, however many there are, and only one of them is looked
    at further.
-3. the window itself, for the runs under an anchor that more than one different run has.
+3. for the runs under an anchor that more than one different run has, in blocks of ``STEP`` starts by their distance from the anchor: the
+   bytes that all windows of a block have in common, then the bytes of the block's whole stretch, by the same rule.
+4. the window itself, for the blocks that share those common bytes and still differ (those next to an edit).
 
 Every pass groups by a hash in Spark (partial counts first, so that a passage in a third of all documents is one row a task), and
 joins the counts back.
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-LENGTH, GRAM = 200, 32
+LENGTH, GRAM, STEP = 200, 32, 16
 #: Starts that are looked at together; longer texts go in pieces that overlap by a window.
 PIECE = 1 << 20
 PLACE = np.uint64(PIECE * 2 - 1)
@@ -78,13 +80,14 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[: n - width + 1], left[width - 1 : n])
 
 
-def runs_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First start, number of starts and anchor hash of each run of window starts of a piece that share their anchor."""
+def runs_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First start, number of starts, anchor hash and anchor place of each run of window starts of a piece that share their anchor."""
     h = rolling(raw, GRAM)
     place = np.arange(len(h), dtype=np.uint64)
     least = sliding_minimum(h & ~PLACE | place, LENGTH - GRAM + 1)
     first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
-    return first, np.diff(np.append(first, len(least))), h[(least[first] & PLACE).astype(np.int64)]
+    at = (least[first] & PLACE).astype(np.int64)
+    return first, np.diff(np.append(first, len(least))), h[at], at
 
 
 def pieces(raw: bytes) -> Iterator[tuple[int, np.ndarray]]:
@@ -102,15 +105,16 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 
 def _runs(texts: DataFrame) -> DataFrame:
-    """id, t, start, n, anchor and stretch (hash of the bytes that the run's windows cover) of all runs; texts: id, t, text."""
+    """id, t, start, n, off (from the start to the anchor), anchor and stretch (hash of the bytes that the run's windows cover) of all runs; texts: id, t, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, raws in _texts(batches):
-            rows, starts, counts, anchors, stretches = [], [], [], [], []
+            rows, starts, counts, offs, anchors, stretches = [], [], [], [], [], []
             for row, raw in enumerate(raws):
                 view = memoryview(raw)
                 for at, a in pieces(raw):
-                    first, n, anchor = runs_of(a)
+                    first, n, anchor, place = runs_of(a)
+                    offs.append(place - first)
                     first += at
                     rows.append(np.full(len(first), row))
                     starts.append(first)
@@ -119,9 +123,37 @@ def _runs(texts: DataFrame) -> DataFrame:
                     stretches.append(np.fromiter((xxhash.xxh3_64_intdigest(view[s:t]) for s, t in zip(first.tolist(), (first + n + LENGTH - 1).tolist())), np.uint64, len(first)).view(np.int64))
             if rows:
                 at = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(np.concatenate(starts).astype(np.int32)), pa.array(np.concatenate(counts).astype(np.int32)), pa.array(np.concatenate(anchors)), pa.array(np.concatenate(stretches))], names=["id", "t", "start", "n", "anchor", "stretch"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(np.concatenate(starts).astype(np.int32)), pa.array(np.concatenate(counts).astype(np.int32)), pa.array(np.concatenate(offs).astype(np.int32)), pa.array(np.concatenate(anchors)), pa.array(np.concatenate(stretches))], names=["id", "t", "start", "n", "off", "anchor", "stretch"])
 
-    return texts.mapInArrow(run, "id long, t long, start int, n int, anchor long, stretch long")
+    return texts.mapInArrow(run, "id long, t long, start int, n int, off int, anchor long, stretch long")
+
+
+def _blocks(texts: DataFrame) -> DataFrame:
+    """id, t, start, n, anchor, core and stretch of the blocks of the runs wanted; texts: id, t, runs (start, n, off, anchor), text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, raws in _texts(batches):
+            rows, starts, counts, anchors, cores, stretches = [], [], [], [], [], []
+            for row, (runs, raw) in enumerate(zip(b.column(2).to_pylist(), raws)):
+                view = memoryview(raw)
+                for r in runs:
+                    anchor, start, stop = r["start"] + r["off"], r["start"], r["start"] + r["n"]
+                    for k in range((anchor - stop + 1) // STEP, (anchor - start) // STEP + 1):
+                        high = anchor - STEP * k  # the block's starts end here, at a full block
+                        low = max(start, high - STEP + 1)
+                        n = min(stop, high + 1) - low
+                        rows.append(row)
+                        starts.append(low)
+                        counts.append(n)
+                        anchors.append(r["anchor"])
+                        cores.append(xxhash.xxh3_64_intdigest(view[high : high - STEP + 1 + LENGTH], k))
+                        stretches.append(xxhash.xxh3_64_intdigest(view[low : low + n - 1 + LENGTH], (anchor - low) * STEP + n))
+            if rows:
+                at = pa.array(rows, pa.int64())
+                longs = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (cores, stretches)]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(starts, pa.int32()), pa.array(counts, pa.int32()), pa.array(anchors, pa.int64()), *longs], names=["id", "t", "start", "n", "anchor", "core", "stretch"])
+
+    return texts.mapInArrow(run, "id long, t long, start int, n int, anchor long, core long, stretch long")
 
 
 def _windows(texts: DataFrame) -> DataFrame:
@@ -147,31 +179,46 @@ def _windows(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "id long, t long, anchor long, start int, hashes array<long>")
 
 
+def _sort_pass(rows: DataFrame, keys: list[str], more: list[str], tag: str) -> tuple[DataFrame, DataFrame]:
+    """One pass over rows (id, t, start, n, stretch and ``more``) under equal ``keys``.
+
+    The spans of rows whose stretch repeats; and one row of each different stretch (c: how many have it) where a key has several.
+    """
+    equal = rows.groupBy(*keys, "stretch").agg(F.count("*").alias("c"), F.min(F.struct("id", "t", "start", "n", *more)).alias("one"))
+    several = equal.groupBy(*keys).agg(F.count("*").alias("_kinds")).where("_kinds > 1").select(*keys)
+    kinds = cut(equal.join(several, keys, "left_semi"), f"suffix-{tag}-kinds")
+    many = cut(equal.where("c > 1").select(*keys, "stretch"), f"suffix-{tag}-many")
+    whole = rows.join(many, [*keys, "stretch"], "left_semi").select("id", "t", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
+    return whole, kinds
+
+
+def _wanted(texts: DataFrame, kinds: DataFrame, fields: list[str]) -> DataFrame:
+    """The texts of ``kinds`` with what is wanted of them: id, t, runs, text."""
+    runs = F.struct(*[F.col(f"one.{c}").alias(c) for c in fields if c != "anchor"], "anchor")
+    return texts.join(kinds.groupBy("one.id", "one.t").agg(F.collect_list(runs).alias("runs")), ["id", "t"]).select("id", "t", "runs", "text")  # one text's runs
+
+
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """id, t and spans (start, end) covered by repeated windows, sorted by start but not merged, of texts with any; texts: id, t, text."""
     runs = cut(_runs(texts.where(F.octet_length("text") >= LENGTH)), "suffix-runs")
-    # an anchor matters if several runs have it; windows need a look only if those runs differ
-    equal = runs.groupBy("anchor", "stretch").agg(F.count("*").alias("c"), F.min(F.struct("id", "t", "start", "n")).alias("one"))
-    several = equal.groupBy("anchor").agg(F.sum("c").alias("_runs"), F.count("*").alias("_kinds"))
-    kinds = cut(equal.join(several.where("_runs > 1"), "anchor"), "suffix-kinds")
-    whole = runs.join(kinds.where("c > 1").select("anchor", "stretch"), ["anchor", "stretch"], "left_semi").select("id", "t", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
-    look = kinds.where("_kinds > 1").select("one.id", "one.t", F.struct("one.start", "one.n", "anchor").alias("r"))
-    wanted = look.groupBy("id", "t").agg(F.collect_list("r").alias("runs"))  # one text's runs
-    windows = _windows(texts.join(wanted, ["id", "t"]).select("id", "t", "runs", "text")).withColumn("row", F.monotonically_increasing_id())
+    whole, kinds = _sort_pass(runs, ["anchor"], ["off"], "run")
+    blocks = cut(_blocks(_wanted(texts, kinds, ["start", "n", "off", "anchor"])), "suffix-blocks")
+    some, kinds = _sort_pass(blocks, ["anchor", "core"], [], "block")
+    windows = _windows(_wanted(texts, kinds, ["start", "n", "anchor"])).withColumn("row", F.monotonically_increasing_id())
     windows = cut(windows, "suffix-windows")
-    # a window that several different runs have, or one run twice, is repeated
+    # a window that several different blocks have is repeated; one block of each kind is here
     flat = windows.select("anchor", F.explode("hashes").alias("h"))
     again = cut(flat.groupBy("anchor", "h").agg(F.count("*").alias("w")).where("w > 1").select("anchor", "h"), "suffix-again")
-    single = kinds.where("c = 1 AND _kinds > 1").select("one.id", "one.t", "one.start")
+    single = kinds.where("c = 1").select("one.id", "one.t", "one.start")
     lone = cut(windows.join(single, ["id", "t", "start"], "left_semi"), "suffix-lone")
     found = lone.select("row", "anchor", F.posexplode("hashes").alias("at", "h")).join(again, ["anchor", "h"], "left_semi")
-    found = found.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("at"))  # one run's starts
+    found = found.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("at"))  # one block's starts
     found = found.join(lone.select("row", "id", "t", F.col("start").alias("run")), "row")
     firsts = "filter(transform(at, (x, i) -> if(i = 0 OR x - at[i - 1] > 1, x, NULL)), x -> x IS NOT NULL)"
     lasts = "filter(transform(at, (x, i) -> if(i = size(at) - 1 OR at[i + 1] - x > 1, x, NULL)), x -> x IS NOT NULL)"
     parts = found.select("id", "t", "run", F.explode(F.expr(f"zip_with({firsts}, {lasts}, (a, b) -> struct(a, b))")).alias("p"))
     parts = parts.select("id", "t", (F.col("run") + F.col("p.a")).cast("int").alias("start"), (F.col("run") + F.col("p.b") + LENGTH).cast("int").alias("end"))
-    return whole.unionByName(parts).groupBy("id", "t").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))  # one text's spans
+    return whole.unionByName(some).unionByName(parts).groupBy("id", "t").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))  # one text's spans
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
