@@ -30,7 +30,7 @@ Q, EDIT_RATE, SHORTEST = 10, 0.08, 24
 WINDOW, STEP = 160, 80
 BLOCK_BYTES = 4_000_000
 #: Documents whose texts are searched together.
-ROWS, BYTES = 2000, 4_000_000
+ROWS, BYTES = 500, 1_000_000
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32

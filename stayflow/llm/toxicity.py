@@ -35,7 +35,7 @@ SEGMENT, PASSES = 64, 40
 #: Toxic documents, and different neighbourhoods in them, that a telling feature must occur in.
 LEAST = 8
 #: Words whose emission a task remembers.
-CACHE = 400_000
+CACHE = 150_000
 
 
 def features_of(word: str) -> set[str]:
