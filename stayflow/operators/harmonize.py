@@ -120,6 +120,33 @@ def harmonize_dynamic(raw: DataFrame, hospital: str | Column, mapping: Mapping[s
     return raw.select(*[out[c].alias(c) for c in fixed.dynamic_columns()])
 
 
+def harmonize_dynamic_long(raw: DataFrame, hospital: str | Column, mapping: Mapping[str, Sequence[str]] | None = None, laboratory_site: str = fixed.LABORATORY_SITE, cleaned: bool = False) -> DataFrame:
+    """The time series in long form: hospital_id, stay ids, time_us, row_ord, variable, value of every text that is a number.
+
+    raw has a column row_ord. The texts are turned to rows first, so the parsers are one expression however many variables there are.
+    cleaned: the texts are under canonical names and trimmed already.
+    """
+    mapping = mapping or fixed.raw_columns("dynamic")
+    site = F.lit(hospital) if isinstance(hospital, str) else hospital
+    variables = [c for c in fixed.dynamic_columns() if c not in fixed.TEXT_COLUMNS and present(raw, mapping.get(c, []))]
+    text = F.filter(F.array(*[F.struct(F.lit(v).alias("variable"), (F.col(v) if cleaned else merged(raw, mapping[v])).alias("text")) for v in variables]), lambda x: x["text"].isNotNull())
+    rows = dynamic_rows(raw, site, mapping, text.alias("_texts"))
+    long = rows.select("hospital_id", "stay_id_global", "stay_id_local", "time_us", "row_ord", F.explode("_texts").alias("x")).select("*", "x.variable", "x.text").drop("x")
+    return long.withColumn("value", numeric_value(F.col("text"), F.col("variable"), F.col("hospital_id"), laboratory_site)).drop("text").where("value IS NOT NULL")
+
+
+def dynamic_rows(raw: DataFrame, hospital: Column, mapping: Mapping[str, Sequence[str]], *more: Column) -> DataFrame:
+    """hospital_id, stay ids, time_us and row_ord of every raw row."""
+    ids = raw.select(hospital.alias("hospital_id"), merged(raw, mapping.get("stay_id_local", [])).alias("_id"), merged(raw, mapping.get("time", [])).alias("_time"), "row_ord", *more)
+    out = ids.withColumn("stay_id_local", X.local_stay_id("_id")).withColumn("time_us", X.time_us("_time")).drop("_id", "_time")
+    return out.withColumn("stay_id_global", X.global_stay_id("hospital_id", "stay_id_local"))
+
+
+def to_wide(long: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """One row a source row with a column for each variable."""
+    return long.groupBy("hospital_id", "stay_id_global", "stay_id_local", "time_us", "row_ord").agg(*[F.max(F.when(F.col("variable") == v, F.col("value"))).alias(v) for v in variables])
+
+
 def source_map(columns: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataFrame:
     """Lineage: the raw columns that each hospital (hospital_id, column) offers for each canonical one, in alias order."""
     rows = [(name, raw, i) for name, raws in mapping.items() for i, raw in enumerate(raws)]

@@ -1,4 +1,7 @@
-"""The layers from raw exports to a model-ready table, each a dictionary of lazy DataFrames."""
+"""The layers from raw exports to a model-ready table, each a dictionary of DataFrames.
+
+What many tables of a layer are made from (raw text, static, long dynamic) is written once to the shared folder; the rest is lazy.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import expressions as X
 from ..operators import blocks, cohort, harmonize, identity, instances, quality, ventilation
 from ..sources import raw
+from ..sources.layers import stage
 from . import fixed
 
 
@@ -19,17 +22,16 @@ def identity_mapping(section: str) -> dict[str, list[str]]:
 
 def harmonized(spark: SparkSession, root: str, min_non_null: int = 20, min_hospitals: int = 4, fence: float = 1.5, check: bool = True) -> dict[str, DataFrame]:
     """Raw exports to canonical static and dynamic tables (wide and long) with their reports; checks the stays' ids."""
-    text_static, text_dynamic = raw.load_all(spark, root, "static"), raw.load_all(spark, root, "dynamic")
+    text_static, text_dynamic = (stage(raw.load_all(spark, root, kind), f"raw-{kind}") for kind in ("static", "dynamic"))
     site = F.col("hospital_id")
-    static = harmonize.harmonize_static(text_static, site, identity_mapping("static"))
-    wide = harmonize.harmonize_dynamic(text_dynamic, site, identity_mapping("dynamic")).withColumn("row_ord", F.monotonically_increasing_id())
+    static = stage(harmonize.harmonize_static(text_static, site, identity_mapping("static")), "static")
     variables = [c for c in fixed.dynamic_columns() if c not in fixed.TEXT_COLUMNS]
-    long = harmonize.to_long(wide, variables, X.time_us("time"), F.col("row_ord"))
+    rows = stage(harmonize.dynamic_rows(text_dynamic, site, identity_mapping("dynamic")), "dynamic-rows")
+    long = stage(harmonize.harmonize_dynamic_long(text_dynamic, site, identity_mapping("dynamic"), cleaned=True), "dynamic-long")
     actions = spark.createDataFrame(fixed.SEMANTIC_ACTIONS, "hospital_id string, variable string, action string, factor double")
     rules = quality.rules_table(spark, fixed.INVALID_VALUE_RULES)
     acted = quality.apply_actions(long, actions)
-    clean = quality.clean_invalid(acted, rules).where("value IS NOT NULL")
-    rows = wide.select("hospital_id", "stay_id_global", "stay_id_local", X.time_us("time").alias("time_us"), "row_ord")
+    clean = stage(quality.clean_invalid(acted, rules).where("value IS NOT NULL"), "dynamic")
     if check:
         identity.check_stay_ids(static, rows)
         ventilation.check_identity(static)
@@ -38,7 +40,7 @@ def harmonized(spark: SparkSession, root: str, min_non_null: int = 20, min_hospi
     stays = ventilation.stay_qc(static, times, found)
     summary = quality.distribution_summary(clean, min_non_null)
     return {
-        "static": static, "dynamic_wide": wide, "dynamic": clean,
+        "static": static, "dynamic": clean, "dynamic_wide": harmonize.to_wide(clean, variables),
         "unexpected_categories": harmonize.unexpected_categories(text_static, site, identity_mapping("static")),
         "categorical_values": blocks.value_counts(static, ["sex", "bmi_group", "hosp_mortality", "icu_mortality"]),
         "schema_summary": quality.schema_summary(clean, static, variables),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,18 @@ HARMONIZED = {"static": ["static", "source_map", "categorical_values", "unexpect
 MODEL_INPUTS = ["stay_level", "stay_block_counts", "block_index", "blocked_features", "dynamic"]
 
 
+def stage(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the folder that all executors share (spark.checkpoint.dir) and read back: what many reports read is made once."""
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="stayflow-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    path = f"{root}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def flat(df: DataFrame) -> DataFrame:
     """Arrays, maps and structs as JSON text (arrays sorted where they can be), for formats without nesting."""
     out = []

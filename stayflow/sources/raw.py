@@ -79,7 +79,7 @@ def fill_ids(df: DataFrame, ids: Column, allow_conflicts: bool) -> DataFrame:
 
 def headers(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     """The files of each different first line. The driver holds file names, one header's at a time in use."""
-    lines = spark.read.option("wholetext", True).text(folder).select(F.substring_index("value", "\n", 1).alias("h"), F.col("_metadata.file_path").alias("f"))
+    lines = spark.read.text(folder, wholetext=True).select(F.substring_index("value", "\n", 1).alias("h"), F.col("_metadata.file_path").alias("f"))
     out: dict[str, list[str]] = {}
     for r in lines.select(F.regexp_replace("h", "\r$", "").alias("h"), "f").orderBy("f").toLocalIterator():
         out.setdefault(r["h"], []).append(r["f"])
