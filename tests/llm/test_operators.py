@@ -1,0 +1,377 @@
+"""The training-data operators against plain versions and on edge cases."""
+
+import random
+import string
+
+import brute
+import numpy as np
+import pytest
+from compare import connect, rows, same
+from pyspark.sql import functions as F
+
+from stayflow.llm import ann, components, decontaminate, jaccard, langid, mixing, quality, queries, sharding, suffix_dedup, toxicity, url_filter
+from stayflow.llm.common import held_out
+
+FOLDER = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_bytes string, _row int"
+
+
+def prose(rng, n):
+    return " ".join("".join(rng.choice(string.ascii_lowercase[:6]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+
+def edge_documents():
+    """Copies, near copies, shared passages, repeated lines, empty and null values, repeated rows, names that clash."""
+    rng = random.Random(4)
+    base = [prose(rng, rng.randint(5, 120)) for _ in range(12)]
+    texts = [*base, base[0], base[0], base[1] + " x", "y " + base[2], base[3][: len(base[3]) // 2] + " q " + base[3][len(base[3]) // 2 :]]
+    shared = prose(rng, 70)
+    texts += [prose(rng, 20) + " " + shared + " " + prose(rng, 10) for _ in range(3)]
+    texts += [None, "", "   ", "one", "one two three", "é" * 150 + " ü " + "é" * 150, "ab" * 400, (prose(rng, 60) + "\n") * 4, prose(rng, 3000)]
+    out = [(i, t, "en" if i % 3 else None, ["b", "a", None, "é"][i % 4], None if t is None else len(t), "clash", i) for i, t in enumerate(texts)]
+    return [*out, out[5]]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(edge_documents(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+# mixing
+
+
+def test_targets_are_reshared():
+    assert mixing.reshare([100, 100, 100], [3, 1, 2], 450, 2) == [200.0, pytest.approx(250 / 3), pytest.approx(500 / 3)]
+    assert mixing.reshare([0, 10], [3, 1], 15, 2) == [0.0, 15.0]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_knapsack_is_as_near_as_any_choice(seed):
+    rng = random.Random(seed)
+    lengths = np.array(sorted(rng.sample(range(0, 30), 4)))
+    counts = np.array([rng.randint(0, 3) for _ in lengths])
+    budget = rng.randint(0, int((lengths * counts).sum()) + 3)
+    sums = {0}
+    for x, n in zip(lengths, counts):
+        sums = {s + k * int(x) for s in sums for k in range(n + 1)}
+    take = mixing.fit_budget(lengths, counts, budget)
+    assert (take <= counts).all() and abs(int((take * lengths).sum()) - budget) == min(abs(s - budget) for s in sums)
+
+
+def test_mix_of_all_documents(spark, docs, empty):
+    found = mixing.mix_sources(docs).collect()
+    assert rows((r["doc_id"], r["size"]) for r in found) == rows((r[0], brute.words(r[1])) for r in edge_documents())
+    order = ["a", "b", "é", None]
+    size = {s: sum(brute.words(r[1]) for r in edge_documents() if r[3] == s) for s in order}
+    target = dict(zip(order, mixing.reshare([size[s] for s in order], [3, 1, 2, 3], 1.5 * sum(size.values()), 2)))
+    for s in order:
+        mine = [r for r in found if r["source"] == s]
+        assert all(r["source_size"] == size[s] and r["target"] == pytest.approx(target[s]) and r["taken"] <= 2 * r["size"] for r in mine)
+        assert abs(sum(r["taken"] for r in mine) - target[s]) <= 40
+    assert rows(map(tuple, found)) == rows(map(tuple, mixing.mix_sources(docs).collect()))
+    assert mixing.mix_sources(empty).count() == 0
+
+
+def test_taken_rows_keep_their_columns(docs):
+    taken = mixing.take_mix(docs)
+    assert taken.columns == docs.columns
+    assert taken.count() == mixing.mix_sources(docs).agg(F.sum("copies")).first()[0]
+
+
+# sharding
+
+
+def test_shards_fit_and_only_large_buckets_split(spark, docs, empty):
+    many = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000))
+    found = sharding.assign_shards(many, 3000, keep=many.columns).collect()
+    assert len(found) == many.count()
+    shards = {}
+    for r in found:
+        shards.setdefault(r["shard_id"], []).append(r)
+    for name, own in shards.items():
+        assert sum(r["n_bytes"] for r in own) == own[0]["shard_bytes"] and (own[0]["shard_bytes"] <= 3000 or len(own) == 1)
+        assert all(a == name or not a.startswith(name) for a in shards)
+        if name and "." not in name:
+            inside = sum(r["n_bytes"] for r in found if r["shard_id"].startswith(name[:-1]))
+            assert inside > 3000
+    assert sharding.assign_shards(empty, 100).count() == 0
+
+
+def test_equal_ids_are_dealt_into_parts(spark):
+    same_id = spark.createDataFrame([(7, "x" * 60)] * 9 + [(None, "y" * 90)] * 2, "doc_id long, text string")
+    found = sharding.assign_shards(same_id, 100).collect()
+    assert len(found) == 11 and all(r["shard_bytes"] <= 100 for r in found)
+
+
+# decontamination
+
+
+def edit_distance_inside(item, text):
+    before = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        now = [i]
+        for j, y in enumerate(text, 1):
+            now.append(min(before[j - 1] + (x != y), before[j] + 1, now[-1] + 1))
+        before = now
+    return min(before)
+
+
+def test_banded_alignment_equals_full_alignment():
+    rng = random.Random(1)
+    for _ in range(300):
+        item = [rng.choice(b"abc") for _ in range(rng.randint(5, 25))]
+        text = [rng.choice(b"abc") for _ in range(rng.randint(0, 5))] + [c for c in item if rng.random() > 0.1] + [rng.choice(b"abc") for _ in range(rng.randint(0, 6))]
+        most = rng.randint(0, 4)
+        want, got = edit_distance_inside(item, text), decontaminate.align(np.array(item, np.uint8), np.array(text, np.uint8), most)
+        assert (got[0] if got else None) == (want if want <= most else None)
+
+
+def test_contamination_equals_brute_force(spark, docs, empty):
+    rng = random.Random(9)
+    items = [prose(rng, 12), prose(rng, 30), prose(rng, 90), "short", None, ""]
+    edited = items[1].replace(" a", " A,", 1)[:-1] + "zz"
+    texts = [prose(rng, 30) + items[0].upper() + prose(rng, 5), edited, "x " + items[2][100:320] + " y", prose(rng, 200), items[1][:30], None, "", items[0] + "\n" + items[1]]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = set()
+    for i, t in enumerate(texts):
+        text = decontaminate.compared((t or "").encode())
+        index = decontaminate.build_index([(k, x) for k, x in enumerate(items)])
+        for w, k in zip(index.texts, index.items):
+            if edit_distance_inside(list(w), list(text)) <= decontaminate.edits_for(len(w)):
+                want.add((i, k))
+    found = decontaminate.find_contamination(d, b).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want and {(0, 0), (1, 1), (2, 2), (7, 0), (7, 1)} <= want
+    first = next(r for r in found if r["doc_id"] == 0)
+    assert texts[0].encode()[first["start_byte"] : first["end_byte"]].decode() == items[0].upper()
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(d, b).collect()) == [3, 4, 5, 6]
+    assert decontaminate.find_contamination(empty, b).count() == 0 and decontaminate.find_contamination(d, b.limit(0)).count() == 0
+    assert decontaminate.drop_contaminated(docs, b).columns == docs.columns
+
+
+# Jaccard join
+
+
+@pytest.mark.parametrize("words, top", [(4, 85), (5, 80)])
+def test_components_equal_brute_force(spark, docs, words, top):
+    texts = {r[0]: r[1] for r in edge_documents()}
+    rng = random.Random(2)
+    seed = prose(rng, 160).split()
+    for i in range(60):  # near copies of all degrees, enough to make signatures frequent
+        copy = list(seed)
+        for _ in range(i % 9):
+            copy[rng.randrange(len(copy))] = f"w{rng.randrange(5)}"
+        texts[1000 + i] = " ".join(copy)
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute.components(texts, words, top, 100)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join_components(d, words, (top, 100)).collect()}
+    assert got == want
+    kept = jaccard.drop_near_duplicates(d, words, (top, 100)).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(i for i, (_, c) in want.items() if i == c)
+
+
+def test_jaccard_edges(spark, docs, empty):
+    assert jaccard.join_components(empty).count() == 0
+    nulls = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f")], "doc_id long, text string")
+    assert rows(map(tuple, jaccard.join_components(nulls).collect())) == rows([(None, 2, None), (3, 2, 3), (3, 2, 3)])
+    assert rows((r["doc_id"],) for r in jaccard.drop_near_duplicates(nulls).collect()) == rows([(None,), (3,)])
+    assert jaccard.drop_near_duplicates(docs).columns == docs.columns
+
+
+def test_long_chains_are_one_component(spark):
+    links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).unionByName(spark.createDataFrame([(900, 901)], "a long, b long"))
+    assert {r["label"] for r in components.components(links).collect()} == {0, 900}
+
+
+# nearest neighbours
+
+
+def test_hilbert_keys_are_a_path():
+    cells = np.array([(x, y) for x in range(32) for y in range(32)])
+    keys = ann.hilbert_key(cells[:, 0], cells[:, 1], 5)
+    assert sorted(keys) == list(range(1024)) and np.abs(np.diff(cells[np.argsort(keys)], axis=0)).sum(1).max() == 1
+
+
+def test_search_with_copies_and_broken_vectors(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(150, 6)).astype(np.float32)
+    x[20:80] = x[0]
+    data = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    broken = [(500, None), (520, [0.0] * 6), (540, [float("nan")] + [1.0] * 5), (560, [None] + [1.0] * 5), (580, [1.0]), (None, [1.0] * 6), data[3]]
+    t = spark.createDataFrame(data + broken, "vec_id long, embedding array<float>")
+    got = ann.search(t, F.col("vec_id") % 20 == 0, k=20).collect()
+    s = x.astype(float) @ x.astype(float).T
+    for q in range(0, 150, 20):
+        order = sorted((i for i in range(150) if i != q), key=lambda i: (-round(s[q, i], 9), i))[:20]
+        own = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
+        assert [r["vec_id"] for r in own] == order and np.allclose([r["score"] for r in own], s[q, order])
+    assert {r["query_id"] for r in got} == set(range(0, 150, 20))
+    assert ann.search(t.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_recall_on_the_test_table(spark):
+    folder = "/root/testdata/sf0.1"
+    t = spark.read.parquet(f"{folder}/embeddings.parquet")
+    got = {}
+    for r in queries.op6_ann(spark, folder).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    e = sorted((r["vec_id"], r["embedding"]) for r in t.collect())
+    x = np.array([v for _, v in e], float)
+    hit = [len(got[q] & {e[i][0] for i in np.argsort(np.where(np.arange(len(e)) == k, 9, -x @ x[k]))[:20]}) for k, (q, _) in enumerate(e) if q % 20 == 0]
+    assert np.mean(hit) / 20 >= 0.9
+
+
+# repeated bytes
+
+
+def test_removed_bytes_equal_brute_force(spark, docs, empty):
+    d = [(r[0], r[1]) for r in edge_documents()]
+    d.append((None, d[9][1]))
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(d, "doc_id long, text string"))
+    assert rows(tuple(r)[:5] for r in found.collect()) == rows(brute.repeats(d))
+    assert suffix_dedup.remove_repeats(empty).count() == 0
+
+
+def test_pieces_of_long_texts(monkeypatch):
+    raw = np.frombuffer((prose(random.Random(3), 900)).encode(), np.uint8)
+    first, n, anchor, place = suffix_dedup.runs_of(raw)
+    assert n.sum() == len(raw) - 199 and (np.diff(first) == n[:-1]).all() and ((place >= first + n - 1) & (place <= first + 168)).all()
+    assert [len(a) for _, a in suffix_dedup.pieces(b"x" * (suffix_dedup.PIECE + 300))] == [suffix_dedup.PIECE + 199, 300]
+
+
+# classifiers
+
+
+def labelled(spark, name):
+    return spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet")
+
+
+def test_toxicity_on_held_out_documents(spark):
+    found = queries.op9_toxicity(spark, "/root/testdata/sf0.1").join(labelled(spark, "labels"), "doc_id").where("held_out").collect()
+    right = sum(r["predicted"] == r["toxic"] for r in found) / len(found)
+    assert right >= 0.95 and all(0 <= r["score"] <= 1 for r in found)
+
+
+def test_quality_on_held_out_documents(spark):
+    found = queries.op4_quality(spark, "/root/testdata/sf0.1").join(labelled(spark, "labels"), "doc_id").where("held_out").collect()
+    assert sum(r["predicted"] == r["quality"] for r in found) / len(found) >= 0.95
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(2)
+    tr = rng.normal(size=(2, 2))
+    sequences = [rng.normal(size=n) for n in (1, 4, 6, 0)]
+    for e, p in zip(sequences, toxicity.marginals(sequences, tr)):
+        total, on = 0.0, np.zeros(len(e))
+        for code in range(2 ** len(e)):
+            tags = [code >> i & 1 for i in range(len(e))]
+            w = np.exp(sum(x for x, t in zip(e, tags) if t) + sum(tr[a, b] for a, b in zip(tags, tags[1:])))
+            total += w
+            on += w * np.array(tags)
+        assert np.allclose(p, on / total)
+
+
+def test_toxic_spans_and_edges(spark, docs, empty):
+    rng = random.Random(5)
+    train = [(i, prose(rng, 40) + (f" vilest {prose(rng, 3)} vilest" if i % 2 else "")) for i in range(120)]
+    model = toxicity.fit([(i % 2, t) for i, t in train], {0: 60, 1: 60})
+    d = spark.createDataFrame([(1, "aa Vilest, bb vilest"), (2, "aa bb"), (3, None), (4, "")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.score_documents(d, model).collect()}
+    assert got[1]["score"] > 0.5 > got[2]["score"] and got[3]["score"] == got[4]["score"]
+    assert [(s["start"], s["end"]) for s in got[1]["spans"]] == [(3, 9), (14, 20)]
+    assert toxicity.score_documents(empty, model).count() == 0
+    assert toxicity.drop_toxic(docs, model, 0.3).columns == docs.columns
+    assert sorted(r["doc_id"] for r in toxicity.drop_toxic(d, model, 0.5).collect()) == [2, 3, 4]
+    none = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"), ~held_out("doc_id", 4, 2))
+    assert {r["score"] for r in toxicity.score_documents(docs, none).collect()} == {0.0}
+
+
+def test_factorisation_equals_all_pairs(spark, docs, empty):
+    rng = np.random.default_rng(3)
+    at, x = np.array([3, 7, 11]), np.array([0.5, -1.0, 2.0])
+    m = quality.Model(0.3, rng.normal(size=20), rng.normal(size=(20, 4)))
+    z = 0.3 + m.w[at] @ x + sum(m.v[at[i]] @ m.v[at[j]] * x[i] * x[j] for i in range(3) for j in range(i))
+    assert m.score(at, x) == pytest.approx(1 / (1 + np.exp(-z)))
+    none = quality.train(docs, spark.createDataFrame([], "doc_id long, quality int"), ~held_out("doc_id", 3, 1), metadata=["n_chars"])
+    assert {r["score"] for r in quality.score_documents(docs, none, metadata=["n_chars"]).collect()} == {0.5}
+    fitted = quality.fit([(i % 2, "word " * (5 + i) if i % 2 else "### " * (5 + i), 5.0) for i in range(40)], {0: 20, 1: 20})
+    got = quality.score_documents(docs, fitted, metadata=["n_chars"])
+    assert got.count() == docs.count() and all(0 <= r["score"] <= 1 for r in got.collect()) and quality.score_documents(empty, fitted, metadata=["n_chars"]).count() == 0
+
+
+# language
+
+
+def test_language_of_pages(spark):
+    folder = "/root/testdata/sf0.01"
+    found = queries.op7_langid(spark, folder).join(labelled_pages(spark, folder), "page_id").collect()
+    assert len(found) == 250 and sum(r["lang"] == r["path_lang"] for r in found) >= 0.95 * len(found)
+
+
+def labelled_pages(spark, folder):
+    return spark.read.parquet(f"{folder}/pages.parquet").select("page_id", F.regexp_extract("url", r"://[^/]*/(\w\w)/", 1).alias("path_lang"))
+
+
+def test_language_evidence_and_edges(spark):
+    texts = [(i, "the cat and the dog " * 5 if i % 2 else "der hund und die katze " * 5, "en" if i % 2 else "de") for i in range(20)]
+    model = langid.fit_text(spark.createDataFrame(texts, "doc_id long, text string, lang string"))
+    pages = [(i, "http://a.b.de/x", "<html lang=de><body>der hund und die katze</body></html>") for i in range(8)] + [(10, "http://a.b.de/y", ""), (11, None, None), (12, "http://q.com/", "<html lang='en'><p>the cat and the dog</p>"), (12, "http://q.com/", "<html lang='en'><p>the cat and the dog</p>")]
+    p = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in langid.identify(p, model).collect()}
+    assert len(got) == 11 and got[10]["lang"] == "de" and got[12]["lang"] == "en" and 0 < got[11]["confidence"] <= 1 and got[11]["host"] == ""
+    assert langid.identify(p.limit(0), model).count() == 0
+    assert langid.identify(p, langid.TextModel([], np.zeros((1, 1)))).where("lang IS NULL").count() == len(pages)
+    assert langid.declared_language("<HTML class=x LANG='FR-ca'>") == "fr" and langid.visible_text("<script>a</script>b&amp;<!-- c -->") .split() == ["b&"]
+
+
+# urls
+
+
+def test_urls_by_both_ways_and_edges(spark):
+    urls = ["http://WWW.Example.com/en/1", "https://x.example.com/en/2?q", "http://com/", "a.com/x", None, "", "http://", "http://n.net/es/", "http://n.net/ES/", "ftp://net/fr", "http://net/fr/#x", "http://examplexcom/en/", "http://a.com?x://b.net/es/"]
+    p = spark.createDataFrame([*enumerate(urls), (None, urls[0])], "page_id long, url string")
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, action string")
+    got = url_filter.match_urls(p, rules).collect()
+    by = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got}
+    assert by[0] == ("www.example.com", "/en/1", "www.example.com/en/", "allow") and by[1] == ("x.example.com", "/en/2", "example.com/en/", "block")
+    assert by[3] == ("", "", None, "allow") and by[4] == ("", "", None, "allow") and by[7][2:] == ("net/es/", "block") and by[8][2:] == (None, "allow")
+    assert by[12] == ("a.com", "", None, "allow") and by[11] == ("examplexcom", "/en/", None, "allow")
+    assert rows(map(tuple, got)) == rows(map(tuple, url_filter.match_urls(p, rules, max_rules=2).collect()))
+    assert url_filter.match_urls(p.limit(0), rules).count() == 0 and url_filter.match_urls(p, rules.limit(0), default="block").where("verdict = 'block'").count() == len(urls) + 1
+
+
+def test_equal_digests_are_told_apart_by_their_strings(tmp_path):
+    index = url_filter.Index(np.array([url_filter.xxhash.xxh64_intdigest("a", url_filter.SEED)] * 2, np.uint64), np.array([0, 1, 2], np.uint64), np.zeros(2, np.uint8), np.frombuffer(b"ba", np.uint8), [1])
+    assert index.find(["a", "b"]).tolist() == [1, -1]
+
+
+# registry and pipeline
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_its_sql(spark, name):
+    same(queries.queries()[name](spark, FOLDER), connect(FOLDER), queries.oracle_sql()[name])
+
+
+def test_pipeline_equals_its_stages_done_plainly(spark):
+    import corpus_pipeline as P
+
+    folder = FOLDER
+    result = P.run(spark, folder).collect()
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    clean = {r["doc_id"]: r["text"] for r in P.drop_toxic(spark, docs, folder).collect()}
+    scores = {r["doc_id"]: r["predicted"] for r in queries.op9_toxicity(spark, folder).collect()}
+    assert set(clean) == {i for i, p in scores.items() if not p}
+    unique = {i: clean[i] for i, (_, c) in brute.components(clean, 5, 80, 100).items() if i == c}
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    ids = sorted(unique)
+    bad = {ids[h[0]] for h in decontaminate.search(decontaminate.build_index(items), [unique[i].encode() for i in ids])}
+    left = spark.createDataFrame([(i, unique[i], "x") for i in ids if i not in bad], "doc_id long, text string, source string").drop("source").join(docs.select("doc_id", "source"), "doc_id")
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix_sources(left).collect() if r["copies"]}
+    assert rows((r["doc_id"],) for r in result) == rows((i,) for i, n in copies.items() for _ in range(n))
+    assert set(docs.columns) < set(result[0].asDict()) and {name for name, _ in P.STAGES} == {"toxicity", "near_duplicates", "decontamination", "mixing", "sharding"}
