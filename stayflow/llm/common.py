@@ -38,7 +38,16 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame that ``cut`` returned, once everything made from it has been written."""
+    jvm = df.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.cut_path)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small_enough
+from .common import cut, discard, small_enough
 from .components import components
 
 WORDS, SIMILARITY = 5, (80, 100)
@@ -204,12 +204,16 @@ def _verified(near: DataFrame, docs: DataFrame, doc_id: str, text: str, n: int,
 def join_components(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by links) of each row."""
     docs = docs.select(doc_id, text)
-    rows = cut(describe(docs, doc_id, text, words, similarity), "jaccard-rows")
+    described = cut(describe(docs, doc_id, text, words, similarity), "jaccard-described")
+    rows = cut(described.select("id", "n", "f1", "f2"), "jaccard-rows")
     classes = cut(rows.where("n > 0 AND id IS NOT NULL").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "jaccard-classes")
-    facts = rows.where("n > 0").join(classes.select(F.col("rep").alias("id"), "n", "f1", "f2"), ["id", "n", "f1", "f2"], "left_semi")
-    facts = cut(facts.dropDuplicates(["id", "n", "f1", "f2"]), "jaccard-facts")
-    flat = facts.select("id", F.explode("groups").alias("g")).select("id", F.col("g.band").alias("band"), F.col("g.slack").alias("slack"), F.explode("g.sigs").alias("sig"))
+    chosen = described.where("n > 0").join(classes.select(F.col("rep").alias("id"), "n", "f1", "f2"), ["id", "n", "f1", "f2"], "left_semi")
+    chosen = cut(chosen.dropDuplicates(["id", "n", "f1", "f2"]), "jaccard-chosen")
+    discard(described)
+    facts = cut(chosen.select("id", "n", "sketch"), "jaccard-facts")
+    flat = chosen.select("id", F.explode("groups").alias("g")).select("id", F.col("g.band").alias("band"), F.col("g.slack").alias("slack"), F.explode("g.sigs").alias("sig"))
     coarse = _rarest(flat.withColumn("own", F.lit(0)), "coarse")
+    discard(chosen)
     heavy = coarse.where(F.col("size") > FREQUENT).select("id", "band").distinct()
     fine = _rarest(_fine_signatures(docs, heavy, doc_id, text, words, similarity), "fine")
     kept = cut(coarse.where(F.col("size") <= FREQUENT).select("sig", "id", "own").unionByName(fine.select("sig", "id", "own")), "jaccard-kept")
