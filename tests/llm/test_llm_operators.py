@@ -72,7 +72,7 @@ def test_mix_of_all_documents(spark, docs, empty):
     for s in order:
         mine = [r for r in found if r["source"] == s]
         assert all(r["source_size"] == size[s] and r["target"] == pytest.approx(target[s]) and r["taken"] <= 2 * r["size"] for r in mine)
-        assert abs(sum(r["taken"] for r in mine) - target[s]) <= 40
+        assert abs(sum(r["taken"] for r in mine) - target[s]) <= max(r["size"] for r in mine) / 2  # no subset is nearer than this allows
     assert rows(map(tuple, found)) == rows(map(tuple, mixing.mix_sources(docs).collect()))
     assert mixing.mix_sources(empty).count() == 0
 
