@@ -50,6 +50,20 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+#: Rows and bytes of an Arrow batch of texts at most; a batch of long documents would otherwise outgrow a worker.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 500, "spark.sql.execution.arrow.maxBytesPerBatch": 4 * 2**20}
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches no larger than BATCH."""
+    conf = df.sparkSession.conf
+    for key, most in BATCH.items():
+        now = conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            conf.set(key, most)
+    return df
+
+
 def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``rows`` rows (counted), else as it is. Call it on a cut frame."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 Q, EDIT_RATE, SHORTEST = 10, 0.08, 24
 #: Compared bytes of a window, and the step from one to the next.
 WINDOW, STEP = 160, 80
@@ -223,7 +225,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
                 ids = b.column(0).take(pa.array([h[0] for h in hits], pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array([h[k] for h in hits], t) for k, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.int32()), (4, pa.int32()))]], names=names)
 
-        part = narrow.mapInArrow(run, f"`{doc_id}` {kind}, item_id long, start_byte int, end_byte int, edits int")
+        part = small_batches(narrow).mapInArrow(run, f"`{doc_id}` {kind}, item_id long, start_byte int, end_byte int, edits int")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -238,5 +240,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                 bad = {h[0] for h in search(shared.value, raws)}
                 yield b if not bad else b.take(pa.array([i for i in range(b.num_rows) if i not in bad], pa.int64()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = small_batches(docs).mapInArrow(run, docs.schema)
     return docs

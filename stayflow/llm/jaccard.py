@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, discard, small_enough
+from .common import cut, discard, small_batches, small_enough
 from .components import components
 
 WORDS, SIMILARITY = 5, (80, 100)
@@ -118,7 +118,7 @@ def _sets(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
                 values = pa.array(np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], names=["id", "elements"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, elements array<long>")
+    return small_batches(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))).mapInArrow(run, "id long, elements array<long>")
 
 
 def describe(docs: DataFrame, doc_id: str, text: str, n: int, similarity: tuple[int, int]) -> DataFrame:
@@ -140,7 +140,7 @@ def describe(docs: DataFrame, doc_id: str, text: str, n: int, similarity: tuple[
                     groups.append([{"band": band, "slack": slack, "sigs": signatures(h, band, parts).view(np.int64)} for band, parts, slack in bands.of(len(h))] if len(h) else [])
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(groups, kind)], names=["id", "n", "f1", "f2", "sketch", "groups"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, n int, f1 long, f2 long, sketch array<long>, groups array<struct<band:int,slack:int,sigs:array<long>>>")
+    return small_batches(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))).mapInArrow(run, "id long, n int, f1 long, f2 long, sketch array<long>, groups array<struct<band:int,slack:int,sigs:array<long>>>")
 
 
 def _rarest(flat: DataFrame, tag: str) -> DataFrame:
@@ -173,7 +173,7 @@ def _fine_signatures(docs: DataFrame, heavy: DataFrame, doc_id: str, text: str,
                                 column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), *[pa.int32()] * 4, pa.list_(pa.int64())))], names=["id", "n", "own", "band", "slack", "sigs"])
 
-    found = cut(ready.mapInArrow(run, "id long, n int, own int, band int, slack int, sigs array<long>"), "jaccard-fine-sets")
+    found = cut(small_batches(ready).mapInArrow(run, "id long, n int, own int, band int, slack int, sigs array<long>"), "jaccard-fine-sets")
     return found.select("id", "own", "band", "slack", F.explode("sigs").alias("sig"))
 
 

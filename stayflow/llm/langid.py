@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_enough
+from .common import cut, small_batches, small_enough
 from .url_filter import host_of
 
 ROWS_PER_LANGUAGE, SAMPLE_BYTES, MAX_LANGUAGES = 1500, 24_000_000, 200
@@ -106,7 +106,7 @@ def read_pages(pages: DataFrame, model: TextModel, key: str = "page_id", url: st
                 logs = [model.log_likelihood(visible_text(p)).tolist() for p in found]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([declared_language(p) for p in found], pa.string()), pa.array(logs, pa.list_(pa.float64()))], names=[key, "host", "declared", "_text"])
 
-    return pages.select(key, F.coalesce(host_of(F.col(url)), F.lit("")).alias("host"), page).mapInArrow(run, f"`{key}` {kind}, host string, declared string, _text array<double>")
+    return small_batches(pages.select(key, F.coalesce(host_of(F.col(url)), F.lit("")).alias("host"), page)).mapInArrow(run, f"`{key}` {kind}, host string, declared string, _text array<double>")
 
 
 def _normal(logs: Column) -> Column:

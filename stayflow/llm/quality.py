@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .labelled import sample
 
 ROWS_PER_CLASS, SAMPLE_BYTES = 2500, 24_000_000
@@ -148,4 +149,4 @@ def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text:
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64())], names=[doc_id, "score"])
 
     numbers = [F.coalesce(F.col(m).cast("double"), F.lit(0.0)).alias(m) for m in metadata]
-    return docs.select(doc_id, text, *numbers).mapInArrow(run, f"`{doc_id}` {kind}, score double")
+    return small_batches(docs.select(doc_id, text, *numbers)).mapInArrow(run, f"`{doc_id}` {kind}, score double")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small_batches
 
 LENGTH, GRAM, STEP = 200, 32, 16
 #: Starts that are looked at together; longer texts go in pieces that overlap by a window.
@@ -125,7 +125,7 @@ def _runs(texts: DataFrame) -> DataFrame:
                 at = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(np.concatenate(starts).astype(np.int32)), pa.array(np.concatenate(counts).astype(np.int32)), pa.array(np.concatenate(offs).astype(np.int32)), pa.array(np.concatenate(anchors)), pa.array(np.concatenate(stretches))], names=["id", "t", "start", "n", "off", "anchor", "stretch"])
 
-    return texts.mapInArrow(run, "id long, t long, start int, n int, off int, anchor long, stretch long")
+    return small_batches(texts).mapInArrow(run, "id long, t long, start int, n int, off int, anchor long, stretch long")
 
 
 def _blocks(texts: DataFrame) -> DataFrame:
@@ -153,7 +153,7 @@ def _blocks(texts: DataFrame) -> DataFrame:
                 longs = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (cores, stretches)]
                 yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(starts, pa.int32()), pa.array(counts, pa.int32()), pa.array(anchors, pa.int64()), *longs], names=["id", "t", "start", "n", "anchor", "core", "stretch"])
 
-    return texts.mapInArrow(run, "id long, t long, start int, n int, anchor long, core long, stretch long")
+    return small_batches(texts).mapInArrow(run, "id long, t long, start int, n int, anchor long, core long, stretch long")
 
 
 def _windows(texts: DataFrame) -> DataFrame:
@@ -176,7 +176,7 @@ def _windows(texts: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(hashes)))
                 yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(anchors, pa.int64()), pa.array(starts, pa.int32()), lists], names=["id", "t", "anchor", "start", "hashes"])
 
-    return texts.mapInArrow(run, "id long, t long, anchor long, start int, hashes array<long>")
+    return small_batches(texts).mapInArrow(run, "id long, t long, anchor long, start int, hashes array<long>")
 
 
 def _sort_pass(rows: DataFrame, keys: list[str], more: list[str], tag: str) -> tuple[DataFrame, DataFrame]:
@@ -250,5 +250,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), span)
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, k) for c, k in zip(out, kinds)]], names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    judged = joined.mapInArrow(judge, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>")
+    judged = small_batches(joined).mapInArrow(judge, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>")
     return judged.withColumnRenamed("doc", doc_id)

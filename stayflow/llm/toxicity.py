@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .labelled import sample
 
 ROWS_PER_CLASS, SAMPLE_BYTES, MAX_FEATURES = 1500, 16_000_000, 200_000
@@ -240,7 +241,7 @@ def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text:
                 found = [spans_of(t, p) if spans and len(p) and p.max() >= 0.5 else [] for t, p in zip(texts, ps)]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(found, pa.list_(span))], names=[doc_id, "score", "spans"])
 
-    return docs.select(doc_id, text).mapInArrow(run, f"`{doc_id}` {kind}, score double, spans array<struct<start:int,end:int,score:double>>")
+    return small_batches(docs.select(doc_id, text)).mapInArrow(run, f"`{doc_id}` {kind}, score double, spans array<struct<start:int,end:int,score:double>>")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
@@ -257,7 +258,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float, text: str = "tex
                 scores = model.score(np.array([facts_of(p) for p in ps]).reshape(-1, 3))
                 yield b.filter(pa.array(scores < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def spans_of(text: str, p: np.ndarray) -> list[dict]:
