@@ -29,7 +29,7 @@ from .common import small_batches
 
 Q, EDIT_RATE, SHORTEST = 10, 0.08, 24
 #: Compared bytes of a window, and the step from one to the next.
-WINDOW, STEP = 160, 80
+WINDOW, STEP = 100, 25
 BLOCK_BYTES = 4_000_000
 #: Documents whose texts are searched together.
 ROWS, BYTES = 500, 1_000_000
