@@ -69,7 +69,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_sharding": SHARDING_SQL, "op10_url_filter": URL_SQL}
+    return {"op2_sharding": SHARDING_SQL, "op5_jaccard_join": JACCARD_SQL, "op8_suffix_dedup": REPEATS_SQL, "op10_url_filter": URL_SQL}
 
 
 SHARDING_SQL = f"""
@@ -91,3 +91,23 @@ p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJ
 m AS (SELECT p.page_id, max(row(length(host_rule || path_rule), host_rule || path_rule, action)) AS best
       FROM p JOIN r ON (p.host = host_rule OR ends_with(p.host, '.' || host_rule)) AND starts_with(p.path, path_rule) GROUP BY 1)
 SELECT p.page_id, p.host, p.path, m.best[2] AS rule, coalesce(m.best[3], 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)"""
+
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+c AS (SELECT doc_id, count(*) AS size FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN c ca ON ca.doc_id = a JOIN c cb ON cb.doc_id = b WHERE 100 * same >= 85 * (ca.size + cb.size - same)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.other)
+SELECT d.doc_id, coalesce(c.size, 0) AS n_shingles, m.component_id FROM documents d LEFT JOIN c USING (doc_id) JOIN (SELECT id, min(other) AS component_id FROM r GROUP BY 1) m ON m.id = d.doc_id"""
+
+REPEATS_SQL = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS m FROM (SELECT doc_id, h, unnest(range(0, n - 199)) AS i FROM t)),
+rep AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM win WHERE m IN (SELECT m FROM win GROUP BY 1 HAVING count(*) > 1)),
+runs AS (SELECT doc_id, i, sum(CASE WHEN gap <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM rep),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY doc_id, run),
+cuts AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+kept AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_removed, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(max(h), 2 * max(b) + 1) AS hex FROM cuts JOIN t USING (doc_id) GROUP BY 1)
+SELECT t.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.hex, t.h))) AS kept_sha256 FROM t LEFT JOIN kept USING (doc_id)"""
