@@ -8,7 +8,8 @@ inner product in double precision.
 
 ``WINDOW`` is a share of all rows, so that recall holds at any size even for vectors without structure: on unit vectors with no clusters
 in 64 dimensions, where no index helps much, half of the orders and windows of 7% find over 0.9 of the 20 nearest. Clustered
-vectors need far less; the share is a parameter. Blocks have a bounded number of rows whatever the share.
+vectors need far less; the share is a parameter. Blocks have a bounded number of rows whatever the share, and a query looks at
+every block that its window touches, so blocks only add to the share.
 
 Equal vectors are one entry of the index with its smallest ids (as many as a result can hold), so a vector that a third of the rows
 have is neither a hot key nor a window of copies.
@@ -126,9 +127,9 @@ def search(table: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
     offsets = cut(counts.select("o", "part", before.alias("before")), "ann-offsets")
     placed = placed.join(small_enough(offsets), ["o", "part"]).withColumn("at", F.col("at") + F.col("before"))
     half = max(LEAST, k + 1, int(np.ceil(window * n / 2)))
-    block = min(BLOCK, half)
+    block = min(BLOCK, half // 2)  # about five blocks a window at any size below the bound
     rows = placed.select("o", "e", F.floor(F.col("at") / block).alias("b")).join(entries.select("e", "v"), "e")
-    visits = F.explode(F.sequence(F.floor(F.greatest(F.col("at") - half // 2, F.lit(0)) / block), F.floor(F.least(F.col("at") + half // 2, F.lit(n - 1)) / block)))
+    visits = F.explode(F.sequence(F.floor(F.greatest(F.col("at") - half, F.lit(0)) / block), F.floor(F.least(F.col("at") + half, F.lit(n - 1)) / block)))
     asks = placed.where("use").select("o", "e", visits.alias("b")).join(entries.where("asked").select("e", "v"), "e")
     asks = asks.select(*[F.col(c).alias(f"q_{c}") for c in ("o", "b", "e", "v")])
 

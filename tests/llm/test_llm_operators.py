@@ -214,6 +214,17 @@ def test_search_with_copies_and_broken_vectors(spark):
     assert ann.search(t.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_windows_reach_as_far_as_their_share_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 50)
+    x = np.random.default_rng(2).normal(size=(2000, 16))
+    t = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(t, F.col("vec_id") % 20 == 0, orderings=1, used=1, window=2.0).collect():  # all rows to either side
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    for q in range(0, 2000, 20):
+        assert set(got[q]) == set(np.argsort(np.where(np.arange(2000) == q, 1e9, -x @ x[q]))[:20].tolist())
+
+
 def test_recall_on_the_test_table(spark):
     folder = "/root/testdata/sf0.1"
     t = spark.read.parquet(f"{folder}/embeddings.parquet")
