@@ -75,20 +75,32 @@ class TextModel:
 
 
 def fit_text(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> TextModel:
-    """Naive Bayes from a bounded sample: the first rows of each language in the order of a hash of their ids."""
+    """Naive Bayes from a bounded sample: of each language the first different (id, text) in the order of their hashes.
+
+    A document that does not fit in what is left of its language's bytes is passed over; if none fits, the first one's start is taken.
+    More than ``MAX_LANGUAGES`` languages raise, as the table has a column for each.
+    """
     spark = docs.sparkSession
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    languages = sorted(r[0] for r in known.groupBy(lang).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang).limit(MAX_LANGUAGES).collect())
+    languages = sorted(r[0] for r in known.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     counts = np.ones((BUCKETS, max(1, len(languages))))
-    hashed = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("string")).alias("_h"))
+    hashed = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("string")).alias("_h"), F.xxhash64(text).alias("_t"))
     for k, name in enumerate(languages):
-        ids = cut(hashed.where(F.col("lang") == name).select("_h").orderBy("_h").limit(ROWS_PER_LANGUAGE).distinct(), "lang-sample")
-        used = 0
-        for r in hashed.where(F.col("lang") == name).join(F.broadcast(ids), "_h", "left_semi").select("text").toLocalIterator():
-            used += len(r["text"])
-            if used > SAMPLE_BYTES // len(languages):
-                break
+        own = hashed.where(F.col("lang") == name)
+        ids = cut(own.select("_h", "_t").distinct().orderBy("_h", "_t").limit(ROWS_PER_LANGUAGE), "lang-sample")
+        picked = own.join(F.broadcast(ids), ["_h", "_t"], "left_semi").dropDuplicates(["_h", "_t"])
+        most, used, start = SAMPLE_BYTES // len(languages), 0, ""
+        for r in picked.orderBy("_h", "_t").select("text").toLocalIterator():
+            size = len(r["text"].encode())
+            if used + size > most:
+                start = start or r["text"].encode()[:most].decode("utf-8", "ignore")
+                continue
+            used += size
             counts[:, k] += np.bincount(grams(r["text"]), minlength=BUCKETS)
+        if not used:
+            counts[:, k] += np.bincount(grams(start), minlength=BUCKETS)
     return TextModel(languages, np.log(counts / counts.sum(0)).astype(np.float32))
 
 

@@ -340,6 +340,24 @@ def test_language_evidence_and_edges(spark):
     assert langid.declared_language("<HTML class=x LANG='FR-ca'>") == "fr" and langid.visible_text("<script>a</script>b&amp;<!-- c -->") .split() == ["b&"]
 
 
+def test_long_document_does_not_void_its_language(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 4000)
+    texts = [(i, "the cat and the dog " * 5 if i % 2 else "der hund und die katze " * 5, "en" if i % 2 else "de") for i in range(20)]
+    texts = [(100, "x y z " * 900, "en"), *texts]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_text(frame(texts))
+    de, en = model.log_likelihood("the cat and the dog")
+    assert model.languages == ["de", "en"] and en > de
+    again = langid.fit_text(frame(texts[::-1]).repartition(3))
+    assert np.array_equal(model.table, again.table)
+    only = langid.fit_text(frame([(1, "the cat and the dog " * 900, "en"), *[t for t in texts if t[2] == "de"]]))
+    de, en = only.log_likelihood("the cat and the dog")
+    assert en > de
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError):
+        langid.fit_text(frame(texts))
+
+
 # urls
 
 
