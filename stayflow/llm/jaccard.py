@@ -154,10 +154,12 @@ def _fine_signatures(docs: DataFrame, heavy: DataFrame, doc_id: str, text: str,
     """Signatures of the finer partitioning, for the (id, band) in ``heavy``: id, own (elements no other one has), band, slack, sig."""
     wanted = cut(heavy.groupBy("id").agg(F.collect_set("band").alias("bands")), "jaccard-heavy")  # a few bands each
     chosen = docs.join(small_enough(wanted.select(F.col("id").alias("_id"))), F.col(doc_id).cast("long") == F.col("_id"), "left_semi")
-    sets = cut(_sets(chosen, doc_id, text, n).dropDuplicates(["id"]), "jaccard-heavy-sets")
-    alone = sets.select("id", F.explode("elements").alias("e")).groupBy("e").agg(F.count("*").alias("c"), F.min("id").alias("id")).where("c = 1")
-    alone = alone.groupBy("id").agg(F.collect_list("e").alias("alone"))
-    ready = sets.join(wanted, "id").join(alone, "id", "left").select("id", F.size("elements").alias("n"), F.coalesce(F.size("alone"), F.lit(0)).alias("own"), "bands", F.expr("if(alone IS NULL, elements, array_except(elements, alone))").alias("elements"))
+    # rows of one id may have different sets: each is kept, told apart by its hashes
+    keyed = _sets(chosen, doc_id, text, n).withColumn("f1", F.xxhash64("elements")).withColumn("f2", F.xxhash64(F.lit(1), "elements"))
+    sets = cut(keyed.dropDuplicates(["id", "f1", "f2"]), "jaccard-heavy-sets")
+    alone = sets.select(F.struct("id", "f1", "f2").alias("of"), F.explode("elements").alias("e")).groupBy("e").agg(F.count("*").alias("c"), F.min("of").alias("of")).where("c = 1")
+    alone = alone.groupBy("of.id", "of.f1", "of.f2").agg(F.collect_list("e").alias("alone"))
+    ready = sets.join(wanted, "id").join(alone, ["id", "f1", "f2"], "left").select("id", F.size("elements").alias("n"), F.coalesce(F.size("alone"), F.lit(0)).alias("own"), "bands", F.expr("if(alone IS NULL, elements, array_except(elements, alone))").alias("elements"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Bands(similarity)

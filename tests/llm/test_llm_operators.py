@@ -183,6 +183,23 @@ def test_jaccard_edges(spark, docs, empty):
     assert jaccard.drop_near_duplicates(docs).columns == docs.columns
 
 
+def test_no_text_of_a_repeated_id_loses_its_links(spark):
+    rng = random.Random(5)
+    seed = prose(rng, 160).split()
+    near = {}
+    for i in range(80):
+        copy = list(seed)
+        copy[rng.randrange(len(copy))] = f"w{i}"
+        near[i] = " ".join(copy)
+    other = [(i, prose(rng, 150)) for i in near]
+    want = brute.components(near, 4, 85, 100)
+    d = spark.createDataFrame([*other, *near.items()], "doc_id long, text string").coalesce(1)
+    got = {}
+    for r in jaccard.join_components(d, 4, (85, 100)).collect():
+        got.setdefault(r["doc_id"], set()).add(r["component_id"])
+    assert got == {i: {c} for i, (_, c) in want.items()} and {c for _, c in want.values()} == {0}
+
+
 def test_long_chains_are_one_component(spark):
     links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).unionByName(spark.createDataFrame([(900, 901)], "a long, b long"))
     assert {r["label"] for r in components.components(links).collect()} == {0, 900}
