@@ -15,13 +15,33 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 200_000
 
 
+LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one where the session names none."""
+    """This application's part of the folder that all executors share (spark.checkpoint.dir).
+
+    Where the session names none: a temporary folder if driver and executors are one process, else an error.
+    """
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="stayflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        if context.applicationId not in LOCAL_FOLDERS:
+            LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="stayflow-")
+        root = LOCAL_FOLDERS[context.applicationId]
+    return f"{root}/stayflow-{context.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete every table that this application has cut; frames made from them can't be read any more."""
+    _delete(spark, shared_folder(spark))
 
 
 #: Has Spark remove the shuffle files of a finished write, whose result no longer needs them.
@@ -43,11 +63,10 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a frame that ``cut`` returned, once everything made from it has been written."""
-    jvm = df.sparkSession._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df.cut_path)
-    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``cut`` returned, once everything made from them has been written."""
+    for df in frames:
+        _delete(df.sparkSession, df.cut_path)
 
 
 #: Rows and bytes of an Arrow batch of texts at most; a batch of long documents would otherwise outgrow a worker.

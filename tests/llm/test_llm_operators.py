@@ -5,6 +5,7 @@ import string
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, rows, same
 from pyspark.sql import functions as F
@@ -231,15 +232,53 @@ def test_search_with_copies_and_broken_vectors(spark):
     assert ann.search(t.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def nearest(x, queries, k=20):
+    """{query: its k nearest other rows}, by brute force in blocks."""
+    out = {}
+    for q in queries:
+        near = -x @ x[q]
+        near[q] = np.inf
+        out[q] = set(np.argsort(near, kind="stable")[:k].tolist())
+    return out
+
+
+def found_by(t, **how):
+    got = {}
+    for r in ann.search(t, F.col("vec_id") % 20 == 0, **how).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    return got
+
+
+def vectors(spark, x):
+    items = pa.array(x.ravel())
+    return spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], np.int32), items)}))
+
+
 def test_windows_reach_as_far_as_their_share_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 50)
+    monkeypatch.setattr(ann, "RUN", 300)
     x = np.random.default_rng(2).normal(size=(2000, 16))
-    t = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
-    got = {}
-    for r in ann.search(t, F.col("vec_id") % 20 == 0, orderings=1, used=1, window=2.0).collect():  # all rows to either side
-        got.setdefault(r["query_id"], []).append(r["vec_id"])
-    for q in range(0, 2000, 20):
-        assert set(got[q]) == set(np.argsort(np.where(np.arange(2000) == q, 1e9, -x @ x[q]))[:20].tolist())
+    got = found_by(vectors(spark, x), count=1, used=8, share=2.0)  # all rows to either side, all planes
+    assert got == nearest(x, range(0, 2000, 20))
+
+
+@pytest.mark.parametrize("block, run", [(ann.BLOCK, ann.RUN), (200, 1000)])
+def test_recall_on_many_vectors_without_clusters(spark, monkeypatch, block, run):
+    """The shipped windows, on vectors that no index can help much with; and with blocks that make a window many blocks, as on large tables."""
+    monkeypatch.setattr(ann, "BLOCK", block)
+    monkeypatch.setattr(ann, "RUN", run)
+    x = np.random.default_rng(8).normal(size=(30_000, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    got = found_by(vectors(spark, x))
+    want = nearest(x, range(0, 30_000, 200))
+    assert len(got) == 1500 and np.mean([len(got[q] & want[q]) for q in want]) / 20 >= 0.93
+
+
+def test_ties_of_many_go_to_the_smaller_ids(spark):
+    x = np.eye(64, dtype=np.float32)[np.arange(64)]
+    got = ann.search(vectors(spark, x), F.col("vec_id") % 20 == 0).collect()
+    for q in range(0, 64, 20):
+        assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [i for i in range(64) if i != q][:20]
 
 
 def test_recall_on_the_test_table(spark):
