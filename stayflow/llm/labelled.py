@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,13 +18,16 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows_
     total = {int(r["_y"]): r["n"] for r in known.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     chosen = [known.where(F.col("_y") == y).orderBy("_h", doc_id).limit(rows_per_class) for y in (0, 1)]
     ids = chosen[0].unionByName(chosen[1]).withColumnRenamed(doc_id, "_id")  # at most 2 * rows_per_class rows
-    # one row for each id, whole texts, until the bytes are used up
-    picked = docs.select(doc_id, *columns).join(F.broadcast(ids), F.col(doc_id) == F.col("_id")).select("_h", "_id", "_y", *columns).dropDuplicates(["_id"])
+    # one row for each id, the first of different ones by hash; texts that can't fit stay where they are
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in docs.select(*columns).dtypes if kind == "string"), F.lit(0))
+    picked = docs.where(size <= max_bytes).select(doc_id, *columns).join(F.broadcast(ids), F.col(doc_id) == F.col("_id"))
+    nth = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(*columns), *columns))
+    picked = picked.select("_h", "_id", "_y", *columns, nth.alias("_nth")).where("_nth = 1")
     out, used = [], 0
-    for r in picked.orderBy("_h", "_id").toLocalIterator():
-        size = sum(len(v.encode()) for v in r[3:] if isinstance(v, str))
+    for r in picked.orderBy("_h", "_id").select("_y", *columns).toLocalIterator():
+        size = sum(len(v.encode()) for v in r[1:] if isinstance(v, str))
         if used + size > max_bytes:
             continue
         used += size
-        out.append((int(r["_y"]), *r[3:]))
+        out.append((int(r[0]), *r[1:]))
     return out, total

@@ -55,8 +55,8 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, ~held_out("doc_id", 4, 2))
-    scored = toxicity.score_documents(docs, model, spans=False)
-    return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), F.to_json("spans").alias("spans"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,6 +35,8 @@ GRAMS = (4, 5, 6)
 SEGMENT, PASSES = 64, 40
 #: Toxic documents, and different neighbourhoods in them, that a telling feature must occur in.
 LEAST = 8
+#: Tokens of a long text whose chain is run as one of many pieces.
+PIECE = 64
 #: Words whose emission a task remembers.
 CACHE = 150_000
 
@@ -74,39 +76,75 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def marginals(emissions: list[np.ndarray], transitions: np.ndarray) -> list[np.ndarray]:
-    """The probability of the toxic tag at each token of each sequence, by forward-backward over all sequences at once.
+def odds(weights: np.ndarray, lengths: np.ndarray, oo: float, ot: float, to: float, tt: float) -> np.ndarray:
+    """The odds of the toxic tag at each token, from its weight and those of the tokens before it in its sequence.
 
-    With two tags one number a token does: the log odds of what has been summed up from either side.
+    One step takes the odds r to weight * (ot + tt * r) / (oo + to * r). Steps compose like 2 x 2 matrices, so long sequences go in pieces
+    of ``PIECE`` tokens: the pieces' matrices first, all at once, then the odds at their ends, then all tokens, so that one long
+    text takes few steps in Python.
     """
-    order = sorted(range(len(emissions)), key=lambda i: -len(emissions[i]))
-    lengths = np.array([len(emissions[i]) for i in order], np.int64)
-    starts = np.concatenate(([0], np.cumsum(lengths)))
-    flat = np.concatenate([emissions[i] for i in order]) if order else np.zeros(0)
-    longest = int(lengths[0]) if order else 0
-    active = np.searchsorted(-lengths, -np.arange(longest), "left")  # sequences longer than t
-    (oo, ot), (to, tt) = transitions
-    fwd, bwd = np.zeros(len(flat)), np.zeros(len(flat))
-    last = np.zeros(0)
-    for t in range(longest):
-        n = active[t]
-        at = starts[:n] + t
-        last = flat[at] + (np.logaddexp(ot, tt + last[:n]) - np.logaddexp(oo, to + last[:n]) if t else 0.0)
-        fwd[at] = last
-    carry = np.zeros(len(order))
-    for t in range(longest - 2, -1, -1):
-        n = active[t + 1]  # those with a token after t
-        at = starts[:n] + t
-        x = flat[at + 1] + carry[:n]
-        carry[:n] = np.logaddexp(to, tt + x) - np.logaddexp(oo, ot + x)
-        bwd[at] = carry[:n]
-    p = 1 / (1 + np.exp(-np.clip(fwd + bwd, -30, 30)))
-    out: list[np.ndarray] = [p[:0]] * len(emissions)
-    for k, i in enumerate(order):
-        out[i] = p[starts[k] : starts[k + 1]]
+    out = np.empty(len(weights))
+    counts = -(-lengths // PIECE)
+    first = np.concatenate(([0], np.cumsum(counts)))[:-1]
+    of = np.repeat(np.arange(len(lengths)), counts)
+    nth = np.arange(len(of)) - first[of]
+    begin = (np.cumsum(lengths) - lengths)[of] + nth * PIECE
+    size = np.minimum(PIECE, lengths[of] - nth * PIECE)
+    entry = np.zeros(len(of))  # odds at the end of the piece before
+    whole = np.flatnonzero(nth + 1 < counts[of])  # pieces that another one follows
+    if len(whole):
+        head = nth[whole] == 0
+        e = weights[begin[whole]]
+        # the first token of a sequence has its weight for odds, whatever came before
+        a, b = np.where(head, 0.0, e * tt), np.where(head, e, e * ot)
+        c, d = np.where(head, 0.0, to), np.where(head, 1.0, oo)
+        for t in range(1, PIECE):
+            e = weights[begin[whole] + t]
+            a, b, c, d = e * (tt * a + ot * c), e * (tt * b + ot * d), to * a + oo * c, to * b + oo * d
+            most = np.maximum(np.maximum(a, b), np.maximum(c, d))
+            a, b, c, d = a / most, b / most, c / most, d / most
+        at = np.full(len(of), -1)
+        at[whole] = np.arange(len(whole))
+        for k in range(1, int(counts.max())):
+            here = first[counts > k] + k
+            m = at[here - 1]
+            entry[here] = (a[m] * entry[here - 1] + b[m]) / (c[m] * entry[here - 1] + d[m])
+    order = np.argsort(-size, kind="stable")
+    begin, size, r, head = begin[order], size[order], entry[order], nth[order] == 0
+    for t in range(int(size[0]) if len(size) else 0):
+        n = int(np.searchsorted(-size, -t, "left"))  # pieces longer than t
+        e, r = weights[begin[:n] + t], r[:n]
+        r = e * (ot + tt * r) / (oo + to * r)
+        if not t:
+            r = np.where(head, e, r)
+        out[begin[:n] + t] = r
     return out
 
 
+def forward_backward(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the tokens of all sequences: the probability of the toxic tag, and its odds from either side (each with the token itself)."""
+    weights = np.exp(np.clip(emissions, -40, 40))
+    oo, ot, to, tt = np.exp(transitions).ravel()
+    left = odds(weights, lengths, oo, ot, to, tt)
+    right = odds(weights[::-1], lengths[::-1], oo, to, ot, tt)[::-1]
+    both = left * right
+    return both / (weights + both), left, right
+
+
+def expected_pairs(left: np.ndarray, right: np.ndarray, follow: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """The expected number of each pair of tags [from, to] at the tokens ``follow`` and the one before each."""
+    one = np.ones(len(follow))
+    pair = np.stack((one, left[follow - 1]), 1)[:, :, None] * np.exp(transitions) * np.stack((one, right[follow]), 1)[:, None, :]
+    return (pair / pair.sum((1, 2), keepdims=True)).sum(0)
+
+
+def marginals(emissions: list[np.ndarray], transitions: np.ndarray) -> list[np.ndarray]:
+    """The probability of the toxic tag at each token of each sequence."""
+    lengths = np.array([len(e) for e in emissions], np.int64)
+    flat = np.concatenate(emissions) if emissions else np.zeros(0)
+    return np.split(forward_backward(flat, lengths, transitions)[0], np.cumsum(lengths)[:-1]) if emissions else []
+
+
 def facts_of(p: np.ndarray) -> tuple[float, float, float]:
     if not len(p):
         return 0.0, 0.0, 0.0
@@ -174,14 +212,14 @@ def fit(rows: list[tuple[int, str]], totals: dict[int, int]) -> Model:
         w, b, tr = np.zeros(len(names)), -2.0, np.zeros((2, 2))
         gw, gb, gt = np.full(len(names), 1e-2), 1e-2, np.full((2, 2), 1e-2)
         tags, words = np.concatenate([s[0] for s in pieces]).astype(float), np.concatenate([s[1] for s in pieces])
-        cuts = np.cumsum([len(s[1]) for s in pieces])[:-1]
+        lengths = np.array([len(s[1]) for s in pieces])
         inner = np.ones(len(words), bool)
-        inner[np.concatenate(([0], cuts))] = False
+        inner[np.cumsum(lengths) - lengths] = False
         follow = np.flatnonzero(inner)
+        seen_pairs = np.bincount((2 * tags[follow - 1] + tags[follow]).astype(int), minlength=4).reshape(2, 2)
         for _ in range(PASSES):
             per_word = b + np.bincount(of_word, w[of_feature], len(ids))
-            e = per_word[words]
-            p = np.concatenate(marginals(np.split(e, cuts), tr))
+            p, left, right = forward_backward(per_word[words], lengths, tr)
             miss = tags - p
             by_word = np.bincount(words, miss, len(ids))
             g = np.bincount(of_feature, by_word[of_word], len(names)) - 0.02 * w
@@ -190,9 +228,7 @@ def fit(rows: list[tuple[int, str]], totals: dict[int, int]) -> Model:
             d = miss.sum()
             gb += d**2
             b += 0.5 * d / np.sqrt(gb)
-            # pairs of neighbouring tags: counted against their expectation with the neighbours taken as independent given the marginals
-            u, v, s, t = tags[follow - 1], tags[follow], p[follow - 1], p[follow]
-            grad = np.array([[((1 - u) * (1 - v) - (1 - s) * (1 - t)).sum(), ((1 - u) * v - (1 - s) * t).sum()], [(u * (1 - v) - s * (1 - t)).sum(), (u * v - s * t).sum()]]) - 0.1 * tr
+            grad = seen_pairs - expected_pairs(left, right, follow, tr) - 0.1 * tr
             gt += grad**2
             tr += 0.1 * grad / np.sqrt(gt)
         top = np.argsort(-np.abs(w), kind="stable")[:MAX_FEATURES]
@@ -224,24 +260,29 @@ def train(docs: DataFrame, labels: DataFrame, usable, doc_id: str = "doc_id", te
     return fit(rows, totals)
 
 
-def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", spans: bool = True) -> DataFrame:
+def _scored(batches: Iterator[pa.RecordBatch], text: str, model: Model) -> Iterator[tuple[pa.RecordBatch, list, list[np.ndarray], np.ndarray]]:
+    """Slices of rows with their texts, marginals and scores."""
+    cache: dict[str, float] = {}
+    for whole in batches:
+        for at in range(0, whole.num_rows, 500):
+            b = whole.slice(at, 500)
+            texts = b.column(b.schema.get_field_index(text)).to_pylist()
+            ps = marginals([model.emissions(t, cache) for t in texts], model.transitions)
+            yield b, texts, ps, model.score(np.array([facts_of(p) for p in ps]).reshape(-1, 3))
+
+
+def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score and spans: start, end (code points) and score of each run of toxic tokens."""
     kind = docs.schema[doc_id].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, cache = shared.value, {}
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                texts = b.column(1).to_pylist()
-                ps = marginals([model.emissions(t, cache) for t in texts], model.transitions)
-                scores = model.score(np.array([facts_of(p) for p in ps]).reshape(-1, 3))
-                found = [spans_of(t, p) if spans and len(p) and p.max() >= 0.5 else [] for t, p in zip(texts, ps)]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(found, pa.list_(span))], names=[doc_id, "score", "spans"])
+        for b, texts, ps, scores in _scored(batches, "_text", shared.value):
+            found = [spans_of(t, p) if len(p) and p.max() >= 0.5 else [] for t, p in zip(texts, ps)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(found, pa.list_(span))], names=[doc_id, "score", "spans"])
 
-    return small_batches(docs.select(doc_id, text)).mapInArrow(run, f"`{doc_id}` {kind}, score double, spans array<struct<start:int,end:int,score:double>>")
+    return small_batches(docs.select(doc_id, F.col(text).alias("_text"))).mapInArrow(run, f"`{doc_id}` {kind}, score double, spans array<struct<start:int,end:int,score:double>>")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
@@ -249,14 +290,8 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float, text: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, cache = shared.value, {}
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                texts = b.column(b.schema.get_field_index(text)).to_pylist()
-                ps = marginals([model.emissions(t, cache) for t in texts], model.transitions)
-                scores = model.score(np.array([facts_of(p) for p in ps]).reshape(-1, 3))
-                yield b.filter(pa.array(scores < threshold))
+        for b, _, _, scores in _scored(batches, text, shared.value):
+            yield b.filter(pa.array(scores < threshold))
 
     return small_batches(docs).mapInArrow(run, docs.schema)
 
