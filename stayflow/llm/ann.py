@@ -36,7 +36,7 @@ from .common import cut, discard, small_enough
 ROTATIONS, USED = 6, 24
 SHARE, PLACES = 0.0125, 100
 BITS = 12
-BLOCK = 20_000
+BLOCK = 5_000
 #: Positions whose queries meet a block together, and neighbouring queries that are compared at once.
 RUN, NEIGHBOURS = 100_000, 16
 #: Vectors that settle the planes' scale.
