@@ -132,29 +132,62 @@ def test_banded_alignment_equals_full_alignment():
         assert (got[0] if got else None) == (want if want <= most else None)
 
 
+def windows_of(text):
+    """The windows of an item, made independently of the index."""
+    kept = bytes(c for c in (text or "").encode().lower() if chr(c).isalnum() and c < 128 or c >= 128)
+    return [kept] if len(kept) <= 100 else [kept[i : i + 100] for i in sorted({*range(0, len(kept) - 99, 25), len(kept) - 100})]
+
+
 def test_contamination_equals_brute_force(spark, docs, empty):
     rng = random.Random(9)
-    items = [prose(rng, 12), prose(rng, 30), prose(rng, 90), "short", None, ""]
+    items = [prose(rng, 12), prose(rng, 30), prose(rng, 90), "short one", None, "", "?!", "x" * 24]
     edited = items[1].replace(" a", " A,", 1)[:-1] + "zz"
     texts = [prose(rng, 30) + items[0].upper() + prose(rng, 5), edited, "x " + items[2][20:] + " y", prose(rng, 200), items[1][:30], None, "", items[0] + "\n" + items[1]]
+    texts += ["a SHORT, one!", "ashort one", "short ones", "short  (one) short one", "Short", "x" * 23, "x" * 24, "x" * 40 + " short-one"]
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
-    want = set()
+    b = spark.createDataFrame([*enumerate(items), (None, items[0]), (1, items[1])], "item_id long, text string")
+    want = {(8, 3), (11, 3), (15, 3)}
     for i, t in enumerate(texts):
         text = decontaminate.compared((t or "").encode())
-        index = decontaminate.build_index([(k, x) for k, x in enumerate(items)])
-        for w, k in zip(index.texts, index.items):
-            if edit_distance_inside(list(w), list(text)) <= decontaminate.edits_for(len(w)):
+        for k, x in enumerate(items):
+            if any(len(w) >= 24 and edit_distance_inside(list(w), list(text)) <= decontaminate.edits_for(len(w)) for w in windows_of(x)):
                 want.add((i, k))
+    want |= {(i, None) for i, k in want if k == 0}
     found = decontaminate.find_contamination(d, b).collect()
-    assert {(r["doc_id"], r["item_id"]) for r in found} == want and {(0, 0), (1, 1), (2, 2), (7, 0), (7, 1)} <= want
+    assert len(found) == len(want) and {(r["doc_id"], r["item_id"]) for r in found} == want and {(0, 0), (1, 1), (2, 2), (7, 0), (7, 1), (14, 7), (13, 7)} <= want
     first = next(r for r in found if r["doc_id"] == 0)
     assert texts[0].encode()[first["start_byte"] : first["end_byte"]].decode() == items[0].upper()
-    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(d, b).collect()) == [3, 4, 5, 6]
+    third = next(r for r in found if r["doc_id"] == 11)
+    assert texts[11].encode()[third["start_byte"] : third["end_byte"]].decode() == "short  (one"
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(d, b).collect()) == sorted(set(range(len(texts))) - {i for i, _ in want})
     assert decontaminate.find_contamination(empty, b).count() == 0 and decontaminate.find_contamination(d, b.limit(0)).count() == 0
     assert decontaminate.drop_contaminated(docs, b).columns == docs.columns
 
 
+def test_any_long_passage_of_an_item_is_found():
+    rng = random.Random(12)
+    item = "".join(rng.choice(string.ascii_lowercase) for _ in range(390))
+    index = decontaminate.build_index([(5, item)])
+    for start in range(390 - 124 + 1):
+        text = ("".join(rng.choice(string.ascii_lowercase) for _ in range(50)) + item[start : start + 124] + "q" * 30).encode()
+        assert [h[:2] for h in decontaminate.search(index, [b"", text])] == [(1, 5)]
+
+
+def test_long_texts_of_few_different_grams(monkeypatch):
+    items = [(1, "a" * 300), (2, "a" * 40 + "b" + "a" * 40), (3, "ab" * 60), (4, "the quick brown fox jumps over it")]
+    index = decontaminate.build_index(items)
+    long = b"a" * 2_000_000
+    assert decontaminate.search(index, [long]) == [(0, 1, 0, 100, 0), (0, 2, 0, 80, 1)]  # the b is dropped
+    late = b"a b" * 500_000 + b" the quick brown fox jumps over it"
+    found = {h[1]: h for h in decontaminate.search(index, [b"x", late])}
+    assert found[3][4] == 0 and found[4] == (1, 4, 1_500_001, len(late), 0)
+    rng = random.Random(3)
+    raws = [prose(rng, 400).encode() + b" the quick brown fox JUMPS over it" for _ in range(3)]
+    whole = decontaminate.search(index, raws)
+    monkeypatch.setattr(decontaminate, "PIECE", 300)
+    assert decontaminate.search(index, raws) == whole and len(whole) == 3
+
+
 # Jaccard join
 
 
