@@ -11,7 +11,8 @@ from .common import documents, held_out
 #: (host, path, action) of the url filter's rules.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 #: Bytes of text that a shard holds at most, and the directory's first size in bits.
-SHARD_BYTES, SHARD_BITS = 32 * 2**20, 2
+SHARD_BYTES, SHARD_BITS = 2**20, 0
+SMALL_SHARD_BYTES = 160 * 2**10
 
 #: Score from which a document counts as toxic.
 TOXIC = 0.3
@@ -25,6 +26,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, sf_dir), SHARD_BYTES, SHARD_BITS)
 
 
+def shard_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a limit so small that even small tables have shards of several depths."""
+    return sharding.assign_shards(documents(spark, sf_dir), SMALL_SHARD_BYTES)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -65,23 +71,25 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op6_ann": op6_ann, "op7_langid": op7_langid, "op8_suffix_dedup": op8_suffix_dedup, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
+    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "shard_depths": shard_depths, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op6_ann": op6_ann, "op7_langid": op7_langid, "op8_suffix_dedup": op8_suffix_dedup, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_sharding": SHARDING_SQL, "op5_jaccard_join": JACCARD_SQL, "op8_suffix_dedup": REPEATS_SQL, "op10_url_filter": URL_SQL}
+    return {"op2_sharding": sharding_sql(SHARD_BYTES, SHARD_BITS), "shard_depths": sharding_sql(SMALL_SHARD_BYTES, 0), "op5_jaccard_join": JACCARD_SQL, "op8_suffix_dedup": REPEATS_SQL, "op10_url_filter": URL_SQL}
 
 
-SHARDING_SQL = f"""
+def sharding_sql(limit: int, start: int) -> str:
+    return f"""
 WITH p AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
                   CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS place FROM documents),
-s AS (SELECT d.depth, place >> (60 - d.depth) AS prefix, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes
-      FROM p, (SELECT CAST(unnest(range({SHARD_BITS}, 61)) AS INTEGER) AS depth) d GROUP BY ALL),
+s AS (SELECT d.depth, place >> (60 - d.depth) AS prefix, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS n
+      FROM p, (SELECT CAST(unnest(range({start}, 61)) AS INTEGER) AS depth) d GROUP BY ALL),
 l AS (SELECT p.doc_id, p.place, min(p.n_bytes) AS n_bytes, min(s.depth) AS depth FROM p JOIN s ON p.place >> (60 - s.depth) = s.prefix
-      WHERE s.shard_bytes <= {SHARD_BYTES} GROUP BY p.doc_id, p.place)
+      WHERE s.shard_bytes <= {limit} OR s.n = 1 GROUP BY p.doc_id, p.place)
 SELECT l.doc_id, l.n_bytes, right(lpad(bin(l.place >> (60 - l.depth)), 60, '0'), l.depth) AS shard_id, l.depth AS shard_depth, s.shard_bytes
 FROM l JOIN s ON s.depth = l.depth AND s.prefix = l.place >> (60 - l.depth)"""
 
+
 URL_SQL = """
 WITH r(host_rule, path_rule, action) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
                                                 ('net', '/es/', 'block'), ('net', '/fr/', 'block')),

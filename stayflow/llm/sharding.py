@@ -1,13 +1,16 @@
 """Sharding by extendible hashing.
 
 A document's place is a 60-bit hash of its id. The directory is indexed by leading bits; a bucket whose bytes exceed
-the limit splits on one more bit, and only such a bucket, until every shard fits. The byte sums of the directory come
-from one grouped sum over a prefix long enough for nearly all buckets; what is still too large goes through another pass
-with more bits. The driver sees totals only.
+the limit splits on one more bit, and only such a bucket, until every shard fits or is a single row. The byte sums of the directory
+come from one grouped sum over a prefix long enough for nearly all buckets; what is still too large goes through another pass
+with all bits. The driver sees totals only.
 
-Defined cases: a null text has 0 bytes; a null id hashes as an empty string; a row larger than the limit is a shard
-of its own once it is alone; rows that agree in all 60 bits (repeated ids) can't be parted by a bit, so each task deals
-its share of them into numbered parts within the limit, which spreads one hot id over many tasks; an empty table gives no rows.
+Rows that agree in all 60 bits (repeated ids) split on the bits of a hash of their texts in the same way; rows with equal texts too are
+alike, and are dealt by their number among each other into numbered parts, so one hot id or text spreads over many shards and tasks.
+
+Defined cases: a null text has 0 bytes; a null id hashes as an empty string; a row larger than the limit is a shard of its own; input
+columns that are named like a result column (n_bytes, shard_id, shard_depth, shard_bytes) give way to it; repeated rows are placed one
+by one; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -15,21 +18,23 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import cut, small_enough
+from .common import cut, discard, small_enough
 
 BITS = 60
-#: Bits of the first pass beyond log2(bytes / limit), and of each further pass.
+#: Bits of the first pass beyond log2(bytes / limit).
 MORE_BITS = 6
 
 
-def place_of(doc_id: str) -> Column:
-    """The first 60 bits of the id's MD5 digest."""
-    return F.conv(F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+def place_of(column: str) -> Column:
+    """The first 60 bits of the value's MD5 digest."""
+    return F.conv(F.substring(F.md5(F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
 
 
 def size_of(text: str) -> Column:
@@ -37,60 +42,71 @@ def size_of(text: str) -> Column:
 
 
 def leaves_of(rows: DataFrame, limit_bytes: int, top: int, deep: int) -> DataFrame:
-    """For each prefix of ``deep`` bits: its leaf (depth, prefix, bytes), the first depth from ``top`` on that fits; null if none does."""
-    fine = cut(rows.groupBy(F.shiftright("_place", BITS - deep).alias("_fine")).agg(F.sum("n_bytes").alias("_bytes")), "shard-bits")
+    """For each prefix of ``deep`` bits (in its bucket ``_of``): its leaf (depth, prefix, bytes), the first depth from ``top`` on that fits; null if none does."""
+    fine = cut(rows.groupBy("_of", F.shiftright("_place", BITS - deep).alias("_fine")).agg(F.sum("n_bytes").alias("_bytes"), F.count("*").alias("_rows")), "shard-bits")
     ladder = fine.withColumn("_depth", F.explode(F.sequence(F.lit(top), F.lit(deep)))).withColumn("_prefix", F.expr(f"shiftright(_fine, {deep} - _depth)"))
-    fits = ladder.groupBy("_depth", "_prefix").agg(F.sum("_bytes").alias("shard_bytes")).where(F.col("shard_bytes") <= limit_bytes)
-    first = ladder.select("_fine", "_depth", "_prefix").join(fits, ["_depth", "_prefix"]).groupBy("_fine").agg(F.min(F.struct("_depth", "_prefix", "shard_bytes")).alias("_leaf"))
-    return cut(fine.join(first, "_fine", "left").select("_fine", "_leaf", "_bytes"), "shard-leaves")
+    fits = ladder.groupBy("_of", "_depth", "_prefix").agg(F.sum("_bytes").alias("shard_bytes"), F.sum("_rows").alias("_n")).where((F.col("shard_bytes") <= limit_bytes) | (F.col("_n") == 1)).drop("_n")
+    first = ladder.select("_of", "_fine", "_depth", "_prefix").join(fits, ["_of", "_depth", "_prefix"]).groupBy("_of", "_fine").agg(F.min(F.struct("_depth", "_prefix", "shard_bytes")).alias("_leaf"))
+    leaves = cut(fine.join(first, ["_of", "_fine"], "left").select("_of", "_fine", "_leaf", "_bytes"), "shard-leaves")
+    discard(fine)
+    return leaves
 
 
 def assign_shards(docs: DataFrame, limit_bytes: int, start_bits: int = 0, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (``doc_id`` by default) of each row with n_bytes, shard_id (the leaf's bits, with a part number
-    where equal hashes were dealt out), shard_depth and shard_bytes."""
+    """``keep`` columns (``doc_id`` by default) of each row with n_bytes, shard_id (the leaf's bits; those of the text and a part
+    number follow where equal ids had to be parted), shard_depth and shard_bytes."""
     own = ("n_bytes", "shard_id", "shard_depth", "shard_bytes")
     keep = [c for c in ([doc_id] if keep is None else keep) if c.lower() not in own]
     row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")
-    sizes = cut(docs.select(place_of(doc_id).alias("_place"), size_of(text).alias("n_bytes")), "shard-rows")
-    total = sizes.agg(F.sum("n_bytes")).first()[0] or 0
-    open_rows = docs.select(row, place_of(doc_id).alias("_place"), size_of(text).alias("n_bytes"))
-    top, out = start_bits, None
-    deep = min(BITS, max(top, math.ceil(math.log2(max(1.0, total / limit_bytes)))) + MORE_BITS)
-    while True:
-        leaves = leaves_of(sizes, limit_bytes, top, deep)
-        done, left = leaves.where("_leaf IS NOT NULL").drop("_bytes"), leaves.where("_leaf IS NULL").drop("_leaf")
-        fine = F.shiftright("_place", BITS - deep)
-        placed = open_rows.withColumn("_fine", fine).join(small_enough(done), "_fine").select("_row", "n_bytes", _name("_leaf._depth", "_leaf._prefix").alias("shard_id"), F.col("_leaf._depth").alias("shard_depth"), F.col("_leaf.shard_bytes").alias("shard_bytes"))
-        out = placed if out is None else out.unionByName(placed)
-        if left.isEmpty():
-            return out.select("_row.*", *own)
-        left = small_enough(left)
-        if deep == BITS:
-            out = out.unionByName(_deal_equal(open_rows.withColumn("_fine", fine).join(left, "_fine"), limit_bytes))
-            return out.select("_row.*", *own)
-        open_rows = open_rows.withColumn("_fine", fine).join(left, "_fine", "left_semi").drop("_fine")
-        sizes = cut(sizes.withColumn("_fine", fine).join(left, "_fine", "left_semi").drop("_fine"), "shard-rows")
-        top, deep = deep + 1, min(BITS, deep + MORE_BITS)
+    rows = docs.select(row, F.lit("").alias("_of"), place_of(doc_id).alias("_place"), place_of(text).alias("_next"), size_of(text).alias("n_bytes"))
+    out = None
+    for level in (0, 1):
+        sizes = cut(rows.drop("_row"), "shard-rows")
+        most = sizes.groupBy("_of").agg(F.sum("n_bytes").alias("_b")).agg(F.max("_b")).first()[0] or 0
+        top = start_bits if not level else 0
+        deep = min(BITS, max(top, math.ceil(math.log2(max(1.0, most / limit_bytes)))) + MORE_BITS)
+        while True:
+            leaves = leaves_of(sizes, limit_bytes, top, deep)
+            done, left = leaves.where("_leaf IS NOT NULL").drop("_bytes"), leaves.where("_leaf IS NULL").select("_of", "_fine")
+            fine = F.shiftright("_place", BITS - deep)
+            placed = rows.withColumn("_fine", fine).join(small_enough(done), ["_of", "_fine"])
+            placed = placed.select("_row", "n_bytes", F.concat("_of", _name("_leaf._depth", "_leaf._prefix")).alias("shard_id"), (F.col("_leaf._depth") + level * BITS).alias("shard_depth"), F.col("_leaf.shard_bytes").alias("shard_bytes"))
+            out = placed if out is None else out.unionByName(placed)
+            if left.isEmpty():
+                return out.select("_row.*", *own)
+            left = small_enough(left)
+            rows = rows.withColumn("_fine", fine).join(left, ["_of", "_fine"], "left_semi").drop("_fine")
+            if deep == BITS:
+                break
+            sizes = cut(sizes.withColumn("_fine", fine).join(left, ["_of", "_fine"], "left_semi").drop("_fine"), "shard-rows")
+            top, deep = deep + 1, BITS  # few prefixes are left: those of large rows and of repeated ids
+        rows = rows.select("_row", F.concat("_of", _name(str(BITS), "_place"), F.lit(".")).alias("_of"), F.col("_next").alias("_place"), F.lit(0).cast("long").alias("_next"), "n_bytes")
+    return out.unionByName(_deal_alike(rows, limit_bytes)).select("_row.*", *own)
 
 
 def _name(depth: str, prefix: str) -> Column:
     return F.expr(f"right(lpad(bin({prefix}), {BITS}, '0'), {depth})")
 
 
-def _deal_equal(rows: DataFrame, limit_bytes: int) -> DataFrame:
-    rows = rows.select("_row", "n_bytes", _name(str(BITS), "_fine").alias("shard_id"), F.lit(BITS).alias("shard_depth"), F.col("_bytes").alias("shard_bytes"))
+def _deal_alike(rows: DataFrame, limit_bytes: int) -> DataFrame:
+    """Rows with equal ids and texts in parts of as many as fit: numbered in each task, then over the tasks by their counts."""
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, used, part = TaskContext.get().partitionId(), {}, {}
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, seen = TaskContext.get().partitionId(), {}
         for b in batches:
-            names = []
-            for shard, size in zip(b.column(2).to_pylist(), b.column(1).to_pylist()):
-                if shard not in used or used[shard] + size > limit_bytes:
-                    used[shard], part[shard] = 0, part.get(shard, -1) + 1
-                used[shard] += size
-                names.append(f"{shard}.{task}.{part[shard]}")
-            yield b.set_column(2, b.schema.field(2), pa.array(names, b.schema.field(2).type))
-
-    parts = cut(rows.mapInArrow(deal, rows.schema), "shard-parts")
-    sums = parts.groupBy("shard_id").agg(F.sum("n_bytes").alias("shard_bytes"))
-    return parts.drop("shard_bytes").join(sums, "shard_id").select("_row", "n_bytes", "shard_id", "shard_depth", "shard_bytes")
+            nth = []
+            for of in b.column(1).to_pylist():
+                nth.append(seen.get(of, 0))
+                seen[of] = nth[-1] + 1
+            yield b.append_column("_nth", pa.array(nth, pa.int64())).append_column("_task", pa.array(np.full(b.num_rows, task), pa.int64()))
+
+    rows = rows.select("_row", "_of", "n_bytes")
+    schema = T.StructType([*rows.schema.fields, T.StructField("_nth", T.LongType()), T.StructField("_task", T.LongType())])
+    numbered = cut(rows.mapInArrow(number, schema), "shard-parts")
+    counts = numbered.groupBy("_of", "_task").agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.partitionBy("_of").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = cut(counts.select("_of", "_task", before.alias("_before"), F.sum("_c").over(Window.partitionBy("_of")).alias("_all")), "shard-parts")
+    room = F.greatest(F.lit(1), F.floor(F.lit(limit_bytes) / F.greatest("n_bytes", F.lit(1))))
+    part = F.floor((F.col("_nth") + F.col("_before")) / room)
+    held = F.least(room, F.col("_all") - part * room)
+    return numbered.join(small_enough(offsets), ["_of", "_task"]).select("_row", "n_bytes", F.concat("_of", F.lit("."), part.cast("string")).alias("shard_id"), F.lit(2 * BITS).alias("shard_depth"), (held * F.col("n_bytes")).alias("shard_bytes"))

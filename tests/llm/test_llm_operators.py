@@ -104,9 +104,15 @@ def test_shards_fit_and_only_large_buckets_split(spark, docs, empty):
 
 
 def test_equal_ids_are_dealt_into_parts(spark):
-    same_id = spark.createDataFrame([(7, "x" * 60)] * 9 + [(None, "y" * 90)] * 2, "doc_id long, text string")
-    found = sharding.assign_shards(same_id, 100).collect()
-    assert len(found) == 11 and all(r["shard_bytes"] <= 100 for r in found)
+    same_id = spark.createDataFrame([(7, "x" * 60)] * 9 + [(None, "y" * 90)] * 2 + [(7, f"{i:030}") for i in range(20)] + [(8, "z" * 500), (9, "")], "doc_id long, text string")
+    found = sharding.assign_shards(same_id, 130).collect()
+    held = {}
+    for r in found:
+        held.setdefault(r["shard_id"], []).append(r["n_bytes"])
+    assert len(found) == 33 and all(sum(held[r["shard_id"]]) == r["shard_bytes"] for r in found)
+    assert all(sum(v) <= 130 or len(v) == 1 for v in held.values()) and [500] in held.values()
+    again = sharding.assign_shards(same_id.repartition(3), 130).collect()
+    assert rows(map(tuple, again)) == rows(map(tuple, found))
 
 
 # decontamination
