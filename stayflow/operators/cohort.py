@@ -7,14 +7,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expressions import HOUR_US
 from .blocks import metrics
-from .checks import require_none
+from .checks import require_columns, require_none
 
 MIN_GROUPS = 3
 
 
 def dynamic_presence(obs: DataFrame) -> DataFrame:
-    out = obs.where("stay_id_global IS NOT NULL").groupBy("hospital_id", "stay_id_global").agg(F.count("*").alias("dynamic_row_count"))
+    """Rows of each (hospital, stay), from observations or from `blocks.stay_facts`."""
+    n = F.sum("n_rows") if "n_rows" in obs.columns else F.count("*")
+    out = obs.where("stay_id_global IS NOT NULL").groupBy("hospital_id", "stay_id_global").agg(n.alias("dynamic_row_count"))
     return out.withColumn("has_dynamic_data", F.col("dynamic_row_count") > 0)
 
 
@@ -24,8 +27,8 @@ def group_table(spark, groups: Mapping[str, Sequence[str]], optional: Sequence[s
 
 
 def vital_group_coverage(sites: DataFrame, obs: DataFrame, groups: DataFrame) -> DataFrame:
-    """For every hospital and group of variables: which of them have values, and how many."""
-    n = obs.groupBy("hospital_id", "variable").agg(F.count("value").alias("_n"))
+    """For every hospital and group of variables: which of them have values, and how many (from observations or `blocks.stay_facts`)."""
+    n = obs.groupBy("hospital_id", "variable").agg((F.sum("n_values") if "n_values" in obs.columns else F.count("value")).alias("_n"))
     grid = sites.select("hospital_id").distinct().join(F.broadcast(groups)).join(n, ["hospital_id", "variable"], "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
     row = F.sort_array(F.collect_list(F.struct("_at", "variable", "_n")))
     out = grid.groupBy("hospital_id", "physiologic_group", "required").agg(row.alias("_v"))
@@ -35,19 +38,38 @@ def vital_group_coverage(sites: DataFrame, obs: DataFrame, groups: DataFrame) ->
     return out.select("hospital_id", "physiologic_group", "required", names(F.col("_v")).alias("candidates"), names(used).alias("satisfied_by"), (F.size(used) > 0).alias("group_usable"), counts.alias("non_null_counts"))
 
 
-def outcome_provenance(static: DataFrame, raw_outcome: str = "raw_outcome") -> DataFrame:
-    """How each hospital's outcome came about: harmonized values, none although raw values exist (an error), or none at all."""
-    out = static.groupBy("hospital_id").agg(F.count("icu_mortality").alias("harmonized_non_null"), F.count(raw_outcome).alias("raw_non_null"))
-    status = F.when(F.col("harmonized_non_null") > 0, "harmonized_values").when(F.col("raw_non_null") > 0, "raw_values_lost").otherwise("no_values")
-    return out.withColumn("status", status)
+def outcome_provenance(static: DataFrame, source_map: DataFrame | None = None, raw: DataFrame | None = None) -> DataFrame:
+    """How each hospital's outcome came about.
+
+    source_map: `harmonize.source_map`, which says whether a hospital has a source column; raw: hospital_id and raw_outcome, one row a
+    raw row. Status, the first that holds: harmonized values; no raw table to look at; no source column; a source column without
+    a value; else values that harmonization lost, which `check_provenance` raises on.
+    """
+    out = static.groupBy("hospital_id").agg(F.count("icu_mortality").alias("harmonized_non_null"))
+    have, n, seen = F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(False)
+    if source_map is not None:
+        out = out.join(source_map.where("canonical_name = 'icu_mortality'").select("hospital_id", "raw_columns"), "hospital_id", "left")
+        have = F.coalesce("raw_columns", F.lit(""))
+    if raw is not None:
+        out = out.join(raw.groupBy("hospital_id").agg(F.count("raw_outcome").alias("raw_non_null")), "hospital_id", "left")
+        n, seen = F.col("raw_non_null"), F.col("raw_non_null").isNotNull()
+    status = (
+        F.when(F.col("harmonized_non_null") > 0, "verified_non_missing_harmonized_icu_mortality").when(~seen, "raw_source_verification_not_available")
+        .when(F.coalesce(have, F.lit("")) == "", "verified_no_raw_icu_mortality_source_column").when(n == 0, "verified_raw_icu_mortality_source_present_but_all_missing").otherwise(LOST)
+    )
+    return out.select("hospital_id", "harmonized_non_null", n.alias("raw_non_null"), status.alias("status"))
+
+
+LOST = "raw_values_lost"
 
 
 def check_provenance(provenance: DataFrame) -> None:
-    require_none(provenance.where("status = 'raw_values_lost'"), "outcomes were lost in harmonization")
+    require_none(provenance.where(F.col("status") == LOST), "outcomes were lost in harmonization")
 
 
 def site_eligibility(stays: DataFrame, obs: DataFrame, groups: DataFrame, min_groups: int = MIN_GROUPS) -> DataFrame:
-    """A hospital needs an outcome and enough of the required groups."""
+    """A hospital needs an outcome and enough of the required groups. ``obs`` may be `blocks.stay_facts`."""
+    require_columns(stays, ["hospital_id", "stay_id_global", "icu_mortality"], "stays")
     present = dynamic_presence(obs).select("hospital_id", "stay_id_global", F.lit(1).alias("_has"))
     codes = F.array_join(F.sort_array(F.collect_set("icu_mortality")), ",")
     site = stays.join(present, ["hospital_id", "stay_id_global"], "left").groupBy("hospital_id").agg(F.count("*").alias("site_stay_count"), F.countDistinct(F.when(F.col("_has") == 1, F.col("stay_id_global"))).alias("stays_with_dynamic_data"), F.count("icu_mortality").alias("outcome_non_null"), codes.alias("outcome_codes"))
@@ -64,7 +86,8 @@ def site_counts(sites: DataFrame) -> DataFrame:
 
 
 def stay_exclusions(stays: DataFrame, obs: DataFrame, sites: DataFrame) -> DataFrame:
-    """Each stay through the cascade: site, observations, readmission known, readmission not flagged."""
+    """Each stay through the cascade: site, observations, readmission known, readmission not flagged. ``obs`` may be `blocks.stay_facts`."""
+    require_columns(stays, ["hospital_id", "stay_id_global", "readmission", "icu_mortality", "icu_end_time_proxy_hours"], "stays")
     present = dynamic_presence(obs).groupBy("stay_id_global").agg(F.sum("dynamic_row_count").alias("dynamic_row_count"))
     out = stays.join(F.broadcast(sites.select("hospital_id", "site_included")), "hospital_id", "left").join(present, "stay_id_global", "left")
     out = out.withColumn("site_included", F.coalesce("site_included", F.lit(False))).withColumn("dynamic_row_count", F.coalesce("dynamic_row_count", F.lit(0)).cast("long"))
@@ -95,3 +118,18 @@ def retained_stays(exclusions: DataFrame) -> DataFrame:
 
 def retained_hospitals(exclusions: DataFrame) -> DataFrame:
     return exclusions.where("retained").groupBy("hospital_id").agg(F.count("*").alias("retained_stays"))
+
+
+def check_cohort(retained: DataFrame, exclusions: DataFrame, sites: DataFrame) -> None:
+    """Raise if a retained stay is twice there, of an excluded site, without data, or without a known first stay."""
+    require_none(retained.groupBy("stay_id_global").count().where("count > 1 OR stay_id_global IS NULL"), "retained stays are not unique")
+    outside = sites.where("NOT site_included").select("hospital_id")
+    require_none(retained.join(F.broadcast(outside), "hospital_id", "left_semi"), "retained stays of excluded hospitals")
+    require_none(exclusions.where("retained AND (dynamic_row_count = 0 OR readmission IS NULL OR readmission = 1)"), "retained stays that a step excludes")
+
+
+def with_block_counts(static: DataFrame, counts: DataFrame) -> DataFrame:
+    """The harmonized static rows with the end and the blocks of their stays; a stay named twice is an error."""
+    require_none(static.groupBy("stay_id_global").count().where("count > 1"), "stays are not unique")
+    ends = counts.select("stay_id_global", "icu_end_us", "block_count")
+    return static.join(ends, "stay_id_global", "left").withColumn("icu_end_time_proxy_hours", F.col("icu_end_us") / HOUR_US)

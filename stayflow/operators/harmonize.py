@@ -108,18 +108,6 @@ def numeric_value(text: Column, variable: str | Column, hospital: Column, labora
     return F.when(is_ratio, X.ie_ratio(text)).when(hospital == laboratory_site, X.laboratory(text)).otherwise(X.number(text))
 
 
-def harmonize_dynamic(raw: DataFrame, hospital: str | Column, mapping: Mapping[str, Sequence[str]] | None = None, laboratory_site: str = fixed.LABORATORY_SITE) -> DataFrame:
-    """The canonical wide time series of raw rows, all variables as doubles, in the order of themes."""
-    mapping = mapping or fixed.raw_columns("dynamic")
-    site = F.lit(hospital) if isinstance(hospital, str) else hospital
-    local = X.local_stay_id(merged(raw, mapping.get("stay_id_local", [])))
-    out = {"hospital_id": site, "stay_id_global": X.global_stay_id(site, local), "stay_id_local": local, "time": merged(raw, mapping.get("time", []))}
-    for name in fixed.dynamic_columns():
-        if name not in out:
-            out[name] = numeric_value(merged(raw, mapping.get(name, [])), name, site, laboratory_site)
-    return raw.select(*[out[c].alias(c) for c in fixed.dynamic_columns()])
-
-
 def harmonize_dynamic_long(raw: DataFrame, hospital: str | Column, mapping: Mapping[str, Sequence[str]] | None = None, laboratory_site: str = fixed.LABORATORY_SITE, cleaned: bool = False) -> DataFrame:
     """The time series in long form: hospital_id, stay ids, time_us, row_ord, variable, value of every text that is a number.
 
@@ -143,7 +131,7 @@ def dynamic_rows(raw: DataFrame, hospital: Column, mapping: Mapping[str, Sequenc
 
 
 def to_wide(long: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """One row a source row with a column for each variable."""
+    """One row a source row with any value, and a column for each variable in the order given."""
     return long.groupBy("hospital_id", "stay_id_global", "stay_id_local", "time_us", "row_ord").agg(*[F.max(F.when(F.col("variable") == v, F.col("value"))).alias(v) for v in variables])
 
 
@@ -156,14 +144,14 @@ def source_map(columns: DataFrame, mapping: Mapping[str, Sequence[str]]) -> Data
     return sites.join(used, ["hospital_id", "canonical_name"], "left").select("hospital_id", "canonical_name", F.coalesce("raw_columns", F.lit("")).alias("raw_columns"))
 
 
+def with_themes(sources: DataFrame, themes: Mapping[str, Sequence[str]]) -> DataFrame:
+    """theme, canonical_name and raw_columns, each combination that some hospital has; a null theme for names in none."""
+    table = sources.sparkSession.createDataFrame([(t, n) for t, names in themes.items() for n in names], "theme string, canonical_name string")
+    return sources.join(F.broadcast(table), "canonical_name", "left").select("theme", "canonical_name", "raw_columns").distinct()
+
+
 def alias_agreement(raw: DataFrame, hospital: Column, a: str, b: str) -> DataFrame:
     """Whether two aliases agree in all rows of each hospital, null with null."""
     differ = F.count_if(~X.clean(quoted(a)).eqNullSafe(X.clean(quoted(b))))
     return raw.groupBy(hospital.alias("hospital_id")).agg(differ.alias("different_rows")).withColumn("agree", F.col("different_rows") == 0)
 
-
-def to_long(wide: DataFrame, variables: Sequence[str], time: Column, row_ord: Column) -> DataFrame:
-    """Rows (hospital_id, stay ids, time_us, row_ord, variable, value) of the values that a wide table has."""
-    x = F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).alias("value")) for v in variables]))
-    long = wide.select("hospital_id", "stay_id_global", "stay_id_local", time.alias("time_us"), row_ord.alias("row_ord"), x.alias("x"))
-    return long.select("hospital_id", "stay_id_global", "stay_id_local", "time_us", "row_ord", "x.variable", "x.value").where("value IS NOT NULL")

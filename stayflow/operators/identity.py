@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import metrics
-from .checks import require_none
+from .checks import require_columns, require_none
 
 
 def unique_stays_per_hospital(static: DataFrame, obs: DataFrame) -> DataFrame:
@@ -33,6 +33,7 @@ def static_duplicates(static: DataFrame) -> DataFrame:
 
 def mapping_failures(static: DataFrame, obs: DataFrame) -> DataFrame:
     """Observations that do not map to one stay of the static table by (hospital, local id), nulls being equal; first reason that holds."""
+    require_columns(static, ["hospital_id", "stay_id_local", "stay_id_global"], "static")
     keys = static.groupBy(F.col("hospital_id").alias("_h"), F.col("stay_id_local").alias("_l")).agg(F.count("*").alias("_rows"), F.countDistinct("stay_id_global").alias("_ids"), F.min("stay_id_global").alias("_global"))
     joined = obs.join(keys, obs["hospital_id"].eqNullSafe(F.col("_h")) & obs["stay_id_local"].eqNullSafe(F.col("_l")), "left")
     reason = F.when(F.col("_rows").isNull(), "missing_static_match").when((F.col("_rows") != 1) | (F.col("_ids") != 1), "ambiguous_static_mapping").when(~F.col("_global").eqNullSafe(F.col("stay_id_global")), "mismatched_stay_id_global")
@@ -40,8 +41,11 @@ def mapping_failures(static: DataFrame, obs: DataFrame) -> DataFrame:
 
 
 def duplicate_time_rows(obs: DataFrame) -> DataFrame:
-    n = F.count("*").over(Window.partitionBy("stay_id_global", "time_us"))
-    return obs.withColumn("duplicate_count", n).where("duplicate_count > 1").select("row_ord", "hospital_id", "stay_id_global", "time_us", "duplicate_count")
+    """Rows that share their stay and time, nulls being equal. Counted first and joined back, so rows without both are no one task's."""
+    require_columns(obs, ["stay_id_global", "time_us"], "observations")
+    n = obs.groupBy(F.col("stay_id_global").alias("_s"), F.col("time_us").alias("_t")).agg(F.count("*").alias("duplicate_count")).where("duplicate_count > 1")
+    joined = obs.join(n, obs["stay_id_global"].eqNullSafe(F.col("_s")) & obs["time_us"].eqNullSafe(F.col("_t")))
+    return joined.select("row_ord", "hospital_id", "stay_id_global", "time_us", "duplicate_count")
 
 
 def stay_id_summary(static: DataFrame, obs: DataFrame) -> DataFrame:

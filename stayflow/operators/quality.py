@@ -7,18 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .statistics import count_values, first_values, spread
+
 BY = ["hospital_id", "variable"]
 FENCED = ("min", "median", "iqr", "max", "range")
 
 
 def distribution_summary(obs: DataFrame, min_non_null: int = 20) -> DataFrame:
     """Count, minimum, quartiles, maximum, IQR and range of each (hospital, variable) with enough values."""
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = obs.where("value IS NOT NULL").groupBy(*BY).agg(F.count("*").alias("n"), F.min("value").alias("min"), q.alias("_q"), F.max("value").alias("max")).where(F.col("n") >= min_non_null)
+    return summary_of(count_values(obs, BY, "value"), min_non_null)
+
+
+def summary_of(counts: DataFrame, min_non_null: int = 20) -> DataFrame:
+    out = spread(counts, BY, "value").where(F.col("n") >= min_non_null)
     out = out.select(*BY, "n", "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"), "max")
     return out.withColumn("iqr", F.col("q3") - F.col("q1")).withColumn("range", F.col("max") - F.col("min"))
 
 
+def numeric_summary(obs: DataFrame, examples: int = 10) -> DataFrame:
+    """The distribution of each variable over all sites, however few its values, with its smallest different values as examples."""
+    counts = count_values(obs, ["variable"], "value")
+    out = spread(counts, ["variable"], "value").join(first_values(counts, ["variable"], "value", examples), "variable")
+    shown = F.array_join(F.transform("_first", lambda x: F.format_string("%.4f", x)), ",")
+    return out.select("variable", "n", "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"), "max", (F.col("_q")[2] - F.col("_q")[0]).alias("iqr"), shown.alias("examples"))
+
+
 def distribution_issues(summary: DataFrame, min_hospitals: int = 4, fence: float = 1.5) -> DataFrame:
     """Hospitals whose metrics lie outside Tukey's fences over all hospitals of a variable: flagged_metrics, joined by commas."""
     long = summary.select(*BY, F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(m).alias("metric"), F.col(m).alias("x")) for i, m in enumerate(FENCED)])).alias("m")).select(*BY, "m.*")
@@ -48,10 +61,12 @@ def clean_invalid(obs: DataFrame, rules: DataFrame) -> DataFrame:
 
 def invalid_value_qc(obs: DataFrame, rules: DataFrame, sites: DataFrame, examples: int = 10, concentrated_from: int = 5, concentrated_share: float = 0.5) -> DataFrame:
     """For every (site, rule), also without values: counts before and after, examples, and where a variable's invalid values gather."""
-    bad = invalid()
-    counts = obs.join(F.broadcast(rules), "variable").groupBy(*BY).agg(F.count("value").alias("_n"), F.count_if(bad).alias("_bad"), F.slice(F.sort_array(F.collect_set(F.when(bad, F.col("value")))), 1, examples).alias("_ex"))
+    judged = obs.join(F.broadcast(rules), "variable").select(*BY, "value", F.when(invalid(), F.col("value")).alias("_bad"))
+    # each invalid value once; all valid ones of a group are one row
+    per = judged.groupBy(*BY, "_bad").agg(F.count("value").alias("_n"))
+    counts = per.groupBy(*BY).agg(F.sum("_n").alias("_n"), F.sum(F.when(F.col("_bad").isNotNull(), F.col("_n")).otherwise(0)).alias("_bad")).join(first_values(per, BY, "_bad", examples), BY, "left")
     grid = sites.select("hospital_id").distinct().join(F.broadcast(rules.select("variable")))
-    out = grid.join(counts, BY, "left").select(*BY, F.coalesce("_n", F.lit(0)).cast("long").alias("non_null_before"), F.coalesce("_bad", F.lit(0)).cast("long").alias("invalid_count"), F.array_join(F.transform("_ex", lambda x: F.format_string("%.4f", x)), ",").alias("_text"))
+    out = grid.join(counts, BY, "left").select(*BY, F.coalesce("_n", F.lit(0)).cast("long").alias("non_null_before"), F.coalesce("_bad", F.lit(0)).cast("long").alias("invalid_count"), F.array_join(F.transform("_first", lambda x: F.format_string("%.4f", x)), ",").alias("_text"))
     of_variable = Window.partitionBy("variable")
     total = F.sum("invalid_count").over(of_variable)
     first = F.first("hospital_id").over(of_variable.orderBy(F.desc("invalid_count"), "hospital_id"))
@@ -76,11 +91,12 @@ def apply_actions(obs: DataFrame, actions: DataFrame) -> DataFrame:
 def semantic_decisions(obs: DataFrame, sites: DataFrame, actions: DataFrame, targets: Sequence[str], review: Sequence[str], min_non_null: int = 20, min_hospitals: int = 4, fence: float = 1.5) -> DataFrame:
     """A decision for every site and target variable, the first that applies: absent, a listed action, an unresolved meaning
     (``review`` variables), else kept. Medians before come from the distribution summary (so only with enough values), those after have no such gate."""
-    obs = obs.where(F.col("variable").isin(list(targets)))
-    summary = distribution_summary(obs, min_non_null)
+    # all of it from one count of values, before and after the actions
+    counts = count_values(obs.where(F.col("variable").isin(list(targets))), BY, "value")
+    summary = summary_of(counts, min_non_null)
     issues = distribution_issues(summary, min_hospitals, fence)
-    before = obs.groupBy(*BY).agg(F.count("value").alias("_before"))
-    after = apply_actions(obs, actions).groupBy(*BY).agg(F.count("value").alias("_after"), F.median("value").alias("median_after"))
+    before = counts.where("value IS NOT NULL").groupBy(*BY).agg(F.sum("_c").alias("_before"))
+    after = spread(apply_actions(counts, actions), BY, "value", (0.5,)).select(*BY, F.col("n").alias("_after"), F.col("_q")[0].alias("median_after"))
     grid = sites.select("hospital_id").distinct().withColumn("variable", F.explode(F.array(*[F.lit(t) for t in targets])))
     out = grid.join(before, BY, "left").join(after, BY, "left").join(summary.select(*BY, F.col("median").alias("median_before")), BY, "left").join(issues.select(*BY, "flagged_metrics"), BY, "left").join(F.broadcast(actions), BY, "left")
     absent, action, open_ = F.coalesce("_before", F.lit(0)) == 0, F.col("action"), F.col("variable").isin(list(review))
@@ -98,8 +114,12 @@ def non_numeric_issues(raw: DataFrame, examples: int = 10) -> DataFrame:
     """For raw text (hospital_id, column, text, plain, parsed): values that are no plain number, resolved by a parser or not."""
     odd = F.col("text").isNotNull() & F.col("plain").isNull()
     lost = odd & F.col("parsed").isNull()
-    out = raw.groupBy("hospital_id", "column").agg(F.count("text").alias("non_null"), F.count_if(odd).alias("non_numeric"), F.count_if(odd & F.col("parsed").isNotNull()).alias("resolved"), F.count_if(lost).alias("unresolved"), F.array_join(F.slice(F.sort_array(F.collect_set(F.when(lost, F.col("text")))), 1, examples), "|").alias("examples"))
-    return out.where("non_numeric > 0")
+    by = ["hospital_id", "column"]
+    # each lost text once; all other values of a group are one row
+    per = raw.groupBy(*by, F.when(lost, F.col("text")).alias("_lost")).agg(F.count("text").alias("_n"), F.count_if(odd).alias("_odd"))
+    of_lost = F.sum(F.when(F.col("_lost").isNotNull(), F.col("_odd")).otherwise(0))
+    out = per.groupBy(*by).agg(F.sum("_n").alias("non_null"), F.sum("_odd").alias("non_numeric"), (F.sum("_odd") - of_lost).alias("resolved"), of_lost.alias("unresolved")).where("non_numeric > 0")
+    return out.join(first_values(per, by, "_lost", examples), by, "left").select(*by, "non_null", "non_numeric", "resolved", "unresolved", F.coalesce(F.array_join("_first", "|"), F.lit("")).alias("examples"))
 
 
 def column_profile(df: DataFrame, examples: int = 8) -> DataFrame:
@@ -121,20 +141,25 @@ def missingness_matrix(obs: DataFrame, sites: DataFrame, variables: Sequence[str
 
 
 def describe_by_hospital(obs: DataFrame) -> DataFrame:
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = obs.groupBy(*BY).agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), q.alias("_q"), F.max("value").alias("max"))
-    return out.select(*BY, "n", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max")
+    counts = count_values(obs, BY, "value")
+    weigh = lambda x: F.sum(F.col("_c") * x)
+    means = counts.groupBy(*BY).agg(F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("_c"))), F.lit(0)).alias("n"), weigh(F.col("value")).alias("_sum"))
+    means = means.withColumn("mean", F.try_divide("_sum", "n"))
+    away = counts.join(means.select(*BY, "mean"), BY).groupBy(*BY).agg(weigh((F.col("value") - F.col("mean")) ** 2).alias("_away"))
+    out = means.join(away, BY).join(spread(counts, BY, "value").drop("n"), BY, "left")
+    std = F.sqrt(F.try_divide(F.col("_away"), F.col("n") - 1))
+    return out.select(*BY, "n", "mean", std.alias("std"), "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max")
 
 
 def time_coverage(obs: DataFrame) -> DataFrame:
     return obs.groupBy("hospital_id").agg(F.count("*").alias("rows"), F.countDistinct("stay_id_global").alias("stays"), F.min("time_us").alias("min_us"), F.max("time_us").alias("max_us"))
 
 
-def schema_summary(obs: DataFrame, sites: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """Rows of each hospital, number of variables and the names of those without any value."""
-    rows = obs.groupBy("hospital_id").agg(F.count("*").alias("rows"))
-    empty = missingness_matrix(obs, sites, variables).where("all_missing").groupBy("hospital_id").agg(F.array_join(F.sort_array(F.collect_list("variable")), ",").alias("_names"))
-    out = sites.select("hospital_id").distinct().join(rows, "hospital_id", "left").join(empty, "hospital_id", "left")
+def schema_summary(obs: DataFrame, sites: DataFrame, variables: Sequence[str], rows: DataFrame | None = None) -> DataFrame:
+    """Rows of each hospital (of ``rows``, by default the observations), number of variables and the names of those without any value."""
+    n = (obs if rows is None else rows).groupBy("hospital_id").agg(F.count("*").alias("rows"))
+    empty = missingness_matrix(obs, sites, variables).where("all_missing").groupBy("hospital_id").agg(F.array_join(F.sort_array(F.collect_list("variable")), ",").alias("_names"))  # names of variables
+    out = sites.select("hospital_id").distinct().join(n, "hospital_id", "left").join(empty, "hospital_id", "left")
     return out.select("hospital_id", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), F.lit(len(variables)).cast("long").alias("columns"), F.coalesce("_names", F.lit("")).alias("all_missing"))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import HOUR_US
-from .checks import require_none
+from .checks import require_columns, require_none
+from .statistics import spread
 
 GAP_H, PASS_H = 8, 24
 STAY = ["hospital_id", "stay_id_global"]
@@ -20,6 +21,8 @@ def supported_times(obs: DataFrame, markers: Sequence[str]) -> DataFrame:
 
 
 def check_times(obs: DataFrame, markers: Sequence[str]) -> None:
+    """Raise if a supported row has no time (in ``obs`` a text that is none has become null)."""
+    require_columns(obs, [*STAY, "time_us", "variable", "value"], "observations")
     marked = obs.where(F.col("variable").isin(list(markers)) & F.col("value").isNotNull())
     require_none(marked.where("time_us IS NULL"), "supported rows without a time")
 
@@ -48,9 +51,10 @@ def stay_qc(stays: DataFrame, times: DataFrame, found: DataFrame, pass_h: float
 
 
 def hospital_summary(qc: DataFrame) -> DataFrame:
-    q = F.percentile("max_duration_h", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = qc.groupBy("hospital_id").agg(F.count("*").alias("stays"), F.count_if("passes").alias("passing"), F.min("max_duration_h").alias("min_h"), q.alias("_q"), F.max("max_duration_h").alias("max_h"))
-    return out.select("hospital_id", "stays", "passing", (F.col("passing") / F.col("stays")).alias("share"), "min_h", F.col("_q")[0].alias("p25_h"), F.col("_q")[1].alias("median_h"), F.col("_q")[2].alias("p75_h"), "max_h")
+    counts = qc.groupBy("hospital_id", "max_duration_h").agg(F.count("*").alias("_c"), F.count_if("passes").alias("_p"))
+    n = counts.groupBy("hospital_id").agg(F.sum("_c").alias("stays"), F.sum("_p").alias("passing"))
+    out = n.join(spread(counts, ["hospital_id"], "max_duration_h"), "hospital_id")
+    return out.select("hospital_id", "stays", "passing", (F.col("passing") / F.col("stays")).alias("share"), F.col("min").alias("min_h"), F.col("_q")[0].alias("p25_h"), F.col("_q")[1].alias("median_h"), F.col("_q")[2].alias("p75_h"), F.col("max").alias("max_h"))
 
 
 def failed_stays(qc: DataFrame, pass_h: float = PASS_H) -> DataFrame:

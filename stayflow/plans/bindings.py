@@ -33,18 +33,18 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def static(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customers that have events, as stays."""
-    users = table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey")).distinct()
+    """The customers as stays; most have no events."""
     k = F.col("c_custkey")
-    died = F.when(site("c_custkey") == "site_3", F.lit(None)).when(F.col("c_acctbal") < 0, 1).when(k % 11 == 0, F.lit(None)).otherwise(0)
+    died = F.when(site("c_custkey").isin("site_3", "site_7"), F.lit(None)).when(F.col("c_acctbal") < 0, 1).when(k % 11 == 0, F.lit(None)).otherwise(0)
     again = F.when(k % 13 == 0, F.lit(None)).when(k % 7 == 0, 1).otherwise(0)
     raw = F.when(site("c_custkey") == "site_3", F.lit(None)).otherwise("given")
-    return table(spark, sf_dir, "customer").join(users, "c_custkey").select(site("c_custkey").alias("hospital_id"), F.concat(site("c_custkey"), F.lit("_"), k.cast("string")).alias("stay_id_global"), k.cast("string").alias("stay_id_local"), F.col("c_mktsegment").alias("age_group"), died.cast("long").alias("icu_mortality"), again.cast("long").alias("icu_readmit"), raw.alias("raw_outcome"))
+    return table(spark, sf_dir, "customer").select(site("c_custkey").alias("hospital_id"), F.concat(site("c_custkey"), F.lit("_"), k.cast("string")).alias("stay_id_global"), k.cast("string").alias("stay_id_local"), F.col("c_mktsegment").alias("age_group"), died.cast("long").alias("icu_mortality"), again.cast("long").alias("icu_readmit"), raw.alias("raw_outcome"))
 
 
 def cohort_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations with one site that lacks two groups, and some stays without any."""
-    return obs(spark, sf_dir).where("NOT (hospital_id = 'site_5' AND variable IN ('signup', 'error')) AND CAST(stay_id_local AS BIGINT) % 17 <> 0")
+    """Observations of which one site has no values of two groups."""
+    lacking = (F.col("hospital_id") == "site_5") & F.col("variable").isin("signup", "error")
+    return obs(spark, sf_dir).withColumn("value", F.when(~lacking, F.col("value")))
 
 
 def dirty_static(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +79,18 @@ def raw_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Raw columns that stand for the event types in `raw_dynamic`.
+RAW_COLUMNS = {"click": "I:E", "view": "HF", "purchase": "PEEP", "error": "CRP", "signup": "SpO2"}
+
+
+def raw_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw time-series rows: one row an event, with a column for each event type under an export's name."""
+    texts = raw_values(spark, sf_dir).withColumnRenamed("event_id", "row_ord")
+    event = table(spark, sf_dir, "events").select(F.col("event_id").alias("row_ord"), "event_type", F.col("user_id").cast("string").alias("PseudoID"), F.concat((F.col("event_id") % 4000).cast("string"), F.lit(" min")).alias("Time"))
+    rows = event.join(texts.select("row_ord", "hospital_id", "text"), "row_ord")
+    return rows.select("row_ord", "hospital_id", "PseudoID", "Time", *[F.when(F.col("event_type") == kind, F.col("text")).alias(raw) for kind, raw in RAW_COLUMNS.items()])
+
+
 def raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event's value as an export might render it: column, text, and what it means (column: `ie_ratio` for clicks)."""
     return table(spark, sf_dir, "events").selectExpr("event_id", "concat('site_', user_id % 8) AS hospital_id", "if(event_type = 'click', 'ie_ratio', event_type) AS column", "event_id % 8 AS form", "cast(floor(value * 100) AS bigint) AS cents").selectExpr(
@@ -91,9 +103,9 @@ BASE_SQL = """
 obs AS (SELECT 'site_' || (user_id % 8) AS hospital_id, CAST(user_id AS VARCHAR) AS stay_id_local, 'site_' || (user_id % 8) || '_' || user_id AS stay_id_global,
         epoch_us(ts) - 1704110400000000 AS time_us, event_id AS row_ord, event_type AS variable, value FROM events),
 static AS (SELECT 'site_' || (c_custkey % 8) AS hospital_id, 'site_' || (c_custkey % 8) || '_' || c_custkey AS stay_id_global, CAST(c_custkey AS VARCHAR) AS stay_id_local, c_mktsegment AS age_group,
-        CAST(CASE WHEN c_custkey % 8 = 3 THEN NULL WHEN c_acctbal < 0 THEN 1 WHEN c_custkey % 11 = 0 THEN NULL ELSE 0 END AS BIGINT) AS icu_mortality,
+        CAST(CASE WHEN c_custkey % 8 IN (3, 7) THEN NULL WHEN c_acctbal < 0 THEN 1 WHEN c_custkey % 11 = 0 THEN NULL ELSE 0 END AS BIGINT) AS icu_mortality,
         CAST(CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) AS icu_readmit, CASE WHEN c_custkey % 8 = 3 THEN NULL ELSE 'given' END AS raw_outcome
-        FROM customer WHERE c_custkey IN (SELECT user_id FROM events)),
+        FROM customer),
 proxy AS (SELECT stay_id_global, max(time_us) AS icu_end_us FROM obs GROUP BY 1),
 stays AS (SELECT s.hospital_id, s.stay_id_global, icu_readmit AS readmission, icu_mortality, CAST(0 AS BIGINT) AS icu_admission_us, icu_end_us, icu_end_us / 3600000000.0 AS icu_end_time_proxy_hours
         FROM static s LEFT JOIN proxy USING (stay_id_global)),
@@ -102,7 +114,8 @@ blocks AS (SELECT hospital_id, stay_id_global, unnest(range(0, block_count)) AS
 inblock AS (SELECT o.*, o.time_us // 28800000000 AS block_index FROM obs o JOIN counts c USING (hospital_id, stay_id_global) WHERE time_us >= 0 AND time_us // 28800000000 < block_count),
 long AS (SELECT hospital_id, stay_id_global, block_index, variable, count(*) AS obs_count, avg(value) AS mean, median(value) AS median, min(value) AS min, max(value) AS max,
         arg_max(value, row(time_us, row_ord)) AS last FROM inblock WHERE value IS NOT NULL GROUP BY ALL),
-cobs AS (SELECT * FROM obs WHERE NOT (hospital_id = 'site_5' AND variable IN ('signup', 'error')) AND CAST(stay_id_local AS BIGINT) % 17 <> 0),
+cobs AS (SELECT * REPLACE (CASE WHEN NOT (hospital_id = 'site_5' AND variable IN ('signup', 'error')) THEN value END AS value) FROM obs),
+delivered AS (SELECT DISTINCT hospital_id, variable FROM cobs WHERE value IS NOT NULL),
 presence AS (SELECT hospital_id, stay_id_global, count(*) AS dynamic_row_count FROM cobs GROUP BY ALL),
 sites AS (SELECT DISTINCT hospital_id FROM static),
 groups(physiologic_group, variable, ord) AS (VALUES ('cardiac_rate', 'click', 0), ('blood_pressure', 'view', 0), ('blood_pressure', 'purchase', 1), ('respiratory', 'signup', 0), ('oxygenation', 'error', 0)),

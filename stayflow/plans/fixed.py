@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 # Names of raw columns of the static and of the time-series exports, and the canonical column of each.
 STATIC_TRANSLATION = {
     "BMI": "bmi_group",
@@ -240,9 +242,9 @@ def dynamic_columns() -> list[str]:
     return PREFIX_COLUMNS + ordered
 
 
-def raw_columns(section: str) -> dict[str, list[str]]:
-    """The raw columns of each canonical one, in the translation's order."""
-    table = STATIC_TRANSLATION if section == "static" else DYNAMIC_TRANSLATION
+def raw_columns(section: str, translation: Mapping[str, str] | None = None) -> dict[str, list[str]]:
+    """The raw columns of each canonical one, in the translation's order (the built-in one, unless another is given)."""
+    table = translation or (STATIC_TRANSLATION if section == "static" else DYNAMIC_TRANSLATION)
     renamed = {"stay_id": "stay_id_local"} | ({"discharge_status": "hosp_mortality", "death_status": "icu_mortality"} if section == "static" else {})
     out: dict[str, list[str]] = {}
     for raw, name in table.items():

@@ -16,6 +16,7 @@ from ..operators import identity as I
 from ..operators import instances as P
 from ..operators import quality as Q
 from ..operators import ventilation as V
+from ..sources.layers import stage
 from . import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,7 +45,8 @@ def register(name: str, sql: str | None) -> Callable[[Query], Query]:
 @lru_cache(maxsize=1)
 def oracle_sql() -> dict[str, str]:
     base = b.base_sql()
-    return {name: f"WITH {base} {sql}" for name, sql in SQL.items()}
+    # a query's own WITH goes on with the views'
+    return {name: f"WITH RECURSIVE {base}, {sql.lstrip().removeprefix('WITH ').removeprefix('RECURSIVE ')}" if sql.lstrip().startswith("WITH ") else f"WITH {base} {sql}" for name, sql in SQL.items()}
 
 
 def r(*columns: str) -> str:
@@ -52,48 +54,98 @@ def r(*columns: str) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
 
 
-def _stays(s, d):
-    return B.stay_level(b.static(s, d), b.obs(s, d))
+def _facts(s, d):
+    """What ends, presence and coverage need of the observations, in one read of them; written, as several tables start from it."""
+    return stage(B.stay_facts(b.cohort_obs(s, d)), "facts")
 
 
-def _counts(s, d):
-    return B.stay_block_counts(_stays(s, d))
+def _settled(df, *columns):
+    """Means rounded to nine digits first: a tie at the sixth is one in both engines, whatever the order of their sums."""
+    return df.withColumns({c: F.round(c, 9) for c in columns})
 
 
-def _features(s, d):
-    return B.blocked_features(b.obs(s, d), _counts(s, d), b.VARIABLES)
+def _static_harmonized(s, d):
+    return H.harmonize_static(b.raw_static(s, d).drop("Pseudo-ID"), F.col("hospital_id"))
+
+
+def _stays(s, d, facts=None):
+    return B.stay_level(b.static(s, d), B.end_time_proxy(b.obs(s, d)) if facts is None else B.ends_of(facts))
+
+
+def _counts(s, d, facts=None):
+    return B.stay_block_counts(_stays(s, d, facts))
+
+
+def _features(s, d, facts=None):
+    counts = stage(_counts(s, d, facts), "counts")
+    return B.blocked_features(stage(B.in_blocks(b.obs(s, d), counts), "placed"), counts, b.VARIABLES)
+
+
+def _validation(s, d):
+    counts = _counts(s, d)
+    return B.block_validation(counts, B.block_index(counts))
+
+
+def _block_qc(s, d):
+    counts = stage(_counts(s, d), "counts")
+    return B.block_qc_summary(counts, B.block_validation(counts, B.block_index(counts)), B.known_rows(b.obs(s, d), counts))
 
 
 def _groups(s):
     return C.group_table(s, b.GROUPS)
 
 
-def _sites(s, d):
-    return C.site_eligibility(_stays(s, d), b.cohort_obs(s, d), _groups(s))
+def _sites(s, d, facts=None):
+    facts = _facts(s, d) if facts is None else facts
+    return C.site_eligibility(_stays(s, d, facts), facts, _groups(s))
 
 
-def _exclusions(s, d):
-    return C.stay_exclusions(_stays(s, d), b.cohort_obs(s, d), _sites(s, d))
+def _exclusions(s, d, facts=None):
+    facts = _facts(s, d) if facts is None else facts
+    return C.stay_exclusions(_stays(s, d, facts), facts, _sites(s, d, facts))
+
+
+def _provenance(s, d):
+    """Sites of every kind: without a source column (3), with an empty one (5), without a raw table (6), with values that were lost (7)."""
+    site = F.col("hospital_id")
+    static = b.static(s, d).withColumn("icu_mortality", F.when(~site.isin("site_3", "site_5", "site_6", "site_7"), F.col("icu_mortality"))).withColumn("raw_outcome", F.when(site != "site_5", F.col("raw_outcome")))
+    columns = static.where(site != "site_3").select("hospital_id", F.lit("raw_outcome").alias("column"))
+    return C.outcome_provenance(static, H.source_map(columns, OUTCOMES), static.where(site != "site_6").select("hospital_id", "raw_outcome"))
+
+
+def _instances(s, d):
+    """Retained stays, features and candidate instances; events are read twice, for the facts and for the blocks."""
+    facts = _facts(s, d)
+    retained = stage(C.retained_stays(_exclusions(s, d, facts)), "retained")
+    features = stage(_features(s, d, facts), "features")
+    return retained, features, P.candidate_instances(retained, features, b.VARIABLES)
 
 
 def _candidates(s, d):
-    return P.candidate_instances(C.retained_stays(_exclusions(s, d)), _features(s, d), b.VARIABLES)
+    return _instances(s, d)[2]
 
 
 def _labels(s, d):
-    return P.labels(P.valid_instances(_candidates(s, d)), C.retained_stays(_exclusions(s, d)))
+    retained, _, candidates = _instances(s, d)
+    return P.labels(P.valid_instances(candidates), retained)
 
 
 def _ready(s, d):
-    return P.model_ready(P.usable_labels(_labels(s, d)), _features(s, d), SELECTED)
+    retained, features, candidates = _instances(s, d)
+    return P.model_ready(P.usable_labels(P.labels(P.valid_instances(candidates), retained)), features, SELECTED)
+
+
+def _times(s, d):
+    return V.supported_times(b.obs(s, d), b.MARKERS)
 
 
 def _episodes(s, d):
-    return V.episodes(V.supported_times(b.obs(s, d), b.MARKERS))
+    return V.episodes(_times(s, d))
 
 
 def _vent(s, d):
-    return V.stay_qc(b.static(s, d), V.supported_times(b.obs(s, d), b.MARKERS), _episodes(s, d))
+    times = stage(_times(s, d), "times")
+    return V.stay_qc(b.static(s, d), times, V.episodes(times))
 
 
 def _rules(s):
@@ -117,7 +169,7 @@ register("stay_level", f"SELECT hospital_id, stay_id_global, readmission, icu_mo
 register("stay_summary", """SELECT unnest(['rows', 'unique_stays', 'with_end', 'without_end']) AS metric,
     unnest([CAST(count(*) AS DOUBLE), count(DISTINCT stay_id_global), count(icu_end_us), count(*) - count(icu_end_us)]) AS value FROM stays""")(lambda s, d: B.stay_summary(_stays(s, d)))
 register("proxy_summary_by_hospital", """SELECT hospital_id, count(*) AS stays, count(icu_end_us) AS with_end, count(*) - count(icu_end_us) AS without_end, round(min(icu_end_time_proxy_hours), 6) AS min_h,
-    round(avg(icu_end_time_proxy_hours), 6) AS mean_h, round(median(icu_end_time_proxy_hours), 6) AS median_h, round(max(icu_end_time_proxy_hours), 6) AS max_h FROM stays GROUP BY 1""")(lambda s, d: B.proxy_summary_by_hospital(_stays(s, d)))
+    round(round(avg(icu_end_time_proxy_hours), 9), 6) AS mean_h, round(median(icu_end_time_proxy_hours), 6) AS median_h, round(max(icu_end_time_proxy_hours), 6) AS max_h FROM stays GROUP BY 1""")(lambda s, d: _settled(B.proxy_summary_by_hospital(stage(_stays(s, d), "stays")), "mean_h"))
 register("coding_distribution", """SELECT hospital_id, variable, code, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY hospital_id, variable), 6) AS share FROM
     (SELECT hospital_id, 'readmission' AS variable, CAST(readmission AS VARCHAR) AS code FROM stays UNION ALL SELECT hospital_id, 'icu_mortality', CAST(icu_mortality AS VARCHAR) FROM stays) GROUP BY hospital_id, variable, code""")(lambda s, d: B.value_counts(_stays(s, d), ["readmission", "icu_mortality"]))
 register("stay_block_counts", """SELECT *, block_count > 0 AS has_block, coalesce(icu_end_us > 0 AND icu_end_us % 28800000000 = 0, false) AS ends_on_boundary, block_count * 8 AS terminal_block_end_h FROM counts""")(_counts)
@@ -128,13 +180,28 @@ register("negative_time_qc", """SELECT hospital_id, stay_id_global, count(*) AS
     lambda s, d: B.negative_time_qc(b.obs(s, d)).withColumn("examples", F.array_join(F.col("examples").cast("array<string>"), ","))
 )
 register("block_validation", """SELECT hospital_id, stay_id_global, block_count, coalesce(g, 0) AS generated, max_end_h, block_count * 8 AS terminal_block_end_h, true AS ok FROM counts
-    LEFT JOIN (SELECT stay_id_global, count(*) AS g, max(block_index) * 8 + 8 AS max_end_h FROM blocks GROUP BY 1) USING (stay_id_global)""")(lambda s, d: B.block_validation(_counts(s, d), B.block_index(_counts(s, d))))
+    LEFT JOIN (SELECT stay_id_global, count(*) AS g, max(block_index) * 8 + 8 AS max_end_h FROM blocks GROUP BY 1) USING (stay_id_global)""")(_validation)
 register("block_count_distribution", "SELECT hospital_id, block_count, count(*) AS stays, round(count(*) / sum(count(*)) OVER (PARTITION BY hospital_id), 6) AS share FROM counts GROUP BY hospital_id, block_count")(lambda s, d: B.block_count_distribution(_counts(s, d)))
-register("block_qc_summary", """SELECT unnest(['stays', 'stays_with_block', 'stays_without_block', 'stays_ending_on_boundary', 'blocks', 'most_blocks']) AS metric,
-    unnest([CAST(count(*) AS DOUBLE), count(*) FILTER (block_count > 0), count(*) FILTER (block_count = 0), count(*) FILTER (icu_end_us > 0 AND icu_end_us % 28800000000 = 0), sum(block_count), max(block_count)]) AS value FROM counts
-    UNION ALL SELECT unnest(['blocks_with_rows', 'blocks_without_rows', 'rows_in_blocks', 'measurements_in_blocks']),
-    unnest([CAST(count(*) FILTER (dynamic_row_count > 0) AS DOUBLE), count(*) FILTER (dynamic_row_count = 0), sum(dynamic_row_count), sum(non_missing_measurements_in_block)]) FROM features""")(lambda s, d: B.block_qc_summary(_counts(s, d), _features(s, d)))
-register("example_stays", None)(lambda s, d: B.example_stays(_counts(s, d)))
+register("block_qc_summary", """WITH ends AS (SELECT c.*, icu_end_us > 0 AND icu_end_us % 28800000000 = 0 AS boundary, (SELECT max(block_index) * 8 + 8 FROM blocks k WHERE k.stay_id_global = c.stay_id_global) AS max_end_h FROM counts c),
+    known AS (SELECT o.* FROM obs o WHERE (hospital_id, stay_id_global) IN (SELECT (hospital_id, stay_id_global) FROM counts))
+    SELECT unnest(['block_size_hours', 'stays_total', 'stays_with_zero_blocks', 'stays_with_one_or_more_blocks', 'stays_ending_exactly_on_8h_boundary', 'block_index_is_generic_pre_analytic_structure', 'block_rows_total',
+        'all_constructed_blocks_end_on_or_before_icu_end_time_proxy', 'exact_boundary_stays_have_terminal_block_end_equal_proxy']) AS metric,
+    unnest([CAST(8 AS DOUBLE), count(*), count(*) FILTER (block_count = 0), count(*) FILTER (block_count > 0), count(*) FILTER (boundary), 1, (SELECT count(*) FROM blocks), min(CASE WHEN max_end_h * 3600000000 > icu_end_us THEN 0 ELSE 1 END),
+        min(CASE WHEN boundary AND block_count * 28800000000 <> icu_end_us THEN 0 ELSE 1 END)]) AS value FROM ends
+    UNION ALL SELECT unnest(['dynamic_rows_total', 'negative_dynamic_time_rows_in_input', 'negative_dynamic_time_stays_in_input']), unnest([CAST(count(*) AS DOUBLE), count(*) FILTER (time_us < 0), count(DISTINCT stay_id_global) FILTER (time_us < 0)]) FROM known""")(_block_qc)
+EXAMPLES = """WITH RECURSIVE ranked AS (SELECT k, name, hospital_id, stay_id_global, icu_end_us, block_count, row_number() OVER (PARTITION BY k ORDER BY CASE k WHEN 4 THEN -block_count ELSE block_count END,
+        CASE k WHEN 4 THEN -coalesce(icu_end_us, -1) ELSE 0 END, hospital_id, stay_id_global) AS r FROM counts,
+        (VALUES (0, 'zero_blocks'), (1, 'exact_8h_boundary'), (2, 'single_block'), (3, 'multiple_blocks'), (4, 'max_block_count'), (5, 'additional_example')) n(k, name)
+        WHERE CASE k WHEN 0 THEN block_count = 0 WHEN 1 THEN coalesce(icu_end_us > 0 AND icu_end_us % 28800000000 = 0, false) WHEN 2 THEN block_count = 1 WHEN 3 THEN block_count >= 2 ELSE true END),
+    steps AS (SELECT least(i, 5) AS k, i FROM range(0, 10) x(i)),
+    taken(i, ids, names) AS (SELECT CAST(-1 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]) UNION ALL
+        SELECT t.i + 1, CASE WHEN len(t.ids) < 5 AND p.id IS NOT NULL THEN list_append(t.ids, p.id) ELSE t.ids END, CASE WHEN len(t.ids) < 5 AND p.id IS NOT NULL THEN list_append(t.names, p.name) ELSE t.names END
+        FROM taken t JOIN steps s ON s.i = t.i + 1 LEFT JOIN LATERAL (SELECT first(stay_id_global ORDER BY r) AS id, first(name ORDER BY r) AS name FROM ranked WHERE ranked.k = s.k AND NOT list_contains(t.ids, stay_id_global)) p ON true),
+    chosen AS (SELECT unnest(ids) AS id, unnest(names) AS example_type FROM taken WHERE i = 9)
+    SELECT example_type, hospital_id, stay_id_global, round(icu_end_us / 3600000000.0, 6) AS icu_end_time_proxy_hours, block_count,
+        coalesce((SELECT string_agg('[' || block_index * 8 || ', ' || block_index * 8 + 8 || ')', ', ' ORDER BY block_index) FROM blocks k WHERE k.stay_id_global = c.stay_id_global), '') AS block_boundaries
+    FROM chosen JOIN counts c ON c.stay_id_global = id"""
+register("example_stays", EXAMPLES)(lambda s, d: B.example_stays(_counts(s, d)))
 
 # ventilation support
 
@@ -152,7 +219,9 @@ register("distribution_summary_lineitem", f"""SELECT hospital_id, variable, n, {
     quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3, max(value) AS max FROM (SELECT l_suppkey, unnest(['quantity', 'extendedprice', 'discount', 'tax']) AS variable, unnest([l_quantity, l_extendedprice, l_discount, l_tax]) AS value FROM lineitem)
     WHERE value IS NOT NULL GROUP BY ALL HAVING count(*) >= 20))""")(lambda s, d: Q.distribution_summary(_long_lineitem(s, d)))
 register("distribution_issues", "SELECT * FROM issues")(lambda s, d: Q.distribution_issues(Q.distribution_summary(b.obs(s, d))))
-register("invalid_value_cleaned", "SELECT hospital_id, stay_id_local, stay_id_global, time_us, row_ord, variable, CASE WHEN NOT bad THEN round(value, 6) END AS value FROM judged")(lambda s, d: Q.clean_invalid(b.obs(s, d), _rules(s)))
+register("numeric_summary", """SELECT variable, count(value) AS n, round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q1, round(median(value), 6) AS median, round(quantile_cont(value, 0.75), 6) AS q3, round(max(value), 6) AS max,
+    round(quantile_cont(value, 0.75) - quantile_cont(value, 0.25), 6) AS iqr, array_to_string(list_transform(list_slice(list_sort(list(DISTINCT value)), 1, 10), lambda x: printf('%.4f', x)), ',') AS examples FROM obs WHERE value IS NOT NULL GROUP BY 1""")(lambda s, d: Q.numeric_summary(b.obs(s, d)))
+register("invalid_value_cleaned", "SELECT o.hospital_id, o.stay_id_local, o.stay_id_global, o.time_us, o.row_ord, o.variable, CASE WHEN NOT coalesce(bad, false) THEN round(o.value, 6) END AS value FROM obs o LEFT JOIN judged USING (row_ord)")(lambda s, d: Q.clean_invalid(b.obs(s, d), _rules(s)))
 register("invalid_value_qc", """SELECT hospital_id, variable, non_null_before, non_null_before - invalid_count AS non_null_after, invalid_count, round(CASE WHEN non_null_before > 0 THEN invalid_count / non_null_before ELSE 0 END, 6) AS invalid_proportion,
     coalesce(examples, '') AS invalid_examples, total AS variable_total_invalid_count, round(CASE WHEN total > 0 THEN invalid_count / total ELSE 0 END, 6) AS site_share, CASE WHEN total > 0 THEN first END AS dominant_site,
     round(CASE WHEN total > 0 THEN most / total ELSE 0 END, 6) AS dominant_share, total >= 5 AND most / total >= 0.5 AS concentrated FROM (SELECT *, CAST(sum(invalid_count) OVER (PARTITION BY variable) AS BIGINT) AS total, max(invalid_count) OVER (PARTITION BY variable) AS most,
@@ -179,12 +248,14 @@ register("schema_summary", """SELECT s.hospital_id, coalesce((SELECT count(*) FR
     coalesce((SELECT string_agg(v.variable, ',' ORDER BY v.variable) FROM (SELECT DISTINCT variable FROM obs) v WHERE v.variable NOT IN (SELECT variable FROM cobs c WHERE c.hospital_id = s.hospital_id AND value IS NOT NULL)), '') AS all_missing FROM sites s""")(
     lambda s, d: Q.schema_summary(b.cohort_obs(s, d), b.static(s, d), b.VARIABLES)
 )
-register("describe_by_hospital", """SELECT hospital_id, variable, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
-    round(quantile_cont(value, 0.75), 6) AS q75, round(max(value), 6) AS max FROM obs GROUP BY ALL""")(lambda s, d: Q.describe_by_hospital(b.obs(s, d)))
+register("describe_by_hospital", """SELECT hospital_id, variable, count(value) AS n, round(round(avg(value), 9), 6) AS mean, round(round(stddev_samp(value), 9), 6) AS std, round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
+    round(quantile_cont(value, 0.75), 6) AS q75, round(max(value), 6) AS max FROM obs GROUP BY ALL""")(lambda s, d: _settled(Q.describe_by_hospital(b.obs(s, d)), "mean", "std"))
 register("time_coverage", "SELECT hospital_id, count(*) AS rows, count(DISTINCT stay_id_global) AS stays, min(time_us) AS min_us, max(time_us) AS max_us FROM obs GROUP BY 1")(lambda s, d: Q.time_coverage(b.obs(s, d)))
-register("categorical_values", "SELECT hospital_id, 'age_group' AS variable, age_group AS code, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY hospital_id), 6) AS share FROM static GROUP BY hospital_id, age_group")(
-    lambda s, d: B.value_counts(b.static(s, d), ["age_group"])
-)
+CATEGORIES = ["sex", "bmi_group", "hosp_mortality", "icu_mortality"]
+register("categorical_values", """SELECT hospital_id, variable, code, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY hospital_id, variable), 6) AS share FROM
+    (SELECT hospital_id, unnest(['sex', 'bmi_group', 'hosp_mortality', 'icu_mortality']) AS variable, unnest([CASE k % 5 WHEN 0 THEN 'F' WHEN 1 THEN 'M' WHEN 2 THEN 'M' WHEN 3 THEN 'X' END, CASE k % 9 WHEN 0 THEN 'Underweight' WHEN 1 THEN 'Normal Weight' WHEN 2 THEN 'Overweight'
+    WHEN 3 THEN 'Obesity Class 1' WHEN 4 THEN 'Obesity Class 2' WHEN 5 THEN 'Obesity Class 3' WHEN 7 THEN 'Z' END, CASE k % 6 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THEN '1' WHEN 4 THEN '0' END, CASE k % 5 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN '0' END]) AS code FROM rawstatic)
+    GROUP BY hospital_id, variable, code""")(lambda s, d: B.value_counts(_static_harmonized(s, d), CATEGORIES))
 MARKETS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 register("categorical_pivot", "SELECT hospital_id, " + ", ".join(f"count(*) FILTER (age_group = '{m}') AS age_group_{m}" for m in MARKETS) + " FROM static GROUP BY 1")(lambda s, d: Q.crosstab(b.static(s, d), "hospital_id", "age_group", MARKETS))
 register("variable_crosstab", "SELECT CAST(icu_mortality AS VARCHAR) AS icu_mortality, count(*) FILTER (icu_readmit = 0) AS icu_readmit_0, count(*) FILTER (icu_readmit = 1) AS icu_readmit_1 FROM static GROUP BY 1")(
@@ -203,34 +274,42 @@ register("column_profile", """SELECT "column", type, count(v) AS non_null, count
 
 def _columns(s, d):
     """The variables that each hospital delivers, taken for the columns of its export."""
-    return b.cohort_obs(s, d).select("hospital_id", F.col("variable").alias("column")).distinct()
+    return b.cohort_obs(s, d).where("value IS NOT NULL").select("hospital_id", F.col("variable").alias("column")).distinct()
 
 
-register("schema_comparison", """SELECT s.hospital_id, list_sort(list(DISTINCT variable)) = (SELECT list_sort(list(DISTINCT variable)) FROM cobs WHERE hospital_id = 'site_0') AS same,
-    coalesce((SELECT string_agg(DISTINCT v, ',' ORDER BY v) FROM (SELECT variable AS v FROM cobs WHERE hospital_id = 'site_0' EXCEPT SELECT variable FROM cobs WHERE hospital_id = s.hospital_id)), '') AS missing,
-    coalesce((SELECT string_agg(DISTINCT v, ',' ORDER BY v) FROM (SELECT variable AS v FROM cobs WHERE hospital_id = s.hospital_id EXCEPT SELECT variable FROM cobs WHERE hospital_id = 'site_0')), '') AS extra,
-    coalesce((SELECT string_agg(DISTINCT v, ',' ORDER BY v) FROM (SELECT variable AS v FROM cobs WHERE hospital_id = s.hospital_id INTERSECT SELECT variable FROM cobs WHERE hospital_id = 'site_0')), '') AS common FROM cobs s GROUP BY 1""")(
+register("schema_comparison", """SELECT s.hospital_id, list_sort(list(DISTINCT variable)) = (SELECT list_sort(list(DISTINCT variable)) FROM delivered WHERE hospital_id = 'site_0') AS same,
+    coalesce((SELECT string_agg(DISTINCT v, ',' ORDER BY v) FROM (SELECT variable AS v FROM delivered WHERE hospital_id = 'site_0' EXCEPT SELECT variable FROM delivered WHERE hospital_id = s.hospital_id)), '') AS missing,
+    coalesce((SELECT string_agg(DISTINCT v, ',' ORDER BY v) FROM (SELECT variable AS v FROM delivered WHERE hospital_id = s.hospital_id EXCEPT SELECT variable FROM delivered WHERE hospital_id = 'site_0')), '') AS extra,
+    coalesce((SELECT string_agg(DISTINCT v, ',' ORDER BY v) FROM (SELECT variable AS v FROM delivered WHERE hospital_id = s.hospital_id INTERSECT SELECT variable FROM delivered WHERE hospital_id = 'site_0')), '') AS common FROM delivered s GROUP BY 1""")(
     lambda s, d: Q.schema_comparison(_columns(s, d), "site_0")
 )
 KNOWN = ["click", "view", "error", "refund"]
-register("translation_coverage", """SELECT DISTINCT hospital_id, variable AS "column", 'unmapped' AS state FROM cobs WHERE variable NOT IN ('click', 'view', 'error', 'refund') UNION ALL
-    SELECT h.hospital_id, k.c, 'unused' FROM (SELECT DISTINCT hospital_id FROM cobs) h, (VALUES ('click'), ('view'), ('error'), ('refund')) k(c) WHERE NOT EXISTS (SELECT 1 FROM cobs o WHERE o.hospital_id = h.hospital_id AND o.variable = k.c)""")(
+register("translation_coverage", """SELECT DISTINCT hospital_id, variable AS "column", 'unmapped' AS state FROM delivered WHERE variable NOT IN ('click', 'view', 'error', 'refund') UNION ALL
+    SELECT h.hospital_id, k.c, 'unused' FROM (SELECT DISTINCT hospital_id FROM delivered) h, (VALUES ('click'), ('view'), ('error'), ('refund')) k(c) WHERE NOT EXISTS (SELECT 1 FROM delivered o WHERE o.hospital_id = h.hospital_id AND o.variable = k.c)""")(
     lambda s, d: Q.translation_coverage(_columns(s, d), s.createDataFrame([(k,) for k in KNOWN], "column string"))
 )
 MAPPING = {"interaction": ["view", "click"], "fault": ["error"], "commerce": ["purchase", "signup"]}
-register("source_map", """SELECT h.hospital_id, m.name AS canonical_name, coalesce(string_agg(m.c, ',' ORDER BY m.i) FILTER (EXISTS (SELECT 1 FROM cobs o WHERE o.hospital_id = h.hospital_id AND o.variable = m.c)), '') AS raw_columns
-    FROM (SELECT DISTINCT hospital_id FROM cobs) h, (VALUES ('interaction', 'view', 0), ('interaction', 'click', 1), ('fault', 'error', 0), ('commerce', 'purchase', 0), ('commerce', 'signup', 1)) m(name, c, i) GROUP BY ALL""")(
+register("source_map", """SELECT h.hospital_id, m.name AS canonical_name, coalesce(string_agg(m.c, ',' ORDER BY m.i) FILTER (EXISTS (SELECT 1 FROM delivered o WHERE o.hospital_id = h.hospital_id AND o.variable = m.c)), '') AS raw_columns
+    FROM (SELECT DISTINCT hospital_id FROM delivered) h, (VALUES ('interaction', 'view', 0), ('interaction', 'click', 1), ('fault', 'error', 0), ('commerce', 'purchase', 0), ('commerce', 'signup', 1)) m(name, c, i) GROUP BY ALL""")(
     lambda s, d: H.source_map(_columns(s, d), MAPPING)
 )
+THEMES = {"web": ["interaction"], "trouble": ["fault"]}
+register("source_map_themes", """SELECT DISTINCT CASE m.name WHEN 'interaction' THEN 'web' WHEN 'fault' THEN 'trouble' END AS theme, m.name AS canonical_name, coalesce((SELECT string_agg(n.c, ',' ORDER BY n.i) FROM
+    (VALUES ('interaction', 'view', 0), ('interaction', 'click', 1), ('fault', 'error', 0), ('commerce', 'purchase', 0), ('commerce', 'signup', 1)) n(name, c, i) WHERE n.name = m.name AND EXISTS (SELECT 1 FROM delivered o WHERE o.hospital_id = h.hospital_id AND o.variable = n.c)), '') AS raw_columns
+    FROM (SELECT DISTINCT hospital_id FROM delivered) h, (VALUES ('interaction'), ('fault'), ('commerce')) m(name)""")(lambda s, d: H.with_themes(H.source_map(_columns(s, d), MAPPING), THEMES))
 
 # raw exports
 
+
 register("static_harmonized", """SELECT hospital_id, hospital_id || '_' || k AS stay_id_global, CAST(k AS VARCHAR) AS stay_id_local, c_mktsegment AS age_group, CASE k % 5 WHEN 0 THEN 'F' WHEN 1 THEN 'M' WHEN 2 THEN 'M' WHEN 3 THEN 'X' END AS sex, CAST(NULL AS VARCHAR) AS height_group,
     CAST(NULL AS VARCHAR) AS weight_group, CASE k % 9 WHEN 0 THEN 'Underweight' WHEN 1 THEN 'Normal Weight' WHEN 2 THEN 'Overweight' WHEN 3 THEN 'Obesity Class 1' WHEN 4 THEN 'Obesity Class 2' WHEN 5 THEN 'Obesity Class 3' WHEN 7 THEN 'Z' END AS bmi_group,
     CAST(CASE k % 6 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 4 THEN 0 END AS BIGINT) AS hosp_mortality, CAST(CASE k % 5 WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 0 END AS BIGINT) AS icu_mortality, CAST(NULL AS BIGINT) AS hosp_los,
     CAST(CASE WHEN k % 7 = 0 OR k % 10 = 0 THEN NULL ELSE k % 40 END AS BIGINT) AS icu_los, CAST(CASE WHEN k % 11 = 0 THEN NULL WHEN k % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS icu_readmit, CAST(NULL AS BIGINT) AS dialysis_free_days, CAST(NULL AS BIGINT) AS vent_free_days, CAST(NULL AS VARCHAR) AS icd10_codes FROM rawstatic""")(
-    lambda s, d: H.harmonize_static(b.raw_static(s, d).drop("Pseudo-ID"), F.col("hospital_id"))
+    _static_harmonized
 )
+register("static_with_blocks", "SELECT s.hospital_id, s.stay_id_global, s.age_group, s.icu_mortality, c.icu_end_us, c.block_count, round(c.icu_end_us / 3600000000.0, 6) AS icu_end_time_proxy_hours FROM static s LEFT JOIN counts c USING (stay_id_global)")(
+    lambda s, d: C.with_block_counts(b.static(s, d).select("hospital_id", "stay_id_global", "age_group", "icu_mortality"), _counts(s, d))
+)
 register("unexpected_categories", """SELECT hospital_id, c AS "column", v AS value, count(*) AS n FROM (SELECT hospital_id, 'sex' AS c, 'X' AS v FROM rawstatic WHERE k % 5 = 3 UNION ALL SELECT hospital_id, 'bmi_group', 'Z' FROM rawstatic WHERE k % 9 = 7
     UNION ALL SELECT hospital_id, 'hosp_mortality', 'unknown' FROM rawstatic WHERE k % 6 = 3 UNION ALL SELECT hospital_id, 'icu_mortality', 'weird' FROM rawstatic WHERE k % 5 = 3) GROUP BY ALL""")(lambda s, d: H.unexpected_categories(b.raw_static(s, d), F.col("hospital_id")))
 register("alias_agreement", "SELECT hospital_id, count(*) FILTER (k % 97 = 0) AS different_rows, count(*) FILTER (k % 97 = 0) = 0 AS agree FROM rawstatic GROUP BY 1")(lambda s, d: H.alias_agreement(b.raw_static(s, d), F.col("hospital_id"), "PseudoID", "Pseudo-ID"))
@@ -245,6 +324,10 @@ def _parsed(s, d):
 
 
 register("dynamic_harmonized", f"SELECT event_id, hospital_id, col AS variable, {r('value')} FROM parsed")(lambda s, d: _parsed(s, d).select("event_id", "hospital_id", F.col("column").alias("variable"), F.col("parsed").alias("value")))
+NAMES = {"click": "ie_ratio", "view": "heart_rate", "purchase": "peep", "error": "crp", "signup": "spo2"}
+register("dynamic_harmonized_table", "SELECT p.hospital_id, CAST(user_id AS VARCHAR) AS stay_id_local, p.hospital_id || '_' || user_id AS stay_id_global, (p.event_id % 4000) * 60000000 AS time_us, p.event_id AS row_ord, CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in NAMES.items()) + " END AS variable, round(p.value, 6) AS value FROM parsed p JOIN events e USING (event_id) WHERE p.value IS NOT NULL")(
+    lambda s, d: H.harmonize_dynamic_long(b.raw_dynamic(s, d), F.col("hospital_id"), laboratory_site=b.LAB_SITE)
+)
 register("non_numeric_issues", """SELECT hospital_id, col AS "column", count(*) FILTER (form <> 5) AS non_null, count(*) FILTER (form <> 5 AND plain IS NULL) AS non_numeric, count(*) FILTER (plain IS NULL AND value IS NOT NULL) AS resolved,
     count(*) FILTER (form <> 5 AND value IS NULL) AS unresolved, coalesce(array_to_string(list_slice(list_sort(list(DISTINCT text) FILTER (form <> 5 AND value IS NULL)), 1, 10), '|'), '') AS examples FROM parsed GROUP BY ALL HAVING count(*) FILTER (form <> 5 AND plain IS NULL) > 0""")(
     lambda s, d: Q.non_numeric_issues(_parsed(s, d))
@@ -280,7 +363,10 @@ register("stay_id_summary", f"""SELECT unnest(['static_rows', 'static_stays']) A
 register("dynamic_presence", "SELECT *, true AS has_dynamic_data FROM presence")(lambda s, d: C.dynamic_presence(b.cohort_obs(s, d)))
 register("vital_group_coverage", "SELECT * FROM coverage")(lambda s, d: C.vital_group_coverage(b.static(s, d), b.cohort_obs(s, d), _groups(s)))
 register("site_eligibility", "SELECT * FROM eligibility")(_sites)
-register("outcome_provenance", "SELECT hospital_id, count(icu_mortality) AS harmonized_non_null, count(raw_outcome) AS raw_non_null, CASE WHEN count(icu_mortality) > 0 THEN 'harmonized_values' WHEN count(raw_outcome) > 0 THEN 'raw_values_lost' ELSE 'no_values' END AS status FROM static GROUP BY 1")(lambda s, d: C.outcome_provenance(b.static(s, d)))
+OUTCOMES = {"icu_mortality": ["raw_outcome"]}
+register("outcome_provenance", """SELECT hospital_id, count(icu_mortality) AS harmonized_non_null, CASE WHEN hospital_id = 'site_6' THEN NULL ELSE count(raw_outcome) END AS raw_non_null, CASE WHEN count(icu_mortality) > 0 THEN 'verified_non_missing_harmonized_icu_mortality'
+    WHEN hospital_id = 'site_6' THEN 'raw_source_verification_not_available' WHEN hospital_id = 'site_3' THEN 'verified_no_raw_icu_mortality_source_column' WHEN count(raw_outcome) = 0 THEN 'verified_raw_icu_mortality_source_present_but_all_missing' ELSE 'raw_values_lost' END AS status
+    FROM (SELECT * REPLACE (CASE WHEN hospital_id IN ('site_3', 'site_5', 'site_6', 'site_7') THEN NULL ELSE icu_mortality END AS icu_mortality, CASE WHEN hospital_id = 'site_5' THEN NULL ELSE raw_outcome END AS raw_outcome) FROM static) GROUP BY 1""")(_provenance)
 register("site_counts", "SELECT unnest(['hospitals_before', 'hospitals_after', 'hospitals_excluded']) AS metric, unnest([CAST(count(*) AS DOUBLE), count(*) FILTER (site_included), count(*) FILTER (NOT site_included)]) AS value FROM eligibility")(lambda s, d: C.site_counts(_sites(s, d)))
 register("stay_exclusions", f"SELECT * REPLACE ({r('icu_end_time_proxy_hours')}) FROM exclusions")(_exclusions)
 register("attrition_by_hospital", "SELECT hospital_id, count(*) AS before, count(*) FILTER (after_site) AS after_site, count(*) FILTER (after_no_data) AS after_no_data, count(*) FILTER (after_missing_readmission) AS after_missing_readmission, count(*) FILTER (retained) AS retained FROM exclusions GROUP BY 1")(lambda s, d: C.attrition_by_hospital(_exclusions(s, d)))

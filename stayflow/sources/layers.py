@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,24 +10,30 @@ from pyspark.sql import types as T
 
 from ..operators.checks import require_none
 from .raw import exists
+from .staging import clear, shared_folder, stage  # noqa: F401
 
 FORMATS = ("csv", "parquet")
-#: Tables of each layer by folder.
-HARMONIZED = {"static": ["static", "source_map", "categorical_values", "unexpected_categories"], "dynamic": ["dynamic", "source_map", "schema_summary", "distribution_summary", "distribution_issues", "non_numeric_issues", "semantic_decisions", "invalid_value_rules", "invalid_value_qc"]}
-MODEL_INPUTS = ["stay_level", "stay_block_counts", "block_index", "blocked_features", "dynamic"]
-
-
-def stage(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written to the folder that all executors share (spark.checkpoint.dir) and read back: what many reports read is made once."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="stayflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+# The tables of each layer by folder, as (file, table of `plans.layers`); what the last layer starts from.
+HARMONIZED = {
+    "static": [("harmonized", "static"), ("source_map", "static_source_map"), ("schema_summary", "static_schema_summary"), ("categorical_value_summary", "categorical_values"), ("unexpected_categories", "unexpected_categories")],
+    "dynamic": [("harmonized", "dynamic"), ("wide", "dynamic_wide"), ("source_map", "dynamic_source_map"), ("schema_summary", "schema_summary"), ("non_numeric_issues", "non_numeric_issues"), ("semantic_decisions", "semantic_decisions"), ("invalid_value_rules", "invalid_value_rules"), ("invalid_value_qc", "invalid_value_qc"), ("distribution_summary", "distribution_summary"), ("distribution_issues", "distribution_issues")],
+    "qc": [("stay_id_summary", "stay_id_summary"), ("stay_id_unique_stays_per_hospital", "unique_stays_per_hospital"), ("stay_id_local_id_collisions", "local_id_collisions"), ("stay_id_missing_id_values", "missing_id_rows"), ("stay_id_duplicate_static_global_ids", "static_duplicates"), ("stay_id_mapping_failures", "mapping_failures"), ("stay_id_duplicate_dynamic_time_index", "duplicate_time_rows"), ("mech_vent_ge_24h_stay_level", "vent_stay_level"), ("mech_vent_ge_24h_episode_level", "vent_episodes"), ("mech_vent_ge_24h_hospital_summary", "vent_hospital_summary"), ("mech_vent_ge_24h_failed_stays", "vent_failed_stays")],
+}
+STANDARDIZED = {
+    "cohort": [("stay_level", "stay_level"), ("summary", "stay_summary"), ("icu_end_time_proxy_summary_by_hospital", "proxy_summary_by_hospital"), ("coding_distribution_by_hospital", "coding_distribution")],
+    "blocked": [("asic_8h_block_index", "block_index"), ("asic_8h_blocked_dynamic_features", "blocked_features"), ("asic_8h_stay_block_counts", "stay_block_counts"), ("asic_8h_block_count_distribution_by_hospital", "block_count_distribution"), ("asic_8h_negative_dynamic_time_qc", "negative_time_qc"), ("asic_8h_validation", "block_validation"), ("asic_8h_qc_summary", "block_qc_summary"), ("asic_8h_example_stays", "example_stays")],
+}
+RESTRICTED = {"cohort": [(n, n) for n in ("vital_group_coverage", "outcome_provenance", "site_eligibility", "site_counts", "stay_exclusions", "exclusion_summary_by_hospital", "attrition_by_hospital", "retained_hospitals", "retained_stays", "retained_table")], "blocked": STANDARDIZED["blocked"]}
+MODEL_READY = {
+    "cohort": [("chapter1_core_vital_group_coverage", "vital_group_coverage"), ("chapter1_site_eligibility", "site_eligibility"), ("chapter1_site_counts_summary", "site_counts"), ("chapter1_stay_exclusions", "stay_exclusions"), ("chapter1_stay_exclusion_summary_by_hospital", "exclusion_summary_by_hospital"), ("chapter1_counts_by_hospital", "attrition_by_hospital"), ("chapter1_retained_hospitals", "retained_hospitals"), ("chapter1_retained_stays", "retained_stays"), ("chapter1_retained_stay_table", "retained_table")],
+    "instances": [("chapter1_candidate_instances", "candidate_instances"), ("chapter1_valid_instances", "valid_instances"), ("chapter1_instance_counts_by_horizon", "instance_counts"), ("chapter1_instance_exclusion_summary", "instance_exclusions")],
+    "labels": [("chapter1_terminal_icu_mortality_labels", "labels"), ("chapter1_terminal_icu_mortality_usable_labels", "usable_labels"), ("chapter1_terminal_icu_mortality_label_summary_by_horizon", "label_summary")],
+    "model_ready": [("chapter1_feature_set", "feature_set"), ("chapter1_model_ready_dataset", "model_ready"), ("chapter1_readiness_summary", "readiness_summary"), ("chapter1_feature_availability_by_horizon", "feature_availability")],
+}
+MODEL_INPUTS = ["static/harmonized", "dynamic/harmonized", "blocked/asic_8h_block_index", "blocked/asic_8h_blocked_dynamic_features", "blocked/asic_8h_stay_block_counts"]
+MODEL_OPTIONAL = ["cohort/stay_level"]
+#: Columns that order a written table, the first ones of these that it has.
+ORDER = ("hospital_id", "stay_id_global", "block_index", "horizon_h", "time_us", "row_ord", "variable", "metric", "column", "canonical_name", "feature", "code", "value")
 
 def flat(df: DataFrame) -> DataFrame:
     """Arrays, maps and structs as JSON text (arrays sorted where they can be), for formats without nesting."""
@@ -44,6 +48,12 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def ordered(df: DataFrame) -> DataFrame:
+    """Sorted by the columns of ORDER that it has, nulls last: one range partitioning, at the sink only."""
+    keys = [c for c in ORDER if c in df.columns and isinstance(df.schema[c].dataType, T.AtomicType)]
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in keys]) if keys else df
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt}; known: {', '.join(FORMATS)}")
@@ -52,7 +62,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
 
 
 def append_csv(df: DataFrame, path: str) -> None:
-    """Further part files of a CSV table, each with the header."""
+    """Further part files of a CSV table. Each part file of Spark's has the header, which `read_table` takes from every one; the columns must be the table's."""
+    spark = df.sparkSession
+    if exists(spark, path):
+        have = read_table(spark, path).columns
+        if have != df.columns:
+            raise ValueError(f"columns {df.columns} are not those of {path}: {have}")
     write_table(df, path, "csv", "append")
 
 
@@ -66,23 +81,28 @@ def read_table(spark: SparkSession, path: str, schema: str | T.StructType | None
     raise ValueError(f"{path} is neither .csv nor .parquet")
 
 
-def write_layer(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet", mode: str = "errorifexists") -> list[str]:
-    """Write named tables (`group/name` or `name`) below a folder; the paths written."""
-    paths = []
-    for name, df in tables.items():
-        paths.append(f"{folder}/{name}.{fmt}")
-        write_table(df, paths[-1], fmt, mode)
-    return paths
+def write_layer(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet", mode: str = "errorifexists", layout: Mapping[str, Sequence[tuple[str, str]]] | None = None) -> list[str]:
+    """Write named tables below a folder, each in its order; the paths written.
+
+    layout: the folders and files of a layer, all of which must be there; without it every table goes by its own name.
+    """
+    files = {f"{group}/{file}": name for group, pairs in layout.items() for file, name in pairs} if layout else {n: n for n in tables}
+    missing = sorted(set(files.values()) - set(tables))
+    if missing:
+        raise KeyError(f"the layer lacks tables {missing}")
+    for file, name in files.items():
+        write_table(ordered(tables[name]), f"{folder}/{file}.{fmt}", fmt, mode)
+    return [f"{folder}/{file}.{fmt}" for file in files]
 
 
-def load_layer(spark: SparkSession, folder: str, required: Sequence[str], optional: Sequence[str] = (), fmt: str = "parquet") -> dict[str, DataFrame]:
-    """The tables of a layer; all that are missing are named in one error."""
+def load_layer(spark: SparkSession, folder: str, required: Sequence[str] = MODEL_INPUTS, optional: Sequence[str] = MODEL_OPTIONAL, fmt: str = "parquet", schemas: Mapping[str, str | T.StructType] | None = None) -> dict[str, DataFrame]:
+    """The tables of a layer (by default what the model-ready layer starts from); all that are missing are named in one error."""
     path = {n: f"{folder}/{n}.{fmt}" for n in [*required, *optional]}
     found = {n for n, p in path.items() if exists(spark, p)}
     missing = [path[n] for n in required if n not in found]
     if missing:
         raise FileNotFoundError(f"missing tables: {', '.join(missing)}")
-    return {n: read_table(spark, path[n]) for n in path if n in found}
+    return {n: read_table(spark, path[n], (schemas or {}).get(n)) for n in path if n in found}
 
 
 def write_dynamic_by_hospital(dynamic: DataFrame, static: DataFrame, path: str) -> None:

@@ -4,21 +4,23 @@
 <root>/UK_nn/dynamic_filtered/<stay>.csv                     sep ,   (before dynamic/ if both exist)
 <root>/UK_nn/dynamic/dynamische_variablen_kds_patient_<stay>.csv  sep ;
 
-Spark binds CSV columns by position, so files are grouped by their header line (found in one pass over the files as text) and
+Spark binds CSV columns by position, so files are grouped by their header line (found in one pass over the files as lines) and
 each header is one read; the groups are joined by name. Folders are listed through Spark's file system, so any store works.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..operators.harmonize import present, quoted
 from ..operators.checks import require_none
+from ..operators.harmonize import check_aliases, merged, present, quoted
 from ..plans import fixed
+from .staging import stage
 
 # Names of files and folders, id columns, texts for a missing value, the site with decimal commas.
 STATIC_FILE = "static/andere_variablen_kds_patienten.csv"
@@ -53,15 +55,26 @@ def dynamic_layout(spark: SparkSession, folder: str) -> str:
     raise FileNotFoundError(f"{folder} has neither {' nor '.join(DYNAMIC_LAYOUTS)}")
 
 
-def read_translation(path: str, section: str) -> dict[str, str]:
-    """A section of a translation file {section: {raw column: canonical column}}."""
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)[section]
+def read_translation(spark: SparkSession, path: str) -> dict[str, dict[str, str]]:
+    """A translation file {section: {raw column: canonical column}}, from any store."""
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
 def load_static(spark: SparkSession, folder: str) -> DataFrame:
-    """A site's static rows as text, with hospital_id and both id columns filled from whichever there is."""
-    df = spark.read.csv(f"{folder}/{STATIC_FILE}", sep=";", header=True, inferSchema=False)
+    """A site's static rows as text, with hospital_id and both id columns filled from whichever there is.
+
+    Columns whose names differ by case only are aliases, which Spark can't tell apart by name: they must agree, and the first stays.
+    """
+    path = f"{folder}/{STATIC_FILE}"
+    names = [n.strip().strip('"') for n in headers(spark, path).first()["header"].split(";")]
+    places = [f"_{i}" for i in range(len(names))]
+    df = spark.read.schema(", ".join(f"{p} string" for p in places)).csv(path, sep=";", header=True, enforceSchema=True)
+    first: dict[str, int] = {}
+    for i, name in enumerate(names):
+        j = first.setdefault(name.lower(), i)
+        if i != j:
+            require_none(df.where(~X.clean(places[i]).eqNullSafe(X.clean(places[j]))).select(places[j], places[i]), f"aliases {names[j]} and {name} disagree")
+    df = df.select(*[F.col(places[i]).alias(names[i]) for i in first.values()])
     have = present(df, ID_ALIASES)
     if not have:
         raise KeyError(f"{folder} has no stay id column ({', '.join(ID_ALIASES)})")
@@ -77,13 +90,12 @@ def fill_ids(df: DataFrame, ids: Column, allow_conflicts: bool) -> DataFrame:
     return df.select(*kept, *[ids.alias(c) for c in ID_ALIASES])
 
 
-def headers(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """The files of each different first line. The driver holds file names, one header's at a time in use."""
-    lines = spark.read.text(folder, wholetext=True).select(F.substring_index("value", "\n", 1).alias("h"), F.col("_metadata.file_path").alias("f"))
-    out: dict[str, list[str]] = {}
-    for r in lines.select(F.regexp_replace("h", "\r$", "").alias("h"), "f").orderBy("f").toLocalIterator():
-        out.setdefault(r["h"], []).append(r["f"])
-    return out
+def headers(spark: SparkSession, folder: str) -> DataFrame:
+    """header and file of every file in a folder: its first line, the one at byte 0. One pass over lines; only a line a file is kept."""
+    lines = spark.read.text(folder).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    lines = lines.where("at = 0").withColumn("_line", F.monotonically_increasing_id())  # lines of a block keep their order
+    first = lines.groupBy("file").agg(F.min_by("value", "_line").alias("header"))
+    return first.select(F.regexp_replace("header", "\r$", "").alias("header"), "file")
 
 
 def load_dynamic(spark: SparkSession, folder: str) -> DataFrame | None:
@@ -91,8 +103,14 @@ def load_dynamic(spark: SparkSession, folder: str) -> DataFrame | None:
     layout = dynamic_layout(spark, folder)
     sep, pattern = DYNAMIC_LAYOUTS[layout]
     out = None
-    for header, files in headers(spark, f"{folder}/{layout}").items():
-        df = spark.read.csv(files, sep=sep, header=True, inferSchema=False).withColumn("_file", F.col("_metadata.file_path"))
+    files = headers(spark, f"{folder}/{layout}")
+    kinds = sorted(r[0] for r in files.select("header").distinct().collect())  # a few
+    if len(kinds) > 1:
+        files = stage(files, "headers")
+    for header in kinds:
+        # with one header the folder is one read; else each header's files are one, and the driver holds that one's names
+        paths = f"{folder}/{layout}" if len(kinds) == 1 else [r[0] for r in files.where(F.col("header") == header).select("file").orderBy("file").toLocalIterator()]
+        df = spark.read.csv(paths, sep=sep, header=True, inferSchema=False).withColumn("_file", F.col("_metadata.file_path"))
         if len(df.columns) - 1 != len(header.split(sep)):
             raise ValueError(f"header not read as written: {header}")
         df = df.withColumn("_id", F.regexp_extract("_file", pattern, 1))
@@ -114,21 +132,53 @@ def value_text(c: Column, comma: bool) -> Column:
     return F.when(text.rlike(r"^\s*[+-]?[0-9]+,[0-9]+\s*$"), F.regexp_replace(text, ",", ".")).otherwise(text) if comma else text
 
 
-def canonical_text(df: DataFrame, section: str) -> DataFrame:
+def canonical_text(df: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataFrame:
     """A site's rows under canonical names, aliases merged: done before sites are united, as some raw names differ by case only."""
-    from ..operators.harmonize import merged
-
     extra = [c for c in ("hospital_id", "row_ord") if c in df.columns]
-    return df.select(*extra, *[merged(df, raws).alias(name) for name, raws in fixed.raw_columns(section).items()])
-
-
-def load_all(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """All sites' rows of a kind (static or dynamic) as one table of text under canonical names."""
-    parts = [load_static(spark, f) if kind == "static" else load_dynamic(spark, f) for f in site_folders(spark, root)]
-    parts = [canonical_text(p, kind) for p in parts if p is not None]
+    return df.select(*extra, *[merged(df, raws).alias(name) for name, raws in mapping.items()])
+
+
+def load_all(spark: SparkSession, root: str, kind: str, translation: Mapping[str, str] | None = None) -> DataFrame:
+    """All sites' rows of a kind (static or dynamic) as one table of text under canonical names.
+
+    Aliases of a static column must agree within a site; row_ord is a row's place over all sites. translation: {raw column: canonical
+    column} in place of the built-in one.
+    """
+    mapping = fixed.raw_columns(kind, translation)
+    parts = []
+    for folder in site_folders(spark, root):
+        part = load_static(spark, folder) if kind == "static" else load_dynamic(spark, folder)
+        if part is None:
+            continue
+        if kind == "static":
+            check_aliases(part, mapping)
+        parts.append(canonical_text(part, mapping))
     if not parts:
         raise FileNotFoundError(f"{root} has no site with {kind} files")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
+    return out if kind == "static" else out.withColumn("row_ord", F.monotonically_increasing_id())
+
+
+def load_columns(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """hospital_id and column: the raw columns that each site's files have."""
+    rows = []
+    for folder in site_folders(spark, root):
+        part = load_static(spark, folder) if kind == "static" else load_dynamic(spark, folder)
+        rows += [(hospital_name(folder), c) for c in (part.columns if part is not None else []) if c not in ("hospital_id", "row_ord")]
+    return spark.createDataFrame(rows, "hospital_id string, column string")
+
+
+def load_values(spark: SparkSession, root: str) -> DataFrame:
+    """Raw dynamic texts in long form: hospital_id, column (raw name), canonical name and text."""
+    parts = []
+    canonical = {raw: name for name, raws in fixed.raw_columns("dynamic").items() for raw in raws if name not in fixed.TEXT_COLUMNS}
+    for folder in site_folders(spark, root):
+        if (df := load_dynamic(spark, folder)) is not None and (have := [c for c in df.columns if c in canonical]):
+            x = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(canonical[c]).alias("canonical_name"), X.clean(quoted(c)).alias("text")) for c in have]))
+            parts.append(df.select("hospital_id", x.alias("x")).select("hospital_id", "x.*").where("text IS NOT NULL"))
+    out = parts[0] if parts else spark.createDataFrame([], "hospital_id string, column string, canonical_name string, text string")
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out

@@ -61,7 +61,7 @@ def test_block_counts(spark):
 def test_blocked_features(spark):
     counts = blocks.stay_block_counts(stays(spark, [("A", "A_1", 24 * HOUR), ("A", "A_2", 8 * HOUR)]))
     o = obs(spark, [("A", "A_1", HOUR, 0, "hr", 100.0), ("A", "A_1", 2 * HOUR, 1, "hr", 110.0), ("A", "A_1", HOUR, 0, "sbp", 120.0), ("A", "A_1", 24 * HOUR, 2, "hr", 1.0), ("A", "A_1", -HOUR, 3, "hr", 1.0), ("A", "A_1", 3 * HOUR, 4, "hr", None)])
-    rows = {(r["stay_id_global"], r["block_index"]): r for r in blocks.blocked_features(o, counts, ["hr", "sbp"]).collect()}
+    rows = {(r["stay_id_global"], r["block_index"]): r for r in blocks.blocked_features(blocks.in_blocks(o, counts), counts, ["hr", "sbp"]).collect()}
     assert set(rows) == {("A_1", 0), ("A_1", 1), ("A_1", 2), ("A_2", 0)}
     r = rows["A_1", 0]
     assert [r[f"hr_{s}"] for s in blocks.STATISTICS] == [2, 105.0, 105.0, 100.0, 110.0, 110.0] and r["sbp_obs_count"] == 1
@@ -157,30 +157,100 @@ def test_raw_exports(spark, tmp_path):
     assert raw.load_static(spark, folders[0]).first()["Pseudo-ID"] == "11"
 
 
+def told(df):
+    return sorted(str(r.asDict()) for r in df.collect())
+
+
 def test_layers_rebuilt_from_files_are_equal(spark, tmp_path):
     export(tmp_path / "raw")
     first = layers.harmonized(spark, str(tmp_path / "raw"), min_non_null=1)
     assert first["static"].count() == 3 and first["dynamic"].where("variable = 'heart_rate'").count() == 56
     wide = first["dynamic_wide"].where("hospital_id = 'asic_UK01'").orderBy("time_us").collect()
     assert [(r["heart_rate"], r["peep"], r["crp"]) for r in wide] == [(80.0, 4.75, None), (82.0, 5.5, None)]
+    assert first["dynamic"].select("row_ord").distinct().count() == 56
+    lineage = {(r["hospital_id"], r["canonical_name"]): r["raw_columns"] for r in first["dynamic_source_map"].collect()}
+    assert lineage["asic_UK00", "sbp"] == "SAP" and lineage["asic_UK01", "peep"] == "PEEP" and lineage["asic_UK01", "sbp"] == ""
+    assert first["non_numeric_issues"].count() == 0 and first["static_schema_summary"].count() == 2
     direct = layers.standardized(first["static"], first["dynamic"])
-    L.write_layer({k: first[k] for k in ("static", "dynamic")}, str(tmp_path / "layer"))
-    again = L.load_layer(spark, str(tmp_path / "layer"), ["static", "dynamic"], ["stay_level"])
-    rebuilt = layers.standardized(again["static"], again["dynamic"])
-    for name in ("stay_level", "block_index", "blocked_features", "block_qc_summary"):
-        assert sorted(map(str, direct[name].collect())) == sorted(map(str, rebuilt[name].collect())), name
-    ready = layers.model_ready(rebuilt["stay_level"], again["dynamic"], rebuilt["blocked_features"])
-    assert ready["model_ready"].count() > 0 and ready["feature_set"].count() == 48
+    paths = layers.write_harmonized(first, str(tmp_path / "layer"))
+    assert len(paths) == 26
+    rebuilt = layers.rebuild_standardized(spark, str(tmp_path / "layer"))
+    assert set(direct) == set(rebuilt) and len(direct) == 12
+    for name in direct:
+        assert told(direct[name]) == told(rebuilt[name]), name
+    layers.write_standardized(rebuilt, str(tmp_path / "layer"))
+    layers.write_model_ready(layers.model_ready(first["static"], rebuilt["stay_level"], first["dynamic"], rebuilt["blocked_features"]), str(tmp_path / "model"), "parquet")
+    inputs = L.load_layer(spark, str(tmp_path / "layer"), fmt="csv")
+    assert set(inputs) == {*L.MODEL_INPUTS, *L.MODEL_OPTIONAL}
+    lines = [line for p in sorted((tmp_path / "layer/cohort/stay_level.csv").glob("part-*")) for line in p.read_text().splitlines()[1:]]
+    assert [line.split(",")[0] for line in lines] == sorted(line.split(",")[0] for line in lines)
+    ready = L.load_layer(spark, str(tmp_path / "model"), ["model_ready/chapter1_model_ready_dataset", "model_ready/chapter1_feature_set"], ())
+    assert ready["model_ready/chapter1_model_ready_dataset"].count() > 0 and ready["model_ready/chapter1_feature_set"].count() == 48
     with pytest.raises(FileNotFoundError):
         L.load_layer(spark, str(tmp_path / "layer"), ["nothing"])
     with pytest.raises(ValueError):
         L.write_table(first["static"], str(tmp_path / "x"), "xml")
+    with pytest.raises(KeyError):
+        layers.write_standardized({"stay_level": first["static"]}, str(tmp_path / "y"))
+
+
+def test_restricted_cohort_and_its_blocks(spark, tmp_path):
+    export(tmp_path / "raw")
+    first = layers.harmonized(spark, str(tmp_path / "raw"), min_non_null=1)
+    stays = layers.standardized(first["static"], first["dynamic"])["stay_level"]
+    raw_outcome = spark.createDataFrame([("asic_UK00", "0"), ("asic_UK01", None)], "hospital_id string, raw_outcome string")
+    provenance = cohort.outcome_provenance(first["static"], first["static_source_map"], raw_outcome)
+    tables = layers.restricted(first["static"], stays, first["dynamic"], provenance=provenance)
+    kept = layers.restricted_blocks(tables["retained_stays"], stays, first["dynamic"])
+    assert {r[0] for r in tables["retained_stays"].select("hospital_id").collect()} == {"asic_UK00"}
+    assert {r[0] for r in kept["block_index"].select("hospital_id").collect()} == {"asic_UK00"} and kept["stay_block_counts"].count() == 2
+    assert tables["retained_table"].where("block_count = 3 AND sex = 'F'").count() == 2
+    layers.write_restricted(tables | kept, str(tmp_path / "restricted"), "parquet")
+    lost = cohort.outcome_provenance(first["static"].withColumn("icu_mortality", F.lit(None).cast("long")), first["static_source_map"], raw_outcome)
+    assert {r["hospital_id"]: r["status"] for r in lost.collect()} == {"asic_UK00": "raw_values_lost", "asic_UK01": "verified_raw_icu_mortality_source_present_but_all_missing"}
+    with pytest.raises(ValueError):
+        layers.restricted(first["static"], stays, first["dynamic"], provenance=lost)
+    with pytest.raises(ValueError):
+        cohort.check_cohort(tables["retained_stays"], tables["stay_exclusions"], tables["site_eligibility"].withColumn("site_included", F.lit(False)))
+
+
+def test_gates_stop_the_harmonized_layer(spark, tmp_path):
+    export(tmp_path)
+    table = tmp_path / "UK_00/static/andere_variablen_kds_patienten.csv"
+    table.write_text("PseudoID;clusterGeschlecht;ClusterGeschlecht\n11;W;W\n12;W;M\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="aliases clusterGeschlecht and ClusterGeschlecht disagree"):
+        raw.load_all(spark, str(tmp_path), "static")
+    table.write_text("PseudoID;clusterGeschlecht\n11;W\n12;W\n", encoding="utf-8")
+    write(tmp_path / "UK_01/dynamic/dynamische_variablen_kds_patient_21.csv", "HF;PEEP;Time\n80;4,75;soon\n")
+    with pytest.raises(ValueError, match="supported rows without a time"):
+        layers.harmonized(spark, str(tmp_path))
+
+
+def test_another_translation(spark, tmp_path):
+    export(tmp_path / "raw")
+    write(tmp_path / "names.json", '{"dynamic": {"HF": "sbp", "Zeit_ab_Aufnahme": "minutes_since_admit", "Time": "time", "PseudoID": "stay_id"}}')
+    names = raw.read_translation(spark, str(tmp_path / "names.json"))["dynamic"]
+    rows = raw.load_all(spark, str(tmp_path / "raw"), "dynamic", names)
+    assert rows.where("sbp IS NOT NULL").count() == 56 and "heart_rate" not in rows.columns
+
+
+def test_quartiles_equal_a_plain_percentile(spark):
+    from stayflow.operators import statistics as S
+
+    rows = [(g, v) for g, vs in {"a": [0.0, -1.5, 3.25, 1e9, -1e-9, 7.0, 7.0, None], "b": [2.0], "c": [None], None: [5.0, 6.0], "d": [float(i % 97) / 7 - 3 for i in range(500)]}.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: (r["n"], r["min"], r["max"], [round(x, 9) for x in r["_q"]]) for r in S.spread(S.count_values(df, ["g"], "v"), ["g"], "v").collect()}
+    want = df.where("v IS NOT NULL").groupBy("g").agg(F.count("v"), F.min("v"), F.max("v"), F.percentile("v", F.array(*[F.lit(p) for p in S.QUARTILES]))).collect()
+    assert got == {r[0]: (r[1], r[2], r[3], [round(x, 9) for x in r[4]]) for r in want}
+    assert [r["_first"] for r in S.first_values(df.where("g = 'a'"), ["g"], "v", 3).collect()] == [[-1.5, -1e-9, 0.0]]
 
 
 def test_csv_keeps_nested_values_as_json(spark, tmp_path):
     df = spark.createDataFrame([(1, [3, 1], {"a": 1})], "k int, l array<int>, m map<string,int>")
     L.write_table(df, str(tmp_path / "t.csv"), "csv")
     L.append_csv(df, str(tmp_path / "t.csv"))
+    with pytest.raises(ValueError):
+        L.append_csv(df.drop("l"), str(tmp_path / "t.csv"))
     assert [tuple(r) for r in L.read_table(spark, str(tmp_path / "t.csv")).collect()] == [("1", "[1,3]", '{"a":1}')] * 2
     L.write_dynamic_by_hospital(spark.createDataFrame([("A", "s"), ("B", "t")], "hospital_id string, stay_id_global string"), spark.createDataFrame([("s",)], "stay_id_global string"), str(tmp_path / "p"))
     assert [r["hospital_id"] for r in spark.read.parquet(str(tmp_path / "p")).collect()] == ["A"]

@@ -19,9 +19,18 @@ def test_query_equals_its_sql(spark, con, name):
     same(queries.QUERIES[name](spark, FOLDER), con, SQL[name])
 
 
-def test_example_stays(spark):
-    found = queries.QUERIES["example_stays"](spark, FOLDER).collect()
-    assert len(found) == len({r["stay_id_global"] for r in found}) <= 5
+def test_model_ready_reads_events_twice(spark, monkeypatch):
+    plans = []
+    planned = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    write = queries.stage
+    monkeypatch.setattr(queries, "stage", lambda df, tag: write(planned(df), tag))
+    planned(queries.QUERIES["model_ready"](spark, FOLDER))
+    assert sum(p.count("events.parquet") for p in plans) == 2
+
+
+def test_most_customers_are_stays_without_an_end(spark):
+    counts = {r["metric"]: r["value"] for r in queries.QUERIES["stay_summary"](spark, FOLDER).collect()}
+    assert counts["rows"] == spark.read.parquet(f"{FOLDER}/customer.parquet").count() and counts["without_end"] > 0
 
 
 def test_no_python_and_no_cartesian_product_in_plans(spark):
