@@ -2,46 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..sources.staging import clear, delete, shared_folder  # noqa: F401
 
 #: A word: a run of bytes other than the ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows up to which a lookup table is sent to every executor; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 200_000
-
-
-LOCAL_FOLDERS: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """This application's part of the folder that all executors share (spark.checkpoint.dir).
-
-    Where the session names none: a temporary folder if driver and executors are one process, else an error.
-    """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        if context.applicationId not in LOCAL_FOLDERS:
-            LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="stayflow-")
-        root = LOCAL_FOLDERS[context.applicationId]
-    return f"{root}/stayflow-{context.applicationId}"
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
-def clear(spark: SparkSession) -> None:
-    """Delete every table that this application has cut; frames made from them can't be read any more."""
-    _delete(spark, shared_folder(spark))
+#: Rows and bytes (as JSON text) up to which a lookup table is sent to every executor; larger ones are joined by a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 48 * 2**20
 
 
 #: Has Spark remove the shuffle files of a finished write, whose result no longer needs them.
@@ -66,7 +42,7 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
 def discard(*frames: DataFrame) -> None:
     """Delete the files of frames that ``cut`` returned, once everything made from them has been written."""
     for df in frames:
-        _delete(df.sparkSession, df.cut_path)
+        delete(df.sparkSession, df.cut_path)
 
 
 #: Rows and bytes of an Arrow batch of texts at most; a batch of long documents would otherwise outgrow a worker.
@@ -84,8 +60,37 @@ def small_batches(df: DataFrame) -> DataFrame:
 
 
 def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows (counted), else as it is. Call it on a cut frame."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """``df`` marked for broadcast if it has at most ``rows`` rows and BROADCAST_BYTES, both counted, else as it is. Call it on a cut frame."""
+    n, size = df.limit(rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("b")).agg(F.count("*"), F.sum("b")).first()
+    return F.broadcast(df) if n <= rows and (size or 0) <= BROADCAST_BYTES else df
+
+
+def ranked(df: DataFrame, keys: Sequence[str], tag: str) -> DataFrame:
+    """``df`` with _rank, the number of each row among those with equal ``keys`` (strings), from 0, in no given order.
+
+    Rows are numbered in each task, then over the tasks by their counts, so a key may hold any share of the rows.
+    """
+    at = [df.columns.index(k) for k in keys]
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, seen = TaskContext.get().partitionId(), {}
+        for b in batches:
+            nth = []
+            for key in zip(*[b.column(i).to_pylist() for i in at]):
+                nth.append(seen.get(key, 0))
+                seen[key] = nth[-1] + 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(nth, pa.int64()), pa.array([task] * b.num_rows, pa.int64())], names=[*b.schema.names, "_nth", "_task"])
+
+    schema = T.StructType([*df.schema.fields, T.StructField("_nth", T.LongType()), T.StructField("_task", T.LongType())])
+    numbered = cut(small_batches(df).mapInArrow(number, schema), tag)
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    counts = numbered.groupBy(*keys, "_task").agg(F.count("*").alias("_c")).withColumnsRenamed(names | {"_task": "_of"})
+    before = F.coalesce(F.sum("_c").over(Window.partitionBy(*names.values()).orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = cut(counts.select(*names.values(), "_of", before.alias("_before")), f"{tag}-offsets")
+    same = numbered["_task"] == offsets["_of"]
+    for k, name in names.items():
+        same = same & numbered[k].eqNullSafe(offsets[name])
+    return numbered.join(small_enough(offsets), same).select(*[numbered[c] for c in df.columns], (F.col("_nth") + F.col("_before")).alias("_rank"))
 
 
 def word_count(text: Column | str) -> Column:

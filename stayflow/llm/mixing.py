@@ -5,11 +5,12 @@ subset whose lengths add up to the rest of the budget. The subset is planned on
 length, then the longest lengths that still fit, then a bounded knapsack (subset sum) for what remains. Which documents
 of a length are taken is settled by a seeded hash of their ids.
 
-A source or a length may hold a third of all rows: lengths with many documents are dealt into hash ranges of about
-``RUN`` rows, only one range of a length has to be ranked, and the counts of the others are added up.
+A source, a length or an id may hold a third of all rows: the documents of a length are counted by hash range, then by id in the one
+range that the cut falls in, and every row compares itself with the cut. Neither a row's text nor its columns are shuffled.
 
 Defined cases: a null text has no words; a null source is a source of its own, last in order; documents without words
-are never repeated and take nothing; an empty table gives no rows; repeated rows are taken or left one by one.
+are never repeated and take nothing; an empty table gives no rows; repeated rows and null ids are taken or left one by one; other columns,
+whatever their names and types, are kept by ``take_mix`` and not read by ``mix_sources``.
 """
 
 from __future__ import annotations
@@ -18,13 +19,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small_enough, word_count
+from .common import cut, ranked, small_enough, word_count
 
-#: Documents of one source and length that are ranked together.
-RUN = 1_000
 #: Words of a budget that the knapsack fits exactly; greedy steps bring the budget down to this.
 KNAPSACK_WORDS = 60_000
 
@@ -101,63 +100,76 @@ def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
 def source_targets(counts: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
     """source, source_size and target of each source. The driver holds one row for each source."""
     spark = counts.sparkSession
-    rows = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")).collect()
-    rows.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
+    rows = counts.groupBy("_source").agg(F.sum(F.col("_size") * F.col("n")).alias("source_size")).collect()
+    rows.sort(key=lambda r: (r["_source"] is None, r["_source"] or ""))
     sizes = [int(r["source_size"]) for r in rows]
     targets = reshare(sizes, [weights[i % len(weights)] for i in range(len(rows))], share * sum(sizes), most)
-    return spark.createDataFrame([(r["source"], s, float(t)) for r, s, t in zip(rows, sizes, targets)], "source string, source_size long, target double")
+    return spark.createDataFrame([(r["_source"], s, float(t)) for r, s, t in zip(rows, sizes, targets)], "source string, source_size long, target double")
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target, copies (how often the mix holds the document) and taken (its words)."""
-    hashed = F.xxhash64(F.col(doc_id).cast("string"), F.lit(seed))
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), hashed.alias("_h"))
-    rows = cut(base, "mix-sizes")
-    counts = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts")
+def _with_copies(rows: DataFrame, sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
+    """``rows`` (with _id, _source, _size, _h) with _source_size, _target and _copies; sizes: the same four columns, written.
+
+    Of each source and length the first documents by (hash, id) are taken, so all that a row needs is where the cut lies: one row a source and length.
+    """
+    counts = cut(sizes.groupBy("_source", "_size").agg(F.count("*").alias("n")), "mix-counts")
     targets = source_targets(counts, weights, share, most)
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
         whole, target = int(frame["source_size"].iloc[0]), float(frame["target"].iloc[0])
         passes = int(target // whole) if whole else 0
-        pick = fit_budget(frame["size"].to_numpy(), frame["n"].to_numpy(), round(target - passes * whole))
+        pick = fit_budget(frame["_size"].to_numpy(), frame["n"].to_numpy(), round(target - passes * whole))
         return frame.assign(passes=passes, pick=pick)
 
-    with_target = counts.join(small_enough(targets), counts["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    plan = with_target.groupBy("source").applyInPandas(fit, "source string, size long, n long, source_size long, target double, passes long, pick long")
-    plan = cut(plan.withColumn("_runs", F.ceil(F.col("n") / RUN)).withColumnsRenamed({"source": "_source", "size": "_size"}), "mix-plan")
-    joined = rows.join(small_enough(plan), rows["source"].eqNullSafe(F.col("_source")) & (rows["size"] == F.col("_size")))
+    with_target = counts.join(small_enough(targets), counts["_source"].eqNullSafe(targets["source"])).drop("source")
+    plan = with_target.groupBy("_source").applyInPandas(fit, "_source string, _size long, n long, source_size long, target double, passes long, pick long")
+    plan = cut(plan.withColumn("_runs", F.ceil(F.sqrt("n"))).withColumnsRenamed({"_source": "p_source", "_size": "p_size"}), "mix-plan")
+    # the cut of a length: first the hash range that it falls in, then the id
+    part = plan.where("pick > 0 AND pick < n").select("p_source", "p_size", "pick", "_runs")
     run = F.least(F.floor((F.shiftrightunsigned("_h", 1).cast("double") / float(2**63)) * F.col("_runs")), F.col("_runs") - 1)
-    joined = joined.withColumn("_run", run)
-    part = (F.col("pick") > 0) & (F.col("pick") < F.col("n"))
-    ranked = joined.where(part)
-    before = Window.partitionBy("source", "size").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = ranked.groupBy("source", "size", "_run").agg(F.count("*").alias("_in_run")).withColumn("_before", F.coalesce(F.sum("_in_run").over(before), F.lit(0)))
-    runs = cut(runs.withColumnsRenamed({"source": "_rs", "size": "_rz", "_run": "_rr"}).drop("_in_run"), "mix-runs")
-    order = Window.partitionBy("source", "size", "_run").orderBy("_h", "doc_id")
-    ranked = (
-        ranked.join(small_enough(runs), ranked["source"].eqNullSafe(F.col("_rs")) & (ranked["size"] == F.col("_rz")) & (ranked["_run"] == F.col("_rr")))
-        .withColumn("_more", (F.col("_before") + F.row_number().over(order) <= F.col("pick")).cast("long"))
-        .drop("_before", "_rs", "_rz", "_rr")
-    )
-    rest = joined.where(~part).withColumn("_more", (F.col("pick") > 0).cast("long"))
-    copies = (F.col("passes") + F.col("_more")).alias("copies")
-    return ranked.unionByName(rest).select("doc_id", "source", "size", "source_size", "target", copies, (copies * F.col("size")).alias("taken"))
-
-
-def take_mix(docs: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
-    """The rows of ``docs`` as often as the mix holds them, with all their columns.
-
-    The mix of rows with one id (repeated rows, null ids) is dealt out among them: the sum of their copies, in no given order.
-    """
-    copies = cut(mix_sources(docs, doc_id=doc_id, **how).select("doc_id", "copies"), "mix-copies")
-    once = copies.groupBy("doc_id").agg(F.count("*").alias("_rows"), F.sum("copies").alias("_copies"))
-    rows = docs.select(F.col(doc_id).alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    if copies.where("doc_id IS NULL").isEmpty() and once.where("_rows > 1").isEmpty():
-        chosen = copies.where("copies > 0").select(F.col("doc_id").alias("_mix_id"), F.col("copies").alias("_copies"))
-        taken = rows.join(small_enough(chosen), F.col("_id") == F.col("_mix_id"))
-    else:
-        chosen = cut(once.where("_copies > 0").select(F.col("doc_id").alias("_mix_id"), "_rows", F.col("_copies").alias("_all")), "mix-chosen")
-        numbered = rows.join(small_enough(chosen), F.col("_id").eqNullSafe(F.col("_mix_id")))
-        nth = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("_row"))) - 1
-        taken = numbered.withColumn("_copies", F.floor(F.col("_all") / F.col("_rows")) + (nth < F.col("_all") % F.col("_rows")).cast("int"))
-    return taken.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))).select("_row.*")
+    open_ = sizes.join(small_enough(part), sizes["_source"].eqNullSafe(part["p_source"]) & (sizes["_size"] == part["p_size"])).withColumn("_run", run)
+    open_ = open_.withColumn("_hash", F.shiftrightunsigned("_h", 1))
+    group = Window.partitionBy("p_source", "p_size")
+    upto = Window.unboundedPreceding, Window.currentRow
+    runs = open_.groupBy("p_source", "p_size", "pick", "_run").agg(F.count("*").alias("_in"))
+    runs = runs.withColumn("_upto", F.sum("_in").over(group.orderBy("_run").rowsBetween(*upto))).where("_upto >= pick AND _upto - _in < pick")
+    runs = cut(runs.select(F.col("p_source").alias("r_source"), F.col("p_size").alias("r_size"), F.col("_run").alias("r_run"), (F.col("pick") - F.col("_upto") + F.col("_in")).alias("_left")), "mix-runs")
+    inside = open_.join(small_enough(runs), open_["p_source"].eqNullSafe(runs["r_source"]) & (open_["p_size"] == runs["r_size"]) & (open_["_run"] == runs["r_run"]))
+    ids = inside.groupBy("p_source", "p_size", "_left", "_hash", "_id").agg(F.count("*").alias("_c"))
+    ids = ids.withColumn("_upto", F.sum("_c").over(group.orderBy("_hash", F.col("_id").asc_nulls_first()).rowsBetween(*upto))).where("_upto >= _left AND _upto - _c < _left")
+    ids = ids.select(F.col("p_source").alias("r_source"), F.col("p_size").alias("r_size"), F.col("_hash").alias("_cut_hash"), F.col("_id").alias("_cut_id"), (F.col("_left") - F.col("_upto") + F.col("_c")).alias("_cut_rows"), F.col("_c").alias("_cut_of"))
+    plan = cut(plan.join(ids, plan["p_source"].eqNullSafe(ids["r_source"]) & (plan["p_size"] == ids["r_size"]), "left").drop("r_source", "r_size"), "mix-cuts")
+    joined = rows.join(small_enough(plan), rows["_source"].eqNullSafe(plan["p_source"]) & (rows["_size"] == plan["p_size"]))
+    mine, at = F.shiftrightunsigned("_h", 1), F.col("_cut_hash")
+    same = F.coalesce((mine == at) & F.col("_id").eqNullSafe(F.col("_cut_id")), F.lit(False))
+    first = (mine < at) | ((mine == at) & F.coalesce(F.col("_id") < F.col("_cut_id"), F.col("_id").isNull()))
+    more = F.when(F.col("pick") >= F.col("n"), True).when(F.col("pick") <= 0, False).otherwise(same | first)
+    joined = joined.select(*rows.columns, F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "passes", more.cast("long").alias("_more"), (same & (F.col("_cut_of") > F.col("_cut_rows"))).alias("_some"), "_cut_rows")
+    found = joined.where("NOT coalesce(_some, false)").drop("_some", "_cut_rows")
+    if not plan.where("_cut_of > _cut_rows").isEmpty():
+        # rows of one id and length of which only some are taken
+        some = ranked(joined.where("_some").withColumn("_key", F.to_json(F.struct("_source", "_size", "_id"))), ["_key"], "mix-alike")
+        found = found.unionByName(some.withColumn("_more", (F.col("_rank") < F.col("_cut_rows")).cast("long")).select(*found.columns))
+    copies = F.col("passes") + F.col("_more")
+    return found.withColumn("_copies", F.when(F.col("_size") == 0, F.least(copies, F.lit(1))).otherwise(copies)).drop("passes", "_more")
+
+
+def _keys(doc_id: str, text: str, source: str, seed: int) -> list[Column]:
+    hashed = F.xxhash64(F.col(f"`{doc_id}`").cast("string"), F.lit(seed))
+    return [F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{source}`").cast("string").alias("_source"), word_count(F.col(f"`{text}`")).alias("_size"), hashed.alias("_h")]
+
+
+def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """doc_id, source, size, source_size, target, copies (how often the mix holds the document) and taken (its words)."""
+    sizes = cut(docs.select(*_keys(doc_id, text, source, seed)), "mix-sizes")
+    found = _with_copies(sizes, sizes, weights, share, most)
+    return found.select(F.col("_id").alias("doc_id"), F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_copies").alias("copies"), (F.col("_copies") * F.col("_size")).alias("taken"))
+
+
+def take_mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of ``docs`` as often as the mix holds them, with all their columns."""
+    keys = _keys(doc_id, text, source, seed)
+    sizes = cut(docs.select(*keys), "mix-sizes")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *keys)
+    found = _with_copies(rows, sizes, weights, share, most).where("_copies > 0")
+    return found.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))).select("_row.*")

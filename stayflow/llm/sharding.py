@@ -16,16 +16,11 @@ by one; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import cut, discard, small_enough
+from .common import cut, discard, ranked, small_enough
 
 BITS = 60
 #: Bits of the first pass beyond log2(bytes / limit).
@@ -44,10 +39,16 @@ def size_of(text: str) -> Column:
 def leaves_of(rows: DataFrame, limit_bytes: int, top: int, deep: int) -> DataFrame:
     """For each prefix of ``deep`` bits (in its bucket ``_of``): its leaf (depth, prefix, bytes), the first depth from ``top`` on that fits; null if none does."""
     fine = cut(rows.groupBy("_of", F.shiftright("_place", BITS - deep).alias("_fine")).agg(F.sum("n_bytes").alias("_bytes"), F.count("*").alias("_rows")), "shard-bits")
-    ladder = fine.withColumn("_depth", F.explode(F.sequence(F.lit(top), F.lit(deep)))).withColumn("_prefix", F.expr(f"shiftright(_fine, {deep} - _depth)"))
-    fits = ladder.groupBy("_of", "_depth", "_prefix").agg(F.sum("_bytes").alias("shard_bytes"), F.sum("_rows").alias("_n")).where((F.col("shard_bytes") <= limit_bytes) | (F.col("_n") == 1)).drop("_n")
-    first = ladder.select("_of", "_fine", "_depth", "_prefix").join(fits, ["_of", "_depth", "_prefix"]).groupBy("_of", "_fine").agg(F.min(F.struct("_depth", "_prefix", "shard_bytes")).alias("_leaf"))
-    leaves = cut(fine.join(first, ["_of", "_fine"], "left").select("_of", "_fine", "_leaf", "_bytes"), "shard-leaves")
+    up = lambda a, b: fine.withColumn("_depth", F.explode(F.sequence(F.lit(a), F.lit(b)))).withColumn("_prefix", F.expr(f"shiftright(_fine, {deep} - _depth)"))
+    fits = up(top, deep).groupBy("_of", "_depth", "_prefix").agg(F.sum("_bytes").alias("shard_bytes"), F.sum("_rows").alias("_n")).where((F.col("shard_bytes") <= limit_bytes) | (F.col("_n") == 1)).drop("_n")
+    # a leaf fits and the prefix a bit shorter does not; only the depths that leaves have are joined, as short prefixes stand for many rows
+    fits = cut(fits, "shard-fits")
+    above = fits.select("_of", (F.col("_depth") + 1).alias("_depth"), F.col("_prefix").alias("_above"))
+    ends = cut(fits.withColumn("_above", F.shiftright("_prefix", 1)).join(above, ["_of", "_depth", "_above"], "left_anti").drop("_above"), "shard-ends")
+    low, high = ends.agg(F.min("_depth"), F.max("_depth")).first()
+    first = up(top if low is None else low, deep if high is None else high).select("_of", "_fine", "_depth", "_prefix").join(ends, ["_of", "_depth", "_prefix"])
+    leaves = cut(fine.join(first.select("_of", "_fine", F.struct("_depth", "_prefix", "shard_bytes").alias("_leaf")), ["_of", "_fine"], "left").select("_of", "_fine", "_leaf", "_bytes"), "shard-leaves")
+    discard(fits, ends)
     discard(fine)
     return leaves
 
@@ -89,24 +90,9 @@ def _name(depth: str, prefix: str) -> Column:
 
 
 def _deal_alike(rows: DataFrame, limit_bytes: int) -> DataFrame:
-    """Rows with equal ids and texts in parts of as many as fit: numbered in each task, then over the tasks by their counts."""
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, seen = TaskContext.get().partitionId(), {}
-        for b in batches:
-            nth = []
-            for of in b.column(1).to_pylist():
-                nth.append(seen.get(of, 0))
-                seen[of] = nth[-1] + 1
-            yield b.append_column("_nth", pa.array(nth, pa.int64())).append_column("_task", pa.array(np.full(b.num_rows, task), pa.int64()))
-
-    rows = rows.select("_row", "_of", "n_bytes")
-    schema = T.StructType([*rows.schema.fields, T.StructField("_nth", T.LongType()), T.StructField("_task", T.LongType())])
-    numbered = cut(rows.mapInArrow(number, schema), "shard-parts")
-    counts = numbered.groupBy("_of", "_task").agg(F.count("*").alias("_c"))
-    before = F.coalesce(F.sum("_c").over(Window.partitionBy("_of").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = cut(counts.select("_of", "_task", before.alias("_before"), F.sum("_c").over(Window.partitionBy("_of")).alias("_all")), "shard-parts")
+    """Rows with equal ids and texts in parts of as many as fit, by their rank among each other."""
+    numbered = ranked(rows.select("_row", "_of", "n_bytes"), ["_of"], "shard-parts")
     room = F.greatest(F.lit(1), F.floor(F.lit(limit_bytes) / F.greatest("n_bytes", F.lit(1))))
-    part = F.floor((F.col("_nth") + F.col("_before")) / room)
-    held = F.least(room, F.col("_all") - part * room)
-    return numbered.join(small_enough(offsets), ["_of", "_task"]).select("_row", "n_bytes", F.concat("_of", F.lit("."), part.cast("string")).alias("shard_id"), F.lit(2 * BITS).alias("shard_depth"), (held * F.col("n_bytes")).alias("shard_bytes"))
+    numbered = numbered.withColumn("_shard", F.concat("_of", F.lit("."), F.floor(F.col("_rank") / room).cast("string")))
+    held = cut(numbered.groupBy("_shard").agg(F.sum("n_bytes").alias("shard_bytes")), "shard-sums")
+    return numbered.join(small_enough(held), "_shard").select("_row", "n_bytes", F.col("_shard").alias("shard_id"), F.lit(2 * BITS).alias("shard_depth"), "shard_bytes")

@@ -79,9 +79,23 @@ def test_mix_of_all_documents(spark, docs, empty):
 
 
 def test_taken_rows_keep_their_columns(docs):
-    taken = mixing.take_mix(docs)
-    assert taken.columns == docs.columns
-    assert taken.count() == mixing.mix_sources(docs).agg(F.sum("copies")).first()[0]
+    more = docs.withColumn("_id", F.lit(1)).withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
+    taken = mixing.take_mix(more)
+    assert taken.columns == more.columns
+    copies = mixing.mix_sources(docs)
+    assert taken.count() == copies.agg(F.sum("copies")).first()[0]
+    assert rows(map(tuple, taken.select("doc_id").collect())) == rows((r["doc_id"],) for r in copies.collect() for _ in range(r["copies"]))
+
+
+def test_one_id_in_many_rows_is_mixed_exactly(spark):
+    data = [(7, "a b c", "x")] * 90 + [(None, "a b c", "x")] * 30 + [(i, "a b c", "y") for i in range(100, 130)] + [(i, "a " * (i % 5), "z") for i in range(40)]
+    d = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(5)
+    found = mixing.mix_sources(d).collect()
+    assert len(found) == len(data)
+    for s in "xyz":
+        mine = [r for r in found if r["source"] == s]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 1.5 and {r["copies"] for r in mine} <= {0, 1, 2}
+    assert rows(map(tuple, mixing.mix_sources(d.repartition(2)).collect())) == rows(map(tuple, found))
 
 
 # sharding
