@@ -10,6 +10,8 @@ The text model is fitted on a bounded sample of documents with a known language
 everything else is a grouped aggregation. The tables of declarations, suffixes and hosts are joined back, by broadcast only
 when counted small; hosts are pre-aggregated, so a host with a third of all pages is one row of its table.
 
+Every language with a document is known, up to ``MAX_LANGUAGES`` (more raise).
+
 Defined cases: a null or empty page has no text evidence and gets what its other evidence says; a null url has the host "";
 an undeclared language is a declaration of its own; ties go to the language first in code point order; without any
 known language the result has a null lang; repeated rows are judged alike.
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches, small_enough
@@ -36,13 +38,28 @@ BUCKETS = 1 << 16
 TEMPER = 0.05
 KAPPA = 20.0
 
-HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>")
-TAG = re.compile(r"(?s)<[^>]*>")
-DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b|<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+OPENED = re.compile(r"(?i)<!--|<(script|style|noscript|template)\b")
+CLOSED = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style", "noscript", "template")} | {"": re.compile("-->")}
+TAG = re.compile(r"<[^<>]*>")
+#: Attributes are looked for in the first 2,000 characters of a tag, so that a page of unclosed tags takes no longer than another.
+DECLARED = re.compile(r"(?i)<html\b[^<>]{0,2000}?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b|<meta\b[^<>]{0,2000}?content-language[^<>]{0,200}?content\s*=\s*[\"']?\s*([a-z]{2,3})\b")
 
 
 def visible_text(page: str) -> str:
-    return html.unescape(TAG.sub(" ", HIDDEN.sub(" ", page)))
+    """The page without comments, hidden elements and tags; what is opened and never closed stays text. One pass."""
+    out, at, look, endless = [], 0, 0, set()
+    while m := OPENED.search(page, look):
+        look = m.end()
+        kind = (m[1] or "").lower()
+        if kind in endless:
+            continue
+        if end := CLOSED[kind].search(page, m.end()):
+            out.append(page[at : m.start()])
+            at = look = end.end()
+        else:
+            endless.add(kind)
+    out.append(page[at:])
+    return html.unescape(TAG.sub(" ", " ".join(out)))
 
 
 def declared_language(page: str) -> str:
@@ -80,27 +97,29 @@ def fit_text(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: st
     A document that does not fit in what is left of its language's bytes is passed over; if none fits, the first one's start is taken.
     More than ``MAX_LANGUAGES`` languages raise, as the table has a column for each.
     """
-    spark = docs.sparkSession
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    languages = sorted(r[0] for r in known.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect())
+    hashed = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("string")).alias("_h"), F.xxhash64(text).alias("_t"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "_t"))
+    ids = cut(hashed.select("lang", "_h", "_t").distinct().withColumn("_nth", nth).where(F.col("_nth") <= ROWS_PER_LANGUAGE), "lang-sample")
+    languages = sorted(r[0] for r in ids.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     counts = np.ones((BUCKETS, max(1, len(languages))))
-    hashed = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("string")).alias("_h"), F.xxhash64(text).alias("_t"))
+    most = SAMPLE_BYTES // max(1, len(languages))
+    # of a text that can't fit only the start can be of use
+    picked = hashed.join(F.broadcast(ids.drop("_nth")), ["lang", "_h", "_t"], "left_semi").dropDuplicates(["lang", "_h", "_t"])  # bounded: the rows of MAX_LANGUAGES
+    picked = picked.select("lang", "_h", "_t", F.octet_length("text").alias("size"), F.when(F.octet_length("text") <= most, F.col("text")).otherwise(F.substring("text", 1, most)).alias("text"))
+    used, start = dict.fromkeys(languages, 0), dict.fromkeys(languages, "")
+    for r in picked.orderBy("lang", "_h", "_t").toLocalIterator():
+        name = r["lang"]
+        if used[name] + r["size"] > most:
+            start[name] = start[name] or r["text"].encode()[:most].decode("utf-8", "ignore")
+            continue
+        used[name] += r["size"]
+        counts[:, languages.index(name)] += np.bincount(grams(r["text"]), minlength=BUCKETS)
     for k, name in enumerate(languages):
-        own = hashed.where(F.col("lang") == name)
-        ids = cut(own.select("_h", "_t").distinct().orderBy("_h", "_t").limit(ROWS_PER_LANGUAGE), "lang-sample")
-        picked = own.join(F.broadcast(ids), ["_h", "_t"], "left_semi").dropDuplicates(["_h", "_t"])
-        most, used, start = SAMPLE_BYTES // len(languages), 0, ""
-        for r in picked.orderBy("_h", "_t").select("text").toLocalIterator():
-            size = len(r["text"].encode())
-            if used + size > most:
-                start = start or r["text"].encode()[:most].decode("utf-8", "ignore")
-                continue
-            used += size
-            counts[:, k] += np.bincount(grams(r["text"]), minlength=BUCKETS)
-        if not used:
-            counts[:, k] += np.bincount(grams(start), minlength=BUCKETS)
+        if not used[name]:
+            counts[:, k] += np.bincount(grams(start[name]), minlength=BUCKETS)
     return TextModel(languages, np.log(counts / counts.sum(0)).astype(np.float32))
 
 

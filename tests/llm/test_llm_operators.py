@@ -1,7 +1,9 @@
 """The training-data operators against plain versions and on edge cases."""
 
 import random
+import re
 import string
+import time
 
 import brute
 import numpy as np
@@ -485,6 +487,70 @@ def test_language_evidence_and_edges(spark):
     assert langid.declared_language("<HTML class=x LANG='FR-ca'>") == "fr" and langid.visible_text("<script>a</script>b&amp;<!-- c -->") .split() == ["b&"]
 
 
+def fused_plainly(pages, model):
+    """{page: (lang, confidence)} of (page_id, url, html), step by step with dictionaries."""
+    n, k = len(model.languages), langid.KAPPA
+    facts = []
+    for key, url, page in pages:
+        rest = (url or "").partition("://")[2] if "://" in (url or "") else ""
+        host = re.match(r"[^/?#]*", rest)[0].lower()
+        logs = model.log_likelihood(langid.visible_text(page or ""))
+        e = np.exp(logs - logs.max())
+        parts = host.split(".")
+        facts.append((key, host, ".".join(parts[-2:]), parts[-1], langid.declared_language(page or ""), logs, e / e.sum()))
+
+    def sums(i):
+        out = {}
+        for f in facts:
+            out[f[i]] = out.get(f[i], np.zeros(n)) + f[6]
+        return out
+
+    def toward(own, up):
+        return (own + k * up) / (own.sum() + k)
+
+    hosts, domains, suffixes, declared = (sums(i) for i in (1, 2, 3, 4))
+    top = toward(sum(f[6] for f in facts), np.full(n, 1 / n))
+    given = lambda table: {key: np.log((v + 1) / (sum(table.values()) + len(table))) for key, v in table.items()}
+    of_suffix, of_declared = given(suffixes), given(declared)
+    out = {}
+    for key, host, domain, suffix, said, logs, _ in facts:
+        prior = toward(hosts[host], toward(domains[domain], toward(suffixes[suffix], top)))
+        z = logs + np.log(prior) + of_declared[said] + 0.5 * of_suffix[suffix]
+        q = np.exp(z - z.max())
+        q /= q.sum()
+        out[key] = (model.languages[int(q.argmax())], float(q.max()))
+    return out
+
+
+@pytest.mark.parametrize("folder", [FOLDER, "/root/testdata/sf0.01"])
+def test_fused_evidence_equals_a_plain_version(spark, folder):
+    model = langid.fit_text(spark.read.parquet(f"{folder}/documents.parquet"))
+    pages = [tuple(r) for r in spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html").collect()]
+    want = fused_plainly(pages, model)
+    got = {r["page_id"]: (r["lang"], r["confidence"]) for r in queries.op7_langid(spark, folder).collect()}
+    assert got.keys() == want.keys() and all(got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1]) for i in want)
+
+
+def test_text_model_equals_plain_counts(spark):
+    docs = [(i, t, la) for i, (t, la) in enumerate([("abcd", "x"), ("abcd abcd", "x"), ("zz", "y"), (None, "y"), ("qq", None), ("", "y")])]
+    model = langid.fit_text(spark.createDataFrame([*docs, docs[0]], "doc_id long, text string, lang string"))
+    for k, name in enumerate(("x", "y")):
+        counts = np.ones(langid.BUCKETS)
+        for _, t, la in docs:
+            if la == name and t is not None:
+                for g in langid.grams(t):
+                    counts[g] += 1
+        assert np.allclose(model.table[:, k], np.log(counts / counts.sum()), atol=1e-5)
+
+
+def test_broken_pages_take_linear_time():
+    began = time.time()
+    for page in ("<" * 400_000, "<!--" * 100_000, "<script>" * 100_000, "<html " * 100_000, "<meta content-language " * 50_000, "<style><script>" * 50_000 + "</style>"):
+        langid.visible_text(page), langid.declared_language(page)
+    assert time.time() - began < 20
+    assert langid.visible_text("a<!-- b --><script>c</script>d<style>e<b>f").split() == ["a", "d", "e", "f"]
+
+
 def test_long_document_does_not_void_its_language(spark, monkeypatch):
     monkeypatch.setattr(langid, "SAMPLE_BYTES", 4000)
     texts = [(i, "the cat and the dog " * 5 if i % 2 else "der hund und die katze " * 5, "en" if i % 2 else "de") for i in range(20)]
@@ -519,8 +585,13 @@ def test_urls_by_both_ways_and_edges(spark):
     assert url_filter.match_urls(p.limit(0), rules).count() == 0 and url_filter.match_urls(p, rules.limit(0), default="block").where("verdict = 'block'").count() == len(urls) + 1
 
 
+def test_long_hosts_take_no_more_keys_than_rules_have_labels():
+    host = "a." * 200_000 + "www.example.com"
+    assert url_filter.suffixes(host, 3) == ["com", "example.com", "www.example.com"] and url_filter.suffixes("com", 3) == ["com"] and url_filter.suffixes("a.b", 0) == []
+
+
 def test_equal_digests_are_told_apart_by_their_strings(tmp_path):
-    index = url_filter.Index(np.array([url_filter.xxhash.xxh64_intdigest("a", url_filter.SEED)] * 2, np.uint64), np.array([0, 1, 2], np.uint64), np.zeros(2, np.uint8), np.frombuffer(b"ba", np.uint8), [1])
+    index = url_filter.Index(np.array([url_filter.xxhash.xxh64_intdigest("a", url_filter.SEED)] * 2, np.uint64), np.array([0, 1, 2], np.uint64), np.zeros(2, np.uint8), np.frombuffer(b"ba", np.uint8), [1], 1, 1)
     assert index.find(["a", "b"]).tolist() == [1, -1]
 
 
