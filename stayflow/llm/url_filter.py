@@ -2,18 +2,21 @@
 
 ``write_index`` stores the rules as one file: sorted digests, the full rule strings and their actions. The file goes to
 the executors with ``SparkContext.addFile``; a lost executor's replacement fetches it anew. Each task maps it, forms the
-candidate keys of its urls (every host suffix with every path prefix of a length that some rule has), looks all of
+candidate keys of its urls (every host suffix of as many labels as rules have with every path prefix of a length that some rule has), looks all of
 them up with one ``searchsorted`` call, and confirms each hit against the stored string, so that equal digests of
-different strings never match. A rule set over ``max_rules`` is joined by digest in Spark in place of being mapped.
+different strings never match. A rule set over ``max_rules`` is joined by digest in Spark in place of being mapped, with equal results.
 
 Defined cases: a null url or one without ``://`` has an empty host and path and matches no rule; among the rules that
 fit, the longest string wins, then the longer host; a url that no rule fits gets ``default``; repeated rules with the
-same string keep the alphabetically last action ("block" over "allow").
+same string keep the alphabetically last action ("block" over "allow"); repeated urls are judged alike; an empty table on either side
+gives no rows or the default; other columns are not read.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import struct
 import tempfile
 import uuid
@@ -40,6 +43,9 @@ class Index(NamedTuple):
     actions: np.ndarray
     strings: np.ndarray
     path_lengths: list[int]
+    #: Labels of a rule's host at most, and characters of a rule.
+    labels: int
+    longest: int
 
     def find(self, keys: list[str]) -> np.ndarray:
         """The rule number of each key, -1 where no rule is that very string."""
@@ -91,7 +97,7 @@ def clean_rules(rules: DataFrame) -> DataFrame:
 
 def write_index(rules: DataFrame, path: str) -> None:
     """Stream the cleaned rules, in the digests' unsigned order, into one file."""
-    n, size = 0, 0
+    n, size, labels, longest = 0, 0, 0, 0
     lengths: set[int] = set()
     parts = {k: open(f"{path}.{k}", "w+b") for k in ("digests", "offsets", "actions", "strings")}
     parts["offsets"].write(struct.pack("<Q", 0))
@@ -104,9 +110,10 @@ def write_index(rules: DataFrame, path: str) -> None:
         parts["actions"].write(b"\1" if row["action"] == "block" else b"\0")
         parts["strings"].write(text)
         lengths.add(row["path_length"])
+        labels, longest = max(labels, row["rule"][: row["host_length"]].count(".") + 1), max(longest, len(row["rule"]))
         n += 1
     with open(path, "wb") as out:
-        out.write(struct.pack("<QQ", n, len(lengths)))
+        out.write(struct.pack("<QQQQ", n, len(lengths), labels, longest))
         out.write(np.array(sorted(lengths), "<u8").tobytes())
         for f in parts.values():
             f.seek(0)
@@ -117,20 +124,21 @@ def write_index(rules: DataFrame, path: str) -> None:
 
 
 def open_index(path: str) -> Index:
-    n, m = struct.unpack("<QQ", open(path, "rb").read(16))
-    at, out = 16, []
+    with open(path, "rb") as f:
+        n, m, labels, longest = struct.unpack("<QQQQ", f.read(32))
+    at, out = 32, []
     for kind, count in (("<u8", m), ("<u8", n), ("<u8", n + 1), ("u1", n)):
         out.append(np.memmap(path, kind, "r", at, (count,)) if count else np.zeros(0, kind))
         at += count * np.dtype(kind).itemsize
     rest = os.path.getsize(path) - at
     strings = np.memmap(path, "u1", "r", at, (rest,)) if rest else np.zeros(0, "u1")
-    return Index(out[1], out[2], out[3], strings, [int(x) for x in out[0]])
+    return Index(out[1], out[2], out[3], strings, [int(x) for x in out[0]], labels, longest)
 
 
-def suffixes(host: str) -> list[str]:
-    """The host and each domain above it, longest first."""
-    parts = host.split(".")
-    return [".".join(parts[i:]) for i in range(len(parts))]
+def suffixes(host: str, most: int) -> list[str]:
+    """The host and each domain above it of at most ``most`` labels, shortest first."""
+    parts = host.rsplit(".", most)[-most:] if most else []
+    return [".".join(parts[i:]) for i in range(len(parts) - 1, -1, -1)]
 
 
 def match_urls(urls: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "url", default: str = "allow", max_rules: int = MAX_RULES) -> DataFrame:
@@ -144,7 +152,9 @@ def match_urls(urls: DataFrame, rules: DataFrame, key: str = "page_id", url: str
     if rules.limit(max_rules + 1).count() > max_rules:
         return _match_by_join(pages, rules, key, default)
     name = f"url-rules-{uuid.uuid4().hex}"
-    file = os.path.join(tempfile.mkdtemp(prefix="stayflow-"), name)
+    folder = tempfile.mkdtemp(prefix="stayflow-")  # the driver's own; executors fetch the file from it while the application runs
+    atexit.register(shutil.rmtree, folder, True)
+    file = os.path.join(folder, name)
     write_index(rules, file)
     spark.sparkContext.addFile(file)
 
@@ -154,9 +164,9 @@ def match_urls(urls: DataFrame, rules: DataFrame, key: str = "page_id", url: str
             host, path = b.column(1).to_pylist(), b.column(2).to_pylist()
             keys, rows = [], []
             for i, (h, p) in enumerate(zip(host, path)):
-                for s in suffixes(h) if h else ():
+                for s in suffixes(h, index.labels) if h else ():
                     for n in index.path_lengths:
-                        if n <= len(p):
+                        if n <= len(p) and len(s) + n <= index.longest:
                             keys.append(s + p[:n])
                             rows.append((i, len(s) + n, len(s)))
             best: dict[int, tuple[int, int, int]] = {}
@@ -177,10 +187,11 @@ def _match_by_join(pages: DataFrame, rules: DataFrame, key: str, default: str) -
 
     Distinct (host, path) pairs are probed once, so that a host with a third of all rows is not a hot key.
     """
-    lengths = F.broadcast(rules.groupBy().agg(F.collect_set("path_length").alias("_lengths")))
+    labels_of = F.size(F.split(F.substring("rule", F.lit(1), F.col("host_length")), r"\."))
+    lengths = F.broadcast(rules.groupBy().agg(F.collect_set("path_length").alias("_lengths"), F.max(labels_of).alias("_most")))  # one row; lengths are few
     kinds = pages.select("host", "path").distinct()
     labels = F.split("host", r"\.")
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    hosts = F.transform(F.sequence(F.greatest(F.lit(1), F.size(labels) - F.col("_most") + 1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     probes = (
         kinds.where("host <> ''")
         .join(lengths)
