@@ -1,23 +1,24 @@
 """Removal of repeated byte windows by a depth-limited radix sort of suffixes.
 
-Suffixes (starts of ``LENGTH``-byte windows) are ordered only through their first ``LENGTH`` bytes, by passes that each look at one
-digit of the window; a suffix alone under its digits is done and goes no further; groups that are equal in the last pass are
-exactly the repeated windows. Digits are functions of the window's bytes, most significant first:
+Suffixes (starts of ``LENGTH``-byte windows) are sorted only through their first ``LENGTH`` bytes, by passes that each look at the next
+digit, most significant first; a suffix alone under its digits so far is done and goes no further; groups that are equal in the last
+pass are exactly the repeated windows. Passes and their digits:
 
 1. the window's anchor: its least hashed ``GRAM``-byte string, the first of equals. Neighbouring starts share an anchor, so a run of
-   starts travels as one row (some 85 bytes of text a row).
-2. the bytes of a run's whole stretch. Equal runs are resolved at once, however many there are, and only one of them is looked
-   at further.
-3. for the runs under an anchor that more than one different run has, in blocks of ``STEP`` starts by their distance from the anchor: the
-   bytes that all windows of a block have in common, then the bytes of the block's whole stretch, by the same rule.
-4. the window itself, for the blocks that share those common bytes and still differ (those next to an edit).
+   starts is one row (some 85 bytes of text a row); most anchors occur once, and their runs are done.
+2. to 4. ``DIGITS`` successive digits of the bytes that the windows of a block share: ``STEP`` neighbouring starts at one distance from the anchor.
+5. the windows of the blocks that are still not alone, each by all its bytes.
 
-Every pass groups by a hash in Spark (partial counts first, so that a passage in a third of all documents is one row a task), and
-joins the counts back.
+Before pass 2 and after pass 4 equal stretches (all bytes of a run's or a block's windows) are settled at once, however many there
+are, and one of each goes on; so only texts that share an anchor and differ around it (next to an edit) reach the later passes.
+
+Every pass counts by a hash in Spark (partial counts first, so that a passage in a third of all documents is one row a task), and
+joins the counts back. Digits are hashed to 64 bits each, and windows are equal if their anchors and their own or their stretches' hashes are: 128
+bits, at which n windows give a false match with a chance under n^2 / 2^129.
 
 Defined cases: a null text is an empty one; texts under ``LENGTH`` bytes have no window and keep all; a text that repeats itself loses
-those bytes too; rows with equal texts (repeated rows included) lose all; an empty table gives no rows. A row's key is its id and a hash of its text, so ids need not be unique.
-Hashes are 64 bits at each digit, so an anchor, a run and a window together tell windows apart by 128 bits or more.
+those bytes too; rows with equal texts (repeated rows included) lose all; an empty table gives no rows; other columns are not read. A row's key
+is its id and a hash of its text, so ids need not be unique, and a row that is there many times is looked at once.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches
+from .common import cut, discard, small_batches, small_enough
 
-LENGTH, GRAM, STEP = 200, 32, 16
+LENGTH, GRAM, STEP, DIGITS = 200, 32, 16, 3
+#: Shared digits up to which they are sent to every executor.
+SHARED = 1_500_000
 #: Starts that are looked at together; longer texts go in pieces that overlap by a window.
 PIECE = 1 << 20
 PLACE = np.uint64(PIECE * 2 - 1)
@@ -129,11 +132,13 @@ def _runs(texts: DataFrame) -> DataFrame:
 
 
 def _blocks(texts: DataFrame) -> DataFrame:
-    """id, t, start, n, anchor, core and stretch of the blocks of the runs wanted; texts: id, t, runs (start, n, off, anchor), text."""
+    """id, t, start, n, anchor, the digits d0, d1, ... and stretch of the blocks of the runs wanted; texts: id, t, runs (start, n, off, anchor), text."""
+    names = [f"d{i}" for i in range(DIGITS)]
+    cuts = [(LENGTH - STEP + 1) * i // DIGITS for i in range(DIGITS + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, raws in _texts(batches):
-            rows, starts, counts, anchors, cores, stretches = [], [], [], [], [], []
+            rows, starts, counts, anchors, digits, stretches = [], [], [], [], [[] for _ in names], []
             for row, (runs, raw) in enumerate(zip(b.column(2).to_pylist(), raws)):
                 view = memoryview(raw)
                 for r in runs:
@@ -146,14 +151,15 @@ def _blocks(texts: DataFrame) -> DataFrame:
                         starts.append(low)
                         counts.append(n)
                         anchors.append(r["anchor"])
-                        cores.append(xxhash.xxh3_64_intdigest(view[high : high - STEP + 1 + LENGTH], k))
+                        for column, i, j in zip(digits, cuts, cuts[1:]):
+                            column.append(xxhash.xxh3_64_intdigest(view[high + i : high + j], k))
                         stretches.append(xxhash.xxh3_64_intdigest(view[low : low + n - 1 + LENGTH], (anchor - low) * STEP + n))
             if rows:
                 at = pa.array(rows, pa.int64())
-                longs = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (cores, stretches)]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(starts, pa.int32()), pa.array(counts, pa.int32()), pa.array(anchors, pa.int64()), *longs], names=["id", "t", "start", "n", "anchor", "core", "stretch"])
+                longs = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (*digits, stretches)]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(starts, pa.int32()), pa.array(counts, pa.int32()), pa.array(anchors, pa.int64()), *longs], names=["id", "t", "start", "n", "anchor", *names, "stretch"])
 
-    return small_batches(texts).mapInArrow(run, "id long, t long, start int, n int, anchor long, core long, stretch long")
+    return small_batches(texts).mapInArrow(run, f"id long, t long, start int, n int, anchor long, {', '.join(f'{c} long' for c in names)}, stretch long")
 
 
 def _windows(texts: DataFrame) -> DataFrame:
@@ -179,31 +185,45 @@ def _windows(texts: DataFrame) -> DataFrame:
     return small_batches(texts).mapInArrow(run, "id long, t long, anchor long, start int, hashes array<long>")
 
 
-def _sort_pass(rows: DataFrame, keys: list[str], more: list[str], tag: str) -> tuple[DataFrame, DataFrame]:
-    """One pass over rows (id, t, start, n, stretch and ``more``) under equal ``keys``.
+def _survivors(rows: DataFrame, keys: list[str], tag: str) -> DataFrame:
+    """A radix pass: the rows that are not alone under ``keys``, the digits so far."""
+    shared = cut(rows.groupBy(*keys).agg(F.count("*").alias("_c")).where("_c > 1").select(*keys), f"suffix-{tag}-shared")
+    left = cut(rows.join(small_enough(shared, SHARED), keys, "left_semi"), f"suffix-{tag}")
+    discard(rows, shared)
+    return left
+
 
-    The spans of rows whose stretch repeats; and one row of each different stretch (c: how many have it) where a key has several.
-    """
-    equal = rows.groupBy(*keys, "stretch").agg(F.count("*").alias("c"), F.min(F.struct("id", "t", "start", "n", *more)).alias("one"))
-    several = equal.groupBy(*keys).agg(F.count("*").alias("_kinds")).where("_kinds > 1").select(*keys)
-    kinds = cut(equal.join(several, keys, "left_semi"), f"suffix-{tag}-kinds")
+def _equal_stretches(rows: DataFrame, keys: list[str], more: list[str], tag: str) -> tuple[DataFrame, DataFrame]:
+    """Of rows (id, t, start, n, stretch and ``more``): the spans of those whose stretch repeats under ``keys``; and one
+    row of each different stretch (c: how many have it) where a key has several."""
+    equal = cut(rows.groupBy(*keys, "stretch").agg(F.count("*").alias("c"), F.min(F.struct("id", "t", "start", "n", *more)).alias("one")), f"suffix-{tag}-equal")
+    several = cut(equal.groupBy(*keys).agg(F.count("*").alias("_kinds")).where("_kinds > 1").select(*keys), f"suffix-{tag}-several")
+    kinds = cut(equal.join(small_enough(several, SHARED), keys, "left_semi"), f"suffix-{tag}-kinds")
     many = cut(equal.where("c > 1").select(*keys, "stretch"), f"suffix-{tag}-many")
-    whole = rows.join(many, [*keys, "stretch"], "left_semi").select("id", "t", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
+    whole = rows.join(small_enough(many, SHARED), [*keys, "stretch"], "left_semi").select("id", "t", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
+    whole = cut(whole, f"suffix-{tag}-whole")
+    discard(rows, equal, several, many)
     return whole, kinds
 
 
 def _wanted(texts: DataFrame, kinds: DataFrame, fields: list[str]) -> DataFrame:
-    """The texts of ``kinds`` with what is wanted of them: id, t, runs, text."""
+    """The texts of ``kinds`` with what is wanted of them: id, t, runs, text. A text comes once, however often its row is there."""
     runs = F.struct(*[F.col(f"one.{c}").alias(c) for c in fields if c != "anchor"], "anchor")
-    return texts.join(kinds.groupBy("one.id", "one.t").agg(F.collect_list(runs).alias("runs")), ["id", "t"]).select("id", "t", "runs", "text")  # one text's runs
+    once = texts.groupBy("id", "t").agg(F.first("text").alias("text"))
+    return once.join(kinds.groupBy("one.id", "one.t").agg(F.collect_list(runs).alias("runs")), ["id", "t"]).select("id", "t", "runs", "text")  # one text's runs
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """id, t and spans (start, end) covered by repeated windows, sorted by start but not merged, of texts with any; texts: id, t, text."""
-    runs = cut(_runs(texts.where(F.octet_length("text") >= LENGTH)), "suffix-runs")
-    whole, kinds = _sort_pass(runs, ["anchor"], ["off"], "run")
-    blocks = cut(_blocks(_wanted(texts, kinds, ["start", "n", "off", "anchor"])), "suffix-blocks")
-    some, kinds = _sort_pass(blocks, ["anchor", "core"], [], "block")
+    texts = texts.where(F.octet_length("text") >= LENGTH)
+    runs = _survivors(cut(_runs(texts), "suffix-all"), ["anchor"], "runs")
+    whole, kinds = _equal_stretches(runs, ["anchor"], ["off"], "run")
+    blocks, keys = cut(_blocks(_wanted(texts, kinds, ["start", "n", "off", "anchor"])), "suffix-blocks"), ["anchor"]
+    discard(kinds)
+    for i in range(DIGITS):
+        keys.append(f"d{i}")
+        blocks = _survivors(blocks, keys, f"digit{i}")
+    some, kinds = _equal_stretches(blocks, keys, [], "block")
     windows = _windows(_wanted(texts, kinds, ["start", "n", "anchor"])).withColumn("row", F.monotonically_increasing_id())
     windows = cut(windows, "suffix-windows")
     # a window that several different blocks have is repeated; one block of each kind is here
@@ -218,7 +238,9 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     lasts = "filter(transform(at, (x, i) -> if(i = size(at) - 1 OR at[i + 1] - x > 1, x, NULL)), x -> x IS NOT NULL)"
     parts = found.select("id", "t", "run", F.explode(F.expr(f"zip_with({firsts}, {lasts}, (a, b) -> struct(a, b))")).alias("p"))
     parts = parts.select("id", "t", (F.col("run") + F.col("p.a")).cast("int").alias("start"), (F.col("run") + F.col("p.b") + LENGTH).cast("int").alias("end"))
-    return whole.unionByName(some).unionByName(parts).groupBy("id", "t").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))  # one text's spans
+    spans = whole.unionByName(some).unionByName(parts)
+    # one text's spans, each once: a row that is there many times has them as often
+    return spans.groupBy("id", "t").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -359,6 +359,17 @@ def test_removed_bytes_equal_brute_force(spark, docs, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_one_row_many_times_and_texts_over_a_piece(spark):
+    rng = random.Random(31)
+    long, shared = prose(rng, 700), prose(rng, 120)
+    d = [(1, long)] * 300 + [(2, shared + " x " + prose(rng, 90)), (3, prose(rng, 90) + shared), (None, long[:900]), (4, "ab" * 900), (5, long + shared)]
+    big = prose(rng, 330_000)  # over a MiB, with a copy of the bytes around the first piece's end
+    d += [(6, big), (7, "y" * 10 + big[suffix_dedup.PIECE - 400 : suffix_dedup.PIECE + 500])]
+    assert len(big) > suffix_dedup.PIECE + 1000
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(d, "doc_id long, text string")).collect()
+    assert rows(tuple(r)[:5] for r in found) == rows(brute.repeats(d))
+
+
 def test_pieces_of_long_texts(monkeypatch):
     raw = np.frombuffer((prose(random.Random(3), 900)).encode(), np.uint8)
     first, n, anchor, place = suffix_dedup.runs_of(raw)
@@ -595,6 +606,42 @@ def test_equal_digests_are_told_apart_by_their_strings(tmp_path):
     assert index.find(["a", "b"]).tolist() == [1, -1]
 
 
+# long texts and empty tables
+
+
+def test_every_operator_takes_long_texts(spark):
+    rng = random.Random(77)
+    long = prose(rng, 500_000) + " "
+    texts = [(1, long), (2, long + "end"), (3, "x" * 3_000_000), (4, "short one"), (5, "<" * 1_500_000)]
+    d = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i, _ in texts], "doc_id long, quality int, toxic int")
+    assert {r["component_id"] for r in jaccard.join_components(d).collect()} == {1, 3, 4, 5}
+    assert mixing.mix_sources(d).count() == 5 and sharding.assign_shards(d, 1_000_000).count() == 5
+    bench = spark.createDataFrame([(9, long[600_000:600_300])], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.find_contamination(d, bench).collect()} == {1, 2}
+    model = toxicity.train(d, labels, F.lit(True))
+    assert toxicity.score_documents(d, model).count() == 5
+    model = quality.train(d, labels, F.lit(True), metadata=["n_chars"])
+    assert quality.score_documents(d, model, metadata=["n_chars"]).count() == 5
+    pages = d.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("http://"), "text").alias("url"), F.col("text").alias("html"))
+    assert langid.identify(pages, langid.fit_text(d)).where("lang = 'en'").count() == 5
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, action string")
+    assert url_filter.match_urls(pages, rules).count() == 5
+
+
+def test_empty_tables_all_the_way(spark, empty, tmp_path):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.score_documents(empty, toxicity.train(empty, labels, F.lit(True))).count() == 0
+    assert quality.score_documents(empty, quality.train(empty, labels, F.lit(True))).count() == 0
+    assert langid.fit_text(empty).languages == [] and mixing.take_mix(empty).count() == 0 and jaccard.drop_near_duplicates(empty).count() == 0
+    import corpus_pipeline as P
+
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert P.run(spark, str(tmp_path)).count() == 0
+
+
 # registry and pipeline
 
 
