@@ -1,6 +1,10 @@
 """The corpus pipeline: toxicity filter, near-duplicate removal, decontamination, mixing and sharding, each over whole texts.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and reread as the next one's docs.
+
+Defined cases are those of the operators: a null or empty text is not toxic, is no copy, holds no item and has no words, so it stays once at
+most; rows of one id count as one document for near duplicates; an empty table gives no rows; all columns are kept, those that
+are named like a column of the last stage's give way there.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, discard
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,12 +23,16 @@ def components(links: DataFrame) -> DataFrame:
         parent = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("p")), "cc-parents")
         while True:
             up = parent.select(F.col("a").alias("p"), F.col("p").alias("q"))
-            jumped = cut(parent.join(up, "p", "left").select("a", F.coalesce("q", "p").alias("p"), (F.coalesce("q", "p") != F.col("p")).alias("moved")), "cc-parents")
-            parent = jumped.select("a", "p")
+            jumped = cut(parent.select("a", "p").join(up, "p", "left").select("a", F.coalesce("q", "p").alias("p"), (F.coalesce("q", "p") != F.col("p")).alias("moved")), "cc-parents")
+            discard(parent)
+            parent = jumped
             if jumped.where("moved").isEmpty():
                 break
-        root = parent.withColumnsRenamed({"a": "label", "p": "root"})
+        root = parent.select(F.col("a").alias("label"), F.col("p").alias("root"))
+        before = labels, edges, parent
         labels = cut(labels.join(root, "label", "left").select("id", F.coalesce("root", "label").alias("label")), "cc-labels")
-        l, r = parent.withColumnsRenamed({"a": "a", "p": "pa"}), parent.withColumnsRenamed({"a": "b", "p": "pb"})
+        l, r = (parent.select(F.col("a").alias(side), F.col("p").alias(f"p{side}")) for side in "ab")
         edges = cut(edges.join(l, "a").join(r, "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "cc-edges")
+        discard(*before)
+    discard(edges)
     return labels

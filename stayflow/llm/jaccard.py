@@ -17,7 +17,7 @@ elements (a lower bound of the difference), then their sets are compared exactly
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; a text with fewer words than n has
 its whole sequence as one element; rows of one id count as one document, linked with itself; a row with a null id is not linked
-and its component is null; an empty table gives no rows.
+and its component is null; an empty table gives no rows; other columns are kept by ``drop_near_duplicates``, whatever their names, and not read.
 """
 
 from __future__ import annotations
@@ -200,7 +200,9 @@ def _verified(near: DataFrame, docs: DataFrame, doc_id: str, text: str, n: int,
     two = sets.select(F.col("id").alias("b"), F.col("elements").alias("b_e"))
     same = F.size(F.array_intersect("a_e", "b_e"))
     linked = near.join(one, "a").join(two, "b").where(same * (top + bottom) >= (F.size("a_e") + F.size("b_e")) * top)
-    return cut(linked.select("a", "b").distinct(), "jaccard-links")
+    links = cut(linked.select("a", "b").distinct(), "jaccard-links")
+    discard(ids, sets)
+    return links
 
 
 def join_components(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -236,6 +238,7 @@ def join_components(docs: DataFrame, words: int = WORDS, similarity: tuple[int,
     links = links.unionByName(_verified(cut(rest, "jaccard-rest"), docs, doc_id, text, words, similarity))
     label = cut(components(links), "jaccard-labels")
     by_class = cut(classes.join(label, classes["rep"] == label["id"], "left").select("n", "f1", "f2", F.coalesce("label", "rep").alias("component_id")), "jaccard-result")
+    discard(classes, facts, coarse, fine, kept, first, now)
     # rows of one id with different texts: the smallest of their classes
     out = rows.select("id", "n", "f1", "f2").join(by_class, ["n", "f1", "f2"], "left")
     return out.select(F.col("id").alias(doc_id), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "id")).alias("component_id"))

@@ -14,7 +14,7 @@ Every language with a document is known, up to ``MAX_LANGUAGES`` (more raise).
 
 Defined cases: a null or empty page has no text evidence and gets what its other evidence says; a null url has the host "";
 an undeclared language is a declaration of its own; ties go to the language first in code point order; without any
-known language the result has a null lang; repeated rows are judged alike.
+known language the result has a null lang; repeated rows are judged alike; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

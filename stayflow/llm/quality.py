@@ -8,7 +8,8 @@ The model is fitted with Adagrad on a bounded sample of labelled rows (``ROWS_PE
 weighted back to their shares; its size is fixed by ``BUCKETS`` and ``RANK``. Scoring is one pass over whole texts without a shuffle.
 
 Defined cases: a null text is an empty one; an empty text is scored on its (zero) statistics; null metadata counts as 0;
-without labelled rows of both classes every score is the share of label 1 (0.5 without labels); repeated rows score alike.
+without labelled rows of both classes every score is the share of label 1 (0.5 without labels); repeated rows score alike; of a repeated id the
+first different text by hash is learned from; an empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

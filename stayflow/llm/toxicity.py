@@ -10,7 +10,8 @@ The model is fitted on a bounded sample of labelled rows (``ROWS_PER_CLASS``, ``
 bounded by ``MAX_FEATURES``. Scoring is one pass over whole texts without a shuffle.
 
 Defined cases: a null or empty text, or one without letters, has no tokens and gets the score of a document without
-toxic words; without labelled rows of both classes the score is the share of toxic labels (0 without any); repeated rows score alike.
+toxic words; without labelled rows of both classes the score is the share of toxic labels (0 without any); repeated rows score alike; of a
+repeated id the first different text by hash is learned from; an empty table gives no rows; other columns are kept by ``drop_toxic`` and not read.
 """
 
 from __future__ import annotations
