@@ -29,7 +29,8 @@ def harmonized(spark: SparkSession, root: str, min_non_null: int = 20, min_hospi
     translation: the path of a translation file, in place of the built-in one.
     """
     sections = raw.read_translation(spark, translation) if translation else {}
-    text_static, text_dynamic = (stage(raw.load_all(spark, root, kind, sections.get(kind)), f"raw-{kind}") for kind in ("static", "dynamic"))
+    sites = {kind: raw.load_sites(spark, root, kind) for kind in ("static", "dynamic")}
+    text_static, text_dynamic = (stage(raw.load_all(spark, root, kind, sections.get(kind), of), f"raw-{kind}") for kind, of in sites.items())
     site = F.col("hospital_id")
     static = stage(harmonize.harmonize_static(text_static, site, identity_mapping("static")), "static")
     variables = [c for c in fixed.dynamic_columns() if c not in fixed.TEXT_COLUMNS]
@@ -48,8 +49,8 @@ def harmonized(spark: SparkSession, root: str, min_non_null: int = 20, min_hospi
     stays = stage(ventilation.stay_qc(static, times, found), "vent-stays")
     summary = stage(quality.distribution_summary(clean, min_non_null), "distribution")
     text, name = F.col("text"), F.col("canonical_name")
-    values = raw.load_values(spark, root).withColumns({"plain": X.number(text), "parsed": harmonize.numeric_value(text, name, site)})
-    static_columns, dynamic_columns = (raw.load_columns(spark, root, kind) for kind in ("static", "dynamic"))
+    values = raw.values_of(spark, sites["dynamic"]).withColumns({"plain": X.number(text), "parsed": harmonize.numeric_value(text, name, site)})
+    static_columns, dynamic_columns = (raw.columns_of(spark, of) for of in sites.values())
     names = [c for c in fixed.STATIC_COLUMNS if c != "hospital_id"]
     static_long = static.select("hospital_id", F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in names])).alias("x")).select("hospital_id", "x.*")
     return {

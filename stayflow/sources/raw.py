@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,47 +139,42 @@ def canonical_text(df: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataF
     return df.select(*extra, *[merged(df, raws).alias(name) for name, raws in mapping.items()])
 
 
-def load_all(spark: SparkSession, root: str, kind: str, translation: Mapping[str, str] | None = None) -> DataFrame:
+def load_sites(spark: SparkSession, root: str, kind: str) -> dict[str, DataFrame]:
+    """The raw rows of each site that has files of a kind (static or dynamic), by hospital."""
+    found = {hospital_name(f): load_static(spark, f) if kind == "static" else load_dynamic(spark, f) for f in site_folders(spark, root)}
+    found = {h: df for h, df in found.items() if df is not None}
+    if not found:
+        raise FileNotFoundError(f"{root} has no site with {kind} files")
+    return found
+
+
+def load_all(spark: SparkSession, root: str, kind: str, translation: Mapping[str, str] | None = None, sites: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """All sites' rows of a kind (static or dynamic) as one table of text under canonical names.
 
     Aliases of a static column must agree within a site; row_ord is a row's place over all sites. translation: {raw column: canonical
-    column} in place of the built-in one.
+    column} in place of the built-in one; sites: what `load_sites` gave, if it was called before.
     """
     mapping = fixed.raw_columns(kind, translation)
-    parts = []
-    for folder in site_folders(spark, root):
-        part = load_static(spark, folder) if kind == "static" else load_dynamic(spark, folder)
-        if part is None:
-            continue
-        if kind == "static":
-            check_aliases(part, mapping)
-        parts.append(canonical_text(part, mapping))
-    if not parts:
-        raise FileNotFoundError(f"{root} has no site with {kind} files")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+    sites = sites or load_sites(spark, root, kind)
+    if kind == "static":
+        for df in sites.values():
+            check_aliases(df, mapping)
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (canonical_text(df, mapping) for df in sites.values()))
     return out if kind == "static" else out.withColumn("row_ord", F.monotonically_increasing_id())
 
 
-def load_columns(spark: SparkSession, root: str, kind: str) -> DataFrame:
+def columns_of(spark: SparkSession, sites: Mapping[str, DataFrame]) -> DataFrame:
     """hospital_id and column: the raw columns that each site's files have."""
-    rows = []
-    for folder in site_folders(spark, root):
-        part = load_static(spark, folder) if kind == "static" else load_dynamic(spark, folder)
-        rows += [(hospital_name(folder), c) for c in (part.columns if part is not None else []) if c not in ("hospital_id", "row_ord")]
-    return spark.createDataFrame(rows, "hospital_id string, column string")
+    return spark.createDataFrame([(h, c) for h, df in sites.items() for c in df.columns if c not in ("hospital_id", "row_ord")], "hospital_id string, column string")
 
 
-def load_values(spark: SparkSession, root: str) -> DataFrame:
-    """Raw dynamic texts in long form: hospital_id, column (raw name), canonical name and text."""
-    parts = []
+def values_of(spark: SparkSession, sites: Mapping[str, DataFrame]) -> DataFrame:
+    """Raw dynamic texts in long form: hospital_id, column (raw name), canonical_name and text."""
     canonical = {raw: name for name, raws in fixed.raw_columns("dynamic").items() for raw in raws if name not in fixed.TEXT_COLUMNS}
-    for folder in site_folders(spark, root):
-        if (df := load_dynamic(spark, folder)) is not None and (have := [c for c in df.columns if c in canonical]):
-            x = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(canonical[c]).alias("canonical_name"), X.clean(quoted(c)).alias("text")) for c in have]))
+    parts = []
+    for df in sites.values():
+        x = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(canonical[c]).alias("canonical_name"), X.clean(quoted(c)).alias("text")) for c in df.columns if c in canonical]))
+        if any(c in canonical for c in df.columns):
             parts.append(df.select("hospital_id", x.alias("x")).select("hospital_id", "x.*").where("text IS NOT NULL"))
-    out = parts[0] if parts else spark.createDataFrame([], "hospital_id string, column string, canonical_name string, text string")
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    empty = spark.createDataFrame([], "hospital_id string, column string, canonical_name string, text string")
+    return reduce(DataFrame.unionByName, parts, empty)
