@@ -35,8 +35,6 @@ from pyspark.sql import functions as F
 from .common import cut, discard, small_batches, small_enough
 
 LENGTH, GRAM, STEP, DIGITS = 200, 32, 16, 3
-#: Shared digits up to which they are sent to every executor.
-SHARED = 1_500_000
 #: Starts that are looked at together; longer texts go in pieces that overlap by a window.
 PIECE = 1 << 20
 PLACE = np.uint64(PIECE * 2 - 1)
@@ -188,7 +186,7 @@ def _windows(texts: DataFrame) -> DataFrame:
 def _survivors(rows: DataFrame, keys: list[str], tag: str) -> DataFrame:
     """A radix pass: the rows that are not alone under ``keys``, the digits so far."""
     shared = cut(rows.groupBy(*keys).agg(F.count("*").alias("_c")).where("_c > 1").select(*keys), f"suffix-{tag}-shared")
-    left = cut(rows.join(small_enough(shared, SHARED), keys, "left_semi"), f"suffix-{tag}")
+    left = cut(rows.join(small_enough(shared), keys, "left_semi"), f"suffix-{tag}")
     discard(rows, shared)
     return left
 
@@ -198,9 +196,9 @@ def _equal_stretches(rows: DataFrame, keys: list[str], more: list[str], tag: str
     row of each different stretch (c: how many have it) where a key has several."""
     equal = cut(rows.groupBy(*keys, "stretch").agg(F.count("*").alias("c"), F.min(F.struct("id", "t", "start", "n", *more)).alias("one")), f"suffix-{tag}-equal")
     several = cut(equal.groupBy(*keys).agg(F.count("*").alias("_kinds")).where("_kinds > 1").select(*keys), f"suffix-{tag}-several")
-    kinds = cut(equal.join(small_enough(several, SHARED), keys, "left_semi"), f"suffix-{tag}-kinds")
+    kinds = cut(equal.join(small_enough(several), keys, "left_semi"), f"suffix-{tag}-kinds")
     many = cut(equal.where("c > 1").select(*keys, "stretch"), f"suffix-{tag}-many")
-    whole = rows.join(small_enough(many, SHARED), [*keys, "stretch"], "left_semi").select("id", "t", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
+    whole = rows.join(small_enough(many), [*keys, "stretch"], "left_semi").select("id", "t", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
     whole = cut(whole, f"suffix-{tag}-whole")
     discard(rows, equal, several, many)
     return whole, kinds
