@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, jaccard, langid, mixing, quality, sharding, suffix_dedup, toxicity, url_filter
+from . import ann, decontaminate, jaccard, langid, mixing, pieces, quality, sharding, suffix_dedup, toxicity, url_filter
 from .common import documents, held_out
 
 #: (host, path, action) of the url filter's rules.
@@ -70,8 +73,15 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.match_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    made = pieces.encode(documents(spark, sf_dir), model)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "shard_depths": shard_depths, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op6_ann": op6_ann, "op7_langid": op7_langid, "op8_suffix_dedup": op8_suffix_dedup, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter}
+    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "shard_depths": shard_depths, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op6_ann": op6_ann, "op7_langid": op7_langid, "op8_suffix_dedup": op8_suffix_dedup, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter, "op11_sentencepiece": op11_sentencepiece}
 
 
 def oracle_sql() -> dict[str, str]:
