@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, jaccard, langid, mixing, pieces, quality, sharding, suffix_dedup, toxicity, url_filter
+from . import ann, decontaminate, jaccard, langid, lexical, mixing, pieces, quality, sharding, suffix_dedup, toxicity, url_filter
 from .common import documents, held_out
 
 #: (host, path, action) of the url filter's rules.
@@ -80,12 +80,16 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "shard_depths": shard_depths, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op6_ann": op6_ann, "op7_langid": op7_langid, "op8_suffix_dedup": op8_suffix_dedup, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter, "op11_sentencepiece": op11_sentencepiece}
+    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "shard_depths": shard_depths, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op6_ann": op6_ann, "op7_langid": op7_langid, "op8_suffix_dedup": op8_suffix_dedup, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter, "op11_sentencepiece": op11_sentencepiece, "op12_lexical_search": op12_lexical_search}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_sharding": sharding_sql(SHARD_BYTES, SHARD_BITS), "shard_depths": sharding_sql(SMALL_SHARD_BYTES, 0), "op5_jaccard_join": JACCARD_SQL, "op8_suffix_dedup": REPEATS_SQL, "op10_url_filter": URL_SQL}
+    return {"op2_sharding": sharding_sql(SHARD_BYTES, SHARD_BITS), "shard_depths": sharding_sql(SMALL_SHARD_BYTES, 0), "op5_jaccard_join": JACCARD_SQL, "op8_suffix_dedup": REPEATS_SQL, "op10_url_filter": URL_SQL, "op12_lexical_search": LEXICAL_SQL}
 
 
 def sharding_sql(limit: int, start: int) -> str:
@@ -129,3 +133,15 @@ spans AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY doc_i
 cuts AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
 kept AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_removed, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(max(h), 2 * max(b) + 1) AS hex FROM cuts JOIN t USING (doc_id) GROUP BY 1)
 SELECT t.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.hex, t.h))) AS kept_sha256 FROM t LEFT JOIN kept USING (doc_id)"""
+
+LEXICAL_SQL = r"""
+WITH terms AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+d AS (SELECT r, doc_id, len(ts) AS n, ts FROM terms WHERE len(ts) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM d),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY 1), total),
+s AS (SELECT q.item_id, d.r, d.doc_id, CAST(sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (10 + (90 * d.n * docs) // words)))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN w USING (term) JOIN d USING (r), total GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY rank <= 10"""
