@@ -4,9 +4,9 @@ A model whose pieces never hold a white space marker after another character can
 a text is the sequence of its marked words and each distinct one needs one segmentation. The corpus is read three times:
 
 1. words are counted in each task, then over all tasks, and each distinct word is segmented and decoded (`word_table`);
-2. words below the frequent ones (`HEAD_WORDS`, a fixed bound that is broadcast) are joined with the table, a row for each
-   (document, word);
-3. documents meet the rows of their own rare words, sorted before them, and put the ids of all words in the order of the text.
+2. words below the frequent ones (`HEAD_WORDS`, a fixed bound that is broadcast) are joined with the table by a row for each
+   (document, place among its rare words), and come back as one row a document;
+3. compressed documents meet the row of their own rare words, sorted before them, and put the ids of all words in the order of the text.
 
 If no word is rare, the last two are one pass without a shuffle.
 
@@ -18,6 +18,7 @@ or that rewrites texts before it segments them, raises.
 
 from __future__ import annotations
 
+import pickle
 import re
 import uuid
 from collections import Counter
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, small_batches
+from .common import cut, discard, small_batches
 
 #: White space marker of the pieces, as text and as bytes.
 MARK = "▁"
@@ -43,6 +44,8 @@ HEAD_WORDS, HEAD_BYTES = 2**19, 48 * 2**20
 #: Words and bytes that a task counts before it hands them on.
 FLUSH_WORDS, FLUSH_BYTES = 400_000, 32 * 2**20
 
+KEYED = (pa.int64(), pa.int64(), pa.binary())
+
 _HEADS: dict[str, dict[bytes, tuple]] = {}
 
 
@@ -72,10 +75,10 @@ def words_of(text: bytes) -> list[bytes]:
     return text.split(b" ")
 
 
-def segment(sp: sentencepiece.SentencePieceProcessor, word: bytes) -> tuple[list[int], bytes]:
-    """Ids of a marked word, given without its first marker, and their text without it."""
-    ids = sp.encode(word) if word else [sp.piece_to_id(MARK)]  # the processor adds that marker, but not to an empty text
-    return ids, sp.decode(ids).encode()
+def segment(sp: sentencepiece.SentencePieceProcessor, words: list[bytes]) -> tuple[list[list[int]], list[bytes]]:
+    """Ids of marked words, given without their first markers, and the texts of those ids without it."""
+    ids = [i or [sp.piece_to_id(MARK)] for i in sp.encode(words, num_threads=1)]  # the processor adds that marker, but not to an empty text
+    return ids, [d.encode() for d in sp.decode(ids, num_threads=1)]
 
 
 def _id_type(model: bytes) -> str:
@@ -106,9 +109,9 @@ def word_table(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
         sp = processor(shared.value)
         for b in batches:
             words = b.column(0).to_pylist()
-            made = [segment(sp, w) for w in words]
-            ids = [np.array(i, kind).tobytes() for i, _ in made]
-            odd = [None if d == w else d for w, (_, d) in zip(words, made)]
+            made, texts = segment(sp, words)
+            ids = [np.array(i, kind).tobytes() for i in made]
+            odd = [None if d == w else d for w, d in zip(words, texts)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.binary()), pa.array(odd, pa.binary())], names=["word", "n", "ids", "decoded"])
 
     counted = small_batches(docs.select(F.col(text).cast("binary").alias("text"))).mapInArrow(count, "word binary, n long")
@@ -145,6 +148,11 @@ def _assemble(words: list[bytes], known: Callable, kind: str) -> tuple[np.ndarra
     return ids, b" ".join([w if p[1] is None else p[1] for w, p in zip(words, parts)]).decode("utf-8", "replace")
 
 
+def _rare(words: list[bytes], known: dict[bytes, tuple]) -> list[bytes]:
+    """The distinct words that are not broadcast, in the order of their first places."""
+    return list(dict.fromkeys(w for w in words if w not in known))
+
+
 def _rows(name: str, doc_ids: list, id_type: pa.DataType, made: list[tuple[np.ndarray, str]]) -> pa.RecordBatch:
     offsets = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in made])]).astype(np.int32)
     flat = np.concatenate([ids for ids, _ in made]).astype(np.int32) if made else np.zeros(0, np.int32)
@@ -161,57 +169,79 @@ def encode(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "t
     shared = context.broadcast(head)
     id_kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"`{doc_id}` {id_kind}, ids array<int>, decoded string"
-    key = F.xxhash64(F.col(doc_id).cast("string"), text).alias("key")
-    narrow = docs.select(key, F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"))
+    # two hashes of id and text name a document; rows that are alike share their rare words' row
+    keys = [F.xxhash64(F.lit(seed), F.col(doc_id).cast("string"), text).alias(name) for seed, name in ((1, "k1"), (2, "k2"))]
+    narrow = docs.select(*keys, F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _known(token, shared.value)
         for b in batches:
-            yield _rows(doc_id, b.column(1).to_pylist(), b.schema.field(1).type, [_assemble(words_of(t), known.__getitem__, kind) for t in b.column(2).to_pylist()])
+            yield _rows(doc_id, b.column(2).to_pylist(), b.schema.field(2).type, [_assemble(words_of(t), known.__getitem__, kind) for t in b.column(3).to_pylist()])
 
     rare = table.where(~frequent)
     if rare.isEmpty():
+        discard(table)
         return small_batches(narrow).mapInArrow(whole, schema)
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _known(token, shared.value)
         for b in batches:
-            keys, found = [], []
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                mine = {w for w in words_of(t) if w not in known}
-                keys += [k] * len(mine)
+            at, nth, found = [], [], []
+            for i, t in enumerate(b.column(3).to_pylist()):
+                mine = _rare(words_of(t), known)
+                at += [i] * len(mine)
+                nth += range(len(mine))
                 found += mine
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.binary())], names=["key", "word"])
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(nth, pa.int32()), pa.array(found, pa.binary())], names=["k1", "k2", "nth", "word"])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The segmentations of each document's rare words in their order, in one row."""
+        names = ["k1", "k2", "text"]
+        now, own = None, {}
+        for b in batches:
+            done = []
+            for k1, k2, n, ids, odd in zip(*[c.to_pylist() for c in b.columns]):
+                if (k1, k2) != now:
+                    done += [(*now, pickle.dumps(list(own.values())))] if now else []
+                    now, own = (k1, k2), {}
+                own[n] = (ids, odd)  # rows that are alike bring theirs several times
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), KEYED)], names=names)
+        if now:
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((*now, pickle.dumps(list(own.values()))), KEYED)], names=names)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([press.compress(t) for t in b.column(2).to_pylist()], pa.binary())], names=["key", "doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([press.compress(t) for t in b.column(3).to_pylist()], pa.binary())], names=["k1", "k2", "doc_id", "text"])
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, unpress = _known(token, shared.value), zstandard.ZstdDecompressor()
-        now, own = None, {}
+        now, own = None, []
         for b in batches:
             made, ids = [], []
-            for k, is_text, d, t, i, o in zip(*[c.to_pylist() for c in b.columns]):
-                if k != now:
-                    now, own = k, {}
-                if is_text:
-                    ids.append(d)
-                    made.append(_assemble(words_of(unpress.decompress(t)), lambda w: known.get(w) or own[w], kind))
-                else:
-                    own[t] = (i, o)
+            for k1, k2, is_text, d, t in zip(*[c.to_pylist() for c in b.columns]):
+                if not is_text:
+                    now, own = (k1, k2), pickle.loads(t)
+                    continue
+                words = words_of(unpress.decompress(t))
+                mine = dict(zip(_rare(words, known), own if now == (k1, k2) else []))
+                ids.append(d)
+                made.append(_assemble(words, lambda w, mine=mine: known.get(w) or mine[w], kind))
             if made:
-                yield _rows(doc_id, ids, b.schema.field(2).type, made)
-
-    pairs = small_batches(narrow.drop("doc_id")).mapInArrow(rare_words, "key long, word binary")
-    joined = cut(pairs.join(rare.select("word", "ids", "decoded"), "word"), "pieces-rare")
-    none = lambda t: F.lit(None).cast(t)
-    entries = joined.select("key", F.lit(False).alias("is_text"), none(id_kind).alias("doc_id"), F.col("word").alias("text"), "ids", "decoded")
-    texts = small_batches(narrow).mapInArrow(packed, f"key long, doc_id {id_kind}, text binary").select("key", F.lit(True).alias("is_text"), "doc_id", "text", none("binary").alias("ids"), none("binary").alias("decoded"))
-    met = entries.unionByName(texts)
+                yield _rows(doc_id, ids, b.schema.field(3).type, made)
+
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return small_batches(met.repartition(partitions, "key").sortWithinPartitions("key", "is_text")).mapInArrow(placed, schema)
+    pairs = small_batches(narrow).mapInArrow(rare_words, "k1 long, k2 long, nth int, word binary")
+    joined = pairs.join(rare.select("word", "ids", "decoded"), "word").select("k1", "k2", "nth", "ids", "decoded")
+    sorted_ = joined.repartition(partitions, "k1").sortWithinPartitions("k1", "k2", "nth")
+    lists = cut(sorted_.mapInArrow(listed, "k1 long, k2 long, text binary"), "pieces-rare")
+    discard(table)
+    lists = lists.select("k1", "k2", F.lit(False).alias("is_text"), F.lit(None).cast(id_kind).alias("doc_id"), "text")
+    texts = small_batches(narrow).mapInArrow(packed, f"k1 long, k2 long, doc_id {id_kind}, text binary").select("k1", "k2", F.lit(True).alias("is_text"), "doc_id", "text")
+    met = lists.unionByName(texts).repartition(partitions, "k1").sortWithinPartitions("k1", "k2", "is_text")
+    return small_batches(met).mapInArrow(placed, schema)
 
 
 def decode(ids: DataFrame, model: bytes, column: str = "ids", to: str = "decoded") -> DataFrame:
