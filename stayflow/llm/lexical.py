@@ -191,12 +191,11 @@ def _block(made: DataFrame, block: list[tuple], vocabulary: dict[bytes, int], df
     wanted: dict = {}
     for item, term in block:
         wanted.setdefault(item, []).append(vocabulary[term])
+    most = max(8, min(ROUND, CELLS // max([len(t) for t in wanted.values()], default=1)))
     shared = made.sparkSession.sparkContext.broadcast((weights, [(i, np.array(sorted(t), np.uint32)) for i, t in wanted.items()]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, wanted = shared.value
-        widest = max([len(t) for _, t in wanted], default=1)
-        most = max(8, min(ROUND, CELLS // widest))
         found: list[list[tuple]] = [[] for _ in wanted]
         types: list = []
 

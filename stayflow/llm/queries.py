@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, jaccard, langid, lexical, mixing, pieces, quality, sharding, suffix_dedup, toxicity, url_filter
+from . import ann, collocations, decontaminate, jaccard, langid, lexical, mixing, pieces, quality, sharding, suffix_dedup, toxicity, url_filter
 from .common import documents, held_out
 
 #: (host, path, action) of the url filter's rules.
@@ -84,12 +84,16 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "shard_depths": shard_depths, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op6_ann": op6_ann, "op7_langid": op7_langid, "op8_suffix_dedup": op8_suffix_dedup, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter, "op11_sentencepiece": op11_sentencepiece, "op12_lexical_search": op12_lexical_search}
+    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "shard_depths": shard_depths, "op3_decontamination": op3_decontamination, "op4_quality": op4_quality, "op5_jaccard_join": op5_jaccard_join, "op6_ann": op6_ann, "op7_langid": op7_langid, "op8_suffix_dedup": op8_suffix_dedup, "op9_toxicity": op9_toxicity, "op10_url_filter": op10_url_filter, "op11_sentencepiece": op11_sentencepiece, "op12_lexical_search": op12_lexical_search, "op13_collocations": op13_collocations}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_sharding": sharding_sql(SHARD_BYTES, SHARD_BITS), "shard_depths": sharding_sql(SMALL_SHARD_BYTES, 0), "op5_jaccard_join": JACCARD_SQL, "op8_suffix_dedup": REPEATS_SQL, "op10_url_filter": URL_SQL, "op12_lexical_search": LEXICAL_SQL}
+    return {"op2_sharding": sharding_sql(SHARD_BYTES, SHARD_BITS), "shard_depths": sharding_sql(SMALL_SHARD_BYTES, 0), "op5_jaccard_join": JACCARD_SQL, "op8_suffix_dedup": REPEATS_SQL, "op10_url_filter": URL_SQL, "op12_lexical_search": LEXICAL_SQL, "op13_collocations": PHRASES_SQL}
 
 
 def sharding_sql(limit: int, start: int) -> str:
@@ -145,3 +149,21 @@ s AS (SELECT q.item_id, d.r, d.doc_id, CAST(sum(w.w * ((1000000000 * p.tf) // (1
       FROM q JOIN p USING (term) JOIN w USING (term) JOIN d USING (r), total GROUP BY ALL)
 SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0
 QUALIFY rank <= 10"""
+
+PHRASES_SQL = r"""
+WITH pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) v(k) WHERE len(ws) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 10),
+longer AS (SELECT lang, part, max(a) AS a FROM (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS part FROM c WHERE k = 3) GROUP BY ALL),
+parts AS MATERIALIZED (SELECT c.lang, c.phrase, c.a, j, array_to_string(ws[1:j], ' ') AS p1, array_to_string(ws[j + 1:], ' ') AS p2 FROM c JOIN (VALUES (1), (2)) v(j) ON j < k
+         LEFT JOIN longer ON longer.lang = c.lang AND longer.part = c.phrase WHERE NOT coalesce(100 * longer.a >= 50 * c.a, false)),
+needed AS MATERIALIZED (SELECT lang, phrase, f FROM f WHERE (lang, phrase) IN (SELECT lang, p1 FROM parts UNION SELECT lang, p2 FROM parts)),
+firsts AS MATERIALIZED (SELECT parts.*, f AS l FROM parts JOIN needed ON needed.lang = parts.lang AND needed.phrase = p1),
+cuts AS (SELECT firsts.lang, firsts.phrase, a, j, l, f AS r, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * f) AS BIGINT) AS score
+         FROM firsts JOIN needed ON needed.lang = firsts.lang AND needed.phrase = p2),
+lowest AS (SELECT lang, phrase, a, l, r, score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank, phrase, a, l, r, t.n, score
+FROM lowest JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1) t USING (lang) QUALIFY rank <= 2000"""
