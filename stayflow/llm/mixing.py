@@ -2,7 +2,8 @@
 
 Documents are counted by exact length (words). Each source has a target; whole passes over the source come first, then a
 subset whose lengths add up to the rest of the budget. The subset is planned on the counts alone: an even share of every
-length, then the longest lengths that still fit, then a bounded knapsack (subset sum) for what remains. Which documents
+length, then the longest lengths that still fit, then a bounded knapsack (subset sum) for what remains; where that misses because a
+document is a large part of the budget, the long documents are settled first by a knapsack of their own. Which documents
 of a length are taken is settled by a seeded hash of their ids.
 
 A source, a length or an id may hold a third of all rows: the documents of a length are counted by hash range, then by id in the one
@@ -26,6 +27,8 @@ from .common import cut, ranked, small_enough, word_count
 
 #: Words of a budget that the knapsack fits exactly; greedy steps bring the budget down to this.
 KNAPSACK_WORDS = 60_000
+#: Units in which the words of documents over half of that are counted, so that memory doesn't grow with a budget.
+LONG_UNITS = 2**21
 
 
 def reshare(sizes: Sequence[int], weights: Sequence[float], total: float, most: float) -> list[float]:
@@ -55,6 +58,31 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
         return take
     if budget >= total:
         return counts.copy()
+    spread = _spread_budget(lengths, counts, budget, total)
+    missed = abs(budget - int((lengths * spread).sum()))
+    if not missed or lengths[counts > 0].max() <= KNAPSACK_WORDS // 2:
+        return spread
+    # a document as long as a part of the budget has to be settled before the others
+    other = _long_first(lengths, counts, budget)
+    return other if abs(budget - int((lengths * other).sum())) < missed else spread
+
+
+def _long_first(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """Of the long lengths those whose words leave a rest that the short ones can fill, then the rest from the short ones."""
+    long_ = lengths > KNAPSACK_WORDS // 2
+    short_words = int((lengths * counts)[~long_].sum())
+    unit = -(-budget // LONG_UNITS)
+    take = np.zeros(len(lengths), np.int64)
+    take[long_] = knapsack(-(-lengths[long_] // unit), counts[long_], budget // unit, max(0, budget - short_words) // unit)
+    left = budget - int((lengths * take).sum())
+    if left > 0:
+        take[~long_] = fit_budget(lengths[~long_], counts[~long_], left)
+    return take
+
+
+def _spread_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, total: int) -> np.ndarray:
+    """An even share of every length, the longest that still fit, then the knapsack."""
+    take = np.zeros(len(lengths), np.int64)
     if budget > KNAPSACK_WORDS:
         even = min(1.0, (budget - KNAPSACK_WORDS / 2) / total)
         take = np.floor(counts * even).astype(np.int64)
@@ -67,14 +95,18 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
                 take[i] += more
                 left -= more * int(lengths[i])
     left = budget - int((lengths * take).sum())
-    return take + knapsack(lengths, counts - take, left)
+    return take + knapsack(lengths, counts - take, left) if left <= 2 * KNAPSACK_WORDS else take
 
 
-def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """Bounded subset sum over bit sets: which totals are reachable, and with which length each was first reached."""
-    top = budget + int(lengths.max(initial=0))
+def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int, least: int | None = None) -> np.ndarray:
+    """Bounded subset sum over bit sets: which totals are reachable, and with which length each was first reached.
+
+    The total nearest to ``budget``, or to the range from ``least`` to it. A total over twice the budget is farther than none at all.
+    """
+    least = budget if least is None else least
+    top = min(budget + int(lengths.max(initial=0)), 2 * budget)
     mask, reach = (1 << (top + 1)) - 1, 1
-    first = np.full(top + 1, -1, np.int64)
+    first = np.full(top + 1, -1, np.int32)
     for i in np.argsort(lengths, kind="stable"):
         length, n = int(lengths[i]), int(counts[i])
         if not length or not n or length > top:
@@ -86,10 +118,11 @@ def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
             n, piece = n - step, piece * 2
         fresh = np.unpackbits(np.frombuffer((reach & ~before).to_bytes(top // 8 + 1, "little"), np.uint8), bitorder="little")[: top + 1]
         first[np.flatnonzero(fresh)] = i
-        if reach >> budget & 1:
+        if reach >> least & ((1 << (budget - least + 1)) - 1):
             break
-    ok = np.flatnonzero((first >= 0) | (np.arange(top + 1) == 0))
-    at = int(min(ok, key=lambda v: (abs(v - budget), v)))
+    ok = np.append(0, np.flatnonzero(first[1:] >= 0) + 1)
+    away = np.maximum(np.maximum(ok - budget, least - ok), 0)
+    at = int(ok[np.argmin(away)])  # the first of the nearest
     take = np.zeros(len(lengths), np.int64)
     while at:
         take[first[at]] += 1
