@@ -78,10 +78,11 @@ def best_pairs(x: np.ndarray, ids: np.ndarray, y: np.ndarray, k: int) -> tuple[n
     Products from a matrix product choose candidates, with a margin for their rounding; those are summed anew in one fixed order
     in double precision, so a pair has the same product wherever it is met.
     """
-    quick = y @ x.T
+    scaled = [v / v.dtype.type(2.0 ** np.floor(np.log2(np.abs(v).max()))) for v in (x, y)]  # powers of 2: no product overflows, no digit is lost
+    quick = scaled[1] @ scaled[0].T
     take = min(k, len(x))
     least = np.partition(quick, len(x) - take, axis=1)[:, len(x) - take]
-    margin = np.float64(64 * np.finfo(x.dtype).eps) * np.linalg.norm(y.astype(np.float64), axis=1) * np.linalg.norm(x.astype(np.float64), axis=1).max()
+    margin = np.float64(64 * np.finfo(x.dtype).eps) * np.linalg.norm(scaled[1].astype(np.float64), axis=1) * np.linalg.norm(scaled[0].astype(np.float64), axis=1).max()
     row, at = np.nonzero(quick >= (least - margin)[:, None])
     exact = np.concatenate([(y[row[i : i + 50_000]].astype(np.float64) * x[at[i : i + 50_000]].astype(np.float64)).sum(1) for i in range(0, len(row), 50_000)])
     order = np.lexsort((ids[at], -exact, row))
@@ -127,7 +128,8 @@ def search(table: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
             for start in range(0, whole.num_rows, 2000):
                 b = whole.slice(start, 2000)
                 y = b.column(1).flatten().to_numpy().reshape(-1, d).astype(np.float64) @ axes
-                energy = y[:, left] ** 2 + y[:, right] ** 2
+                share = y / np.maximum(np.abs(y).max(axis=1, keepdims=True), 1e-300)
+                energy = share[:, left] ** 2 + share[:, right] ** 2
                 energy[:, -1] = np.inf
                 plane = np.argsort(-energy, axis=1, kind="stable")[:, :chosen]
                 x = [np.clip((np.take_along_axis(y, i[plane], 1) / spread[i[plane]] + shifts[i[plane]] + 1.25) / 2.5 * (1 << BITS), 0, (1 << BITS) - 1).ravel() for i in (left, right)]
