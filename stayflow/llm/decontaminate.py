@@ -22,15 +22,17 @@ more memory than another; an empty table on either side gives no match; other co
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import cut, small_batches, small_enough
 
 Q, EDIT_RATE, SHORTEST = 10, 0.08, 24
 #: Compared bytes of a window, and the step from one to the next.
@@ -287,13 +289,13 @@ def _short_matches(index: Index, group: list[tuple[int, int, np.ndarray]], whole
                 yield from ((doc, n, start, start + length - 1) for n in ns)
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about BLOCK_BYTES; the driver holds one block at a time."""
+def _blocks(benchmark: DataFrame, item_id: str, text: str) -> tuple[int, Iterator[list[tuple[int, str]]]]:
+    """The number of blocks of about BLOCK_BYTES, and the items of each; the driver holds one block at a time."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")).where("text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / BLOCK_BYTES))
-    for k in range(n):
-        yield [(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()]
+    block = lambda k: [(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()]
+    return n, (block(k) for k in range(n))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -312,32 +314,59 @@ def _pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.R
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, start_byte, end_byte (in the text's UTF-8) and edits of each document's best match with each item."""
-    out, kind = None, docs.schema[doc_id].dataType.simpleString()
+    kind = docs.schema[doc_id].dataType.simpleString()
     narrow = docs.select(doc_id, text)
     names = [doc_id, "item_id", "start_byte", "end_byte", "edits"]
-    for items in _blocks(benchmark, item_id, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(build_index(items))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def hits(shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b, raws in _pieces(batches, text):
                 hits = search(shared.value, raws)
                 ids = b.column(0).take(pa.array([h[0] for h in hits], pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array([h[k] for h in hits], t) for k, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.int32()), (4, pa.int32()))]], names=names)
 
-        part = small_batches(narrow).mapInArrow(run, f"`{doc_id}` {kind}, item_id long, start_byte int, end_byte int, edits int")
-        out = part if out is None else out.unionByName(part)
-    return out
+        return small_batches(narrow).mapInArrow(run, f"`{doc_id}` {kind}, item_id long, start_byte int, end_byte int, edits int")
+
+    return _each_block(docs, benchmark, item_id, item_text, hits)
+
+
+def _each_block(docs: DataFrame, benchmark: DataFrame, item_id: str, text: str, pass_: Callable[[Broadcast], DataFrame]) -> DataFrame:
+    """The rows of all passes, one a block of the benchmark. With several blocks each is written before the next is broadcast, so a task holds one index."""
+    n, items = _blocks(benchmark, item_id, text)
+    parts = []
+    for block in items:
+        shared = docs.sparkSession.sparkContext.broadcast(build_index(block))
+        parts.append(pass_(shared) if n == 1 else cut(pass_(shared), "contamination"))
+        if n > 1:
+            shared.unpersist()
+    return reduce(DataFrame.unionByName, parts)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    for items in _blocks(benchmark, item_id, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(build_index(items))
+    """The rows of ``docs`` that hold no benchmark item, with all their columns.
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    Rows go through Python once where the benchmark is one block; for a larger one only texts do, and leave the hashes of those that hold an item.
+    """
+    n, items = _blocks(benchmark, item_id, item_text)
+    if n == 1:
+        shared = docs.sparkSession.sparkContext.broadcast(build_index(next(items)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b, raws in _pieces(batches, text):
                 bad = {h[0] for h in search(shared.value, raws)}
                 yield b if not bad else b.take(pa.array([i for i in range(b.num_rows) if i not in bad], pa.int64()))
 
-        docs = small_batches(docs).mapInArrow(run, docs.schema)
-    return docs
+        return small_batches(docs).mapInArrow(run, docs.schema)
+    keys = [F.xxhash64(F.lit(seed), F.col(f"`{text}`")) for seed in (1, 2)]  # what a text holds depends on the text alone
+    texts = docs.select(*[k.alias(f"_k{i}") for i, k in enumerate(keys)], F.col(f"`{text}`").alias("_text"))
+
+    def hits(shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b, raws in _pieces(batches, "_text"):
+                bad = pa.array(sorted({h[0] for h in search(shared.value, raws)}), pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column(0).take(bad), b.column(1).take(bad)], names=["_k0", "_k1"])
+
+        return small_batches(texts).mapInArrow(run, "_k0 long, _k1 long")
+
+    bad = cut(_each_block(docs, benchmark, item_id, item_text, hits).distinct(), "contaminated")
+    return docs.join(small_enough(bad), (keys[0] == bad["_k0"]) & (keys[1] == bad["_k1"]), "left_anti")
