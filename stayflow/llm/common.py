@@ -59,6 +59,11 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def texts_of(column: pa.Array) -> list[str | None]:
+    """A column's texts; bytes that are not UTF-8, which a file may hold, become U+FFFD."""
+    return [None if t is None else t.decode("utf-8", "replace") for t in column.cast(pa.large_string()).cast(pa.large_binary()).to_pylist()]
+
+
 def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``rows`` rows and BROADCAST_BYTES, both counted, else as it is. Call it on a cut frame."""
     n, size = df.limit(rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("b")).agg(F.count("*"), F.sum("b")).first()

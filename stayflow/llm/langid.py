@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, small_enough
+from .common import cut, small_batches, small_enough, texts_of
 from .url_filter import host_of
 
 ROWS_PER_LANGUAGE, SAMPLE_BYTES, MAX_LANGUAGES = 1500, 24_000_000, 200
@@ -133,7 +133,7 @@ def read_pages(pages: DataFrame, model: TextModel, key: str = "page_id", url: st
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
-                found = [p or "" for p in b.column(2).to_pylist()]
+                found = [p or "" for p in texts_of(b.column(2))]
                 logs = [model.log_likelihood(visible_text(p)).tolist() for p in found]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([declared_language(p) for p in found], pa.string()), pa.array(logs, pa.list_(pa.float64()))], names=[key, "host", "declared", "_text"])
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, texts_of
 from .labelled import sample
 
 ROWS_PER_CLASS, SAMPLE_BYTES = 2500, 24_000_000
@@ -146,7 +146,7 @@ def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
                 meta = zip(*[c.to_pylist() for c in b.columns[2:]]) if b.num_columns > 2 else ((),) * b.num_rows
-                scores = [model.score(*inputs(t, m, cache)) for t, m in zip(b.column(1).to_pylist(), meta)]
+                scores = [model.score(*inputs(t, m, cache)) for t, m in zip(texts_of(b.column(1)), meta)]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64())], names=[doc_id, "score"])
 
     numbers = [F.coalesce(F.col(m).cast("double"), F.lit(0.0)).alias(m) for m in metadata]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, texts_of
 from .labelled import sample
 
 ROWS_PER_CLASS, SAMPLE_BYTES, MAX_FEATURES = 1500, 16_000_000, 200_000
@@ -267,7 +267,7 @@ def _scored(batches: Iterator[pa.RecordBatch], text: str, model: Model) -> Itera
     for whole in batches:
         for at in range(0, whole.num_rows, 500):
             b = whole.slice(at, 500)
-            texts = b.column(b.schema.get_field_index(text)).to_pylist()
+            texts = texts_of(b.column(b.schema.get_field_index(text)))
             ps = marginals([model.emissions(t, cache) for t in texts], model.transitions)
             yield b, texts, ps, model.score(np.array([facts_of(p) for p in ps]).reshape(-1, 3))
 
