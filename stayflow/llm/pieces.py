@@ -234,10 +234,11 @@ def encode(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "t
 
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = small_batches(narrow).mapInArrow(rare_words, "k1 long, k2 long, nth int, word binary")
-    joined = pairs.join(rare.select("word", "ids", "decoded"), "word").select("k1", "k2", "nth", "ids", "decoded")
+    joined = cut(pairs.join(rare.select("word", "ids", "decoded"), "word").select("k1", "k2", "nth", "ids", "decoded"), "pieces-joined")
+    discard(table)
     sorted_ = joined.repartition(partitions, "k1").sortWithinPartitions("k1", "k2", "nth")
     lists = cut(sorted_.mapInArrow(listed, "k1 long, k2 long, text binary"), "pieces-rare")
-    discard(table)
+    discard(joined)
     lists = lists.select("k1", "k2", F.lit(False).alias("is_text"), F.lit(None).cast(id_kind).alias("doc_id"), "text")
     texts = small_batches(narrow).mapInArrow(packed, f"k1 long, k2 long, doc_id {id_kind}, text binary").select("k1", "k2", F.lit(True).alias("is_text"), "doc_id", "text")
     met = lists.unionByName(texts).repartition(partitions, "k1").sortWithinPartitions("k1", "k2", "is_text")
