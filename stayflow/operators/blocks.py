@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import HOUR_US
+from ..plans import fixed
 from .checks import require_columns, require_none
 from .statistics import count_values, first_values, spread
 
@@ -56,7 +57,10 @@ def metrics(one_row: DataFrame) -> DataFrame:
 
 
 def stay_summary(stays: DataFrame) -> DataFrame:
-    return metrics(stays.agg(F.count("*").alias("rows"), F.countDistinct("stay_id_global").alias("unique_stays"), F.count("icu_end_us").alias("with_end"), F.count_if(F.col("icu_end_us").isNull()).alias("without_end")))
+    """The five counts of the stay level with what they mean."""
+    n = [F.count("*"), F.countDistinct("stay_id_global"), F.count("icu_end_us"), F.count_if(F.col("icu_end_us").isNull()), F.lit(1)]
+    notes = F.create_map(*[F.lit(x) for pair in fixed.SUMMARY_NOTES.items() for x in pair])
+    return metrics(stays.agg(*[c.alias(m) for c, m in zip(n, fixed.SUMMARY_NOTES)])).withColumn("note", F.element_at(notes, F.col("metric")))
 
 
 def proxy_summary_by_hospital(stays: DataFrame) -> DataFrame:

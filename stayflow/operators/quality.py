@@ -111,10 +111,10 @@ def semantic_decisions(obs: DataFrame, sites: DataFrame, actions: DataFrame, tar
 
 
 def non_numeric_issues(raw: DataFrame, examples: int = 10) -> DataFrame:
-    """For raw text (hospital_id, column, text, plain, parsed): values that are no plain number, resolved by a parser or not."""
+    """For raw text (hospital_id, column, canonical_name, text, plain, parsed): values that are no plain number, resolved by a parser or not."""
     odd = F.col("text").isNotNull() & F.col("plain").isNull()
     lost = odd & F.col("parsed").isNull()
-    by = ["hospital_id", "column"]
+    by = ["hospital_id", "column", "canonical_name"]
     # each lost text once; all other values of a group are one row
     per = raw.groupBy(*by, F.when(lost, F.col("text")).alias("_lost")).agg(F.count("text").alias("_n"), F.count_if(odd).alias("_odd"))
     of_lost = F.sum(F.when(F.col("_lost").isNotNull(), F.col("_odd")).otherwise(0))

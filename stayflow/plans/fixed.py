@@ -251,3 +251,13 @@ def raw_columns(section: str, translation: Mapping[str, str] | None = None) -> d
         if section != "static" or name not in STATIC_DROPPED:
             out.setdefault(renamed.get(name, name), []).append(raw)
     return out
+
+
+# Metrics of the stay level and their notes.
+SUMMARY_NOTES = {
+    "rows": "Authoritative ASIC stay-level cohort rows.",
+    "unique_stays": "Unique stay_id_global values in the authoritative stay-level table.",
+    "with_end": "Stays with at least one observed harmonized dynamic time value.",
+    "without_end": "Stays with no usable dynamic time extent and therefore missing icu_end_time_proxy.",
+    "icu_end_time_proxy_is_recording_extent_proxy": "ASIC ICU stay end is proxy-based rather than a true administrative discharge timestamp.",
+}

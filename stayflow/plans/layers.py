@@ -29,8 +29,8 @@ def harmonized(spark: SparkSession, root: str, min_non_null: int = 20, min_hospi
     translation: the path of a translation file, in place of the built-in one.
     """
     sections = raw.read_translation(spark, translation) if translation else {}
-    sites = {kind: raw.load_sites(spark, root, kind) for kind in ("static", "dynamic")}
-    text_static, text_dynamic = (stage(raw.load_all(spark, root, kind, sections.get(kind), of), f"raw-{kind}") for kind, of in sites.items())
+    exports = {kind: raw.load_sites(spark, root, kind) for kind in ("static", "dynamic")}
+    text_static, text_dynamic = (stage(raw.load_all(spark, root, kind, sections.get(kind), of), f"raw-{kind}") for kind, of in exports.items())
     site = F.col("hospital_id")
     static = stage(harmonize.harmonize_static(text_static, site, identity_mapping("static")), "static")
     variables = [c for c in fixed.dynamic_columns() if c not in fixed.TEXT_COLUMNS]
@@ -49,8 +49,8 @@ def harmonized(spark: SparkSession, root: str, min_non_null: int = 20, min_hospi
     stays = stage(ventilation.stay_qc(static, times, found), "vent-stays")
     summary = stage(quality.distribution_summary(clean, min_non_null), "distribution")
     text, name = F.col("text"), F.col("canonical_name")
-    values = raw.values_of(spark, sites["dynamic"]).withColumns({"plain": X.number(text), "parsed": harmonize.numeric_value(text, name, site)})
-    static_columns, dynamic_columns = (raw.columns_of(spark, of) for of in sites.values())
+    values = raw.values_of(exports["dynamic"], sections.get("dynamic")).withColumns({"plain": X.number(text), "parsed": harmonize.numeric_value(text, name, site)})
+    static_columns, dynamic_columns = (raw.columns_of(of) for of in exports.values())
     names = [c for c in fixed.STATIC_COLUMNS if c != "hospital_id"]
     static_long = static.select("hospital_id", F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in names])).alias("x")).select("hospital_id", "x.*")
     return {
@@ -65,7 +65,7 @@ def harmonized(spark: SparkSession, root: str, min_non_null: int = 20, min_hospi
         "semantic_decisions": quality.semantic_decisions(long, static, actions, fixed.SEMANTIC_TARGETS, fixed.SEMANTIC_REVIEW, min_non_null, min_hospitals, fence),
         "invalid_value_rules": rules, "invalid_value_qc": quality.invalid_value_qc(acted, rules, static),
         "distribution_summary": summary, "distribution_issues": quality.distribution_issues(summary, min_hospitals, fence),
-        "stay_id_summary": identity.stay_id_summary(static, rows), "unique_stays_per_hospital": identity.unique_stays_per_hospital(static, rows), "local_id_collisions": identity.local_id_collisions(static),
+        "stay_id_summary": identity.stay_id_summary(static, rows), "unique_stays_per_hospital": identity.unique_stays_per_hospital(static), "local_id_collisions": identity.local_id_collisions(static),
         "missing_id_rows": identity.missing_id_rows(static, rows), "static_duplicates": identity.static_duplicates(static), "mapping_failures": identity.mapping_failures(static, rows), "duplicate_time_rows": identity.duplicate_time_rows(rows),
         "vent_episodes": found, "vent_stay_level": stays, "vent_hospital_summary": ventilation.hospital_summary(stays), "vent_failed_stays": ventilation.failed_stays(stays),
     }

@@ -18,6 +18,7 @@ from ..operators import quality as Q
 from ..operators import ventilation as V
 from ..sources.layers import stage
 from . import bindings as b
+from . import fixed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -166,8 +167,8 @@ def _long_lineitem(s, d):
 
 register("end_time_proxy", "SELECT * FROM proxy")(lambda s, d: B.end_time_proxy(b.obs(s, d)))
 register("stay_level", f"SELECT hospital_id, stay_id_global, readmission, icu_mortality, icu_admission_us, icu_end_us, {r('icu_end_time_proxy_hours')} FROM stays")(_stays)
-register("stay_summary", """SELECT unnest(['rows', 'unique_stays', 'with_end', 'without_end']) AS metric,
-    unnest([CAST(count(*) AS DOUBLE), count(DISTINCT stay_id_global), count(icu_end_us), count(*) - count(icu_end_us)]) AS value FROM stays""")(lambda s, d: B.stay_summary(_stays(s, d)))
+register("stay_summary", """SELECT unnest(['rows', 'unique_stays', 'with_end', 'without_end', 'icu_end_time_proxy_is_recording_extent_proxy']) AS metric,
+    unnest([CAST(count(*) AS DOUBLE), count(DISTINCT stay_id_global), count(icu_end_us), count(*) - count(icu_end_us), 1]) AS value, unnest([""" + ", ".join(f"'{n}'" for n in fixed.SUMMARY_NOTES.values()) + "]) AS note FROM stays")(lambda s, d: B.stay_summary(_stays(s, d)))
 register("proxy_summary_by_hospital", """SELECT hospital_id, count(*) AS stays, count(icu_end_us) AS with_end, count(*) - count(icu_end_us) AS without_end, round(min(icu_end_time_proxy_hours), 6) AS min_h,
     round(round(avg(icu_end_time_proxy_hours), 9), 6) AS mean_h, round(median(icu_end_time_proxy_hours), 6) AS median_h, round(max(icu_end_time_proxy_hours), 6) AS max_h FROM stays GROUP BY 1""")(lambda s, d: _settled(B.proxy_summary_by_hospital(stage(_stays(s, d), "stays")), "mean_h"))
 register("coding_distribution", """SELECT hospital_id, variable, code, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY hospital_id, variable), 6) AS share FROM
@@ -320,7 +321,8 @@ register("stay_ids", "SELECT k AS c_custkey, CAST(k AS VARCHAR) AS stay_id_local
 
 def _parsed(s, d):
     raw = b.raw_values(s, d)
-    return raw.select("event_id", "hospital_id", "column", X.clean("text").alias("text"), X.number("text").alias("plain"), H.numeric_value(F.col("text"), F.col("column"), F.col("hospital_id"), b.LAB_SITE).alias("parsed"))
+    name = F.when(F.col("column") == "ie_ratio", F.col("column")).otherwise(F.concat(F.lit("event_"), "column")).alias("canonical_name")
+    return raw.select("event_id", "hospital_id", "column", name, X.clean("text").alias("text"), X.number("text").alias("plain"), H.numeric_value(F.col("text"), F.col("column"), F.col("hospital_id"), b.LAB_SITE).alias("parsed"))
 
 
 register("dynamic_harmonized", f"SELECT event_id, hospital_id, col AS variable, {r('value')} FROM parsed")(lambda s, d: _parsed(s, d).select("event_id", "hospital_id", F.col("column").alias("variable"), F.col("parsed").alias("value")))
@@ -328,7 +330,7 @@ NAMES = {"click": "ie_ratio", "view": "heart_rate", "purchase": "peep", "error":
 register("dynamic_harmonized_table", "SELECT p.hospital_id, CAST(user_id AS VARCHAR) AS stay_id_local, p.hospital_id || '_' || user_id AS stay_id_global, (p.event_id % 4000) * 60000000 AS time_us, p.event_id AS row_ord, CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in NAMES.items()) + " END AS variable, round(p.value, 6) AS value FROM parsed p JOIN events e USING (event_id) WHERE p.value IS NOT NULL")(
     lambda s, d: H.harmonize_dynamic_long(b.raw_dynamic(s, d), F.col("hospital_id"), laboratory_site=b.LAB_SITE)
 )
-register("non_numeric_issues", """SELECT hospital_id, col AS "column", count(*) FILTER (form <> 5) AS non_null, count(*) FILTER (form <> 5 AND plain IS NULL) AS non_numeric, count(*) FILTER (plain IS NULL AND value IS NOT NULL) AS resolved,
+register("non_numeric_issues", """SELECT hospital_id, col AS "column", CASE WHEN col = 'ie_ratio' THEN col ELSE 'event_' || col END AS canonical_name, count(*) FILTER (form <> 5) AS non_null, count(*) FILTER (form <> 5 AND plain IS NULL) AS non_numeric, count(*) FILTER (plain IS NULL AND value IS NOT NULL) AS resolved,
     count(*) FILTER (form <> 5 AND value IS NULL) AS unresolved, coalesce(array_to_string(list_slice(list_sort(list(DISTINCT text) FILTER (form <> 5 AND value IS NULL)), 1, 10), '|'), '') AS examples FROM parsed GROUP BY ALL HAVING count(*) FILTER (form <> 5 AND plain IS NULL) > 0""")(
     lambda s, d: Q.non_numeric_issues(_parsed(s, d))
 )
@@ -346,17 +348,22 @@ register("time_parse", """SELECT event_id, CASE event_id % 5 WHEN 0 THEN -(s //
 
 # identity
 
-register("unique_stays_per_hospital", "SELECT hospital_id, count(DISTINCT stay_id_global) AS stays FROM (SELECT hospital_id, stay_id_global FROM dstatic UNION ALL SELECT hospital_id, stay_id_global FROM dobs) GROUP BY 1")(lambda s, d: I.unique_stays_per_hospital(b.dirty_static(s, d), b.dirty_obs(s, d)))
-register("local_id_collisions", "SELECT DISTINCT stay_id_local, hospital_id, hospitals FROM dstatic JOIN (SELECT stay_id_local, count(DISTINCT hospital_id) AS hospitals FROM dstatic WHERE stay_id_local IS NOT NULL GROUP BY 1 HAVING count(DISTINCT hospital_id) > 1) USING (stay_id_local)")(lambda s, d: I.local_id_collisions(b.dirty_static(s, d)))
-register("missing_id_rows", "SELECT 'static' AS source, hospital_id, stay_id_local, stay_id_global FROM dstatic WHERE stay_id_local IS NULL UNION ALL SELECT 'dynamic', hospital_id, stay_id_local, stay_id_global FROM dobs WHERE stay_id_local IS NULL")(lambda s, d: I.missing_id_rows(b.dirty_static(s, d), b.dirty_obs(s, d)))
+register("unique_stays_per_hospital", "SELECT hospital_id, count(DISTINCT stay_id_global) AS stays FROM dstatic GROUP BY 1")(lambda s, d: I.unique_stays_per_hospital(b.dirty_static(s, d)))
+register("local_id_collisions", """SELECT DISTINCT d.stay_id_local, hospital_id, stay_id_global, hospitals FROM dstatic d
+    JOIN (SELECT stay_id_local, count(DISTINCT hospital_id) AS hospitals FROM dstatic GROUP BY 1 HAVING count(DISTINCT hospital_id) > 1) m ON m.stay_id_local IS NOT DISTINCT FROM d.stay_id_local""")(lambda s, d: I.local_id_collisions(b.dirty_static(s, d)))
+register("missing_id_rows", "SELECT 'static' AS source, hospital_id, stay_id_local, stay_id_global, CAST(NULL AS BIGINT) AS time_us FROM dstatic WHERE stay_id_local IS NULL UNION ALL SELECT 'dynamic', hospital_id, stay_id_local, stay_id_global, time_us FROM dobs WHERE stay_id_local IS NULL")(
+    lambda s, d: I.missing_id_rows(b.dirty_static(s, d), b.dirty_obs(s, d))
+)
 register("static_duplicates", "SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY stay_id_global) AS duplicate_count FROM dstatic) WHERE duplicate_count > 1")(lambda s, d: I.static_duplicates(b.dirty_static(s, d)))
-FAILED = """(SELECT row_ord, o.hospital_id, o.stay_id_local, o.stay_id_global, CASE WHEN n IS NULL THEN 'missing_static_match' WHEN n <> 1 OR g <> 1 THEN 'ambiguous_static_mapping' WHEN first IS DISTINCT FROM o.stay_id_global THEN 'mismatched_stay_id_global' END AS reason
+FAILED = """(SELECT row_ord, o.hospital_id, o.stay_id_local, o.stay_id_global, o.time_us, CASE WHEN n IS NULL THEN 'missing_static_match' WHEN n <> 1 OR g <> 1 THEN 'ambiguous_static_mapping' WHEN first <> o.stay_id_global THEN 'mismatched_stay_id_global' END AS reason
     FROM dobs o LEFT JOIN (SELECT hospital_id AS h, stay_id_local AS l, count(*) AS n, count(DISTINCT stay_id_global) AS g, min(stay_id_global) AS first FROM dstatic GROUP BY ALL) ON h IS NOT DISTINCT FROM o.hospital_id AND l IS NOT DISTINCT FROM o.stay_id_local)"""
 register("mapping_failures", f"SELECT * FROM {FAILED} WHERE reason IS NOT NULL")(lambda s, d: I.mapping_failures(b.dirty_static(s, d), b.dirty_obs(s, d)))
 register("duplicate_time_rows", "SELECT row_ord, hospital_id, stay_id_global, time_us, duplicate_count FROM (SELECT *, count(*) OVER (PARTITION BY stay_id_global, time_us) AS duplicate_count FROM dobs) WHERE duplicate_count > 1")(lambda s, d: I.duplicate_time_rows(b.dirty_obs(s, d)))
-register("stay_id_summary", f"""SELECT unnest(['static_rows', 'static_stays']) AS metric, unnest([CAST(count(*) AS DOUBLE), count(DISTINCT stay_id_global)]) AS value FROM dstatic UNION ALL SELECT unnest(['dynamic_rows', 'dynamic_stays']), unnest([CAST(count(*) AS DOUBLE), count(DISTINCT stay_id_global)]) FROM dobs
-    UNION ALL SELECT 'missing_id_rows', (SELECT count(*) FROM dstatic WHERE stay_id_local IS NULL) + (SELECT count(*) FROM dobs WHERE stay_id_local IS NULL) UNION ALL SELECT 'static_duplicates', count(*) FROM (SELECT count(*) OVER (PARTITION BY stay_id_global) AS n FROM dstatic) WHERE n > 1
-    UNION ALL SELECT 'mapping_failures', count(*) FROM {FAILED} WHERE reason IS NOT NULL UNION ALL SELECT 'duplicate_time_rows', count(*) FROM (SELECT count(*) OVER (PARTITION BY stay_id_global, time_us) AS n FROM dobs) WHERE n > 1""")(lambda s, d: I.stay_id_summary(b.dirty_static(s, d), b.dirty_obs(s, d)))
+register("stay_id_summary", f"""SELECT unnest(['static_rows_total', 'static_unique_stay_id_global_total', 'unique_stays_hospital_count', 'duplicated_stay_id_local_values_across_hospitals', 'failed_or_missing_static_dynamic_mappings',
+    'rows_missing_hospital_id_or_stay_id_local', 'duplicate_static_stay_id_global_rows', 'duplicate_dynamic_rows_within_stay_time']) AS metric, CAST(unnest([count(*), count(DISTINCT stay_id_global), count(DISTINCT hospital_id),
+    (SELECT count(*) FROM (SELECT stay_id_local FROM dstatic WHERE stay_id_local IS NOT NULL GROUP BY 1 HAVING count(DISTINCT hospital_id) > 1)), (SELECT count(*) FROM {FAILED} WHERE reason IS NOT NULL),
+    (SELECT count(*) FROM dstatic WHERE stay_id_local IS NULL) + (SELECT count(*) FROM dobs WHERE stay_id_local IS NULL), (SELECT count(*) FROM (SELECT count(*) OVER (PARTITION BY stay_id_global) AS n FROM dstatic) WHERE n > 1),
+    (SELECT count(*) FROM (SELECT count(*) OVER (PARTITION BY stay_id_global, time_us) AS n FROM dobs) WHERE n > 1)]) AS DOUBLE) AS value FROM dstatic""")(lambda s, d: I.stay_id_summary(b.dirty_static(s, d), b.dirty_obs(s, d)))
 
 # cohort
 

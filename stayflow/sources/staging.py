@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -41,3 +44,21 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows (counted), else as it is, so that the join shuffles."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def running_total(df: DataFrame, order: Sequence[str], amount: str, to: str) -> DataFrame:
+    """``df`` (staged) with the sum of ``amount`` over all rows before each in ``order``, which names each row.
+
+    Sums run inside each range of the order; a row for each range then says what came before it, so no task holds the whole order.
+    """
+    ranged = stage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranged")
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy("_range").agg(F.sum(amount).alias("_sum"))
+    starts = ranges.select("_range", F.coalesce(F.sum("_sum").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))  # a row a range
+    zero = F.lit(0)
+    return ranged.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), zero)).join(F.broadcast(starts), "_range").withColumn(to, F.col("_inside") + F.col("_start")).drop("_range", "_inside", "_start")
