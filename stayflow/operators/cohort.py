@@ -67,18 +67,27 @@ def check_provenance(provenance: DataFrame) -> None:
     require_none(provenance.where(F.col("status") == LOST), "outcomes were lost in harmonization")
 
 
-def site_eligibility(stays: DataFrame, obs: DataFrame, groups: DataFrame, min_groups: int = MIN_GROUPS) -> DataFrame:
-    """A hospital needs an outcome and enough of the required groups. ``obs`` may be `blocks.stay_facts`."""
+def site_eligibility(stays: DataFrame, obs: DataFrame, groups: DataFrame, min_groups: int = MIN_GROUPS, provenance: DataFrame | None = None) -> DataFrame:
+    """A hospital needs an outcome and enough of the required groups. ``obs`` may be `blocks.stay_facts`.
+
+    Besides the counts: for each group of ``groups`` (a few rows) the array of variables that satisfy it, the reasons as an array and as
+    text, and where `outcome_provenance` is given how the outcome came about.
+    """
     require_columns(stays, ["hospital_id", "stay_id_global", "icu_mortality"], "stays")
     present = dynamic_presence(obs).select("hospital_id", "stay_id_global", F.lit(1).alias("_has"))
     codes = F.array_join(F.sort_array(F.collect_set("icu_mortality")), ",")
     site = stays.join(present, ["hospital_id", "stay_id_global"], "left").groupBy("hospital_id").agg(F.count("*").alias("site_stay_count"), F.countDistinct(F.when(F.col("_has") == 1, F.col("stay_id_global"))).alias("stays_with_dynamic_data"), F.count("icu_mortality").alias("outcome_non_null"), codes.alias("outcome_codes"))
-    coverage = vital_group_coverage(stays, obs, groups).where("required")
-    usable = coverage.groupBy("hospital_id").agg(F.count_if("group_usable").alias("usable_groups"), F.array_join(F.sort_array(F.collect_list(F.when(~F.col("group_usable"), F.col("physiologic_group")))), ",").alias("missing_groups"))
+    names = sorted(r[0] for r in groups.select("physiologic_group").distinct().collect())
+    satisfied = F.filter(F.split("satisfied_by", ","), lambda v: v != "")
+    of_group = [F.first(F.when(F.col("physiologic_group") == g, satisfied), ignorenulls=True).alias(f"{g}_satisfied_by") for g in names]
+    missing = F.sort_array(F.collect_list(F.when(F.col("required") & ~F.col("group_usable"), F.col("physiologic_group"))))  # a few groups
+    usable = vital_group_coverage(stays, obs, groups).groupBy("hospital_id").agg(F.count_if(F.col("required") & F.col("group_usable")).alias("usable_groups"), F.array_join(missing, ",").alias("missing_groups"), *of_group)
     out = site.join(usable, "hospital_id", "left")
+    if provenance is not None:
+        out = out.join(provenance.select("hospital_id", F.col("status").alias("outcome_status")), "hospital_id", "left")
     has_outcome, enough = F.col("outcome_non_null") > 0, F.coalesce("usable_groups", F.lit(0)) >= min_groups
     reasons = F.array_compact(F.array(F.when(~has_outcome, "missing/unusable icu_mortality"), F.when(~enough, "insufficient core-vitals coverage")))
-    return out.select("*", has_outcome.alias("outcome_available"), enough.alias("core_vitals_eligible"), (has_outcome & enough).alias("site_included"), F.array_join(reasons, "; ").alias("exclusion_reason"))
+    return out.select("*", has_outcome.alias("outcome_available"), enough.alias("core_vitals_eligible"), (has_outcome & enough).alias("site_included"), reasons.alias("exclusion_reasons"), F.array_join(reasons, "; ").alias("exclusion_reason"))
 
 
 def site_counts(sites: DataFrame) -> DataFrame:
@@ -86,20 +95,25 @@ def site_counts(sites: DataFrame) -> DataFrame:
 
 
 def stay_exclusions(stays: DataFrame, obs: DataFrame, sites: DataFrame) -> DataFrame:
-    """Each stay through the cascade: site, observations, readmission known, readmission not flagged. ``obs`` may be `blocks.stay_facts`."""
+    """Each stay through the cascade: site, observations, readmission known, readmission not flagged. ``obs`` may be `blocks.stay_facts`.
+
+    The reasons of its site and its own are arrays, and text; a stay of an excluded site has none of its own.
+    """
     require_columns(stays, ["hospital_id", "stay_id_global", "readmission", "icu_mortality", "icu_end_time_proxy_hours"], "stays")
     present = dynamic_presence(obs).groupBy("stay_id_global").agg(F.sum("dynamic_row_count").alias("dynamic_row_count"))
-    out = stays.join(F.broadcast(sites.select("hospital_id", "site_included")), "hospital_id", "left").join(present, "stay_id_global", "left")
+    out = stays.join(F.broadcast(sites.select("hospital_id", "site_included", F.col("exclusion_reasons").alias("site_exclusion_reasons"))), "hospital_id", "left").join(present, "stay_id_global", "left")
     out = out.withColumn("site_included", F.coalesce("site_included", F.lit(False))).withColumn("dynamic_row_count", F.coalesce("dynamic_row_count", F.lit(0)).cast("long"))
-    inside = F.col("site_included")
+    inside, none = F.col("site_included"), F.array().cast("array<string>")
+    first = inside & F.coalesce(F.col("readmission") == 0, F.lit(False))
     out = out.select(
-        "hospital_id", "stay_id_global", "readmission", "icu_mortality", "icu_end_time_proxy_hours", "dynamic_row_count", (~inside).alias("exclude_site"), (inside & (F.col("dynamic_row_count") == 0)).alias("exclude_no_data"),
+        "hospital_id", "stay_id_global", "readmission", "icu_mortality", "icu_end_time_proxy_hours", "dynamic_row_count", (F.col("dynamic_row_count") > 0).alias("has_dynamic_data"), first.alias("first_stay_proxy_eligible"),
+        F.coalesce("site_exclusion_reasons", none).alias("site_exclusion_reasons"), (~inside).alias("exclude_site"), (inside & (F.col("dynamic_row_count") == 0)).alias("exclude_no_data"),
         (inside & F.col("readmission").isNull()).alias("exclude_missing_readmission"), (inside & F.coalesce(F.col("readmission") == 1, F.lit(False))).alias("exclude_readmission"),
     )
     out = out.withColumn("after_site", ~F.col("exclude_site")).withColumn("after_no_data", F.expr("after_site AND NOT exclude_no_data")).withColumn("after_missing_readmission", F.expr("after_no_data AND NOT exclude_missing_readmission")).withColumn("retained", F.expr("after_missing_readmission AND NOT exclude_readmission"))
     reasons = F.array_compact(F.array(F.when(F.col("exclude_no_data"), "no dynamic data"), F.when(F.col("exclude_missing_readmission"), "missing readmission"), F.when(F.col("exclude_readmission"), "readmission flagged")))
     status = F.when(F.col("exclude_site"), "excluded_site").when(F.size(reasons) > 0, "excluded_stay").otherwise("retained")
-    return out.withColumn("exclusion_reason", F.array_join(reasons, "; ")).withColumn("status", status)
+    return out.withColumns({"stay_exclusion_reasons": reasons, "exclusion_reason": F.array_join(reasons, "; "), "site_exclusion_reason": F.array_join("site_exclusion_reasons", "; "), "status": status})
 
 
 def attrition_by_hospital(exclusions: DataFrame) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from .blocks import BLOCK_KEYS, STATISTICS, metrics
 
 HORIZONS = (8, 24)
+# Name and meaning of the label.
+LABEL_NAME = "terminal_icu_mortality"
+LABEL_SEMANTICS = "Stay-level ICU mortality reused across horizons; true event-time horizon labels are not available in the standardized ASIC artifacts."
 
 
 def feature_columns(features: DataFrame, variables: Sequence[str], statistics: Sequence[str] = STATISTICS) -> list[str]:
@@ -32,8 +35,11 @@ def candidate_instances(retained: DataFrame, features: DataFrame, variables: Seq
     end = F.col("prediction_time_h") + F.col("horizon_h")
     has, full = F.col("feature_obs_count") > 0, F.coalesce(F.col("icu_end_time_proxy_hours") >= end, F.lit(False))
     name = F.concat("stay_id_global", F.lit("__b"), F.col("block_index").cast("string"), F.lit("__h"), F.col("horizon_h").cast("string"))
-    reason = F.when(~has, "no_feature_data_in_block").when(~full, "insufficient_future_followup")
-    return out.select(name.alias("instance_id"), *BLOCK_KEYS, "block_start_h", "block_end_h", "prediction_time_h", "horizon_h", end.alias("future_window_end_h"), "feature_obs_count", (has & full).alias("valid_instance"), reason.alias("exclusion_reason"))
+    reason = F.when(~has, "no_chapter1_feature_data_in_block").when(~full, "insufficient_future_followup")
+    return out.select(
+        name.alias("instance_id"), *BLOCK_KEYS, "block_start_h", "block_end_h", "prediction_time_h", "horizon_h", end.alias("future_window_end_h"), "icu_end_time_proxy_hours", "feature_obs_count",
+        has.alias("has_feature_data_in_block"), full.alias("has_full_future_horizon"), (has & full).alias("valid_instance"), reason.alias("exclusion_reason"),
+    )
 
 
 def valid_instances(candidates: DataFrame) -> DataFrame:
@@ -49,10 +55,10 @@ def instance_exclusions(candidates: DataFrame) -> DataFrame:
 
 
 def labels(valid: DataFrame, retained: DataFrame) -> DataFrame:
-    """The stay's outcome on each of its valid instances, whatever the horizon."""
+    """The valid instances with their stay's outcome, whatever the horizon, and what the label is."""
     outcome = retained.select("hospital_id", "stay_id_global", F.col("icu_mortality").alias("label_value"))
-    out = valid.select("instance_id", *BLOCK_KEYS, "block_start_h", "block_end_h", "prediction_time_h", "horizon_h").join(outcome, ["hospital_id", "stay_id_global"], "left")
-    return out.withColumn("label_available", F.col("label_value").isNotNull())
+    out = valid.join(outcome, ["hospital_id", "stay_id_global"], "left")
+    return out.withColumns({"label_available": F.col("label_value").isNotNull(), "label_name": F.lit(LABEL_NAME), "label_semantics": F.lit(LABEL_SEMANTICS)})
 
 
 def usable_labels(all_labels: DataFrame) -> DataFrame:
@@ -66,7 +72,7 @@ def label_summary(all_labels: DataFrame) -> DataFrame:
 
 def model_ready(usable: DataFrame, features: DataFrame, selected: Sequence[str]) -> DataFrame:
     keys = [*BLOCK_KEYS, "block_start_h", "block_end_h", "prediction_time_h"]
-    return usable.join(features.select(*keys, *selected), keys, "left")
+    return usable.select(*keys, "instance_id", "horizon_h", "label_value").join(features.select(*keys, *selected), keys, "left")
 
 
 def readiness_summary(ready: DataFrame, selected: Sequence[str]) -> DataFrame:

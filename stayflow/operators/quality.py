@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
 from .statistics import count_values, first_values, spread
 
 BY = ["hospital_id", "variable"]
@@ -63,7 +64,7 @@ def invalid_value_qc(obs: DataFrame, rules: DataFrame, sites: DataFrame, example
     """For every (site, rule), also without values: counts before and after, examples, and where a variable's invalid values gather."""
     judged = obs.join(F.broadcast(rules), "variable").select(*BY, "value", F.when(invalid(), F.col("value")).alias("_bad"))
     # each invalid value once; all valid ones of a group are one row
-    per = judged.groupBy(*BY, "_bad").agg(F.count("value").alias("_n"))
+    per = stage(judged.groupBy(*BY, "_bad").agg(F.count("value").alias("_n")), "invalid-counts")
     counts = per.groupBy(*BY).agg(F.sum("_n").alias("_n"), F.sum(F.when(F.col("_bad").isNotNull(), F.col("_n")).otherwise(0)).alias("_bad")).join(first_values(per, BY, "_bad", examples), BY, "left")
     grid = sites.select("hospital_id").distinct().join(F.broadcast(rules.select("variable")))
     out = grid.join(counts, BY, "left").select(*BY, F.coalesce("_n", F.lit(0)).cast("long").alias("non_null_before"), F.coalesce("_bad", F.lit(0)).cast("long").alias("invalid_count"), F.array_join(F.transform("_first", lambda x: F.format_string("%.4f", x)), ",").alias("_text"))
@@ -116,7 +117,7 @@ def non_numeric_issues(raw: DataFrame, examples: int = 10) -> DataFrame:
     lost = odd & F.col("parsed").isNull()
     by = ["hospital_id", "column", "canonical_name"]
     # each lost text once; all other values of a group are one row
-    per = raw.groupBy(*by, F.when(lost, F.col("text")).alias("_lost")).agg(F.count("text").alias("_n"), F.count_if(odd).alias("_odd"))
+    per = stage(raw.groupBy(*by, F.when(lost, F.col("text")).alias("_lost")).agg(F.count("text").alias("_n"), F.count_if(odd).alias("_odd")), "text-counts")
     of_lost = F.sum(F.when(F.col("_lost").isNotNull(), F.col("_odd")).otherwise(0))
     out = per.groupBy(*by).agg(F.sum("_n").alias("non_null"), F.sum("_odd").alias("non_numeric"), (F.sum("_odd") - of_lost).alias("resolved"), of_lost.alias("unresolved")).where("non_numeric > 0")
     return out.join(first_values(per, by, "_lost", examples), by, "left").select(*by, "non_null", "non_numeric", "resolved", "unresolved", F.coalesce(F.array_join("_first", "|"), F.lit("")).alias("examples"))
@@ -126,7 +127,7 @@ def column_profile(df: DataFrame, examples: int = 8) -> DataFrame:
     """column, type, non_null, distinct values and the first few of them (as text) of each column."""
     types = dict(df.dtypes)
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"), F.col(c).cast("string").alias("v")) for c in df.columns])).alias("x")).select("x.*")
-    per = long.groupBy("column", "type", "v").agg(F.count("*").alias("n"))  # each value once, so distinct values need no set
+    per = stage(long.groupBy("column", "type", "v").agg(F.count("*").alias("n")), "column-counts")  # each value once, so distinct values need no set
     first = per.where("v IS NOT NULL").withColumn("_r", F.row_number().over(Window.partitionBy("column").orderBy("v"))).where(F.col("_r") <= examples)
     shown = first.groupBy("column").agg(F.array_join(F.sort_array(F.collect_list("v")), "|").alias("examples"))
     out = per.groupBy("column", "type").agg(F.sum(F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"), F.count("v").alias("distinct_values"))

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.instances import LABEL_NAME, LABEL_SEMANTICS
+
 VARIABLES = ["click", "error", "purchase", "signup", "view"]
 MARKERS = ["purchase", "error", "signup"]
 GROUPS = {"cardiac_rate": ["click"], "blood_pressure": ["view", "purchase"], "respiratory": ["signup"], "oxygenation": ["error"]}
@@ -125,14 +127,17 @@ coverage AS (SELECT hospital_id, physiologic_group, true AS required, string_agg
 elig AS (SELECT hospital_id, count(*) AS site_stay_count, count(DISTINCT p.stay_id_global) AS stays_with_dynamic_data, count(icu_mortality) AS outcome_non_null,
         coalesce(string_agg(DISTINCT CAST(icu_mortality AS VARCHAR), ',' ORDER BY CAST(icu_mortality AS VARCHAR)), '') AS outcome_codes
         FROM stays s LEFT JOIN presence p USING (hospital_id, stay_id_global) GROUP BY 1),
-usable AS (SELECT hospital_id, count(*) FILTER (group_usable) AS usable_groups, coalesce(string_agg(physiologic_group, ',' ORDER BY physiologic_group) FILTER (NOT group_usable), '') AS missing_groups FROM coverage GROUP BY 1),
+usable AS (SELECT hospital_id, count(*) FILTER (group_usable) AS usable_groups, coalesce(string_agg(physiologic_group, ',' ORDER BY physiologic_group) FILTER (NOT group_usable), '') AS missing_groups, {satisfied} FROM coverage GROUP BY 1),
 eligibility AS (SELECT *, outcome_non_null > 0 AS outcome_available, usable_groups >= 3 AS core_vitals_eligible, outcome_non_null > 0 AND usable_groups >= 3 AS site_included,
+        to_json(list_filter([CASE WHEN outcome_non_null = 0 THEN 'missing/unusable icu_mortality' END, CASE WHEN usable_groups < 3 THEN 'insufficient core-vitals coverage' END], lambda x: x IS NOT NULL)) AS exclusion_reasons,
         concat_ws('; ', CASE WHEN outcome_non_null = 0 THEN 'missing/unusable icu_mortality' END, CASE WHEN usable_groups < 3 THEN 'insufficient core-vitals coverage' END) AS exclusion_reason FROM elig JOIN usable USING (hospital_id)),
-flags AS (SELECT s.hospital_id, s.stay_id_global, readmission, icu_mortality, icu_end_time_proxy_hours, coalesce(dynamic_row_count, 0) AS dynamic_row_count, NOT site_included AS exclude_site,
+flags AS (SELECT s.hospital_id, s.stay_id_global, readmission, icu_mortality, icu_end_time_proxy_hours, coalesce(dynamic_row_count, 0) AS dynamic_row_count, coalesce(dynamic_row_count, 0) > 0 AS has_dynamic_data,
+        site_included AND coalesce(readmission = 0, false) AS first_stay_proxy_eligible, exclusion_reasons AS site_exclusion_reasons, exclusion_reason AS site_exclusion_reason, NOT site_included AS exclude_site,
         site_included AND coalesce(dynamic_row_count, 0) = 0 AS exclude_no_data, site_included AND readmission IS NULL AS exclude_missing_readmission, site_included AND coalesce(readmission = 1, false) AS exclude_readmission
         FROM stays s JOIN eligibility USING (hospital_id) LEFT JOIN presence p ON p.stay_id_global = s.stay_id_global),
 exclusions AS (SELECT *, NOT exclude_site AS after_site, NOT exclude_site AND NOT exclude_no_data AS after_no_data, NOT exclude_site AND NOT exclude_no_data AND NOT exclude_missing_readmission AS after_missing_readmission,
         NOT exclude_site AND NOT exclude_no_data AND NOT exclude_missing_readmission AND NOT exclude_readmission AS retained,
+        to_json(list_filter([CASE WHEN exclude_no_data THEN 'no dynamic data' END, CASE WHEN exclude_missing_readmission THEN 'missing readmission' END, CASE WHEN exclude_readmission THEN 'readmission flagged' END], lambda x: x IS NOT NULL)) AS stay_exclusion_reasons,
         concat_ws('; ', CASE WHEN exclude_no_data THEN 'no dynamic data' END, CASE WHEN exclude_missing_readmission THEN 'missing readmission' END, CASE WHEN exclude_readmission THEN 'readmission flagged' END) AS exclusion_reason,
         CASE WHEN exclude_site THEN 'excluded_site' WHEN exclude_no_data OR exclude_missing_readmission OR exclude_readmission THEN 'excluded_stay' ELSE 'retained' END AS status FROM flags),
 features AS (SELECT b.hospital_id, b.stay_id_global, b.block_index, b.block_index * 8 AS block_start_h, b.block_index * 8 + 8 AS block_end_h, b.block_index * 8 + 8 AS prediction_time_h,
@@ -140,10 +145,11 @@ features AS (SELECT b.hospital_id, b.stay_id_global, b.block_index, b.block_inde
         FROM blocks b LEFT JOIN (SELECT hospital_id, stay_id_global, block_index, count(DISTINCT row_ord) AS n FROM inblock GROUP BY ALL) r USING (hospital_id, stay_id_global, block_index)
         LEFT JOIN long l USING (hospital_id, stay_id_global, block_index) GROUP BY b.hospital_id, b.stay_id_global, b.block_index, r.n),
 candidates AS (SELECT f.stay_id_global || '__b' || block_index || '__h' || horizon_h AS instance_id, f.hospital_id, f.stay_id_global, block_index, block_start_h, block_end_h, prediction_time_h, horizon_h, prediction_time_h + horizon_h AS future_window_end_h,
-        non_missing_measurements_in_block AS feature_obs_count, non_missing_measurements_in_block > 0 AND icu_end_time_proxy_hours >= prediction_time_h + horizon_h AS valid_instance,
-        CASE WHEN non_missing_measurements_in_block = 0 THEN 'no_feature_data_in_block' WHEN NOT icu_end_time_proxy_hours >= prediction_time_h + horizon_h THEN 'insufficient_future_followup' END AS exclusion_reason
+        icu_end_time_proxy_hours, non_missing_measurements_in_block AS feature_obs_count, non_missing_measurements_in_block > 0 AS has_feature_data_in_block, icu_end_time_proxy_hours >= prediction_time_h + horizon_h AS has_full_future_horizon,
+        non_missing_measurements_in_block > 0 AND icu_end_time_proxy_hours >= prediction_time_h + horizon_h AS valid_instance,
+        CASE WHEN non_missing_measurements_in_block = 0 THEN 'no_chapter1_feature_data_in_block' WHEN NOT icu_end_time_proxy_hours >= prediction_time_h + horizon_h THEN 'insufficient_future_followup' END AS exclusion_reason
         FROM features f JOIN exclusions e ON e.retained AND e.stay_id_global = f.stay_id_global, (VALUES (CAST(8 AS BIGINT)), (24)) h(horizon_h)),
-labels_ AS (SELECT instance_id, c.hospital_id, c.stay_id_global, block_index, block_start_h, block_end_h, prediction_time_h, horizon_h, icu_mortality AS label_value, icu_mortality IS NOT NULL AS label_available
+labels_ AS (SELECT c.* EXCLUDE (valid_instance, exclusion_reason), icu_mortality AS label_value, icu_mortality IS NOT NULL AS label_available, '{label_name}' AS label_name, '{label_semantics}' AS label_semantics
         FROM candidates c JOIN exclusions e ON e.retained AND e.stay_id_global = c.stay_id_global WHERE valid_instance),
 ready AS (SELECT l.instance_id, l.hospital_id, l.stay_id_global, l.block_index, l.block_start_h, l.block_end_h, l.prediction_time_h, l.horizon_h, l.label_value, {selected} FROM labels_ l JOIN features f USING (hospital_id, stay_id_global, block_index) WHERE label_available),
 times AS (SELECT DISTINCT hospital_id, stay_id_global, time_us FROM obs WHERE variable IN ('purchase', 'error', 'signup') AND value IS NOT NULL),
@@ -180,4 +186,6 @@ def base_sql() -> str:
         wide.append(f"coalesce(max(obs_count) FILTER (l.variable = '{v}'), 0) AS {v}_obs_count")
         wide += [f"max({s}) FILTER (l.variable = '{v}') AS {v}_{s}" for s in stats]
         selected += [f"f.{v}_{s}" for s in ("obs_count", *stats)]
-    return BASE_SQL.replace("{wide}", ", ".join(wide)).replace("{selected}", ", ".join(selected)).strip()
+    satisfied = ", ".join(f"to_json(list_filter(string_split(max(satisfied_by) FILTER (physiologic_group = '{g}'), ','), lambda v: v <> '')) AS {g}_satisfied_by" for g in GROUPS)
+    sql = BASE_SQL.replace("{satisfied}", satisfied).replace("{label_name}", LABEL_NAME).replace("{label_semantics}", LABEL_SEMANTICS)
+    return sql.replace("{wide}", ", ".join(wide)).replace("{selected}", ", ".join(selected)).strip()

@@ -106,7 +106,7 @@ def restricted(static: DataFrame, stays: DataFrame, dynamic: DataFrame, min_grou
         cohort.check_provenance(provenance)
     facts = stage(blocks.stay_facts(dynamic), "facts")
     groups = cohort.group_table(stays.sparkSession, fixed.VITAL_GROUPS, fixed.OPTIONAL_GROUPS)
-    sites = stage(cohort.site_eligibility(stays, facts, groups, min_groups), "sites")
+    sites = stage(cohort.site_eligibility(stays, facts, groups, min_groups, provenance), "sites")
     exclusions = stage(cohort.stay_exclusions(stays, facts, sites), "exclusions")
     retained = cohort.retained_stays(exclusions)
     if check:
@@ -116,7 +116,7 @@ def restricted(static: DataFrame, stays: DataFrame, dynamic: DataFrame, min_grou
         "vital_group_coverage": cohort.vital_group_coverage(stays, facts, groups), "site_eligibility": sites, "site_counts": cohort.site_counts(sites), "stay_exclusions": exclusions,
         "attrition_by_hospital": cohort.attrition_by_hospital(exclusions), "exclusion_summary_by_hospital": cohort.exclusion_summary_by_hospital(exclusions), "retained_stays": retained, "retained_hospitals": cohort.retained_hospitals(exclusions), "retained_table": table,
     }
-    return tables | ({} if provenance is None else {"outcome_provenance": provenance})
+    return tables | stay_tables(stays) | ({} if provenance is None else {"outcome_provenance": provenance})
 
 
 def restricted_blocks(retained: DataFrame, stays: DataFrame, dynamic: DataFrame, variables: Sequence[str] = fixed.MODEL_VARIABLES) -> dict[str, DataFrame]:
@@ -163,6 +163,15 @@ def rebuild_standardized(spark: SparkSession, folder: str, fmt: str = "csv", var
     return standardized(found["static/harmonized"], found["dynamic/harmonized"], variables)
 
 
+def rebuild_standardized_by_stay(spark: SparkSession, database: str, variables: Sequence[str] = fixed.MODEL_VARIABLES) -> dict[str, DataFrame]:
+    """The same from tables kept by stay (`sources.layers.save_layer_by_stay`): observations are grouped and joined in the buckets they lie in.
+
+    Lets the session's joins use a partitioning by some of their keys, as the buckets are by stay and most joins by hospital and stay.
+    """
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return standardized(spark.table(f"{database}.static"), spark.table(f"{database}.dynamic"), variables)
+
+
 #: Schemas of the harmonized tables, for formats without types.
 STATIC_SCHEMA = ", ".join(f"`{c}` {'long' if c in fixed.STATIC_NUMBERS else 'string'}" for c in fixed.STATIC_COLUMNS)
 DYNAMIC_SCHEMA = "hospital_id string, stay_id_global string, stay_id_local string, time_us long, row_ord long, variable string, value double"

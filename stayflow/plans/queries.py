@@ -106,6 +106,11 @@ def _exclusions(s, d, facts=None):
     return C.stay_exclusions(_stays(s, d, facts), facts, _sites(s, d, facts))
 
 
+def _listed(df):
+    """Arrays as JSON text, which compares alike in both engines."""
+    return df.select(*[F.to_json(c).alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes])
+
+
 def _provenance(s, d):
     """Sites of every kind: without a source column (3), with an empty one (5), without a raw table (6), with values that were lost (7)."""
     site = F.col("hospital_id")
@@ -369,13 +374,13 @@ register("stay_id_summary", f"""SELECT unnest(['static_rows_total', 'static_uniq
 
 register("dynamic_presence", "SELECT *, true AS has_dynamic_data FROM presence")(lambda s, d: C.dynamic_presence(b.cohort_obs(s, d)))
 register("vital_group_coverage", "SELECT * FROM coverage")(lambda s, d: C.vital_group_coverage(b.static(s, d), b.cohort_obs(s, d), _groups(s)))
-register("site_eligibility", "SELECT * FROM eligibility")(_sites)
+register("site_eligibility", "SELECT * FROM eligibility")(lambda s, d: _listed(_sites(s, d)))
 OUTCOMES = {"icu_mortality": ["raw_outcome"]}
 register("outcome_provenance", """SELECT hospital_id, count(icu_mortality) AS harmonized_non_null, CASE WHEN hospital_id = 'site_6' THEN NULL ELSE count(raw_outcome) END AS raw_non_null, CASE WHEN count(icu_mortality) > 0 THEN 'verified_non_missing_harmonized_icu_mortality'
     WHEN hospital_id = 'site_6' THEN 'raw_source_verification_not_available' WHEN hospital_id = 'site_3' THEN 'verified_no_raw_icu_mortality_source_column' WHEN count(raw_outcome) = 0 THEN 'verified_raw_icu_mortality_source_present_but_all_missing' ELSE 'raw_values_lost' END AS status
     FROM (SELECT * REPLACE (CASE WHEN hospital_id IN ('site_3', 'site_5', 'site_6', 'site_7') THEN NULL ELSE icu_mortality END AS icu_mortality, CASE WHEN hospital_id = 'site_5' THEN NULL ELSE raw_outcome END AS raw_outcome) FROM static) GROUP BY 1""")(_provenance)
 register("site_counts", "SELECT unnest(['hospitals_before', 'hospitals_after', 'hospitals_excluded']) AS metric, unnest([CAST(count(*) AS DOUBLE), count(*) FILTER (site_included), count(*) FILTER (NOT site_included)]) AS value FROM eligibility")(lambda s, d: C.site_counts(_sites(s, d)))
-register("stay_exclusions", f"SELECT * REPLACE ({r('icu_end_time_proxy_hours')}) FROM exclusions")(_exclusions)
+register("stay_exclusions", f"SELECT * REPLACE ({r('icu_end_time_proxy_hours')}) FROM exclusions")(lambda s, d: _listed(_exclusions(s, d)))
 register("attrition_by_hospital", "SELECT hospital_id, count(*) AS before, count(*) FILTER (after_site) AS after_site, count(*) FILTER (after_no_data) AS after_no_data, count(*) FILTER (after_missing_readmission) AS after_missing_readmission, count(*) FILTER (retained) AS retained FROM exclusions GROUP BY 1")(lambda s, d: C.attrition_by_hospital(_exclusions(s, d)))
 register("exclusion_summary_by_hospital", "SELECT hospital_id, count(*) AS stays, count(*) FILTER (exclude_site) AS exclude_site, count(*) FILTER (exclude_no_data) AS exclude_no_data, count(*) FILTER (exclude_missing_readmission) AS exclude_missing_readmission, count(*) FILTER (exclude_readmission) AS exclude_readmission, count(*) FILTER (retained) AS retained FROM exclusions GROUP BY 1")(lambda s, d: C.exclusion_summary_by_hospital(_exclusions(s, d)))
 register("retained_stays", f"SELECT hospital_id, stay_id_global, readmission, icu_mortality, {r('icu_end_time_proxy_hours')} FROM exclusions WHERE retained")(lambda s, d: C.retained_stays(_exclusions(s, d)))
@@ -383,12 +388,12 @@ register("retained_hospitals", "SELECT hospital_id, count(*) AS retained_stays F
 
 # instances
 
-register("candidate_instances", "SELECT * FROM candidates")(_candidates)
-register("valid_instances", "SELECT * EXCLUDE (valid_instance, exclusion_reason) FROM candidates WHERE valid_instance")(lambda s, d: P.valid_instances(_candidates(s, d)))
+register("candidate_instances", f"SELECT * REPLACE ({r('icu_end_time_proxy_hours')}) FROM candidates")(_candidates)
+register("valid_instances", f"SELECT * EXCLUDE (valid_instance, exclusion_reason) REPLACE ({r('icu_end_time_proxy_hours')}) FROM candidates WHERE valid_instance")(lambda s, d: P.valid_instances(_candidates(s, d)))
 register("instance_counts", "SELECT horizon_h, count(*) AS candidates, count(*) FILTER (valid_instance) AS valid, count(*) FILTER (NOT valid_instance) AS excluded FROM candidates GROUP BY 1")(lambda s, d: P.instance_counts(_candidates(s, d)))
 register("instance_exclusions", "SELECT horizon_h, exclusion_reason, count(*) AS n FROM candidates WHERE NOT valid_instance GROUP BY ALL")(lambda s, d: P.instance_exclusions(_candidates(s, d)))
-register("labels", "SELECT * FROM labels_")(_labels)
-register("usable_labels", "SELECT * EXCLUDE (label_available) FROM labels_ WHERE label_available")(lambda s, d: P.usable_labels(_labels(s, d)))
+register("labels", f"SELECT * REPLACE ({r('icu_end_time_proxy_hours')}) FROM labels_")(_labels)
+register("usable_labels", f"SELECT * EXCLUDE (label_available) REPLACE ({r('icu_end_time_proxy_hours')}) FROM labels_ WHERE label_available")(lambda s, d: P.usable_labels(_labels(s, d)))
 register("label_summary", "SELECT horizon_h, count(*) AS valid, count(label_value) AS labelled, count(*) FILTER (label_value = 1) AS positive, count(*) FILTER (label_value = 0) AS negative, count(*) FILTER (label_value IS NULL) AS missing FROM labels_ GROUP BY 1")(lambda s, d: P.label_summary(_labels(s, d)))
 register("model_ready", "SELECT * REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in SELECTED if not c.endswith("obs_count")) + ") FROM ready")(_ready)
 register("readiness_summary", f"SELECT unnest(['rows', 'selected_features', 'horizons']) AS metric, unnest([CAST(count(*) AS DOUBLE), {len(SELECTED)}, count(DISTINCT horizon_h)]) AS value FROM ready")(lambda s, d: P.readiness_summary(_ready(s, d), SELECTED))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,7 @@ STANDARDIZED = {
     "cohort": [("stay_level", "stay_level"), ("summary", "stay_summary"), ("icu_end_time_proxy_summary_by_hospital", "proxy_summary_by_hospital"), ("coding_distribution_by_hospital", "coding_distribution")],
     "blocked": [("asic_8h_block_index", "block_index"), ("asic_8h_blocked_dynamic_features", "blocked_features"), ("asic_8h_stay_block_counts", "stay_block_counts"), ("asic_8h_block_count_distribution_by_hospital", "block_count_distribution"), ("asic_8h_negative_dynamic_time_qc", "negative_time_qc"), ("asic_8h_validation", "block_validation"), ("asic_8h_qc_summary", "block_qc_summary"), ("asic_8h_example_stays", "example_stays")],
 }
-RESTRICTED = {"cohort": [(n, n) for n in ("vital_group_coverage", "outcome_provenance", "site_eligibility", "site_counts", "stay_exclusions", "exclusion_summary_by_hospital", "attrition_by_hospital", "retained_hospitals", "retained_stays", "retained_table")], "blocked": STANDARDIZED["blocked"]}
+RESTRICTED = {"cohort": STANDARDIZED["cohort"] + [(n, n) for n in ("vital_group_coverage", "outcome_provenance", "site_eligibility", "site_counts", "stay_exclusions", "exclusion_summary_by_hospital", "attrition_by_hospital", "retained_hospitals", "retained_stays", "retained_table")], "blocked": STANDARDIZED["blocked"]}
 MODEL_READY = {
     "cohort": [("chapter1_core_vital_group_coverage", "vital_group_coverage"), ("chapter1_site_eligibility", "site_eligibility"), ("chapter1_site_counts_summary", "site_counts"), ("chapter1_stay_exclusions", "stay_exclusions"), ("chapter1_stay_exclusion_summary_by_hospital", "exclusion_summary_by_hospital"), ("chapter1_counts_by_hospital", "attrition_by_hospital"), ("chapter1_retained_hospitals", "retained_hospitals"), ("chapter1_retained_stays", "retained_stays"), ("chapter1_retained_stay_table", "retained_table")],
     "instances": [("chapter1_candidate_instances", "candidate_instances"), ("chapter1_valid_instances", "valid_instances"), ("chapter1_instance_counts_by_horizon", "instance_counts"), ("chapter1_instance_exclusion_summary", "instance_exclusions")],
@@ -32,15 +32,31 @@ MODEL_READY = {
 }
 MODEL_INPUTS = ["static/harmonized", "dynamic/harmonized", "blocked/asic_8h_block_index", "blocked/asic_8h_blocked_dynamic_features", "blocked/asic_8h_stay_block_counts"]
 MODEL_OPTIONAL = ["cohort/stay_level"]
-#: Columns that order a written table, the first ones of these that it has.
+#: The order of each table that is not by ORDER: its columns, "-" before those that fall. The table's contract, wherever it is written.
+ORDERS = {
+    "static_source_map": ("canonical_name", "hospital_id"), "dynamic_source_map": ("canonical_name", "hospital_id"), "categorical_values": ("variable", "hospital_id", "code"), "unexpected_categories": ("column", "hospital_id", "value"),
+    "semantic_decisions": ("variable", "hospital_id"), "invalid_value_rules": ("variable",), "invalid_value_qc": ("variable", "hospital_id"), "distribution_summary": ("variable", "hospital_id"), "distribution_issues": ("variable", "hospital_id"),
+    "non_numeric_issues": ("-unresolved", "-non_numeric", "hospital_id", "column"), "local_id_collisions": ("stay_id_local", "hospital_id", "stay_id_global"), "missing_id_rows": ("-source", "hospital_id", "stay_id_local"),
+    "static_duplicates": ("stay_id_global", "hospital_id", "stay_id_local"), "duplicate_time_rows": ("stay_id_global", "time_us", "hospital_id", "row_ord"), "mapping_failures": ("row_ord",), "vent_episodes": ("hospital_id", "stay_id_global", "episode"),
+    "coding_distribution": ("hospital_id", "variable", "code"), "block_count_distribution": ("hospital_id", "block_count"), "vital_group_coverage": ("hospital_id", "-required", "physiologic_group"),
+    "instance_exclusions": ("horizon_h", "-n", "exclusion_reason"), "instance_counts": ("horizon_h",), "label_summary": ("horizon_h",), "feature_availability": ("horizon_h", "feature"),
+    "stay_id_summary": (), "stay_summary": (), "block_qc_summary": (), "readiness_summary": (), "site_counts": (), "feature_set": (), "example_stays": (),
+}
+#: Columns that order all other tables, the first ones of these that a table has.
 ORDER = ("hospital_id", "stay_id_global", "block_index", "horizon_h", "time_us", "row_ord", "variable", "metric", "column", "canonical_name", "feature", "code", "value")
 
+
+def as_set(name: str) -> Column:
+    """An array column without an order of its own: written sorted. Other arrays are lists, whose order is kept."""
+    return F.col(f"`{name}`").alias(name, metadata={"set": True})
+
+
 def flat(df: DataFrame) -> DataFrame:
-    """Arrays, maps and structs as JSON text (arrays sorted where they can be), for formats without nesting."""
+    """Arrays, maps and structs as JSON text, for formats without nesting: lists in their order, sets (`as_set`) sorted."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.AtomicType):
+        if isinstance(f.dataType, T.ArrayType) and f.metadata.get("set"):
             c = F.to_json(F.sort_array(c))
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
             c = F.to_json(c)
@@ -48,10 +64,11 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def ordered(df: DataFrame) -> DataFrame:
-    """Sorted by the columns of ORDER that it has, nulls last: one range partitioning, at the sink only."""
-    keys = [c for c in ORDER if c in df.columns and isinstance(df.schema[c].dataType, T.AtomicType)]
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in keys]) if keys else df
+def ordered(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Sorted as ORDERS says for a table of that name, else by the columns of ORDER that it has; nulls last: one range partitioning, at the sink only."""
+    keys = ORDERS.get(name) if name in ORDERS else [c for c in ORDER if c in df.columns and isinstance(df.schema[c].dataType, T.AtomicType)]
+    by = [F.col(k[1:]).desc_nulls_last() if k.startswith("-") else F.col(k).asc_nulls_last() for k in keys]
+    return df.orderBy(*by) if by else df
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
@@ -91,7 +108,7 @@ def write_layer(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parque
     if missing:
         raise KeyError(f"the layer lacks tables {missing}")
     for file, name in files.items():
-        write_table(ordered(tables[name]), f"{folder}/{file}.{fmt}", fmt, mode)
+        write_table(ordered(tables[name], name), f"{folder}/{file}.{fmt}", fmt, mode)
     return [f"{folder}/{file}.{fmt}" for file in files]
 
 
@@ -105,8 +122,56 @@ def load_layer(spark: SparkSession, folder: str, required: Sequence[str] = MODEL
     return {n: read_table(spark, path[n], (schemas or {}).get(n)) for n in path if n in found}
 
 
-def write_dynamic_by_hospital(dynamic: DataFrame, static: DataFrame, path: str) -> None:
-    """The rows of known stays, a folder a hospital; a null hospital is an error."""
+def known_rows(dynamic: DataFrame, static: DataFrame) -> DataFrame:
+    """The observations of known stays; a null hospital is an error."""
     require_none(dynamic.where("hospital_id IS NULL"), "rows without a hospital")
-    known = dynamic.join(static.select("stay_id_global").distinct(), "stay_id_global", "left_semi")
-    write_table(known, path, partition_by=["hospital_id"])
+    return dynamic.join(static.select("stay_id_global").distinct(), "stay_id_global", "left_semi")
+
+
+def write_dynamic_by_hospital(dynamic: DataFrame, static: DataFrame, path: str, replace: bool = False) -> None:
+    """The rows of known stays, a folder a hospital; a null hospital is an error.
+
+    replace: rewrite the hospitals that ``dynamic`` has, and leave the folders of all others as they are.
+    """
+    writer = known_rows(dynamic, static).write.partitionBy("hospital_id")
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path) if replace else writer.parquet(path)
+
+
+#: Buckets of a table that is kept by stay, and the column that deals them.
+BUCKETS, BUCKET_KEY = 64, "stay_id_global"
+
+
+def save_by_stay(df: DataFrame, table: str, buckets: int = BUCKETS) -> DataFrame:
+    """``df`` as a table of the session's catalog, dealt into buckets by stay and sorted inside them, and read back.
+
+    Tables with the same number of buckets are joined and grouped by stay without a shuffle; ``buckets`` should leave some 200 MB to each
+    (2^16 for 10 TB). The table lies in the warehouse, which a cluster shares.
+    """
+    spark = df.sparkSession
+    dealt = df.repartition(buckets, BUCKET_KEY)  # a file a bucket
+    dealt.write.bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY).mode("overwrite").format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
+def replace_hospitals(df: DataFrame, table: str) -> None:
+    """Write the rows of ``df`` over those of its hospitals in a catalog table that is partitioned by hospital and dealt into buckets by stay."""
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def save_layer_by_stay(static: DataFrame, dynamic: DataFrame, database: str, buckets: int = BUCKETS) -> dict[str, DataFrame]:
+    """The harmonized tables kept by stay in a database: static in buckets, the observations of known stays also by hospital.
+
+    What is rebuilt from them groups and joins observations by stay where they lie; `replace_hospitals` rewrites one hospital alone.
+    """
+    spark = static.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    save_by_stay(static, f"{database}.static", buckets)
+    rows = known_rows(dynamic, static).repartition(buckets, BUCKET_KEY)
+    rows.write.partitionBy("hospital_id").bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY).mode("overwrite").format("parquet").saveAsTable(f"{database}.dynamic")
+    return {name: spark.table(f"{database}.{name}") for name in ("static", "dynamic")}

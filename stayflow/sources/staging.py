@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LOCAL_FOLDERS: dict[str, str] = {}
+#: Folders that go when their application ends, and the paths staged in each open `lifetime`.
+LEAVING: set[str] = set()
+LIFETIMES: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,7 +29,35 @@ def shared_folder(spark: SparkSession) -> str:
         if context.applicationId not in LOCAL_FOLDERS:
             LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="stayflow-")
         root = LOCAL_FOLDERS[context.applicationId]
-    return f"{root}/stayflow-{context.applicationId}"
+    folder = f"{root}/stayflow-{context.applicationId}"
+    if folder not in LEAVING:  # so that nothing outlives the application, however it ends
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        LEAVING.add(folder)
+    return folder
+
+
+def new_path(spark: SparkSession, tag: str) -> str:
+    """A path for a table, which goes with the innermost open `lifetime`."""
+    path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    if LIFETIMES:
+        LIFETIMES[-1].append(path)
+    return path
+
+
+@contextmanager
+def lifetime(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside, by queries and operators of both libraries, are deleted at its end: read or write results before."""
+    mine: list[str] = []
+    LIFETIMES.append(mine)
+    try:
+        yield
+    finally:
+        LIFETIMES.remove(mine)
+        for path in mine:
+            delete(spark, path)
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -40,8 +71,8 @@ def clear(spark: SparkSession) -> None:
 
 
 def stage(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: what many reports read is made once. `clear` deletes it."""
-    path = f"{shared_folder(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    """``df`` written to the shared folder and read back: what many reports read is made once. It goes with its `lifetime`, by `clear` or with the application."""
+    path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

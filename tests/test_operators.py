@@ -251,6 +251,6 @@ def test_csv_keeps_nested_values_as_json(spark, tmp_path):
     L.append_csv(df, str(tmp_path / "t.csv"))
     with pytest.raises(ValueError):
         L.append_csv(df.drop("l"), str(tmp_path / "t.csv"))
-    assert [tuple(r) for r in L.read_table(spark, str(tmp_path / "t.csv")).collect()] == [("1", "[1,3]", '{"a":1}')] * 2
+    assert [tuple(r) for r in L.read_table(spark, str(tmp_path / "t.csv")).collect()] == [("1", "[3,1]", '{"a":1}')] * 2
     L.write_dynamic_by_hospital(spark.createDataFrame([("A", "s"), ("B", "t")], "hospital_id string, stay_id_global string"), spark.createDataFrame([("s",)], "stay_id_global string"), str(tmp_path / "p"))
     assert [r["hospital_id"] for r in spark.read.parquet(str(tmp_path / "p")).collect()] == ["A"]
