@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.staging import clear, delete, shared_folder  # noqa: F401
+from ..sources.staging import clear, delete, lifetime, new_path, shared_folder  # noqa: F401
 
 #: A word: a run of bytes other than the ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,14 +23,14 @@ BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 48 * 2**20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def cut(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage and survives lost executors."""
+def cut(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage and survives lost executors. It goes with its `lifetime`."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = new_path(spark, tag)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)

@@ -164,7 +164,7 @@ def encode(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "t
     """doc_id, ids (array of int) and decoded (text) of each row of ``docs``, in no given order."""
     check_model(model)
     context, kind, token = docs.sparkSession.sparkContext, _id_type(model), uuid.uuid4().hex
-    table = cut(word_table(docs, model, text), "pieces-words")
+    table = cut(word_table(docs, model, text), "pieces-words", "zstd")
     frequent, head = _head(table, head_words)
     shared = context.broadcast(head)
     id_kind = docs.schema[doc_id].dataType.simpleString()
@@ -234,10 +234,10 @@ def encode(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "t
 
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = small_batches(narrow).mapInArrow(rare_words, "k1 long, k2 long, nth int, word binary")
-    joined = cut(pairs.join(rare.select("word", "ids", "decoded"), "word").select("k1", "k2", "nth", "ids", "decoded"), "pieces-joined")
+    joined = cut(pairs.join(rare.select("word", "ids", "decoded"), "word").select("k1", "k2", "nth", "ids", "decoded"), "pieces-joined", "zstd")
     discard(table)
     sorted_ = joined.repartition(partitions, "k1").sortWithinPartitions("k1", "k2", "nth")
-    lists = cut(sorted_.mapInArrow(listed, "k1 long, k2 long, text binary"), "pieces-rare")
+    lists = cut(sorted_.mapInArrow(listed, "k1 long, k2 long, text binary"), "pieces-rare", "zstd")
     discard(joined)
     lists = lists.select("k1", "k2", F.lit(False).alias("is_text"), F.lit(None).cast(id_kind).alias("doc_id"), "text")
     texts = small_batches(narrow).mapInArrow(packed, f"k1 long, k2 long, doc_id {id_kind}, text binary").select("k1", "k2", F.lit(True).alias("is_text"), "doc_id", "text")
