@@ -33,7 +33,7 @@ SAMPLE_OF, LOWERED = 4, 0.8
 #: Bits of a bitmap of proposals.
 BITS = 2**26
 #: Words, and distinct words, of a block of texts.
-BLOCK_WORDS, BLOCK_DISTINCT = 2_000_000, 500_000
+BLOCK_WORDS, BLOCK_DISTINCT = 1_000_000, 300_000
 #: Rows of an Arrow batch of counts.
 ROWS = 100_000
 #: Parts of a language whose best rows are found on their own first.
