@@ -207,8 +207,10 @@ def _equal_stretches(rows: DataFrame, keys: list[str], more: list[str], tag: str
 def _wanted(texts: DataFrame, kinds: DataFrame, fields: list[str]) -> DataFrame:
     """The texts of ``kinds`` with what is wanted of them: id, t, runs, text. A text comes once, however often its row is there."""
     runs = F.struct(*[F.col(f"one.{c}").alias(c) for c in fields if c != "anchor"], "anchor")
-    once = texts.groupBy("id", "t").agg(F.first("text").alias("text"))
-    return once.join(kinds.groupBy("one.id", "one.t").agg(F.collect_list(runs).alias("runs")), ["id", "t"]).select("id", "t", "runs", "text")  # one text's runs
+    runs = cut(kinds.groupBy("one.id", "one.t").agg(F.collect_list(runs).alias("runs")), "suffix-wanted")  # one text's runs
+    wanted = texts.join(small_enough(runs.select("id", "t")), ["id", "t"], "left_semi")
+    once = wanted.groupBy("id", "t").agg(F.first("text").alias("text"))
+    return once.join(runs, ["id", "t"]).select("id", "t", "runs", "text")
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -247,7 +249,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)).alias("id"), F.xxhash64(text_).alias("t"), text_.alias("text"))
     spans = cut(repeated_spans(texts), "suffix-spans")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)).alias("id"), F.xxhash64(text_).alias("t"), text_.alias("text"))
-    joined = rows.join(spans, ["id", "t"], "left").select("doc", "spans", "text")
+    joined = rows.join(small_enough(spans), ["id", "t"], "left").select("doc", "spans", "text")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, raws in _texts(batches):
