@@ -169,6 +169,42 @@ def crosstab(pairs: DataFrame, a: str, b: str, values: Sequence[str]) -> DataFra
     return pairs.groupBy(a).agg(*[F.count_if(F.col(b) == v).alias(f"{b}_{v}") for v in values])
 
 
+def paired(obs: DataFrame, a: str, b: str) -> DataFrame:
+    """hospital_id, a, b, n, has_a and has_b: how many source rows (hospital_id, row_ord) of the long form have each pair of values of two variables,
+    and whether the row's export names them. Written; a row for each hospital and distinct pair."""
+    value = lambda v: F.max(F.when(F.col("variable") == v, F.col("value")))
+    rows = obs.where(F.col("variable").isin(a, b)).groupBy("hospital_id", "row_ord").agg(value(a).alias("a"), value(b).alias("b"), F.bool_or(F.col("variable") == a).alias("has_a"), F.bool_or(F.col("variable") == b).alias("has_b"))
+    return stage(rows.groupBy("hospital_id", "a", "b").agg(F.count("*").alias("n"), F.bool_or("has_a").alias("has_a"), F.bool_or("has_b").alias("has_b")), "pairs")
+
+
+def overlap_summary(pairs: DataFrame, sites: DataFrame, most: int = 10) -> DataFrame:
+    """For every hospital of ``sites`` how two variables (`paired`) meet in a row: rows with each, with both, with the first at 1 or 0 and the
+    second known, and the first ``most`` values of each."""
+    a, b, n = F.col("a"), F.col("b"), F.col("n")
+    count = lambda c: F.coalesce(F.sum(F.when(c, n)), F.lit(0))
+    out = pairs.groupBy("hospital_id").agg(
+        F.bool_or("has_a").alias("has_a"), F.bool_or("has_b").alias("has_b"), count(a.isNotNull()).alias("a_non_null"), count(b.isNotNull()).alias("b_non_null"),
+        count(a.isNotNull() & b.isNotNull()).alias("both_non_null"), count((a == 1) & b.isNotNull()).alias("a1_b_non_null"), count((a == 0) & b.isNotNull()).alias("a0_b_non_null"),
+    )
+    for c in ("a", "b"):
+        out = out.join(first_values(pairs, ["hospital_id"], c, most).withColumnRenamed("_first", f"{c}_values"), "hospital_id", "left")
+    numbers = [c for c, t in out.dtypes if t == "bigint"]
+    out = sites.select("hospital_id").distinct().join(out, "hospital_id", "left")
+    none = F.array().cast("array<double>")
+    return out.select("hospital_id", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("has_a", "has_b")], *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers], *[F.coalesce(c, none).alias(c) for c in ("a_values", "b_values")])
+
+
+def overlap_crosstab(pairs: DataFrame, most: int = 50) -> DataFrame:
+    """hospital_id, a and a column for each value of b that occurs beside one of a (`paired`): the rows with both. More than ``most`` values are an error."""
+    both = pairs.where("a IS NOT NULL AND b IS NOT NULL").withColumn("b", F.concat(F.lit("b_"), F.translate(F.format_string("%.2f", "b"), ".-", "_m")))
+    values = [r[0] for r in both.select("b").distinct().orderBy("b").limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"more than {most} values to be columns")
+    if not values:
+        return both.select("hospital_id", "a").distinct()
+    return both.groupBy("hospital_id", "a").pivot("b", values).agg(F.sum("n")).na.fill(0, values)
+
+
 def artifact_counts(tables: dict[str, DataFrame]) -> DataFrame:
     parts = [t.agg(F.count("*").alias("rows")).select(F.lit(name).alias("artifact"), "rows") for name, t in tables.items()]
     out = parts[0]

@@ -267,6 +267,25 @@ register("categorical_pivot", "SELECT hospital_id, " + ", ".join(f"count(*) FILT
 register("variable_crosstab", "SELECT CAST(icu_mortality AS VARCHAR) AS icu_mortality, count(*) FILTER (icu_readmit = 0) AS icu_readmit_0, count(*) FILTER (icu_readmit = 1) AS icu_readmit_1 FROM static GROUP BY 1")(
     lambda s, d: Q.crosstab(b.static(s, d).withColumn("icu_mortality", F.col("icu_mortality").cast("string")).withColumn("icu_readmit", F.col("icu_readmit").cast("string")), "icu_mortality", "icu_readmit", ["0", "1"])
 )
+
+
+def _support(s, d):
+    """Two variables of one source row, in long form: events, where clicks and views stand for a support that is on or off, and values for its setting."""
+    row = b.table(s, d, "events").select(b.site("user_id").alias("hospital_id"), F.col("event_id").alias("row_ord"), F.when(F.col("event_type") == "click", 1.0).when(F.col("event_type") == "view", 0.0).alias("on"), F.when(F.col("value") > 10, (F.floor("value") % 11).cast("double")).alias("setting"))
+    long = row.select("hospital_id", "row_ord", F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).alias("value")) for v in ("on", "setting")])).alias("x")).select("hospital_id", "row_ord", "x.*")
+    return long.where("NOT (hospital_id = 'site_3' AND variable = 'on') AND NOT (hospital_id = 'site_5' AND variable = 'setting')")
+
+
+SUPPORT = """WITH s AS (SELECT 'site_' || (user_id % 8) AS hospital_id, user_id % 8 AS k, CASE WHEN user_id % 8 = 3 THEN NULL WHEN event_type = 'click' THEN 1.0 WHEN event_type = 'view' THEN 0.0 END AS a,
+    CASE WHEN value > 10 AND user_id % 8 <> 5 THEN CAST(floor(value) % 11 AS DOUBLE) END AS b FROM events)"""
+register("variable_overlap", SUPPORT + """, h AS (SELECT hospital_id, any_value(k) <> 3 AS has_a, any_value(k) <> 5 AS has_b, count(a) AS a_non_null, count(b) AS b_non_null, count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS both_non_null, count(*) FILTER (a = 1 AND b IS NOT NULL) AS a1_b_non_null,
+    count(*) FILTER (a = 0 AND b IS NOT NULL) AS a0_b_non_null, array_to_string(list_transform(list_slice(list_sort(coalesce(list(DISTINCT a) FILTER (a IS NOT NULL), [])), 1, 10), lambda x: printf('%.2f', x)), ',') AS a_values,
+    array_to_string(list_transform(list_slice(list_sort(coalesce(list(DISTINCT b) FILTER (b IS NOT NULL), [])), 1, 10), lambda x: printf('%.2f', x)), ',') AS b_values FROM s GROUP BY 1)
+    SELECT sites.hospital_id, coalesce(has_a, false) AS has_a, coalesce(has_b, false) AS has_b, coalesce(a_non_null, 0) AS a_non_null, coalesce(b_non_null, 0) AS b_non_null, coalesce(both_non_null, 0) AS both_non_null, coalesce(a1_b_non_null, 0) AS a1_b_non_null,
+    coalesce(a0_b_non_null, 0) AS a0_b_non_null, coalesce(a_values, '') AS a_values, coalesce(b_values, '') AS b_values FROM sites LEFT JOIN h USING (hospital_id)""")(
+    lambda s, d: Q.overlap_summary(Q.paired(_support(s, d), "on", "setting"), b.static(s, d)).withColumns({c: F.array_join(F.transform(c, lambda x: F.format_string("%.2f", x)), ",") for c in ("a_values", "b_values")})
+)
+register("overlap_crosstab", SUPPORT + " SELECT hospital_id, a, " + ", ".join(f"count(*) FILTER (b = {i}) AS b_{i}_00" for i in range(11)) + " FROM s WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY ALL")(lambda s, d: Q.overlap_crosstab(Q.paired(_support(s, d), "on", "setting")))
 register("median_missingness", "SELECT hospital_id, " + ", ".join(f"round(avg(CASE WHEN {v}_median IS NULL THEN 1.0 ELSE 0.0 END), 6) AS {v}_median" for v in b.VARIABLES) + " FROM features GROUP BY 1")(
     lambda s, d: _features(s, d).groupBy("hospital_id").agg(*[F.avg(F.col(f"{v}_median").isNull().cast("double")).alias(f"{v}_median") for v in b.VARIABLES])
 )
