@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pathlib import Path
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +73,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # only here, so that the other queries don't need it
+
     model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
     made = pieces.encode(documents(spark, sf_dir), model)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
