@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, discard, small_batches, small_enough
+from .common import cut, discard, small_batches
 
 LENGTH, GRAM, STEP, DIGITS = 200, 32, 16, 3
 #: Starts that are looked at together; longer texts go in pieces that overlap by a window.
@@ -186,7 +186,7 @@ def _windows(texts: DataFrame) -> DataFrame:
 def _survivors(rows: DataFrame, keys: list[str], tag: str) -> DataFrame:
     """A radix pass: the rows that are not alone under ``keys``, the digits so far."""
     shared = cut(rows.groupBy(*keys).agg(F.count("*").alias("_c")).where("_c > 1").select(*keys), f"suffix-{tag}-shared")
-    left = cut(rows.join(small_enough(shared), keys, "left_semi"), f"suffix-{tag}")
+    left = cut(rows.join(shared, keys, "left_semi"), f"suffix-{tag}")
     discard(rows, shared)
     return left
 
@@ -196,9 +196,9 @@ def _equal_stretches(rows: DataFrame, keys: list[str], more: list[str], tag: str
     row of each different stretch (c: how many have it) where a key has several."""
     equal = cut(rows.groupBy(*keys, "stretch").agg(F.count("*").alias("c"), F.min(F.struct("id", "t", "start", "n", *more)).alias("one")), f"suffix-{tag}-equal")
     several = cut(equal.groupBy(*keys).agg(F.count("*").alias("_kinds")).where("_kinds > 1").select(*keys), f"suffix-{tag}-several")
-    kinds = cut(equal.join(small_enough(several), keys, "left_semi"), f"suffix-{tag}-kinds")
+    kinds = cut(equal.join(several, keys, "left_semi"), f"suffix-{tag}-kinds")
     many = cut(equal.where("c > 1").select(*keys, "stretch"), f"suffix-{tag}-many")
-    whole = rows.join(small_enough(many), [*keys, "stretch"], "left_semi").select("id", "t", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
+    whole = rows.join(many, [*keys, "stretch"], "left_semi").select("id", "t", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("end"))
     whole = cut(whole, f"suffix-{tag}-whole")
     discard(rows, equal, several, many)
     return whole, kinds
@@ -208,7 +208,7 @@ def _wanted(texts: DataFrame, kinds: DataFrame, fields: list[str]) -> DataFrame:
     """The texts of ``kinds`` with what is wanted of them: id, t, runs, text. A text comes once, however often its row is there."""
     runs = F.struct(*[F.col(f"one.{c}").alias(c) for c in fields if c != "anchor"], "anchor")
     runs = cut(kinds.groupBy("one.id", "one.t").agg(F.collect_list(runs).alias("runs")), "suffix-wanted")  # one text's runs
-    wanted = texts.join(small_enough(runs.select("id", "t")), ["id", "t"], "left_semi")
+    wanted = texts.join(runs.select("id", "t"), ["id", "t"], "left_semi")
     once = wanted.groupBy("id", "t").agg(F.first("text").alias("text"))
     return once.join(runs, ["id", "t"]).select("id", "t", "runs", "text")
 
@@ -249,7 +249,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)).alias("id"), F.xxhash64(text_).alias("t"), text_.alias("text"))
     spans = cut(repeated_spans(texts), "suffix-spans")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)).alias("id"), F.xxhash64(text_).alias("t"), text_.alias("text"))
-    joined = rows.join(small_enough(spans), ["id", "t"], "left").select("doc", "spans", "text")
+    joined = rows.join(spans, ["id", "t"], "left").select("doc", "spans", "text")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, raws in _texts(batches):
