@@ -241,4 +241,4 @@ def mine(docs: DataFrame, least: int = 10, top: int = 2000, cover: tuple[int, in
     part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS)).alias("_part")
     first = found.select("*", part).withColumn("_nth", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*best))).where(F.col("_nth") <= top)
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).where(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", F.col("total").alias("n"), "score")
+    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score")

@@ -166,5 +166,5 @@ firsts AS MATERIALIZED (SELECT parts.*, f AS l FROM parts JOIN needed ON needed.
 cuts AS (SELECT firsts.lang, firsts.phrase, a, j, l, f AS r, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * f) AS BIGINT) AS score
          FROM firsts JOIN needed ON needed.lang = firsts.lang AND needed.phrase = p2),
 lowest AS (SELECT lang, phrase, a, l, r, score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
-SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank, phrase, a, l, r, t.n, score
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n, score
 FROM lowest JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1) t USING (lang) QUALIFY rank <= 2000"""

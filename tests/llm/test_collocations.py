@@ -108,4 +108,5 @@ def test_block_numbers():
 
 
 def test_query_equals_its_sql(spark):
+    assert {t for c, t in queries.op13_collocations(spark, FOLDER).dtypes if c not in ("lang", "phrase")} == {"bigint"}
     same(queries.op13_collocations(spark, FOLDER), connect(FOLDER), queries.oracle_sql()["op13_collocations"])
