@@ -46,3 +46,11 @@ def test_one_error_names_every_failure(spark):
 def test_the_summary_reads_observations_once(spark):
     plan = queries.QUERIES["stay_id_summary"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("events.parquet") == 1
+
+
+def test_stays_are_counted_in_both_tables(spark):
+    static, obs = tables(spark)
+    assert {tuple(r) for r in identity.unique_stays_per_hospital(static, obs).select("hospital_id", "stays", "static_stays").collect()} == {("asic_A", 2, 2), ("asic_B", 2, 1), ("asic_C", 2, 1)}
+    assert {tuple(r) for r in identity.unique_stays_per_hospital(static).collect()} == {("asic_A", 2), ("asic_B", 1), ("asic_C", 1)}
+    plan = queries.QUERIES["unique_stays_per_hospital"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("events.parquet") == 1 and plan.count("customer.parquet") == 2
