@@ -254,3 +254,20 @@ def test_csv_keeps_nested_values_as_json(spark, tmp_path):
     assert [tuple(r) for r in L.read_table(spark, str(tmp_path / "t.csv")).collect()] == [("1", "[3,1]", '{"a":1}')] * 2
     L.write_dynamic_by_hospital(spark.createDataFrame([("A", "s"), ("B", "t")], "hospital_id string, stay_id_global string"), spark.createDataFrame([("s",)], "stay_id_global string"), str(tmp_path / "p"))
     assert [r["hospital_id"] for r in spark.read.parquet(str(tmp_path / "p")).collect()] == ["A"]
+
+
+def test_static_texts_are_trimmed_once_in_code_that_is_compiled(spark):
+    from stayflow.plans import queries
+
+    plan = queries.QUERIES["static_harmonized"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("regexp_replace") < 20
+    stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+    assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+
+
+def test_static_texts_with_odd_blanks(spark):
+    blanks = ["", " ", "\t\x0b", "\r\n"]
+    values = {"sex": (" w\u2028", "W\u2028"), "icu_los": ("12.0", 12), "icu_readmit": ("1.5", None), "vent_free_days": ("-1.0", None), "hosp_los": ("-2", -2), "stay_id_local": ("0012.50", "12.5"), "bmi_group": ("nan", None), "weight_group": ("-1", None), "age_group": ("a  b", "a  b")}
+    raw = spark.createDataFrame([tuple(x + v + y for v, _ in values.values()) for x in blanks for y in blanks], list(values))
+    rows = harmonize.harmonize_static(raw, "h", {c: [c] for c in values}).select(*values).collect()
+    assert len(rows) == 16 and {tuple(r) for r in rows} == {tuple(v for _, v in values.values())}
